@@ -313,11 +313,9 @@ def validate_mapping(trips: DataFrame, crosswalk: DataFrame, threshold_m: float
                           & ~F.coalesce(used.start_station_id == cw.modern_id, F.lit(False)))
     joined = by_modern.unionByName(by_legacy)
     d = geo.flat_distance_m(F.col("start_lat"), F.col("start_lon"), F.col("legacy_lat"), F.col("legacy_lon"))
+    # Both positions are keys, so a group has one distance and its quantiles are cheap.
     keys = ["legacy_id", "legacy_name", "legacy_lat", "legacy_lon", "start_station_id", "start_station_name",
-            "start_match_type"]
-    # Canonical positions are part of the published grouping, so the distance is
-    # constant within a group unless positions drift; group by mapping instead
-    # and weigh each position by its trips.
+            "start_lat", "start_lon", "start_match_type"]
     per = joined.withColumn("distance_m", d)
     over = F.sum(F.when(F.col("distance_m") > threshold_m, F.col("n")).otherwise(0))
     stats = per.groupBy(*keys).agg(
