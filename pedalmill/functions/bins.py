@@ -40,17 +40,16 @@ def cut(x: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
 def equal_width_bins(df: DataFrame, col: str, n: int, out: str = "bin") -> DataFrame:
     """Add the bin number 1..n of equal-width right-closed bins over min..max.
 
-    The two bounds come from one aggregate, attached as a one-row broadcast, so
-    the data is neither sorted nor collected.
+    The two bounds are a scalar subquery, so the data is neither sorted nor
+    collected.
     """
-    bounds = df.agg(F.min(col).cast("double").alias("__lo"), F.max(col).cast("double").alias("__hi"))
-    x = F.col(col).cast("double")
-    width = (F.col("__hi") - F.col("__lo")) / F.lit(float(n))
+    bounds = df.agg(F.struct(F.min(col).cast("double").alias("lo"),
+                             F.max(col).cast("double").alias("hi")).alias("b")).scalar()
+    x, lo, hi = F.col(col).cast("double"), F.col("__b.lo"), F.col("__b.hi")
     number = (F.when(x.isNull(), F.lit(None))
-              .when(F.col("__hi") == F.col("__lo"), F.lit(1))
-              .otherwise(F.least(F.lit(n), F.greatest(F.lit(1), F.ceil((x - F.col("__lo")) / width)))))
-    # bounds is a global aggregate: exactly one row, so this broadcast is bounded.
-    return df.join(F.broadcast(bounds)).withColumn(out, number.cast("int")).drop("__lo", "__hi")
+              .when(hi == lo, F.lit(1))
+              .otherwise(F.least(F.lit(n), F.greatest(F.lit(1), F.ceil((x - lo) / ((hi - lo) / float(n)))))))
+    return df.withColumn("__b", bounds).withColumn(out, number.cast("int")).drop("__b")
 
 
 def duration_bucket(seconds: Column) -> Column:

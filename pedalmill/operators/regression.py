@@ -231,16 +231,14 @@ def predict(fit: Fit) -> Column:
 def adjusted_series(df: DataFrame, fit: Fit, y: str, groups: dict[str, Sequence[str]]) -> DataFrame:
     """Predictions, residuals, one effect column per group, and the adjusted series.
 
-    Adjusted = actual - effects + mean effects. Means come from one aggregate,
-    attached as a one-row broadcast.
+    Adjusted = actual - effects + mean effects. The means are a scalar subquery.
     """
     out = df.withColumn("predicted", predict(fit)).withColumn("residual", F.col(y) - F.col("predicted"))
     for name, terms in groups.items():
         out = out.withColumn(f"{name}_effect", effect(fit, list(terms)))
-    means = out.agg(*[F.avg(f"{g}_effect").alias(f"__m_{g}") for g in groups])
-    out = out.join(F.broadcast(means))  # exactly one row
-    adjusted = reduce(lambda a, g: a - F.col(f"{g}_effect") + F.col(f"__m_{g}"), groups, F.col(y))
-    return out.withColumn(f"adjusted_{y}", adjusted).drop(*[f"__m_{g}" for g in groups])
+    total = reduce(lambda a, b: a + b, [F.col(f"{g}_effect") for g in groups])
+    mean_total = out.agg(F.avg(total)).scalar()
+    return out.withColumn(f"adjusted_{y}", F.col(y) - total + mean_total)
 
 
 def growth_decomposition(annual: DataFrame, total: str, drivers: dict[str, float], base_year: int,
@@ -249,11 +247,11 @@ def growth_decomposition(annual: DataFrame, total: str, drivers: dict[str, float
 
     ``drivers`` maps a yearly mean column to its coefficient per day.
     """
-    base = annual.filter(F.col("year") == base_year).select(
-        F.col(total).alias("__b_total"), *[F.col(d).alias(f"__b_{d}") for d in drivers])
-    out = annual.join(F.broadcast(base.limit(1)))  # one row
-    out = out.withColumn("total_growth", F.col(total) - F.col("__b_total"))
+    base = annual.filter(F.col("year") == base_year).agg(
+        F.struct(F.max(total).alias(total), *[F.max(d).alias(d) for d in drivers]).alias("b")).scalar()
+    out = annual.withColumn("__base", base)
+    out = out.withColumn("total_growth", F.col(total) - F.col(f"__base.{total}"))
     for d, coef in drivers.items():
-        out = out.withColumn(f"{d}_contribution", (F.col(d) - F.col(f"__b_{d}")) * coef * days)
+        out = out.withColumn(f"{d}_contribution", (F.col(d) - F.col(f"__base.{d}")) * coef * days)
     rest = reduce(lambda a, d: a - F.col(f"{d}_contribution"), drivers, F.col("total_growth"))
-    return out.withColumn("organic_growth", rest).drop("__b_total", *[f"__b_{d}" for d in drivers])
+    return out.withColumn("organic_growth", rest).drop("__base")

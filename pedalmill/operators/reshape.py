@@ -101,25 +101,33 @@ def sheet_records(cells: DataFrame, scan_rows: int = 12, sheet_keys: Sequence[st
                     text.clean_count(F.coalesce("value", F.lit(""))).alias("ridership")))
 
 
+def _substrings(text_col: str, shortest: int = 1) -> Column:
+    """All distinct substrings of a short text."""
+    n = F.length(text_col)
+    starts = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
+    parts = F.flatten(F.transform(starts, lambda i: F.transform(
+        F.sequence(F.lit(1), F.greatest(n - i + 1, F.lit(1))),
+        lambda k: F.substring(F.col(text_col), i, k))))
+    return F.explode(F.filter(F.array_distinct(parts), lambda s: F.length(s) >= shortest))
+
+
 def match_names(names: DataFrame, known: DataFrame, name: str = "name", key: str = "known") -> DataFrame:
-    """Loose match of two short name lists: containment first, else a shared long word.
+    """Loose match of two name lists: containment either way first, else a shared long word.
 
-    Exact pairs of words meet by equi join; containment is tried only on the two
-    distinct name lists. Ties go to the first known name in order.
+    "Contains" becomes equality with one of the other name's substrings, so all
+    three tests are equi joins on distinct names rather than a comparison of every
+    pair. Ties go to the first known name in order.
     """
     a = names.select(F.col(name).alias("name")).distinct().withColumn("__l", F.lower("name"))
     b = known.select(F.col(key).alias("match")).distinct().withColumn("__m", F.lower("match"))
-
-    def words(col: str) -> Column:
-        return F.explode(F.array_distinct(F.split(F.col(col), r"\s+")))
-
-    inner = F.col("__l").contains(F.col("__m")) | F.col("__m").contains(F.col("__l"))
-    # Containment implies the first word's leading part appears in the other name,
-    # but not at a word boundary, so it is tested per pair of distinct names.
-    contained = a.join(b, inner).select("name", "match", F.lit(1).alias("step"))
-    long_words = a.select("name", "__l", words("__l").alias("w")).filter(F.length("w") > 3)
-    shared = (long_words.join(b, F.col("__m").contains(F.col("w")))
+    inside = a.select("name", _substrings("__l").alias("__s"))
+    holds = (inside.join(b, F.col("__s") == F.col("__m")).select("name", "match", F.lit(1).alias("step")))
+    parts = b.select("match", _substrings("__m").alias("__s"))
+    held = parts.join(a, F.col("__s") == F.col("__l")).select("name", "match", F.lit(1).alias("step"))
+    long_words = (a.select("name", F.explode(F.array_distinct(F.split("__l", r"\s+"))).alias("__w"))
+                  .filter(F.length("__w") > 3))
+    shared = (parts.filter(F.length("__s") > 3).join(long_words, F.col("__s") == F.col("__w"))
               .select("name", "match", F.lit(2).alias("step")))
-    best = (contained.unionByName(shared).groupBy("name")
+    best = (holds.unionByName(held).unionByName(shared).groupBy("name")
             .agg(F.min_by("match", F.struct("step", "match")).alias("match")))
     return a.select("name").join(best, "name", "left")
