@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import parse
@@ -98,8 +98,6 @@ def without_duplicates(hashed: DataFrame) -> DataFrame:
     """One file per content; same name with other content gets a numbered name."""
     kept = hashed.groupBy("md5").agg(F.min("path").alias("path"))
     unique = hashed.join(kept, ["md5", "path"])
-    from pyspark.sql import Window
-
     n = F.row_number().over(Window.partitionBy("file_name").orderBy("path")) - 1
     stem, dot = F.regexp_replace("file_name", r"\.csv$", ""), F.lit(".csv")
     return unique.withColumn("stored_name", F.when(n == 0, F.col("file_name")).otherwise(

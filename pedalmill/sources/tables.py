@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # 0-based positions of the fields used.
@@ -19,22 +19,16 @@ PLACE_MIN_FIELDS = 30
 def read_lines(spark: SparkSession, path: str, skip: int = 3) -> DataFrame:
     """Text lines less the first ``skip`` of each file, with the file name.
 
-    Lines of a file arrive in file order within a partition, but a file may be
-    split, so the skip is decided by byte order: only the first split of a file
-    (block start 0) can hold its first lines.
+    Only the block that starts a file can hold its first lines; numbering is per
+    block, so no group is larger than one input block.
     """
     lines = spark.read.text(path).select(
         F.col("value").alias("line"), F.col("_metadata.file_name").alias("file"),
-        F.col("_metadata.file_block_start").alias("__start"),
+        F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__start"),
         F.monotonically_increasing_id().alias("__id"))
-    from pyspark.sql import Window
-
-    # Pre-filter keeps this window to the first lines of each file.
-    head = lines.filter(F.col("__start") == 0)
-    order = Window.partitionBy("file").orderBy("__id")
-    dropped = (head.withColumn("__n", F.row_number().over(order)).filter(F.col("__n") <= skip)
-               .select("file", "__id"))
-    return lines.join(dropped, ["file", "__id"], "left_anti").select("file", "line")
+    number = F.row_number().over(Window.partitionBy("__path", "__start").orderBy("__id"))
+    return (lines.withColumn("__n", number).filter((F.col("__start") > 0) | (F.col("__n") > skip))
+            .select("file", "line"))
 
 
 def _units(parts: Column, position: int) -> Column:
