@@ -130,17 +130,17 @@ def nearest_k(a: DataFrame, b: DataFrame, k: int, b_id: str, max_deg: float | No
     located = pa.join(finest, ["a_lat", "a_lon"], "left")
 
     # Cell diagonal at the chosen level; without a full cell the whole search range.
-    size = F.element_at(F.array(*[F.lit(s) for s in sizes]), F.col("level") + 1)
-    diag = size * math.sqrt(2.0) * (1 + 1e-9)
+    # Sizes halve exactly, so top / 2^level is the same double as the list entry.
     widest = F.lit(max_deg if max_deg else 720.0)
-    reach = F.least(F.coalesce(diag, widest), widest)
+    diag = F.lit(sizes[0]) / F.pow(F.lit(2.0), F.col("level")) * math.sqrt(2.0) * (1 + 1e-9)
+    reach = F.when(F.col("level").isNull(), widest).otherwise(F.least(diag, widest))
     # Search cells one step larger than the cell counted, so few cells are touched.
     search = F.greatest(F.coalesce(F.col("level"), F.lit(0)) - 1, F.lit(0))
     located = located.withColumn("__reach", reach).withColumn("__lv", search)
     lon_reach = (F.col("__reach") if metric == "degrees"
                  else F.when(F.col("__reach") >= 90, F.lit(360.0)).otherwise(
                      geo.lon_reach_deg(F.col("a_lat"), F.col("__reach"))))
-    step = F.element_at(F.array(*[F.lit(s) for s in sizes]), F.col("__lv") + 1)
+    step = F.lit(sizes[0]) / F.pow(F.lit(2.0), F.col("__lv"))
     left = (located
             .withColumn("__cy", F.explode(geo.cells_covering(
                 F.col("a_lat") - F.col("__reach"), F.col("a_lat") + F.col("__reach"), step)))

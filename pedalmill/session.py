@@ -63,7 +63,7 @@ def durable(df: DataFrame) -> DataFrame:
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's own size estimate; runs no job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_LIMIT_BYTES,
