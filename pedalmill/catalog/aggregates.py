@@ -84,8 +84,8 @@ FROM lineitem GROUP BY 1""")
 def price_quantiles(spark, sf):
     """Exact quantiles of a value with no bound on its distinct values: histogram refinement
     instead of one value table per group."""
-    out = quantiles.exact_quantiles(table(spark, sf, "lineitem"), ["l_returnflag"], "l_extendedprice",
-                                    {"median_price": 0.5, "p95_price": 0.95})
+    out = quantiles.exact_quantiles(table(spark, sf, "lineitem"), ["l_returnflag"],
+                                    {"median_price": ("l_extendedprice", 0.5), "p95_price": ("l_extendedprice", 0.95)})
     return out.withColumns({c: r(c, 4) for c in ("median_price", "p95_price")})
 
 

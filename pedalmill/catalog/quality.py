@@ -119,9 +119,8 @@ def zero_boardings(spark, sf):
     e = table(spark, sf, "events").select(
         "event_type", F.when(F.col("value") < 20, 0).otherwise(F.floor("value")).alias("boardings"),
         (F.col("event_id") % 26 - 1).alias("hour"))
-    bad = e.groupBy("event_type").agg(F.count(F.when(~F.col("hour").between(0, 23), 1)).alias("invalid_hours"))
-    z = quality.zero_rate(e, "boardings", ["event_type"]).withColumn("zero_pct", r("zero_pct"))
-    return z.join(bad, "event_type")
+    bad = F.count(F.when(~F.col("hour").between(0, 23), 1)).alias("invalid_hours")
+    return quality.zero_rate(e, "boardings", ["event_type"], bad).withColumn("zero_pct", r("zero_pct"))
 
 
 @query("F14", sql="""SELECT p_name, count(*) AS n FROM part WHERE regexp_matches(p_name, '(?i)RING|Bolt|gear') GROUP BY 1""")

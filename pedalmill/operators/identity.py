@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, text
 from ..functions.numeric import count_if
 from ..session import lookup_join
-from .quantiles import exact_quantiles, modes
+from .quantiles import exact_quantiles
 from .spatial import nearest_k
 
 #: Search radius in metres, and how many nearest stations are scored.
@@ -34,14 +34,15 @@ def legacy_stations(obs: DataFrame, system: str = "nyc", min_trips: int = 10) ->
     clean = (obs.withColumn("station_id", sid)
              .filter(geo.in_box(F.col("lat"), F.col("lon"), system) & wanted)
              .select("station_id", "name", "lat", "lon"))
-    counted = (clean.groupBy("station_id").agg(F.count(F.lit(1)).alias("trip_count"))
-               .filter(F.col("trip_count") >= min_trips))
-    names = modes(clean, ["station_id"], "name", "legacy_name").drop("legacy_name_count")
-    lat = exact_quantiles(clean, ["station_id"], "lat", {"legacy_lat": 0.5})
-    lon = exact_quantiles(clean, ["station_id"], "lon", {"legacy_lon": 0.5})
-    return (counted.join(names, "station_id", "left").join(lat, "station_id").join(lon, "station_id")
-            .select(F.col("station_id").alias("legacy_id"), "legacy_name", "legacy_lat", "legacy_lon",
-                    "trip_count"))
+    # Names are counted once; both the usual name and the trips come from those counts.
+    names = clean.groupBy("station_id", "name").agg(F.count(F.lit(1)).alias("n"))
+    usual = F.min(F.when(F.col("name").isNotNull(), F.struct((-F.col("n")).alias("neg"), F.col("name").alias("v"))))
+    per = (names.groupBy("station_id").agg(F.sum("n").alias("trip_count"), usual.alias("u"))
+           .filter(F.col("trip_count") >= min_trips))
+    middle = exact_quantiles(clean, ["station_id"], {"legacy_lat": ("lat", 0.5), "legacy_lon": ("lon", 0.5)})
+    return per.join(middle, "station_id").select(
+        F.col("station_id").alias("legacy_id"), F.col("u.v").alias("legacy_name"), "legacy_lat", "legacy_lon",
+        "trip_count")
 
 
 def match_score(name_score: Column, distance_m: Column, radius_m: float = MATCH_RADIUS_M) -> Column:

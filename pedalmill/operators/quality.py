@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,14 +59,14 @@ def filter_accounting(df: DataFrame, reasons: dict[str, Column], by: Sequence[st
     """Per group: rows in, rows out, each reason counted on its own, and by first charge.
 
     ``rows_in = rows_out + sum(first_*)`` holds for every group. One aggregate
-    over all files at once.
+    over all files at once; every condition is evaluated once per row.
     """
-    reason = first_reason(reasons)
-    return df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("rows_in"),
-        count_if(reason.isNull()).alias("rows_out"),
-        *[count_if(cond).alias(name) for name, cond in reasons.items()],
-        *[count_if(reason == name).alias(f"first_{name}") for name in reasons])
+    flags = df.select(*by, *[cond.alias(name) for name, cond in reasons.items()])
+    flags = flags.withColumn("__first", first_reason({name: F.col(name) for name in reasons}))
+    return flags.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("rows_in"), count_if(F.col("__first").isNull()).alias("rows_out"),
+        *[count_if(F.col(name)).alias(name) for name in reasons],
+        *[count_if(F.col("__first") == name).alias(f"first_{name}") for name in reasons])
 
 
 def match_counts(df: DataFrame, by: Sequence[str], col: str = "start_match_type") -> DataFrame:
@@ -166,11 +165,8 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
             .select("column_name", F.col("__rows").alias("total_rows"), "nulls"))
 
 
-def zero_rate(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+def zero_rate(df: DataFrame, value: str, by: Sequence[str], *more: Column) -> DataFrame:
+    """Records, zero records and their percent per group, with further aggregates."""
     return df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total_records"), count_if(F.col(value) == 0).alias("zero_records"),
-        F.avg(F.when(F.col(value) == 0, 100.0).otherwise(0.0)).alias("zero_pct"))
-
-
-def any_of(conds: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conds)
+        F.avg(F.when(F.col(value) == 0, 100.0).otherwise(0.0)).alias("zero_pct"), *more)

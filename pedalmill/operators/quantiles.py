@@ -3,96 +3,98 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Buckets per histogram level. Two levels split the overall value range 4096 x 4096 times.
+FANOUT = 4096
 
-def _same_keys(a: str, b: str, keys: Sequence[str]) -> Column:
-    parts = [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
-    return reduce(lambda x, y: x & y, parts, F.lit(True))
 
-
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
-                    probs: dict[str, float], levels: int = 2, fanout: int = 2048) -> DataFrame:
-    """Interpolated quantiles of ``value`` per key, one output column per entry of ``probs``.
+def exact_quantiles(df: DataFrame, keys: Sequence[str], wanted: dict[str, tuple[str, float]],
+                    fanout: int = FANOUT) -> DataFrame:
+    """Interpolated quantiles per key: ``{output: (column, probability)}``.
 
     ``percentile`` keeps every distinct value of a group in one task. Here equal
-    values are counted first, then each level builds a ``fanout``-bucket
-    histogram of the part still in question and keeps only the buckets that hold
-    a wanted rank. A key with most of the rows is therefore spread over buckets
-    until very few distinct values are left to put in order. Bucket bounds are
-    exact minima and maxima, so a retried task sees the same buckets.
+    values are counted first. A histogram per key then finds the bucket of each
+    wanted rank, a second histogram splits those buckets again, and only values
+    that share a key and a finest bucket are put in order. Windows therefore run
+    over at most ``fanout`` buckets, or over values closer together than
+    ``1/fanout^2`` of the column's range, however many rows a key has. Bucket
+    bounds are exact minima and maxima, so a retried task sees the same buckets.
     """
     keys = list(keys)
-    counts = (df.filter(F.col(value).isNotNull())
-              .groupBy(*keys, F.col(value).cast("double").alias("__v"))
+    cols = list(dict.fromkeys(c for c, _ in wanted.values()))
+    bounds = df.agg(F.struct(*[F.min(F.col(c).cast("double")).alias(f"lo{i}") for i, c in enumerate(cols)],
+                             *[F.max(F.col(c).cast("double")).alias(f"hi{i}") for i, c in enumerate(cols)])
+                    .alias("b")).scalar()
+    stacked = df.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("__s"))
+    counts = (stacked.filter(F.col("__s.v").isNotNull())
+              .groupBy(*keys, F.col("__s.i").alias("__i"), F.col("__s.v").alias("__v"))
               .agg(F.count(F.lit(1)).alias("__n")))
-    totals = counts.groupBy(*keys).agg(
-        F.sum("__n").alias("__total"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
-
-    # One row per key and wanted 0-based rank.
-    wanted = F.array_distinct(F.flatten(F.array(*[
-        F.array(F.floor((F.col("__total") - 1) * F.lit(float(p))).cast("long"),
-                F.ceil((F.col("__total") - 1) * F.lit(float(p))).cast("long"))
-        for p in probs.values()])))
-    ranks = totals.withColumn("__rank", F.explode(wanted)).select(
-        *keys, "__total", "__rank", F.lit(0).cast("long").alias("__before"), "__lo", "__hi")
-
-    for _ in range(levels):
-        spans = ranks.select(*keys, "__lo", "__hi").distinct()
-        scaled = (F.col("c.__v") - F.col("s.__lo")) / (F.col("s.__hi") - F.col("s.__lo"))
-        bucket = F.when(F.col("s.__hi") == F.col("s.__lo"), F.lit(0)).otherwise(
-            F.least(F.lit(fanout - 1), F.floor(scaled * fanout).cast("int")))
-        # The span is part of the key: two ranks of a key may sit in different spans.
-        hist = (counts.alias("c").join(
-                    spans.alias("s"),
-                    _same_keys("c", "s", keys) & F.col("c.__v").between(
-                        F.col("s.__lo"), F.col("s.__hi")))
-                .groupBy(*[F.col(f"c.{k}").alias(k) for k in keys],
-                         F.col("s.__lo").alias("__slo"), F.col("s.__hi").alias("__shi"),
-                         bucket.alias("__b"))
-                .agg(F.sum("__n").alias("__bn"), F.min("__v").alias("__blo"),
-                     F.max("__v").alias("__bhi")))
-        # At most ``fanout`` rows per partition of this window.
-        w = (Window.partitionBy(*keys, "__slo", "__shi").orderBy("__b")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        hist = hist.withColumn("__upto", F.sum("__bn").over(w))
-        ranks = (ranks.alias("r").join(
-                    hist.alias("h"),
-                    _same_keys("r", "h", keys)
-                    & (F.col("r.__lo") == F.col("h.__slo")) & (F.col("r.__hi") == F.col("h.__shi"))
-                    & (F.col("r.__rank") >= F.col("r.__before") + F.col("h.__upto") - F.col("h.__bn"))
-                    & (F.col("r.__rank") < F.col("r.__before") + F.col("h.__upto")))
-                 .select(*[F.col(f"r.{k}").alias(k) for k in keys], "__total", "__rank",
-                         (F.col("__before") + F.col("__upto") - F.col("__bn")).alias("__before"),
-                         F.col("__blo").alias("__lo"), F.col("__bhi").alias("__hi")))
-
-    spans = ranks.select(*keys, "__lo", "__hi", "__before").distinct()
-    left = (counts.alias("c").join(
-                spans.alias("s"),
-                _same_keys("c", "s", keys) & F.col("c.__v").between(F.col("s.__lo"), F.col("s.__hi")))
-            .select(*[F.col(f"c.{k}").alias(k) for k in keys], "__v", "__n", "__lo", "__hi", "__before"))
-    w = (Window.partitionBy(*keys, "__lo", "__hi").orderBy("__v")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    left = left.withColumn("__upto", F.col("__before") + F.sum("__n").over(w))
-    found = (ranks.alias("r").join(
-                left.alias("v"),
-                _same_keys("r", "v", keys)
-                & (F.col("r.__lo") == F.col("v.__lo")) & (F.col("r.__hi") == F.col("v.__hi"))
-                & (F.col("r.__rank") >= F.col("v.__upto") - F.col("v.__n"))
-                & (F.col("r.__rank") < F.col("v.__upto")))
-             .groupBy(*[F.col(f"r.{k}").alias(k) for k in keys])
-             .agg(F.max("__total").alias("__total"),
-                  F.map_from_entries(F.collect_list(F.struct("__rank", "__v"))).alias("__at")))
-    out = []
-    for name, p in probs.items():
-        h = (F.col("__total") - 1) * F.lit(float(p))
-        lo = F.element_at("__at", F.floor(h).cast("long"))
-        hi = F.element_at("__at", F.ceil(h).cast("long"))
-        out.append((lo + (hi - lo) * (h - F.floor(h))).alias(name))
-    return found.select(*keys, *out)
+
+    def per_column(make) -> Column:
+        out = make(len(cols) - 1)
+        for i in range(len(cols) - 2, -1, -1):
+            out = F.when(F.col("__i") == i, make(i)).otherwise(out)
+        return out
+
+    lo, hi = per_column(lambda i: F.col(f"__b.lo{i}")), per_column(lambda i: F.col(f"__b.hi{i}"))
+    at = F.when(hi > lo, (F.col("__v") - lo) / (hi - lo)).otherwise(F.lit(0.0))
+    counts = (counts.withColumn("__b", bounds).withColumn("__x", at)
+              .withColumn("__b1", F.floor(F.col("__x") * fanout))
+              .withColumn("__b2", F.floor(F.col("__x") * (fanout * fanout)))
+              .drop("__b", "__x"))
+
+    def position(p: float) -> Column:
+        return (F.col("__total") - 1) * F.lit(float(p))
+
+    ranks = per_column(lambda i: F.array(*[
+        f(position(p)).cast("long") for c, p in wanted.values() if c == cols[i] for f in (F.floor, F.ceil)]))
+    holds = F.exists(ranks, lambda k: (k >= F.col("__upto") - F.col("__n")) & (k < F.col("__upto")))
+    group = [*keys, "__i"]
+
+    def running(part: Sequence[str], order: str):
+        return (Window.partitionBy(*part).orderBy(order)
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    def before() -> Column:
+        return (F.col("__upto") - F.col("__n")).alias("__before")
+
+    first = (counts.groupBy(*group, "__b1").agg(F.sum("__n").alias("__n"))
+             .withColumn("__total", F.sum("__n").over(Window.partitionBy(*group)))
+             .withColumn("__upto", F.sum("__n").over(running(group, "__b1")))
+             .filter(holds).select(*group, "__b1", "__total", before()))
+    second = (_join_same(counts, first, [*group, "__b1"])
+              .groupBy(*group, "__b1", "__b2", "__total", "__before").agg(F.sum("__n").alias("__n"))
+              .withColumn("__upto", F.col("__before") + F.sum("__n").over(running([*group, "__b1"], "__b2")))
+              .filter(holds).select(*group, "__b1", "__b2", "__total", before()))
+    last = (_join_same(counts, second, [*group, "__b1", "__b2"])
+            .withColumn("__upto", F.col("__before") + F.sum("__n").over(running([*group, "__b1", "__b2"], "__v"))))
+
+    def value_at(i: int, p: float, f) -> Column:
+        k = f(position(p)).cast("long")
+        hit = (F.col("__i") == i) & (k >= F.col("__upto") - F.col("__n")) & (k < F.col("__upto"))
+        return F.max(F.when(hit, F.col("__v")))
+
+    aggs = []
+    for name, (c, p) in wanted.items():
+        i = cols.index(c)
+        low, high = value_at(i, p, F.floor), value_at(i, p, F.ceil)
+        h = F.max(F.when(F.col("__i") == i, position(p)))
+        aggs.append((low + (high - low) * (h - F.floor(h))).alias(name))
+    return last.groupBy(*keys).agg(*aggs)
+
+
+def _join_same(counts: DataFrame, picks: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Equi join that also matches NULL keys."""
+    cond = None
+    for c in on:
+        same = F.col(f"c.{c}").eqNullSafe(F.col(f"p.{c}"))
+        cond = same if cond is None else cond & same
+    extra = [c for c in picks.columns if c not in on]
+    return counts.alias("c").join(picks.alias("p"), cond).select("c.*", *[F.col(f"p.{c}") for c in extra])
 
 
 def modes(df: DataFrame, keys: Sequence[str], value: str, out: str = "mode") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..session import lookup_join
 
 
 def unpivot_months(wide: DataFrame, ids: Sequence[str], value: str = "value",
@@ -51,54 +52,49 @@ def sheet_records(cells: DataFrame, scan_rows: int = 12, sheet_keys: Sequence[st
     each sheet the row whose first cell is ``Day`` or second is ``Date`` names
     the stops; the nearest row above with any heading names the destinations,
     filled to the right over merged cells. Data starts at the first dated row.
-    Only the handful of header rows go through windows; data cells stay put and
-    meet their headers by join.
+    Only header cells (``scan_rows`` times the width of a sheet) go through
+    windows. Data cells are grouped per row, and each row then meets the list of
+    headed columns of its sheet, so a blank cell counts as zero rides.
     """
     keys = list(sheet_keys)
-    low = F.lower(F.trim(F.col("value")))
-    cells = cells.withColumn("value", F.trim("value")).filter(F.col("value").isNotNull() & (F.col("value") != ""))
-    top = cells.filter(F.col("row") < scan_rows)
-
-    marks = top.filter(((F.col("col") == 0) & (low == "day")) | ((F.col("col") == 1) & (low == "date")))
-    stop_row = cells.select(*keys).distinct().join(
-        marks.groupBy(*keys).agg(F.min("row").alias("stop_row")), keys, "left")
-    stop_row = stop_row.withColumn("stop_row", F.coalesce("stop_row", F.lit(0)))
+    low = F.lower(F.col("value"))
+    cells = (cells.withColumn("value", F.trim("value"))
+             .filter(F.col("value").isNotNull() & (F.col("value") != "")))
 
+    sheet = Window.partitionBy(*keys)
+    is_mark = ((F.col("col") == 0) & (low == "day")) | ((F.col("col") == 1) & (low == "date"))
     heading = F.col("col").between(2, 14) & ~low.isin("none", "weekday", "weekdays")
-    above = (top.filter(heading).join(stop_row, keys).filter(F.col("row") < F.col("stop_row"))
-             .groupBy(*keys).agg(F.max("row").alias("route_row")))
-    layout = (stop_row.join(above, keys, "left")
-              .withColumn("route_row", F.coalesce("route_row", F.greatest(F.col("stop_row") - 1, F.lit(0)))))
-
-    stops = (top.join(layout, keys).filter((F.col("row") == F.col("stop_row")) & (F.col("col") >= 2)
-                                           & ~low.isin(*NOT_A_STOP) & ~low.contains("total"))
-             .select(*keys, "col", F.col("value").alias("origin")))
-    route_cells = (top.join(layout, keys)
-                   .filter((F.col("row") == F.col("route_row")) & ~low.isin(*NOT_A_ROUTE))
-                   .select(*keys, "col", F.col("value").alias("route")))
-    # Header cells only: bounded by the width of a sheet.
+    top = (cells.filter(F.col("row") < scan_rows)
+           .withColumn("stop_row", F.coalesce(F.min(F.when(is_mark, F.col("row"))).over(sheet), F.lit(0)))
+           .withColumn("route_row", F.coalesce(
+               F.max(F.when(heading & (F.col("row") < F.col("stop_row")), F.col("row"))).over(sheet),
+               F.greatest(F.col("stop_row") - 1, F.lit(0)))))
+    is_stop = ((F.col("row") == F.col("stop_row")) & (F.col("col") >= 2) & ~low.isin(*NOT_A_STOP)
+               & ~low.contains("total"))
+    is_route = (F.col("row") == F.col("route_row")) & ~low.isin(*NOT_A_ROUTE)
     fill = Window.partitionBy(*keys).orderBy("col").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    heads = (stops.join(route_cells, [*keys, "col"], "full")
-             .withColumn("destination", F.last("route", ignorenulls=True).over(fill))
-             .filter(F.col("origin").isNotNull())
-             .withColumn("destination", F.coalesce("destination", F.lit("Unknown")))
-             .filter(~F.lower("destination").contains("total"))
-             .select(*keys, "col", "destination", "origin"))
-
-    body = cells.join(layout.select(*keys, "stop_row"), keys).filter(F.col("row") > F.col("stop_row"))
+    heads = (top.groupBy(*keys, "col", "stop_row").agg(
+                F.max(F.when(is_stop, F.col("value"))).alias("origin"),
+                F.max(F.when(is_route, F.col("value"))).alias("route"))
+             .withColumn("destination", F.coalesce(F.last("route", ignorenulls=True).over(fill), F.lit("Unknown")))
+             .filter(F.col("origin").isNotNull() & ~F.lower("destination").contains("total"))
+             .groupBy(*keys, "stop_row")
+             .agg(F.collect_list(F.struct("col", "destination", "origin")).alias("heads")))
+
+    day, holiday = text.bracket_prefix(F.col("day_text"))
     is_summary = text.contains_any(F.col("day_text"), SUMMARY_WORDS)
-    rows = (body.filter(F.col("col") < 2).groupBy(*keys, "row").agg(
+    rows = (cells.groupBy(*keys, "row").agg(
                 F.max(F.when(F.col("col") == 0, F.col("value"))).alias("day_text"),
-                F.max(F.when(F.col("col") == 1, F.col("value"))).alias("date_text"))
+                F.max(F.when(F.col("col") == 1, F.col("value"))).alias("date_text"),
+                F.map_from_entries(F.collect_list(F.struct("col", "value"))).alias("cells"))
             .withColumn("date", _parsed_date(F.col("date_text")))
             .filter(F.col("date").isNotNull() & ~F.coalesce(is_summary, F.lit(False))))
-    day, holiday = text.bracket_prefix(F.col("day_text"))
-    rows = rows.select(*keys, "row", "date", day.alias("day_of_week"), holiday.alias("holiday"))
-    values = body.filter(F.col("col") >= 2).select(*keys, "row", "col", "value")
-    # Blank cells count as zero rides, so start from every (row, headed column).
-    return (rows.join(heads, keys).join(values, [*keys, "row", "col"], "left")
-            .select(*keys, "date", "day_of_week", "holiday", "destination", "origin",
-                    text.clean_count(F.coalesce("value", F.lit(""))).alias("ridership")))
+    found = (lookup_join(rows, heads, keys, "inner", salt_by=["row"]).filter(F.col("row") > F.col("stop_row"))
+             .withColumn("h", F.explode("heads")))
+    value = F.coalesce(F.try_element_at("cells", F.col("h.col")), F.lit(""))
+    return found.select(*keys, "date", day.alias("day_of_week"), holiday.alias("holiday"),
+                        F.col("h.destination").alias("destination"), F.col("h.origin").alias("origin"),
+                        text.clean_count(value).alias("ridership"))
 
 
 def _substrings(text_col: str, shortest: int = 1) -> Column:

@@ -27,6 +27,9 @@ def build_session(app: str = "pedalmill", master: str | None = None,
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Call sites are recorded for every column otherwise, which doubles the time
+        # it takes to build a plan.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.appName(app)
