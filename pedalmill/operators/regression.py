@@ -100,7 +100,7 @@ def _beta_inc(a: float, b: float, x: float) -> float:
 
 
 def gram_rows(df: DataFrame, features: Sequence[str], y: str, by: Sequence[str] = ()) -> DataFrame:
-    """Cross products as rows (by..., i, j, v), reduced per task before the shuffle.
+    """Cross products as rows (by..., __i, __j, __v), reduced per task before the shuffle.
 
     Rows with a NULL feature or target are left out, as are their weights. Each
     task sends p(p+1)/2 sums per group, whatever the number of rows it read.
@@ -122,13 +122,13 @@ def gram_rows(df: DataFrame, features: Sequence[str], y: str, by: Sequence[str]
                 g = x.T @ x
                 sums[key] = sums[key] + g if key in sums else g
         for key, g in sums.items():
-            out = pd.DataFrame({"i": upper[0], "j": upper[1], "v": g[upper]})
+            out = pd.DataFrame({"__i": upper[0], "__j": upper[1], "__v": g[upper]})
             for pos, name in enumerate(by):
                 out.insert(pos, name, key[pos])
             yield out
 
-    parts = data.mapInPandas(partial, by_schema + "i int, j int, v double")
-    return parts.groupBy(*by, "i", "j").agg(F.sum("v").alias("v"))
+    parts = data.mapInPandas(partial, by_schema + "__i int, __j int, __v double")
+    return parts.groupBy(*by, "__i", "__j").agg(F.sum("__v").alias("__v"))
 
 
 def _assemble(rows: list, names: list[str]) -> Gram:
@@ -140,7 +140,7 @@ def _assemble(rows: list, names: list[str]) -> Gram:
 
 def gram(df: DataFrame, features: Sequence[str], y: str) -> Gram:
     """The Gram matrix; p(p+1)/2 numbers reach the driver."""
-    rows = [(r.i, r.j, r.v) for r in gram_rows(df, features, y).collect()]
+    rows = [tuple(r) for r in gram_rows(df, features, y).collect()]
     return _assemble(rows, [INTERCEPT, *features, y])
 
 
@@ -189,14 +189,14 @@ def ols_by(df: DataFrame, features: Sequence[str], y: str, by: Sequence[str], mi
     by = list(by)
     names = [INTERCEPT, *features, y]
     rows = gram_rows(df, features, y, by)
-    cells = rows.groupBy(*by).agg(F.collect_list(F.struct("i", "j", "v")).alias("g"))
+    cells = rows.groupBy(*by).agg(F.collect_list(F.struct("__i", "__j", "__v")).alias("__g"))
     by_schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in cells.schema.fields[:len(by)])
 
     def solve_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for rec in pdf.to_dict("records"):
-                g = _assemble([(c["i"], c["j"], c["v"]) for c in rec["g"]], names)
+                g = _assemble([(c["__i"], c["__j"], c["__v"]) for c in rec["__g"]], names)
                 if g.n < min_rows:
                     continue
                 fit = solve(g)

@@ -99,8 +99,9 @@ def read_files(spark: SparkSession, files: DataFrame) -> DataFrame:
         columns = next(csv.reader([g.header]))
         schema = T.StructType([T.StructField(c.strip(), T.StringType()) for c in columns]
                               + [T.StructField(CORRUPT, T.StringType())])
+        # Pruned columns would hide rows with too many cells from a narrow query.
         raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-               .option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", True)
+               .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
                .csv(list(g.paths))
                .withColumn("source_file", F.col("_metadata.file_name")))
         raw = raw.withColumn("expected", parse.expected_year_month(F.col("source_file")))

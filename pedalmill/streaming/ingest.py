@@ -25,7 +25,7 @@ def raw_stream(spark: SparkSession, folder: str, family: str, columns: list[str]
     names = columns or list(trip_source.COLUMN_NAMES[family].values())
     schema = ", ".join(f"`{n}` string" for n in [*names, trip_source.CORRUPT])
     reader = (spark.readStream.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", trip_source.CORRUPT))
+              .option("columnNameOfCorruptRecord", trip_source.CORRUPT).option("columnPruning", False))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     raw = reader.csv(folder).withColumn("source_file", F.col("_metadata.file_name"))
