@@ -70,21 +70,26 @@ _ENRICHED = f"""{v.TRIPS}, {v.HOURLY}, {v.HOLIDAYS}, j AS (SELECT t.*, w.*, h.ho
    LEFT JOIN weather w ON date_trunc('hour', t.started_at) = w.datetime LEFT JOIN holidays h ON CAST(t.started_at AS DATE) = h.date)"""
 
 
+def off_tie(name: str):
+    """Round after a small shift: short decimals would otherwise sit exactly on a rounding edge."""
+    return r(F.col(name) + F.lit(1e-8))
+
+
 def _daily(spark, sf):
     h = enrich.with_weather(enrich.hourly_counts(v.trips(spark, sf)), v.hourly_weather(spark, sf), None, v.holidays(spark, sf))
     return enrich.daily_weather(h)
 
 
 @query("J11", "A55", "P31", sql=f"""WITH {_ENRICHED}
-SELECT strftime(d, '%Y-%m-%d') AS date, count(*) AS trips, count(*) FILTER (WHERE member_casual = 'member') AS member_trips, round(avg(temperature_2m) * 9 / 5 + 32, 3) AS temp_f,
-  round(avg(apparent_temperature) * 9 / 5 + 32, 3) AS feels_like_f, max(precipitation) AS max_precip_mm, round(sum(precipitation), 6) AS trip_weighted_precip_mm,
+SELECT strftime(d, '%Y-%m-%d') AS date, count(*) AS trips, count(*) FILTER (WHERE member_casual = 'member') AS member_trips, round(avg(temperature_2m) * 9 / 5 + 32 + 1e-8::DOUBLE, 6) AS temp_f,
+  round(avg(apparent_temperature) * 9 / 5 + 32 + 1e-8::DOUBLE, 6) AS feels_like_f, max(precipitation) AS max_precip_mm, round(sum(precipitation), 6) AS trip_weighted_precip_mm,
   round(sum(precipitation) / count(DISTINCT date_trunc('hour', started_at)), 6) AS precip_per_hour_mm, count(*) FILTER (WHERE precipitation > 0) AS trip_weighted_rainy_hours,
   COALESCE(max(holiday_name), '') AS holiday FROM j GROUP BY 1""")
 def daily_with_weather(spark, sf):
     """Trips per day with weather and holiday. Hours are joined, not trips, and trip-weighted
     means stay exact because counts are carried as weights."""
     d = enrich.calendar_features(_daily(spark, sf))
-    return d.select("date", "trips", "member_trips", r("temp_f", 3).alias("temp_f"), r("feels_like_f", 3).alias("feels_like_f"), "max_precip_mm",
+    return d.select("date", "trips", "member_trips", off_tie("temp_f").alias("temp_f"), off_tie("feels_like_f").alias("feels_like_f"), "max_precip_mm",
                     r("trip_weighted_precip_mm").alias("trip_weighted_precip_mm"), r("precip_per_hour_mm").alias("precip_per_hour_mm"),
                     "trip_weighted_rainy_hours", F.coalesce("holiday", F.lit("")).alias("holiday"))
 
@@ -104,11 +109,11 @@ def hours_of_chosen_days(spark, sf):
 
 @query("F11", "J11", sql=f"""WITH {_ENRICHED}, g AS (SELECT d, count(*) AS trips, avg(temperature_2m) * 9 / 5 + 32 AS temp_f, max(precipitation) AS p, max(CASE WHEN holiday_name IS NOT NULL THEN 1 ELSE 0 END) AS hol
   FROM j GROUP BY 1 HAVING temp_f BETWEEN 30 AND 80 AND p < 20 AND hol = 0)
-SELECT strftime(d, '%Y-%m-%d') AS date, trips, round(temp_f, 3) AS temp_f FROM g""")
+SELECT strftime(d, '%Y-%m-%d') AS date, trips, round(temp_f + 1e-8::DOUBLE, 6) AS temp_f FROM g""")
 def good_weather_days(spark, sf):
     d = enrich.calendar_features(_daily(spark, sf))
     return d.filter(F.col("temp_f").between(30, 80) & (F.col("max_precip_mm") < 20) & (F.col("is_holiday") == 0)).select(
-        "date", "trips", r("temp_f", 3).alias("temp_f"))
+        "date", "trips", off_tie("temp_f").alias("temp_f"))
 
 
 @query("J11", sql=f"""WITH {v.TRIPS} SELECT strftime(CAST(started_at AS DATE), '%Y-%m-%d') AS date, count(DISTINCT start_station_id) AS active_start_stations,
