@@ -65,13 +65,14 @@ def header_families(spark, sf):
     return table(spark, sf, "events").groupBy(manifest.schema_family(header).alias("family")).agg(F.count(F.lit(1)).alias("files"))
 
 
-@query("S24", sql="""WITH h AS (SELECT md5(text) AS m, min(lpad(CAST(doc_id AS VARCHAR), 12, '0')) AS p FROM documents GROUP BY 1), u AS (SELECT d.doc_id, source || '.csv' AS file_name, p FROM documents d JOIN h ON md5(text) = m AND lpad(CAST(doc_id AS VARCHAR), 12, '0') = p)
-SELECT doc_id, CASE WHEN row_number() OVER (PARTITION BY file_name ORDER BY p) = 1 THEN file_name ELSE replace(file_name, '.csv', '') || '_' || CAST(row_number() OVER (PARTITION BY file_name ORDER BY p) - 1 AS VARCHAR) || '.csv' END AS stored_name FROM u""")
+@query("S24", sql="""WITH h AS (SELECT md5(text) AS m, min((lpad(CAST(doc_id AS VARCHAR), 12, '0'), source || '.csv')) AS f FROM documents GROUP BY 1),
+ u AS (SELECT m, f[1] AS path, f[2] AS file_name FROM h), w AS (SELECT *, min(path) OVER (PARTITION BY file_name) AS first_path FROM u)
+SELECT path, CASE WHEN path = first_path THEN file_name ELSE replace(file_name, '.csv', '') || '_' || m || '.csv' END AS stored_name FROM w""")
 def unique_files(spark, sf):
-    """One file per content; equal names with other content are numbered. Documents play files."""
-    d = table(spark, sf, "documents").select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("path"), "doc_id",
+    """One file per content; equal names with other content get distinct names. Documents play files."""
+    d = table(spark, sf, "documents").select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("path"),
                                              F.concat("source", F.lit(".csv")).alias("file_name"), F.md5("text").alias("md5"))
-    return manifest.without_duplicates(d).select("doc_id", "stored_name")
+    return manifest.without_duplicates(d).select("path", "stored_name")
 
 
 @query("S11", sql=f"""SELECT CAST(s_suppkey AS VARCHAR) AS station_id, CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE 'short ' || CAST(s_suppkey AS VARCHAR) END AS short_name, s_name AS name, round({v.sql_lat('s_suppkey')}, 6) AS lat,
@@ -173,3 +174,30 @@ def incremental_ingest(spark, sf):
         stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
         ingest_new(stream, lambda b: b.select("event_type", F.to_date("ts").alias("date")), f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/out").groupBy("date", "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("S1", "S2", "S3", "S5", "S9", "S10", "A10", sql=f"""WITH {v.TRIPS}, x AS (SELECT *, CASE WHEN ride_id % 2 = 0 THEN 'modern' ELSE 'legacy' END AS fam, ride_id % 31 = 0 AS gone FROM trips)
+SELECT fam AS family, count(*) AS rows_in, count(*) FILTER (WHERE NOT gone AND duration_sec BETWEEN 90 AND 14400) AS rows_out, count(*) FILTER (WHERE gone) AS missing_station,
+  count(*) FILTER (WHERE NOT gone AND duration_sec < 90) AS first_duration_too_short, count(*) FILTER (WHERE NOT gone AND duration_sec > 14400) AS first_duration_too_long FROM x GROUP BY 1""")
+def raw_files_accounting(spark, sf):
+    """Trips written as raw CSV files of two eras, read back by header family, judged, logged as JSON."""
+    from ..operators import quality
+    from ..sources import sinks, trips as trip_source
+    base = f"{shared_dir(spark)}/raw-{uuid.uuid4().hex}"
+    t = v.trips(spark, sf)
+    k = F.col("ride_id")
+    sid = F.when(k % 31 != 0, F.col("start_station_id").cast("string"))
+    start = F.date_format("started_at", "yyyy-MM-dd HH:mm:ss")
+    end = F.date_format(F.date_trunc("second", "started_at") + F.make_dt_interval(secs=F.col("duration_sec")), "yyyy-MM-dd HH:mm:ss")
+    common = {"start": start, "end": end, "start_id": sid, "end_id": F.col("end_station_id").cast("string"), "start_name": F.lit('A "x", B'),
+              "end_name": F.lit("C"), **{c: F.col(c).cast("string") for c in ("start_lat", "start_lon", "end_lat", "end_lon")}}
+    cells = {"modern": {**common, "ride_id": k.cast("string"), "rideable_type": F.col("rideable_type"), "rider": F.col("member_casual")},
+             "legacy": {**common, "seconds": F.col("duration_sec").cast("string"), "bike": k.cast("string"), "rider": F.col("member_casual"),
+                        "birth": F.lit("1980"), "gender": F.lit("1")}}
+    for family, rest in (("modern", 0), ("legacy", 1)):
+        names = trip_source.COLUMN_NAMES[family]
+        sinks.write_csv(t.filter(k % 2 == rest).select(*[cells[family][c].alias(n) for c, n in names.items()]), f"{base}/files/{family}")
+    projected = trip_source.read_files(spark, manifest.trip_files(spark, f"{base}/files"))
+    judged = projected.withColumn("family", F.when(F.col("bike_id").isNull(), "modern").otherwise("legacy"))
+    sinks.write_log(quality.filter_accounting(judged, quality.quality_reasons(), ["family"]), f"{base}/log", "check")
+    return spark.read.json(f"{base}/log").select("family", "rows_in", "rows_out", "missing_station", "first_duration_too_short", "first_duration_too_long")

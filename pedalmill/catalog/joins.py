@@ -189,7 +189,7 @@ def price_against_customer_mean(spark, sf):
     of the rows is averaged in parts instead of sitting in one window."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     mean = o.groupBy("o_custkey").agg(F.avg("o_totalprice").alias("m"))
-    j = lookup_join(o, mean, "o_custkey", "inner", salt_by=["o_orderkey"])
+    j = lookup_join(o, mean, "o_custkey", "inner")
     return j.select("o_orderkey", r(F.col("o_totalprice") * 100 / F.col("m"), 4).alias("pct_of_customer"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import identity, layers, spatial
+from ..session import lookup_join
 from . import views as v
 from .registry import query, r, table
 
@@ -34,7 +35,7 @@ def neighbours_within_radius(spark, sf):
     """Customers within 1,500 m of each supplier and the nearest distance, by grid cells."""
     s = _suppliers(spark, sf)
     near = spatial.neighbours(s, _customers(spark, sf), 1500.0)
-    return s.join(near, ["lat", "lon"]).select("id", "nearby", r("closest_m", 4).alias("closest_m"))
+    return lookup_join(s, near, ["lat", "lon"], "inner").select("id", "nearby", r("closest_m", 4).alias("closest_m"))
 
 
 @query("J7", sql=f"""WITH {_CUS}, pl AS (SELECT n_name AS place, {v.sql_lat('n_nationkey::BIGINT * 17 + 5')} AS lat, {v.sql_lon('n_nationkey::BIGINT * 17 + 5')} AS lon, n_regionkey FROM nation),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, text
 from ..functions.numeric import count_if
-from ..session import lookup_join
+from ..session import durable, lookup_join
 from .quantiles import exact_quantiles
 from .spatial import nearest_k
 
@@ -31,15 +31,15 @@ def legacy_stations(obs: DataFrame, system: str = "nyc", min_trips: int = 10) ->
     sid = text.strip_float_suffix(F.col("station_id"))
     wanted = (text.is_legacy_numeric_id(F.col("station_id")) if system == "jc"
               else text.is_legacy_short_id(F.col("station_id")))
-    clean = (obs.withColumn("station_id", sid)
-             .filter(geo.in_box(F.col("lat"), F.col("lon"), system) & wanted)
-             .select("station_id", "name", "lat", "lon"))
-    # Names are counted once; both the usual name and the trips come from those counts.
-    names = clean.groupBy("station_id", "name").agg(F.count(F.lit(1)).alias("n"))
+    # Trips are read once: everything below comes from counts per (id, name, position).
+    seen = durable(obs.withColumn("station_id", sid)
+                   .filter(geo.in_box(F.col("lat"), F.col("lon"), system) & wanted)
+                   .groupBy("station_id", "name", "lat", "lon").agg(F.count(F.lit(1)).alias("n")))
+    names = seen.groupBy("station_id", "name").agg(F.sum("n").alias("n"))
     usual = F.min(F.when(F.col("name").isNotNull(), F.struct((-F.col("n")).alias("neg"), F.col("name").alias("v"))))
     per = (names.groupBy("station_id").agg(F.sum("n").alias("trip_count"), usual.alias("u"))
            .filter(F.col("trip_count") >= min_trips))
-    middle = exact_quantiles(clean, ["station_id"], {"legacy_lat": ("lat", 0.5), "legacy_lon": ("lon", 0.5)})
+    middle = exact_quantiles(seen, ["station_id"], {"legacy_lat": ("lat", 0.5), "legacy_lon": ("lon", 0.5)}, weight="n")
     return per.join(middle, "station_id").select(
         F.col("station_id").alias("legacy_id"), F.col("u.v").alias("legacy_name"), "legacy_lat", "legacy_lon",
         "trip_count")
@@ -156,7 +156,7 @@ def resolve_end(trips: DataFrame, smap: DataFrame, end: str) -> DataFrame:
     """
     raw = f"{end}_station_id_raw"
     side = smap.withColumnRenamed("raw_id", raw)
-    joined = lookup_join(trips, side, raw, "left", salt_by=["ride_id"])
+    joined = lookup_join(trips, side, raw, "left")
     modern = text.id_class(F.col(raw)) == "modern"
     mapped = F.col("modern_id").isNotNull()
 

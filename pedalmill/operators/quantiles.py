@@ -12,9 +12,11 @@ FANOUT = 4096
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], wanted: dict[str, tuple[str, float]],
-                    fanout: int = FANOUT) -> DataFrame:
+                    fanout: int = FANOUT, weight: str | None = None) -> DataFrame:
     """Interpolated quantiles per key: ``{output: (column, probability)}``.
 
+    With ``weight`` each row stands for that many equal rows.
+
     ``percentile`` keeps every distinct value of a group in one task. Here equal
     values are counted first. A histogram per key then finds the bucket of each
     wanted rank, a second histogram splits those buckets again, and only values
@@ -28,11 +30,12 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], wanted: dict[str, tuple[
     bounds = df.agg(F.struct(*[F.min(F.col(c).cast("double")).alias(f"lo{i}") for i, c in enumerate(cols)],
                              *[F.max(F.col(c).cast("double")).alias(f"hi{i}") for i, c in enumerate(cols)])
                     .alias("b")).scalar()
-    stacked = df.select(*keys, F.explode(F.array(*[
+    n = F.lit(1).cast("long") if weight is None else F.col(weight)
+    stacked = df.select(*keys, n.alias("__w"), F.explode(F.array(*[
         F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("__s"))
     counts = (stacked.filter(F.col("__s.v").isNotNull())
               .groupBy(*keys, F.col("__s.i").alias("__i"), F.col("__s.v").alias("__v"))
-              .agg(F.count(F.lit(1)).alias("__n")))
+              .agg(F.sum("__w").alias("__n")))
 
     def per_column(make) -> Column:
         out = make(len(cols) - 1)

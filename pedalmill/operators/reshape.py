@@ -89,7 +89,7 @@ def sheet_records(cells: DataFrame, scan_rows: int = 12, sheet_keys: Sequence[st
                 F.map_from_entries(F.collect_list(F.struct("col", "value"))).alias("cells"))
             .withColumn("date", _parsed_date(F.col("date_text")))
             .filter(F.col("date").isNotNull() & ~F.coalesce(is_summary, F.lit(False))))
-    found = (lookup_join(rows, heads, keys, "inner", salt_by=["row"]).filter(F.col("row") > F.col("stop_row"))
+    found = (lookup_join(rows, heads, keys, "inner").filter(F.col("row") > F.col("stop_row"))
              .withColumn("h", F.explode("heads")))
     value = F.coalesce(F.try_element_at("cells", F.col("h.col")), F.lit(""))
     return found.select(*keys, "date", day.alias("day_of_week"), holiday.alias("holiday"),

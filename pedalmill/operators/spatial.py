@@ -227,7 +227,7 @@ def points_in_polygons(df: DataFrame, polygons: DataFrame, how: str = "left",
     pts = distinct_points(df, lat, lon).select("lat", "lon")
     inside = (positions_in_edges(pts, polygon_edges(polygons, code), size)
               .withColumnsRenamed({"lat": lat, "lon": lon, "code": code}))
-    return df.join(inside, [lat, lon], how)
+    return lookup_join(df, inside, [lat, lon], how)
 
 
 def polygon_area(polygons: DataFrame, code: str = "code", rings: str = "rings") -> DataFrame:

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 #: Row bound used when the estimate says nothing useful (after joins, say).
 BROADCAST_LIMIT_ROWS = 200_000
+#: Above this estimate a table is taken as large without counting it.
+COUNT_LIMIT_BYTES = 16 * 1024 ** 3
+#: A key with more than this share of the rows is heavy; there are at most 1/share of them.
+HEAVY_SHARE = 0.001
 
 
 def build_session(app: str = "pedalmill", master: str | None = None,
@@ -71,34 +75,56 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_LIMIT_BYTES,
                    max_rows: int = BROADCAST_LIMIT_ROWS) -> bool:
-    """True when ``df`` is proven small: by the estimate, else by a bounded count."""
-    if estimated_bytes(df) <= max_bytes:
+    """True when ``df`` is proven small: by the estimate, else by a bounded count.
+
+    The count is tried only while the estimate leaves it cheap.
+    """
+    size = estimated_bytes(df)
+    if size <= max_bytes:
         return True
-    return df.limit(max_rows + 1).count() <= max_rows
+    return size <= COUNT_LIMIT_BYTES and df.limit(max_rows + 1).count() <= max_rows
+
+
+def heavy_keys(facts: DataFrame, keys: list[str], share: float = HEAVY_SHARE) -> DataFrame:
+    """Keys that hold more than ``share`` of the rows: never more than ``1/share`` keys."""
+    counts = facts.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.agg(F.sum("__n")).scalar()
+    return counts.filter(F.col("__n") > total * F.lit(share)).select(*keys)
+
+
+def split_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str,
+               share: float = HEAVY_SHARE) -> DataFrame:
+    """Join where heavy keys stay in place and the rest is shuffled by key.
+
+    Rows of heavy keys meet the few lookup rows of those keys by broadcast (their
+    number is bounded by ``1/share``). Rows with a NULL key match nothing and are
+    not shuffled either. All rows are kept as ``how`` demands.
+    """
+    heavy = F.broadcast(heavy_keys(facts, keys, share))
+    known = facts.dropna(subset=keys)
+    hot = known.join(heavy, keys, "left_semi").join(F.broadcast(dim.join(heavy, keys, "left_semi")), keys, how)
+    parts = [hot, known.join(heavy, keys, "left_anti").join(dim, keys, how)]
+    if how in ("left", "left_anti"):
+        unknown = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        parts.append(facts.filter(unknown))
+    return same_rows_union(parts).select(*hot.columns)
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "left",
-                salt_by: list[str] | None = None, salts: int = 32,
                 max_bytes: int = BROADCAST_LIMIT_BYTES,
                 max_rows: int = BROADCAST_LIMIT_ROWS) -> DataFrame:
-    """Join facts to a lookup table with unique keys, whatever its size.
+    """Join facts to a lookup table, whatever its size and however skewed the facts.
 
-    A proven-small lookup is broadcast, so the facts do not move. A larger one
-    is joined by key; the facts then carry a salt taken from ``salt_by`` (all
-    fact columns by default) and the lookup is repeated once per salt, so one
-    key that holds a third of the facts is spread over ``salts`` tasks. The
-    salt is a hash of row content, so a retried task produces the same rows.
+    A proven-small lookup is broadcast, so the facts do not move. Beyond that the
+    join is split by :func:`split_join`: one key that holds a third of the facts
+    never ends up in one task.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"lookup_join keeps fact rows, so how={how!r} is not supported")
     if fits_broadcast(dim, max_bytes, max_rows):
         return facts.join(F.broadcast(dim), keys, how)
-    salt = "__salt"
-    salted_facts = facts.withColumn(
-        salt, F.pmod(F.xxhash64(*(salt_by or facts.columns)), F.lit(salts)).cast("int"))
-    repeated = dim.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_facts.join(repeated, [*keys, salt], how).drop(salt)
+    return split_join(facts, dim, keys, how)
 
 
 def same_rows_union(parts: list[DataFrame]) -> DataFrame:

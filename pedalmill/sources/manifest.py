@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parse
+from ..session import lookup_join
 
 FAMILIES = ("modern", "legacy", "legacy_titlecase")
 
@@ -95,13 +96,17 @@ def content_hashes(spark: SparkSession, path: str, pattern: str = "*.csv") -> Da
 
 
 def without_duplicates(hashed: DataFrame) -> DataFrame:
-    """One file per content; same name with other content gets a numbered name."""
-    kept = hashed.groupBy("md5").agg(F.min("path").alias("path"))
-    unique = hashed.join(kept, ["md5", "path"])
-    n = F.row_number().over(Window.partitionBy("file_name").orderBy("path")) - 1
-    stem, dot = F.regexp_replace("file_name", r"\.csv$", ""), F.lit(".csv")
-    return unique.withColumn("stored_name", F.when(n == 0, F.col("file_name")).otherwise(
-        F.concat(stem, F.lit("_"), n.cast("string"), dot)))
+    """One file per content; same name with other content gets its hash in the name.
+
+    The first path keeps the plain name. Both choices are minima, so a name that
+    most files share needs no numbering in one task.
+    """
+    one = hashed.groupBy("md5").agg(F.min(F.struct("path", "file_name")).alias("f")).select("md5", "f.path", "f.file_name")
+    first = one.groupBy("file_name").agg(F.min("path").alias("__first"))
+    stem = F.regexp_replace("file_name", r"\.csv$", "")
+    named = F.when(F.col("path") == F.col("__first"), F.col("file_name")).otherwise(
+        F.concat(stem, F.lit("_"), F.col("md5"), F.lit(".csv")))
+    return lookup_join(one, first, "file_name", "inner").withColumn("stored_name", named).drop("__first")
 
 
 def row_counts(spark: SparkSession, path: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pedalmill.operators import (cohorts, enrich, flows, identity, layers, quality, quantiles, reconcile, regression,
                                  reshape, series, spatial, transit)
-from pedalmill.session import lookup_join
+from pedalmill.session import heavy_keys, lookup_join, split_join
 
 
 def hav(a, b, c, d):
@@ -25,13 +25,15 @@ def hav(a, b, c, d):
 # --- joins and quantiles -----------------------------------------------------------
 
 def test_lookup_join_gives_the_same_rows_on_both_paths(spark):
-    facts = spark.createDataFrame([(i, 1 if i % 3 else i, f"x{i}") for i in range(300)], "id long, k long, v string")
+    facts = spark.createDataFrame([(i, None if i % 10 == 9 else 1 if i % 3 else i, f"x{i}") for i in range(300)], "id long, k long, v string")
     dim = spark.createDataFrame([(k, f"d{k}") for k in range(0, 200)], "k long, name string")
+    assert [r.k for r in heavy_keys(facts, ["k"], 0.1).collect()] == [1]
     for how in ("left", "inner", "left_semi", "left_anti"):
         small = lookup_join(facts, dim, "k", how)
-        salted = lookup_join(facts, dim, "k", how, salts=7, max_bytes=0, max_rows=3)
-        assert small.columns == salted.columns
-        assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, salted.collect()), key=str)
+        split = split_join(facts, dim, ["k"], how, share=0.1)
+        assert small.columns == split.columns
+        assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, split.collect()), key=str)
+        assert split.count() == lookup_join(facts, dim, "k", how, max_bytes=0, max_rows=3).count()
 
 
 @pytest.mark.parametrize("fanout", [3, 4096])
@@ -48,6 +50,9 @@ def test_exact_quantiles_match_numpy(spark, fanout):
         assert got[k].m == pytest.approx(np.quantile(g.x, 0.5), rel=1e-12, abs=1e-15)
         assert got[k].p == pytest.approx(np.quantile(g.x, 0.95), rel=1e-12, abs=1e-15)
         assert got[k].lo == pytest.approx(np.quantile(-g.x, 0.05), rel=1e-12, abs=1e-15)
+    weighted = df.groupBy("k", "x").agg(F.count("*").alias("n"))
+    again = {r.k: r.m for r in quantiles.exact_quantiles(weighted, ["k"], {"m": ("x", 0.5)}, weight="n").collect()}
+    assert again == {k: r.m for k, r in got.items()}
 
 
 def test_modes_break_ties_by_value(spark):
