@@ -245,7 +245,7 @@ def permits_per_capita(spark, sf):
  FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1998 GROUP BY ALL) GROUP BY ALL""")
 def wide_months_to_annual(spark, sf):
     """A wide month matrix made from orders, turned long again and averaged per year."""
-    o = table(spark, sf, "orders").filter(F.year("o_orderdate").between(1996, 1998))
+    o = table(spark, sf, "orders").filter(dates.in_years(F.col("o_orderdate"), 1996, 1998))
     months = [f"{y}-{m:02d}-28" for y in (1996, 1997, 1998) for m in range(1, 13)]
     wide = (o.withColumn("m", F.date_format("o_orderdate", "yyyy-MM-28"))
             .groupBy((F.col("o_custkey") % 20).alias("region_id")).pivot("m", months).agg(F.count(F.lit(1))))
@@ -291,7 +291,7 @@ def rush_window_by_day(spark, sf):
 SELECT period, round(count(*)::DOUBLE / count(DISTINCT started_at), 6) AS avg_daily, round(100.0::DOUBLE * count(*) FILTER (WHERE member_casual = 'member') / count(*), 6) AS member_pct,
   round(100.0::DOUBLE * count(*) FILTER (WHERE dayofweek(started_at) IN (0, 6)) / count(*), 6) AS weekend_pct, round(avg(duration_sec) / 60, 6) AS avg_min FROM x GROUP BY 1""")
 def period_comparison(spark, sf):
-    t = v.order_trips(spark, sf).filter((F.col("started_at") >= "1997-01-01") & (F.col("started_at") < "2000-01-01"))
+    t = v.order_trips(spark, sf).filter(dates.in_years(F.col("started_at"), 1997, 1999))
     p = dates.period_by_date(F.col("started_at"), [(None, "1998-03-01", "before"), ("1998-03-01", "1998-07-01", "closure"), (None, None, "after")])
     return t.groupBy(p.alias("period")).agg(
         r(F.count(F.lit(1)) / F.countDistinct("started_at")).alias("avg_daily"), r(share_if(F.col("member_casual") == "member")).alias("member_pct"),
@@ -301,7 +301,7 @@ def period_comparison(spark, sf):
 @query("A53", sql=f"""WITH {v.ORDER_TRIPS}, x AS (SELECT month(started_at) AS month, count(*) FILTER (WHERE year(started_at) = 1998) AS trips_a, count(*) FILTER (WHERE year(started_at) = 1999) AS trips_b
   FROM ot WHERE year(started_at) IN (1998, 1999) GROUP BY 1) SELECT *, round(100.0::DOUBLE * (trips_b - trips_a) / NULLIF(trips_a, 0), 6) AS change_pct FROM x""")
 def same_month_change(spark, sf):
-    t = v.order_trips(spark, sf).filter((F.col("started_at") >= "1998-01-01") & (F.col("started_at") < "2000-01-01"))
+    t = v.order_trips(spark, sf).filter(dates.in_years(F.col("started_at"), 1998, 1999))
     y = F.year("started_at")
     x = t.groupBy(F.month("started_at").alias("month")).agg(count_if(y == 1998).alias("trips_a"), count_if(y == 1999).alias("trips_b"))
     return x.withColumn("change_pct", r(pct(F.col("trips_b") - F.col("trips_a"), F.col("trips_a"))))

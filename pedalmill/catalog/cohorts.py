@@ -41,7 +41,7 @@ def summer_fall_did(spark, sf):
 SELECT y AS year, round(tb, 6) AS treated_before, round(ta, 6) AS treated_after, round((ta - tb) * 100 / NULLIF(tb, 0) - (ca - cb) * 100 / NULLIF(cb, 0), 6) AS did_pp FROM c""")
 def yearly_did_per_month(spark, sf):
     """The same by year, counts normalised by the months of each season."""
-    t = _cohort(spark, sf).withColumn("year", F.year("started_at")).filter(F.col("year").between(1996, 2000))
+    t = _cohort(spark, sf).filter(dates.in_years(F.col("started_at"), 1996, 2000)).withColumn("year", F.year("started_at"))
     summer = F.month("started_at").isin(6, 7, 8)
     out = cohorts.did(t, F.col("location") == "Banks", F.col("location") == "Universities", ~summer, summer, by=["year"],
                       months_before=9, months_after=3)

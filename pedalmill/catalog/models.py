@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from ..functions import bins, dates
 from ..operators import regression
+from ..session import durable
 from . import views as v
 from .registry import query, r
 
 
 def _daily(spark, sf):
-    return v.daily_orders(spark, sf).withColumns({"dow": dates.dow(F.col("date")), "year": F.year("date"), "month": F.month("date")})
+    """The daily table, written once: models read it several times, the orders only once."""
+    return durable(v.daily_orders(spark, sf)).withColumns({"dow": dates.dow(F.col("date")), "year": F.year("date"), "month": F.month("date")})
 
 
 _DAILY = f"{v.DAILY}, dd AS (SELECT *, dayofweek(date) AS dow, year(date) AS year, month(date) AS month FROM daily)"

@@ -13,8 +13,9 @@ _MONTHLY = f"""{v.ORDER_TRIPS}, monthly AS (SELECT year(started_at) AS year, mon
   FROM ot GROUP BY ALL)"""
 
 
-def _monthly(spark, sf):
-    return v.order_trips(spark, sf).groupBy(F.year("started_at").alias("year"), F.month("started_at").alias("month"),
+def _monthly(spark, sf, first_year=1900):
+    t = v.order_trips(spark, sf).filter(dates.in_years(F.col("started_at"), first_year, 2100))
+    return t.groupBy(F.year("started_at").alias("year"), F.month("started_at").alias("month"),
                                             F.col("member_casual").alias("kind")).agg(F.count(F.lit(1)).alias("trips"))
 
 
@@ -167,6 +168,6 @@ def midweek_gap(spark, sf):
 @query("A43", sql=f"""WITH {_MONTHLY}, b AS (SELECT *, max(CASE WHEN year = 1997 THEN trips END) OVER (PARTITION BY month, kind) AS base FROM monthly)
 SELECT year, month, kind, trips, COALESCE(round(100.0::DOUBLE * trips / base, 6), -1) AS pct_of_base FROM b WHERE year >= 1997""")
 def recovery_vs_base_year(spark, sf):
-    m = _monthly(spark, sf).filter(F.col("year") >= 1997)
+    m = _monthly(spark, sf, first_year=1997)
     out = series.versus_base_year(m, "trips", "year", 1997, ["month", "kind"])
     return out.withColumn("pct_of_base", F.coalesce(r("pct_of_base"), F.lit(-1.0)))

@@ -97,6 +97,12 @@ def hours_between(ts: Column, start: int, end: int) -> Column:
     return h.between(start, end) if start <= end else (h >= start) | (h <= end)
 
 
+def in_years(ts: Column, first: int, last: int) -> Column:
+    """Years ``first`` to ``last`` as a plain range, which reaches Parquet statistics."""
+    return ((ts >= F.lit(f"{first}-01-01").cast("timestamp"))
+            & (ts < F.lit(f"{last + 1}-01-01").cast("timestamp")))
+
+
 def period_by_date(ts: Column, bounds: Sequence[tuple[str | None, str | None, str]]) -> Column:
     """Label half-open date ranges ``[from, to)``; None leaves a side open.
 

@@ -44,11 +44,7 @@ SCENARIOS = {
 def scenario_predicate(cfg: Scenario, ts: str = "started_at") -> Column:
     """One predicate for a scenario; it reaches the scan like any hand-written filter."""
     when = F.col(ts)
-    # The year range is a plain range on the timestamp, which Parquet can skip by.
-    parts: list[Column] = [
-        when >= F.lit(f"{cfg.years[0]}-01-01").cast("timestamp"),
-        when < F.lit(f"{cfg.years[1] + 1}-01-01").cast("timestamp"),
-    ]
+    parts: list[Column] = [dates.in_years(when, *cfg.years)]
     if cfg.hours != (0, 23):
         parts.append(dates.hours_between(when, *cfg.hours))
     if cfg.days == "weekday":
@@ -205,10 +201,10 @@ def rank_change(trips: DataFrame, keys: Sequence[str], year_a: int, year_b: int,
 
     One aggregate over both years; ranks come from two short sorted lists.
     """
-    counts = (trips.groupBy(*keys, F.year("started_at").alias("year"))
-              .agg(F.count(F.lit(1)).alias("trips")))
-    both = counts.filter(F.col("year").isin(year_a, year_b))
-    return top_per_group(both, ["year"], [F.desc("trips"), *keys], n)
+    when = F.col("started_at")
+    both = trips.filter(dates.in_years(when, year_a, year_a) | dates.in_years(when, year_b, year_b))
+    counts = both.groupBy(*keys, F.year(when).alias("year")).agg(F.count(F.lit(1)).alias("trips"))
+    return top_per_group(counts, ["year"], [F.desc("trips"), *keys], n)
 
 
 def period_change(counts: DataFrame, key: str, period: str, value: str, first: str, second: str,

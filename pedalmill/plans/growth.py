@@ -10,18 +10,23 @@ from pyspark.sql import functions as F
 
 from ..functions import bins
 from ..operators import enrich, regression
+from ..session import durable
 
 WEATHER = ["temp_f", "temp_f_sq", "rain_intensity", "is_rainy", "daylight_hours"]
 CALENDAR = ["is_weekend", "is_holiday"]
 
 
 def daily_table(trips: DataFrame, weather: DataFrame, sun: DataFrame, holidays: DataFrame) -> DataFrame:
-    """One row per day with trips, weather, calendar and system size."""
+    """One row per day with trips, weather, calendar and system size.
+
+    Written to reliable storage, because every model makes several passes over it.
+    """
     hours = enrich.with_weather(enrich.hourly_counts(trips), weather, sun, holidays)
     daily = enrich.calendar_features(enrich.daily_weather(hours))
     sized = daily.join(enrich.active_stations(trips), "date", "left")
-    return (sized.withColumn("ebike_pct", F.coalesce(F.col("ebike_trips") * 100.0 / F.col("trips"), F.lit(0.0)))
-            .withColumn("trips_per_station", F.col("trips") / F.col("active_stations")))
+    return durable(sized.withColumns({
+        "ebike_pct": F.coalesce(F.col("ebike_trips") * 100.0 / F.col("trips"), F.lit(0.0)),
+        "trips_per_station": F.col("trips") / F.col("active_stations")}))
 
 
 @dataclass(frozen=True)

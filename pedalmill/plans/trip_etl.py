@@ -24,50 +24,77 @@ CANONICAL = [
 
 @dataclass(frozen=True)
 class Result:
-    """Canonical rows, and the frame with reasons they were taken from."""
+    """Judged rows: canonical columns, ``drop_reason`` (NULL for kept rows) and all ``reasons``."""
 
-    trips: DataFrame
     judged: DataFrame
-    reasons: dict
+    reason_names: list[str]
+
+    @property
+    def trips(self) -> DataFrame:
+        return self.judged.filter(F.col("drop_reason").isNull()).select(*CANONICAL)
 
     def accounting(self) -> DataFrame:
-        return quality.filter_accounting(self.judged, self.reasons, ["source_file"])
+        return accounting(self.judged, self.reason_names)
 
     def matches(self) -> DataFrame:
         return quality.match_counts(self.trips, ["source_file"])
 
 
+def accounting(judged: DataFrame, reason_names: list[str]) -> DataFrame:
+    """Rows in, rows out and rows per reason for every source file."""
+    flags = {n: F.array_contains("reasons", n) for n in reason_names}
+    return quality.filter_accounting(judged, flags, ["source_file"])
+
+
 def harmonise(projected: DataFrame, crosswalk: DataFrame, current: DataFrame,
               overrides: DataFrame | None = None) -> Result:
-    """Resolve stations, judge every row, keep the good ones in the canonical schema.
+    """Resolve stations and judge every row in the canonical schema.
 
     Filter and counters work on the same parsed frame, so they cannot disagree.
     """
     if overrides is not None:
         crosswalk = identity.apply_overrides(crosswalk, overrides)
     resolved = identity.resolve_stations(projected, identity.station_map(crosswalk, current))
-    reasons = {}
+    conditions = {}
     if trip_source.CORRUPT in resolved.columns:
-        reasons["malformed_row"] = F.col(trip_source.CORRUPT).isNotNull()
-    reasons |= quality.quality_reasons(month_check="expected" in resolved.columns, names=True)
+        conditions["malformed_row"] = F.col(trip_source.CORRUPT).isNotNull()
+    dated = "expected" in resolved.columns
+    conditions |= quality.quality_reasons(month_check=dated, names=True)
     year, rider, when = F.col("birth_year"), F.col("member_casual"), F.col("started_at")
-    judged = resolved.withColumns({
+    found = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in conditions.items()]))
+    out = resolved.withColumns({
         "birth_year_valid": parse.birth_year_valid(year, rider, when),
         "gender_valid": parse.gender_valid(F.col("gender")),
-        "age_at_trip": parse.age_at_trip(year, rider, when)})
-    good = judged.filter(quality.first_reason(reasons).isNull()).select(*CANONICAL)
-    return Result(good, judged, reasons)
+        "age_at_trip": parse.age_at_trip(year, rider, when),
+        "reasons": found})
+    judged = out.select(*CANONICAL, "reasons", F.get("reasons", F.lit(0)).alias("drop_reason"),
+                        *(["expected"] if dated else []))
+    return Result(judged, list(conditions))
 
 
 def run(spark: SparkSession, raw: str, out: str, crosswalk: DataFrame, current: DataFrame,
         overrides: DataFrame | None = None, years: list[int] | None = None, system: str = "nyc",
         force: bool = False, log: str | None = None, run_id: str = "run") -> Result:
-    """Read a folder of raw files, write canonical trips, optionally log the accounting."""
+    """Read a folder of raw files and write it once: kept and dropped rows in separate partitions.
+
+    Raw text is parsed in a single pass. Counters come from the written Parquet,
+    of which they read three columns.
+    """
     files = manifest.without_superseded(manifest.trip_files(spark, raw))
     if years is not None:
         files = manifest.of_years(files, years)
     result = harmonise(trip_source.read_files(spark, files), crosswalk, current, overrides)
-    sinks.write_trips(result.trips.withColumn("system", F.lit(system)), out, force=force)
+    # Months follow the file name where it names one, so a forced run of a file
+    # replaces that file's month only, whatever dates its bad rows carry.
+    sinks.write_trips(result.judged.withColumns({
+        "system": F.lit(system),
+        "status": F.when(F.col("drop_reason").isNull(), "kept").otherwise("dropped"),
+        "year": F.coalesce(F.col("expected.year"), F.year("started_at")),
+        "month": F.coalesce(F.col("expected.month"), F.month("started_at"))}).drop("expected"), out, force=force)
+    written = spark.read.parquet(out).filter(F.col("system") == system)
+    if years is not None:
+        written = written.filter(F.col("year").isin(*years))
+    stored = Result(written, result.reason_names)
     if log is not None:
-        sinks.write_log(result.accounting(), log, run_id)
-    return result
+        sinks.write_log(stored.accounting(), log, run_id)
+    return stored

@@ -9,17 +9,16 @@ from pyspark.sql import functions as F
 
 
 def write_trips(trips: DataFrame, root: str, mode: str = "append", force: bool = False) -> None:
-    """Canonical trips as ZSTD Parquet by system, year and month.
+    """Trips as ZSTD Parquet by system, (status,) year and month.
 
     Rows are rebalanced by partition before the write, so each month becomes a
     few large files and a month with most of the rows is split over tasks.
-    ``force`` replaces only the months present in the input.
+    ``force`` replaces only the partitions present in the input.
     """
-    dated = trips.withColumns({"year": F.year("started_at"), "month": F.month("started_at")})
-    if "system" not in dated.columns:
-        dated = dated.withColumn("system", F.lit("nyc"))
-    keys = ["system", "year", "month"]
-    writer = dated.hint("rebalance", *[F.col(k) for k in keys]).write.option("compression", "zstd").partitionBy(*keys)
+    added = {"system": F.lit("nyc"), "year": F.year("started_at"), "month": F.month("started_at")}
+    dated = trips.withColumns({c: v for c, v in added.items() if c not in trips.columns})
+    keys = [c for c in ("system", "status", "year", "month") if c in dated.columns]
+    writer = dated.hint("rebalance", *keys).write.option("compression", "zstd").partitionBy(*keys)
     if force:
         writer = writer.option("partitionOverwriteMode", "dynamic").mode("overwrite")
     else:

@@ -113,6 +113,8 @@ def read_processed(spark: SparkSession, root: str, system: str | None = None,
                    years: list[int] | None = None) -> DataFrame:
     """Canonical trips; system and years prune partitions instead of globbing names."""
     df = spark.read.parquet(root)
+    if "status" in df.columns:
+        df = df.filter(F.col("status") == "kept").drop("status", "drop_reason", "reasons")
     if system is not None:
         df = df.filter(F.col("system") == system)
     if years is not None:

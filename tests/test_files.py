@@ -113,11 +113,13 @@ def test_etl_end_to_end(spark, raw, reference, tmp_path):
     assert "201409-citibike-tripdata_1.csv" not in acc
     logged = spark.read.json(log)
     assert logged.filter("run = 'r1'").count() == len(acc)
-    # Forcing the same months again replaces them.
-    trip_etl.run(spark, str(raw), out, cw, cur, force=True)
-    assert trips.read_processed(spark, out).count() == 4
     match = {r.source_file: r for r in result.matches().collect()}
     assert match["201409-citibike-tripdata.csv"].crosswalk == 1 and match["201409-citibike-tripdata.csv"].unmatched == 1
+    # Forcing one month again replaces that month only.
+    assert {r.drop_reason for r in result.judged.filter("status = 'dropped'").collect()} >= {"malformed_row", "wrong_month", "test_station"}
+    trip_etl.run(spark, str(raw), out, cw, cur, years=[2024], force=True)
+    assert spark.read.parquet(out).count() == sum(r["rows_in"] for r in acc.values())
+    assert trips.read_processed(spark, out).count() == 4
 
 
 def test_crosswalk_from_files(spark, tmp_path):
