@@ -31,9 +31,11 @@ def sql_lon(key: str) -> str:
 
 def trips(spark: SparkSession, sf: str) -> DataFrame:
     """Trips with station keys and positions; names are joined where a query needs them."""
-    e = table(spark, sf, "events")
-    start = (F.col("user_id") % 25).cast("long")
-    end = (F.get_json_object("props", "$.k").cast("long") % 25).cast("long")
+    # The JSON value is read once, in a projection of its own.
+    e = table(spark, sf, "events").select(
+        "event_id", "ts", "value", "event_type", "user_id", (F.col("user_id") % 25).cast("long").alias("s"),
+        (F.get_json_object("props", "$.k").cast("long") % 25).alias("e"))
+    start, end = F.col("s"), F.col("e")
     return e.select(
         F.col("event_id").alias("ride_id"), F.col("ts").alias("started_at"),
         F.rint(F.col("value") * 60).cast("int").alias("duration_sec"),

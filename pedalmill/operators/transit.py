@@ -75,8 +75,8 @@ def service_frequency(stop_times: DataFrame, trips: DataFrame, routes: DataFrame
         lined = lined.join(kind, "service_id")
         keys.append("day_type")
     lined = lined.select("trip_id", *keys)
-    period = parse.service_period(parse.clock_hour(F.col("arrival_time")))
-    timed = stop_times.select("trip_id", "stop_id", period.alias("time_period"))
+    hours = stop_times.select("trip_id", "stop_id", parse.clock_hour(F.col("arrival_time")).alias("__h"))
+    timed = hours.select("trip_id", "stop_id", parse.service_period(F.col("__h")).alias("time_period"))
     counts = (lookup_join(timed, lined, "trip_id", "inner")
               .groupBy("stop_id", *keys, "time_period").agg(F.count(F.lit(1)).alias("__n")))
     return (counts.join(_platforms(stops), "stop_id")

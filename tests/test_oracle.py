@@ -34,3 +34,13 @@ def test_contract(spark):
     assert set(ORACLES) <= set(QUERIES)
     df = driver.entry(spark)
     assert df.columns and df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["resolved_trips", "points_in_areas", "neighbours_within_radius", "station_lines", "sheet_records",
+                                  "place_class_matrix", "unique_files", "mapping_report", "service_frequency", "age_volume_at_places"])
+def test_lookups_too_large_to_broadcast(spark, con, monkeypatch, name):
+    """The split path of every lookup gives the same answers."""
+    import pedalmill.session as session
+
+    monkeypatch.setattr(session, "fits_broadcast", lambda *a, **k: False)
+    assert compare(spark, con, name, QUERIES[name], ORACLES[name], SF_DIR) == []
