@@ -78,7 +78,7 @@ def clean_demographics(age: Column, gender: Column, birth_ok: Column) -> Column:
 
 def clock_hour(text: Column) -> Column:
     """Hour of a schedule time such as ``7:05:00`` or ``25:10:00``."""
-    return F.trim(F.element_at(F.split(text, ":"), 1)).try_cast("int")
+    return F.trim(F.substring_index(text, ":", 1)).try_cast("int")
 
 
 # Service periods as inclusive hours, with the hours each spans.

@@ -187,7 +187,7 @@ def polygon_edges(polygons: DataFrame, code: str = "code", rings: str = "rings")
     return edges.join(west, "code")
 
 
-def positions_in_edges(points: DataFrame, edges: DataFrame, size: float = 0.02) -> DataFrame:
+def positions_in_edges(points: DataFrame, edges: DataFrame, size: float = 0.005) -> DataFrame:
     """(lat, lon, code) for positions strictly inside a polygon, by crossing parity.
 
     A position matters only to edges at its latitude that reach east of it, so
@@ -218,7 +218,7 @@ def positions_in_edges(points: DataFrame, edges: DataFrame, size: float = 0.02)
 
 
 def points_in_polygons(df: DataFrame, polygons: DataFrame, how: str = "left",
-                       lat: str = "lat", lon: str = "lon", size: float = 0.02,
+                       lat: str = "lat", lon: str = "lon", size: float = 0.005,
                        code: str = "code") -> DataFrame:
     """Rows with the code of the polygon around them (``left`` keeps unmatched rows).
 
@@ -227,7 +227,9 @@ def points_in_polygons(df: DataFrame, polygons: DataFrame, how: str = "left",
     pts = distinct_points(df, lat, lon).select("lat", "lon")
     inside = (positions_in_edges(pts, polygon_edges(polygons, code), size)
               .withColumnsRenamed({"lat": lat, "lon": lon, "code": code}))
-    return lookup_join(df, inside, [lat, lon], how)
+    # About as many positions as rows in general, so no broadcast; both sides are
+    # shuffled by position and a hot position is split by adaptive execution.
+    return df.join(inside, [lat, lon], how)
 
 
 def polygon_area(polygons: DataFrame, code: str = "code", rings: str = "rings") -> DataFrame:
@@ -246,7 +248,7 @@ def polygon_area(polygons: DataFrame, code: str = "code", rings: str = "rings")
 
 
 def station_density(stations: DataFrame, polygons: DataFrame, sq_km_per_deg2: float = 12_100.0,
-                    size: float = 0.02, code: str = "code") -> DataFrame:
+                    size: float = 0.005, code: str = "code") -> DataFrame:
     """Stations per area and per square kilometre; areas without stations have 0."""
     pts = distinct_points(stations)
     inside = positions_in_edges(pts, polygon_edges(polygons, code), size)
@@ -260,7 +262,7 @@ def station_density(stations: DataFrame, polygons: DataFrame, sq_km_per_deg2: fl
 
 
 def area_lookup(stations: DataFrame, layers: dict[str, DataFrame], source_order: Sequence[str],
-                size: float = 0.02) -> DataFrame:
+                size: float = 0.005) -> DataFrame:
     """One row per station id with the area code of every layer.
 
     ``stations``: station_id, lat, lon, source. When an id occurs in several

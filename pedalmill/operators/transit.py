@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parse, text
-from ..session import lookup_join
 
 SUBWAY = 1
 
@@ -55,7 +54,8 @@ def station_lines(stop_times: DataFrame, trips: DataFrame, routes: DataFrame, st
     Stop times are reduced to distinct (line, stop) before the stop join.
     """
     lined = _lined_trips(trips, routes).select("trip_id", "line_name", "route_color")
-    seen = lookup_join(stop_times.select("trip_id", "stop_id"), lined, "trip_id", "inner").select("line_name", "route_color", "stop_id").distinct()
+    seen = (stop_times.select("trip_id", "stop_id").join(lined, "trip_id")
+            .select("line_name", "route_color", "stop_id").distinct())
     return (seen.join(_platforms(stops), "stop_id")
             .select("station_id", "station_name", "line_name", "route_color").distinct())
 
@@ -77,7 +77,7 @@ def service_frequency(stop_times: DataFrame, trips: DataFrame, routes: DataFrame
     lined = lined.select("trip_id", *keys)
     hours = stop_times.select("trip_id", "stop_id", parse.clock_hour(F.col("arrival_time")).alias("__h"))
     timed = hours.select("trip_id", "stop_id", parse.service_period(F.col("__h")).alias("time_period"))
-    counts = (lookup_join(timed, lined, "trip_id", "inner")
+    counts = (timed.join(lined, "trip_id")
               .groupBy("stop_id", *keys, "time_period").agg(F.count(F.lit(1)).alias("__n")))
     return (counts.join(_platforms(stops), "stop_id")
             .groupBy("station_id", "station_name", *keys, "time_period")

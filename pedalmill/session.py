@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 #: Row bound used when the estimate says nothing useful (after joins, say).
 BROADCAST_LIMIT_ROWS = 200_000
-#: Above this estimate a table is taken as large without counting it.
+#: A table whose inputs are larger than this is taken as large without counting it.
 COUNT_LIMIT_BYTES = 16 * 1024 ** 3
+#: Catalyst's estimate for inputs it knows nothing about.
+UNKNOWN_BYTES = 2 ** 63 - 1
 #: A key with more than this share of the rows is heavy; there are at most 1/share of them.
 HEAVY_SHARE = 0.001
 
@@ -73,16 +75,23 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Sizes of the tables a plan reads. Unlike the estimate of a join, they do not multiply;
+    inputs of unknown size count as nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(x for x in sizes if x < UNKNOWN_BYTES)
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_LIMIT_BYTES,
                    max_rows: int = BROADCAST_LIMIT_ROWS) -> bool:
     """True when ``df`` is proven small: by the estimate, else by a bounded count.
 
-    The count is tried only while the estimate leaves it cheap.
+    The count runs only where reading the inputs is cheap.
     """
-    size = estimated_bytes(df)
-    if size <= max_bytes:
+    if estimated_bytes(df) <= max_bytes:
         return True
-    return size <= COUNT_LIMIT_BYTES and df.limit(max_rows + 1).count() <= max_rows
+    return input_bytes(df) <= COUNT_LIMIT_BYTES and df.limit(max_rows + 1).count() <= max_rows
 
 
 def heavy_keys(facts: DataFrame, keys: list[str], share: float = HEAVY_SHARE) -> DataFrame:
