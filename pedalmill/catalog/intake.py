@@ -26,15 +26,15 @@ def _file_names(spark, sf):
     k, d = F.col("o_orderkey"), F.col("o_orderdate")
     moved = F.add_months(d, 19 * 12)
     stamp = F.date_format(moved, "yyyyMM")
-    name = (F.when(k % 5 == 0, F.concat(stamp, F.lit("-citibike-tripdata.csv")))
-            .when(k % 5 == 1, F.concat(F.lit("2014-citibike-tripdata_"), stamp, F.lit("-citibike-tripdata_1.csv")))
+    name = (F.when(k % 5 == 0, F.concat(stamp, F.lit("-bikeshare-tripdata.csv")))
+            .when(k % 5 == 1, F.concat(F.lit("2014-bikeshare-tripdata_"), stamp, F.lit("-bikeshare-tripdata_1.csv")))
             .when(k % 5 == 2, F.concat(F.lit("JC-"), stamp, F.lit("_2.csv")))
             .when(k % 5 == 3, F.concat(F.lit("x209913"), (k % 7).cast("string"), F.lit(".csv"))).otherwise("readme.csv"))
     return o.select("o_orderkey", name.alias("file_name"))
 
 
-_NAMES = """nm AS (SELECT o_orderkey, strftime(o_orderdate + INTERVAL 19 YEAR, '%Y%m') AS s, CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate + INTERVAL 19 YEAR, '%Y%m') || '-citibike-tripdata.csv'
-   WHEN 1 THEN '2014-citibike-tripdata_' || strftime(o_orderdate + INTERVAL 19 YEAR, '%Y%m') || '-citibike-tripdata_1.csv' WHEN 2 THEN 'JC-' || strftime(o_orderdate + INTERVAL 19 YEAR, '%Y%m') || '_2.csv'
+_NAMES = """nm AS (SELECT o_orderkey, strftime(o_orderdate + INTERVAL 19 YEAR, '%Y%m') AS s, CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate + INTERVAL 19 YEAR, '%Y%m') || '-bikeshare-tripdata.csv'
+   WHEN 1 THEN '2014-bikeshare-tripdata_' || strftime(o_orderdate + INTERVAL 19 YEAR, '%Y%m') || '-bikeshare-tripdata_1.csv' WHEN 2 THEN 'JC-' || strftime(o_orderdate + INTERVAL 19 YEAR, '%Y%m') || '_2.csv'
    WHEN 3 THEN 'x209913' || CAST(o_orderkey % 7 AS VARCHAR) || '.csv' ELSE 'readme.csv' END AS file_name FROM orders),
  ex AS (SELECT *, CASE WHEN o_orderkey % 5 < 3 THEN CAST(left(s, 4) AS BIGINT) ELSE -1 END AS year, CASE WHEN o_orderkey % 5 < 3 THEN CAST(right(s, 2) AS BIGINT) ELSE -1 END AS month FROM nm)"""
 
@@ -48,12 +48,12 @@ def expected_months(spark, sf):
 
 @query("S22", "S23", "S21", sql=f"""WITH {_NAMES}, f AS (SELECT DISTINCT file_name, year, month FROM ex), w AS (SELECT DISTINCT year, month FROM f WHERE month > 0 AND NOT regexp_matches(file_name, '_[0-9]\\.csv$'))
 SELECT file_name FROM f WHERE NOT (regexp_matches(file_name, '_[0-9]\\.csv$') AND month > 0 AND EXISTS (SELECT 1 FROM w WHERE w.year = f.year AND w.month = f.month)) AND year IN (2016, 2018)
- AND NOT (month = 3 AND file_name LIKE '%-citibike%')""")
+ AND NOT (month = 3 AND file_name LIKE '%-bikeshare%')""")
 def files_to_read(spark, sf):
     """Superseded split files dropped, years selected by parsed year, finished files skipped."""
     f = _file_names(spark, sf).select("file_name").distinct().withColumn("expected", parse.expected_year_month(F.col("file_name")))
     files = manifest.of_years(manifest.without_superseded(f), [2016, 2018])
-    done = f.filter((F.col("expected.month") == 3) & F.col("file_name").contains("-citibike")).select("file_name")
+    done = f.filter((F.col("expected.month") == 3) & F.col("file_name").contains("-bikeshare")).select("file_name")
     return manifest.pending(files, done).select("file_name")
 
 
@@ -150,7 +150,7 @@ def boundary_features(spark, sf):
     raw = table(spark, sf, "nation").select(F.array(F.struct(props.alias("properties"), geometry.alias("geometry"))).alias("features"))
     f = tables.explode_features(raw, "nta", "nta_code", "nta_name")
     out = tables.standard_attributes(f.withColumn("code", F.coalesce("code", "name")), ["borough_name", "borough_code"])
-    return out.select("code", "borough_name", "borough_code", F.size("rings").alias("n_rings"))
+    return out.groupBy("code", "borough_name", "borough_code").agg(F.sum(F.size("rings")).alias("n_rings"))
 
 
 @query("S7", "S8", sql="""SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, count(*) AS trips FROM orders WHERE year(o_orderdate) IN (1996, 1999) GROUP BY ALL""")

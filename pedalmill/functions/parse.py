@@ -111,8 +111,8 @@ def day_type(monday: Column, saturday: Column, sunday: Column) -> Column:
             .when(sunday == 1, "Sunday").otherwise("Other"))
 
 
-# Fixed value: a year-month stamp that precedes a dash and a word in raw file names.
-NAMED_STAMP = r"(\d{4})(\d{2})-citibike"
+# Fixed value: a year-month stamp in front of a dash and a word.
+NAMED_STAMP = r"(\d{4})(\d{2})-[a-z]"
 
 
 def expected_year_month(file_name: Column, first: int = 2013, last: int = 2030) -> Column:

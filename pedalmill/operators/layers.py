@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import count_if
-from .spatial import polygon_area
+from .spatial import part_area
 
 # City bounding box (lat_min, lat_max, lon_min, lon_max) and expected counts.
 CITY_BOX = (40.4774, 40.9176, -74.2591, -73.7004)
@@ -16,13 +16,24 @@ EXPECTED_COUNTS = {"boroughs": (5, 5), "nta": (185, 245), "puma": (50, 60), "cen
 SLIVER_DEG2 = 0.00001
 
 
+def _features(polygons: DataFrame) -> DataFrame:
+    """One row per feature with its box, area and missing parts; geometry is read within the row."""
+    points = F.flatten("rings")
+    lon, lat = F.transform(points, lambda p: p["lon"]), F.transform(points, lambda p: p["lat"])
+    empty = F.col("rings").isNull() | (F.size("rings") == 0)
+    attributes = [c for c in polygons.columns if c not in ("layer", "rings")]
+    missing = sum((F.col(c).isNull().cast("int") for c in attributes), F.lit(0))
+    return polygons.groupBy("layer", "code").agg(
+        F.max(empty).alias("empty"), F.max(missing).alias("missing"), F.sum(part_area()).alias("area"),
+        F.min(F.array_min(lon)).alias("min_lon"), F.min(F.array_min(lat)).alias("min_lat"),
+        F.max(F.array_max(lon)).alias("max_lon"), F.max(F.array_max(lat)).alias("max_lat"))
+
+
 def layer_bounds(polygons: DataFrame) -> DataFrame:
-    """Features and total bounds per layer, from exploded vertices."""
-    v = polygons.select("layer", "code", F.explode(F.flatten("rings")).alias("p"))
-    box = v.groupBy("layer").agg(F.min("p.lon").alias("min_lon"), F.min("p.lat").alias("min_lat"),
-                                 F.max("p.lon").alias("max_lon"), F.max("p.lat").alias("max_lat"))
-    count = polygons.groupBy("layer").agg(F.count(F.lit(1)).alias("features"))
-    return count.join(box, "layer", "left")
+    """Features and total bounds per layer."""
+    return _features(polygons).groupBy("layer").agg(
+        F.count(F.lit(1)).alias("features"), F.min("min_lon").alias("min_lon"), F.min("min_lat").alias("min_lat"),
+        F.max("max_lon").alias("max_lon"), F.max("max_lat").alias("max_lat"))
 
 
 def layer_checks(polygons: DataFrame, box: Sequence[float] = CITY_BOX,
@@ -31,16 +42,11 @@ def layer_checks(polygons: DataFrame, box: Sequence[float] = CITY_BOX,
     """PASS / WARN / FAIL per layer for geometry, bounds, count, attributes and slivers."""
     expected = EXPECTED_COUNTS if expected is None else expected
     lat_min, lat_max, lon_min, lon_max = box
-    attributes = [c for c in polygons.columns if c not in ("layer", "rings")]
-    empty = F.col("rings").isNull() | (F.size("rings") == 0)
-    counts = polygons.groupBy("layer").agg(
-        F.count(F.lit(1)).alias("features"), count_if(empty).alias("null_geometries"),
-        *[count_if(F.col(c).isNull()).alias(f"__null_{c}") for c in attributes])
-    nulls = sum((F.col(f"__null_{c}") for c in attributes), F.lit(0))
-    area = polygon_area(polygons.withColumn("__k", F.struct("layer", "code")), "__k")
-    small = area.groupBy(F.col("__k.layer").alias("layer")).agg(
-        count_if(F.col("area_deg2") < sliver).alias("slivers"))
-    b = layer_bounds(polygons).drop("features")
+    out = _features(polygons).groupBy("layer").agg(
+        F.count(F.lit(1)).alias("features"), count_if(F.col("empty")).alias("null_geometries"),
+        F.sum("missing").alias("null_attributes"), count_if(F.col("area") < sliver).alias("slivers"),
+        F.min("min_lon").alias("min_lon"), F.min("min_lat").alias("min_lat"),
+        F.max("max_lon").alias("max_lon"), F.max("max_lat").alias("max_lat"))
     inside = ((F.col("min_lat") >= lat_min) & (F.col("max_lat") <= lat_max)
               & (F.col("min_lon") >= lon_min) & (F.col("max_lon") <= lon_max))
     apart = ((F.col("max_lat") < lat_min) | (F.col("min_lat") > lat_max)
@@ -49,11 +55,9 @@ def layer_checks(polygons: DataFrame, box: Sequence[float] = CITY_BOX,
     for layer, (lo, hi) in expected.items():
         count_status = F.when(F.col("layer") == layer, F.when(
             F.col("features").between(lo, hi), "PASS").otherwise("WARN")).otherwise(count_status)
-    out = counts.withColumn("null_attributes", nulls).join(b, "layer", "left").join(small, "layer", "left")
-    return (out.withColumn("slivers", F.coalesce("slivers", F.lit(0)))
-            .withColumn("geometry_check", F.when(F.col("null_geometries") > 0, "FAIL").otherwise("PASS"))
-            .withColumn("bounds_check", F.when(inside, "PASS").when(apart, "FAIL").otherwise("WARN"))
-            .withColumn("count_check", count_status)
-            .withColumn("attribute_check", F.when(F.col("null_attributes") > 0, "WARN").otherwise("PASS"))
-            .withColumn("sliver_check", F.when(F.col("slivers") > 0, "WARN").otherwise("PASS"))
-            .drop(*[f"__null_{c}" for c in attributes]))
+    return out.withColumns({
+        "geometry_check": F.when(F.col("null_geometries") > 0, "FAIL").otherwise("PASS"),
+        "bounds_check": F.when(inside, "PASS").when(apart, "FAIL").otherwise("WARN"),
+        "count_check": count_status,
+        "attribute_check": F.when(F.col("null_attributes") > 0, "WARN").otherwise("PASS"),
+        "sliver_check": F.when(F.col("slivers") > 0, "WARN").otherwise("PASS")})

@@ -171,8 +171,9 @@ def nearest_k(a: DataFrame, b: DataFrame, k: int, b_id: str, max_deg: float | No
 def polygon_edges(polygons: DataFrame, code: str = "code", rings: str = "rings") -> DataFrame:
     """Edges of all rings, holes included: code, x1, y1, x2, y2 and the polygon's west bound.
 
-    ``rings`` is array<array<struct<lon, lat>>>. An open ring is closed. Rings
-    are exploded, so one large polygon does not travel as one value.
+    ``rings`` is array<array<struct<lon, lat>>>: the outer ring, then holes. A code
+    may have several rows, one per part. An open ring is closed. Rings are
+    exploded, so one large polygon does not travel as one value.
     """
     ring = polygons.select(F.col(code).alias("code"), F.explode(rings).alias("ring"))
     points = F.when(F.element_at("ring", 1) == F.element_at("ring", -1), F.col("ring")).otherwise(
@@ -232,19 +233,22 @@ def points_in_polygons(df: DataFrame, polygons: DataFrame, how: str = "left",
     return df.join(inside, [lat, lon], how)
 
 
+def _ring_area(ring: Column) -> Column:
+    """Shoelace area of one ring; pairing each point with the next closes an open ring."""
+    after = F.concat(F.slice(ring, F.lit(2), F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
+    terms = F.zip_with(ring, after, lambda p, q: p["lon"] * q["lat"] - q["lon"] * p["lat"])
+    return F.abs(F.aggregate(terms, F.lit(0.0), lambda total, t: total + t)) / 2
+
+
+def part_area(rings: str = "rings") -> Column:
+    """Square degrees of one polygon part: first ring less its holes, within the row."""
+    areas = F.transform(F.col(rings), _ring_area)
+    return F.get(areas, F.lit(0)) * 2 - F.aggregate(areas, F.lit(0.0), lambda total, x: total + x)
+
+
 def polygon_area(polygons: DataFrame, code: str = "code", rings: str = "rings") -> DataFrame:
-    """Area in square degrees: outer ring less holes, by the shoelace formula."""
-    ring = polygons.select(F.col(code), F.posexplode(rings).alias("ring_no", "ring"))
-    closed = F.when(F.element_at("ring", 1) == F.element_at("ring", -1), F.col("ring")).otherwise(
-        F.concat("ring", F.slice("ring", 1, 1)))
-    pairs = F.arrays_zip(F.slice(F.col("p"), F.lit(1), F.size("p") - 1).alias("f"),
-                         F.slice(F.col("p"), F.lit(2), F.size("p") - 1).alias("t"))
-    parts = (ring.select(code, "ring_no", closed.alias("p")).select(code, "ring_no", F.explode(pairs).alias("e"))
-             .groupBy(code, "ring_no")
-             .agg((F.abs(F.sum(F.col("e.f.lon") * F.col("e.t.lat")
-                               - F.col("e.t.lon") * F.col("e.f.lat"))) / 2).alias("__a")))
-    sign = F.when(F.col("ring_no") == 0, 1.0).otherwise(-1.0)
-    return parts.groupBy(code).agg(F.sum(F.col("__a") * sign).alias("area_deg2"))
+    """Area in square degrees per code, summed over its parts."""
+    return polygons.groupBy(code).agg(F.sum(part_area(rings)).alias("area_deg2"))
 
 
 def station_density(stations: DataFrame, polygons: DataFrame, sq_km_per_deg2: float = 12_100.0,

@@ -75,19 +75,20 @@ FEATURE_SCHEMA = """features array<struct<properties: map<string, string>,
 
 
 def explode_features(collection: DataFrame, layer: str, code: str, name: str) -> DataFrame:
-    """Feature collections to (layer, code, name, rings, properties).
+    """Feature collections to (layer, code, name, rings, properties), one row per polygon part.
 
-    Polygons have one ring list, multi-polygons several; both end as one list of
-    rings, which is what the crossing test needs.
+    A multi-polygon gives several rows with one code, so outer rings and holes
+    stay apart.
     """
     f = collection.select(F.explode("features").alias("f")).select("f.properties", "f.geometry")
-    multi = F.flatten(F.from_json("geometry.coordinates", "array<array<array<array<double>>>>"))
-    single = F.from_json("geometry.coordinates", "array<array<array<double>>>")
-    rings = F.when(F.col("geometry.type") == "MultiPolygon", multi).otherwise(single)
-    points = F.transform(rings, lambda ring: F.transform(
+    many = F.from_json("geometry.coordinates", "array<array<array<array<double>>>>")
+    single = F.array(F.from_json("geometry.coordinates", "array<array<array<double>>>"))
+    parts = f.select("properties", F.explode_outer(
+        F.when(F.col("geometry.type") == "MultiPolygon", many).otherwise(single)).alias("part"))
+    points = F.transform("part", lambda ring: F.transform(
         ring, lambda p: F.struct(p[0].alias("lon"), p[1].alias("lat"))))
-    return f.select(F.lit(layer).alias("layer"), attribute(code).alias("code"), attribute(name).alias("name"),
-                    points.alias("rings"), "properties")
+    return parts.select(F.lit(layer).alias("layer"), attribute(code).alias("code"), attribute(name).alias("name"),
+                        points.alias("rings"), "properties")
 
 
 def attribute(wanted: str, properties: str = "properties") -> Column:

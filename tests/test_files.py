@@ -10,6 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pedalmill.operators import quality
+from pedalmill.operators.layers import layer_checks
+from pedalmill.operators.spatial import polygon_area
 from pedalmill.plans import crosswalk as crosswalk_plan
 from pedalmill.plans import trip_etl
 from pedalmill.sources import feeds, manifest, sinks, tables, trips
@@ -30,7 +32,7 @@ def write(path, *lines):
 def raw(tmp_path):
     d = tmp_path / "raw"
     d.mkdir()
-    write(d / "202401-citibike-tripdata.csv", MODERN,
+    write(d / "202401-bikeshare-tripdata.csv", MODERN,
           "A,electric_bike,2024-01-01 13:00:04.563,2024-01-01 13:04:04.652,3 St,m-1,Carroll,4225.14,40.67,-73.98,40.68,-73.99,casual",
           "B,classic_bike,2024-01-02 10:00:00.000,2024-01-02 10:01:29.000,3 St,m-1,Carroll,4225.14,40.67,-73.98,40.68,-73.99,member",
           "C,classic_bike,2024-02-01 10:00:00.000,2024-02-01 10:30:00.000,3 St,m-1,Carroll,4225.14,40.67,-73.98,NULL,-73.99,member",
@@ -38,13 +40,13 @@ def raw(tmp_path):
           "E,classic_bike,2024-01-03 10:00:00.000,2024-01-03 10:30:00.000,Warehouse 3,77,Carroll,4225.14,40.67,-73.98,40.1,-73.99,member",
           "F,classic_bike,2024-01-03 10:00:00.000,2024-01-03 10:30:00.000,A,77,Carroll,4225.14,40.67,-73.98,40.1,-73.99,member,extra,cells",
           "G,classic_bike,soon,2024-01-03 10:30:00.000,A,77,Carroll,4225.14,40.67,-73.98,40.1,-73.99,member")
-    write(d / "201409-citibike-tripdata.csv", LEGACY,
+    write(d / "201409-bikeshare-tripdata.csv", LEGACY,
           '471,9/1/2014 00:00:25,9/1/2014 00:08:16,519.0,Old Pl,40.75,-73.97,263,"Elizabeth, Hester",40.71,-73.99,16379,Subscriber,1986,1',
           "14401,9/2/2014 00:00:25,9/2/2014 04:08:16,519,Old Pl,40.75,-73.97,263,E,40.71,-73.99,16379,Customer,,0",
           "100,9/3/2014 0:05,9/3/2014 0:07,600,Unknown,40.75,-73.97,519,E,40.71,-73.99,16380,Customer,1890,0")
-    write(d / "201409-citibike-tripdata_1.csv", LEGACY,
+    write(d / "201409-bikeshare-tripdata_1.csv", LEGACY,
           "471,9/1/2014 00:00:25,9/1/2014 00:08:16,519.0,Old Pl,40.75,-73.97,263,E,40.71,-73.99,16379,Subscriber,1986,1")
-    write(d / "201610-citibike-tripdata.csv", TITLE,
+    write(d / "201610-bikeshare-tripdata.csv", TITLE,
           "200,2016-10-01 00:00:07,2016-10-01 00:03:27,519,Old Pl,40.75,-73.97,263,E,40.71,-73.99,1,Subscriber,1969.0,2")
     write(d / "notes.csv", "a,b", "1,2")
     return d
@@ -64,17 +66,17 @@ def reference(spark):
 def test_manifest(spark, raw):
     files = manifest.trip_files(spark, str(raw))
     got = {r.file_name: (r.family, r.expected.year, r.expected.month) for r in files.collect()}
-    assert got == {"202401-citibike-tripdata.csv": ("modern", 2024, 1), "201409-citibike-tripdata.csv": ("legacy", 2014, 9),
-                   "201409-citibike-tripdata_1.csv": ("legacy", 2014, 9), "201610-citibike-tripdata.csv": ("legacy_titlecase", 2016, 10),
+    assert got == {"202401-bikeshare-tripdata.csv": ("modern", 2024, 1), "201409-bikeshare-tripdata.csv": ("legacy", 2014, 9),
+                   "201409-bikeshare-tripdata_1.csv": ("legacy", 2014, 9), "201610-bikeshare-tripdata.csv": ("legacy_titlecase", 2016, 10),
                    "notes.csv": ("unknown", None, None)}
     kept = {r.file_name for r in manifest.without_superseded(files).collect()}
-    assert kept == set(got) - {"201409-citibike-tripdata_1.csv"}
-    assert {r.file_name for r in manifest.of_years(files, [2016]).collect()} == {"201610-citibike-tripdata.csv"}
+    assert kept == set(got) - {"201409-bikeshare-tripdata_1.csv"}
+    assert {r.file_name for r in manifest.of_years(files, [2016]).collect()} == {"201610-bikeshare-tripdata.csv"}
     done = files.filter("file_name like '2014%'")
-    assert {r.file_name for r in manifest.pending(files, done).collect()} == {"202401-citibike-tripdata.csv", "201610-citibike-tripdata.csv", "notes.csv"}
+    assert {r.file_name for r in manifest.pending(files, done).collect()} == {"202401-bikeshare-tripdata.csv", "201610-bikeshare-tripdata.csv", "notes.csv"}
     assert manifest.pending(files, done, force=True).count() == 5
-    assert {r.file_name: r.approx_rows for r in manifest.row_counts(spark, str(raw)).collect()}["202401-citibike-tripdata.csv"] == 7
-    assert [r.file_name for r in manifest.first_files(files, 2).collect()] == ["201409-citibike-tripdata.csv", "201409-citibike-tripdata_1.csv"]
+    assert {r.file_name: r.approx_rows for r in manifest.row_counts(spark, str(raw)).collect()}["202401-bikeshare-tripdata.csv"] == 7
+    assert [r.file_name for r in manifest.first_files(files, 2).collect()] == ["201409-bikeshare-tripdata.csv", "201409-bikeshare-tripdata_1.csv"]
 
 
 def test_content_hashes(spark, raw, tmp_path):
@@ -107,14 +109,14 @@ def test_etl_end_to_end(spark, raw, reference, tmp_path):
     acc = {r.source_file: r.asDict() for r in result.accounting().collect()}
     for r in acc.values():
         assert r["rows_in"] == r["rows_out"] + sum(n for k, n in r.items() if k.startswith("first_"))
-    m = acc["202401-citibike-tripdata.csv"]
+    m = acc["202401-bikeshare-tripdata.csv"]
     assert (m["rows_in"], m["rows_out"], m["malformed_row"], m["first_duration_too_short"], m["first_wrong_month"], m["first_missing_station"],
             m["first_test_station"], m["first_invalid_timestamp"]) == (7, 1, 1, 1, 1, 1, 1, 1)
-    assert "201409-citibike-tripdata_1.csv" not in acc
+    assert "201409-bikeshare-tripdata_1.csv" not in acc
     logged = spark.read.json(log)
     assert logged.filter("run = 'r1'").count() == len(acc)
     match = {r.source_file: r for r in result.matches().collect()}
-    assert match["201409-citibike-tripdata.csv"].crosswalk == 1 and match["201409-citibike-tripdata.csv"].unmatched == 1
+    assert match["201409-bikeshare-tripdata.csv"].crosswalk == 1 and match["201409-bikeshare-tripdata.csv"].unmatched == 1
     # Forcing one month again replaces that month only.
     assert {r.drop_reason for r in result.judged.filter("status = 'dropped'").collect()} >= {"malformed_row", "wrong_month", "test_station"}
     trip_etl.run(spark, str(raw), out, cw, cur, years=[2024], force=True)
@@ -128,7 +130,7 @@ def test_crosswalk_from_files(spark, tmp_path):
     line = "471,9/1/2014 00:00:25,9/1/2014 00:08:16,{id},{name},{lat},-73.97,263,E,40.71,-73.99,16379,Subscriber,1986,1"
     rows = [line.format(id="519.0" if i % 2 else "519", name="Old Pl" if i else "Typo", lat=40.75 + i * 1e-5) for i in range(11)]
     rows += [line.format(id="600", name="Rare", lat=40.7)] * 9
-    write(d / "201409-citibike-tripdata.csv", LEGACY, *rows)
+    write(d / "201409-bikeshare-tripdata.csv", LEGACY, *rows)
     cur = spark.createDataFrame([("m-9", "Old Place", 40.7501, -73.97)], "station_id string, name string, lat double, lon double")
     got = crosswalk_plan.from_files(spark, str(d), cur, out=str(tmp_path / "cw")).collect()
     assert len(got) == 1
@@ -141,7 +143,7 @@ def test_crosswalk_from_files(spark, tmp_path):
 def test_incremental_ingest_reads_each_file_once(spark, raw, tmp_path):
     src = tmp_path / "legacy"
     src.mkdir()
-    shutil.copy(raw / "201409-citibike-tripdata.csv", src / "201409-citibike-tripdata.csv")
+    shutil.copy(raw / "201409-bikeshare-tripdata.csv", src / "201409-bikeshare-tripdata.csv")
     out, check = str(tmp_path / "out"), str(tmp_path / "check")
 
     def good(batch):
@@ -151,10 +153,10 @@ def test_incremental_ingest_reads_each_file_once(spark, raw, tmp_path):
         ingest_new(raw_stream(spark, str(src), "legacy"), good, out, check).awaitTermination()
         return sorted(r.source_file for r in spark.read.parquet(out).collect())
 
-    assert run() == ["201409-citibike-tripdata.csv"] * 2
-    assert run() == ["201409-citibike-tripdata.csv"] * 2
-    shutil.copy(raw / "201409-citibike-tripdata_1.csv", src / "201409-citibike-tripdata_1.csv")
-    assert run() == ["201409-citibike-tripdata.csv"] * 2 + ["201409-citibike-tripdata_1.csv"]
+    assert run() == ["201409-bikeshare-tripdata.csv"] * 2
+    assert run() == ["201409-bikeshare-tripdata.csv"] * 2
+    shutil.copy(raw / "201409-bikeshare-tripdata_1.csv", src / "201409-bikeshare-tripdata_1.csv")
+    assert run() == ["201409-bikeshare-tripdata.csv"] * 2 + ["201409-bikeshare-tripdata_1.csv"]
 
 
 def test_feeds(spark, tmp_path):
@@ -211,8 +213,10 @@ def test_boundaries(spark, tmp_path):
         {"type": "Feature", "properties": {"BoroCode": 3, "NTA2020": "BK01", "NTAName": "X"}, "geometry": {"type": "Polygon", "coordinates": [ring]}},
         {"type": "Feature", "properties": {"boroname": "Queens", "NTA2020": "QN01"}, "geometry": {"type": "MultiPolygon", "coordinates": [[ring], [ring]]}}]}))
     b = tables.read_boundaries(spark, str(tmp_path / "b.geojson"), "nta", "nta_code", "nta_name")
-    got = {r.code: (r.name, len(r.rings), r.borough_name) for r in tables.standard_attributes(b, ["borough_name"]).collect()}
-    assert got == {"BK01": ("X", 1, "Brooklyn"), "QN01": (None, 2, "Queens")}
+    got = sorted((r.code, r.name or "", len(r.rings), r.borough_name) for r in tables.standard_attributes(b, ["borough_name"]).collect())
+    assert got == [("BK01", "X", 1, "Brooklyn"), ("QN01", "", 1, "Queens"), ("QN01", "", 1, "Queens")]
+    assert {r.code: r.area_deg2 for r in polygon_area(b).collect()} == {"BK01": 0.5, "QN01": 1.0}
+    assert layer_checks(b).first().features == 2
     df = spark.createDataFrame([(1, 2)], "BoroCT2020 int, Shape__Area int")
     assert tables.rename_present(df, {"ct": ["nope", "BoroCT2020"]}, ["Shape__Area", "OBJECTID"]).columns == ["ct"]
 

@@ -74,7 +74,7 @@ def test_gender_is_three_valued(spark):
 
 
 @pytest.mark.parametrize("name, expected", [
-    ("201409-citibike-tripdata.csv", (2014, 9)), ("2014-citibike-tripdata_201401-citibike-tripdata_1.csv", (2014, 1)),
+    ("201409-bikeshare-tripdata.csv", (2014, 9)), ("2014-bikeshare-tripdata_201401-bikeshare-tripdata_1.csv", (2014, 1)),
     ("JC-202012.csv", (2020, 12)), ("x209913.csv", (None, None)), ("201213.csv", (None, None)), ("readme.csv", (None, None))])
 def test_month_from_file_name(spark, name, expected):
     got = values(spark, [(name,)], "n string", e=parse.expected_year_month(F.col("n")))[0].e
