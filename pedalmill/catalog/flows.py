@@ -143,10 +143,13 @@ SELECT COALESCE(am.start_station_id, pm.start_station_id) AS start_station_id, C
 FROM am FULL JOIN pm ON am.start_station_id = pm.start_station_id AND am.end_station_id = pm.end_station_id""")
 def rush_route_sets(spark, sf):
     """Routes in the morning top 30, the evening top 30, or both."""
-    t = v.good_trips(spark, sf)
-    am = flows.top_set(t.filter(dates.hours_between(F.col("started_at"), 7, 9)), 30)
-    pm = flows.top_set(t.filter(dates.hours_between(F.col("started_at"), 17, 19)), 30)
-    return flows.compare_sets(am, pm, flows.ROUTE, "am", "pm")
+    ts = F.col("started_at")
+    rush = F.when(dates.hours_between(ts, 7, 9), "am").when(dates.hours_between(ts, 17, 19), "pm")
+    # Counted once for both periods; the two lists come from one short sorted set.
+    counts = (v.good_trips(spark, sf).withColumn("rush", rush).filter(F.col("rush").isNotNull())
+              .groupBy("rush", *flows.ROUTE).agg(F.count(F.lit(1)).alias("trips")))
+    top = series.top_per_group(counts, ["rush"], [F.desc("trips"), *flows.ROUTE], 30)
+    return flows.compare_sides(top, flows.ROUTE, "rush", "am", "pm")
 
 
 @query("W11", "T-4", sql=f"""WITH {v.ORDER_TRIPS}, c AS (SELECT start_station_id, end_station_id, year(started_at) AS year, count(*) AS trips FROM ot
@@ -253,11 +256,13 @@ def longest_trips(spark, sf):
 (SELECT 'slowest', strftime(date, '%Y-%m-%d'), dayname(date), trips FROM daily WHERE year(date) >= 1998 ORDER BY trips, date LIMIT 10)""")
 def extreme_days(spark, sf):
     d = v.order_trips(spark, sf).groupBy(F.to_date("started_at").alias("date")).agg(F.count(F.lit(1)).alias("trips"))
-    d = d.withColumn("day_name", dates.day_name(F.col("date")))
-    top = d.orderBy(F.desc("trips"), "date").limit(10).withColumn("kind", F.lit("busiest"))
-    low = d.filter(F.col("date") >= F.lit("1998-01-01").cast("date")).orderBy("trips", "date").limit(10).withColumn(
-        "kind", F.lit("slowest"))
-    return top.unionByName(low)
+    # Each day is offered to both lists, so the trips are read once.
+    recent = F.col("date") >= F.lit("1998-01-01").cast("date")
+    kinds = d.withColumn("k", F.explode(F.array_compact(F.array(
+        F.struct(F.lit("busiest").alias("kind"), (-F.col("trips")).alias("o")),
+        F.when(recent, F.struct(F.lit("slowest").alias("kind"), F.col("trips").alias("o")))))))
+    out = series.top_per_group(kinds.select("date", "trips", "k.*"), ["kind"], ["o", "date"], 10)
+    return out.select("kind", "date", dates.day_name(F.col("date")).alias("day_name"), "trips")
 
 
 @query("T-6", "T-7", sql=f"""WITH {v.TRIPS} SELECT ride_id, start_station_id FROM trips ORDER BY md5(CAST(ride_id AS VARCHAR) || '-7'), ride_id LIMIT 100""")

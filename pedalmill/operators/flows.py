@@ -196,6 +196,13 @@ def compare_sets(a: DataFrame, b: DataFrame, keys: Sequence[str], name_a: str, n
     return left.join(right, list(keys), "full").select(*keys, side.alias("side"))
 
 
+def compare_sides(rows: DataFrame, keys: Sequence[str], side: str, name_a: str, name_b: str) -> DataFrame:
+    """The same for two sets stacked in one frame with a side column: one aggregate, no join."""
+    a, b = F.max(F.col(side) == name_a), F.max(F.col(side) == name_b)
+    return rows.groupBy(*keys).agg(F.when(a & b, "both").when(a, f"{name_a}_only")
+                                   .otherwise(f"{name_b}_only").alias("side"))
+
+
 def rank_change(trips: DataFrame, keys: Sequence[str], year_a: int, year_b: int, n: int) -> DataFrame:
     """Routes that are in the top ``n`` of either year, with both ranks and counts.
 

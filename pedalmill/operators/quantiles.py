@@ -27,15 +27,17 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], wanted: dict[str, tuple[
     """
     keys = list(keys)
     cols = list(dict.fromkeys(c for c, _ in wanted.values()))
-    bounds = df.agg(F.struct(*[F.min(F.col(c).cast("double")).alias(f"lo{i}") for i, c in enumerate(cols)],
-                             *[F.max(F.col(c).cast("double")).alias(f"hi{i}") for i, c in enumerate(cols)])
-                    .alias("b")).scalar()
     n = F.lit(1).cast("long") if weight is None else F.col(weight)
     stacked = df.select(*keys, n.alias("__w"), F.explode(F.array(*[
         F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("__s"))
     counts = (stacked.filter(F.col("__s.v").isNotNull())
               .groupBy(*keys, F.col("__s.i").alias("__i"), F.col("__s.v").alias("__v"))
               .agg(F.sum("__w").alias("__n")))
+    # The sum keeps this aggregate equal to the one below, so Spark reuses its shuffle.
+    bounds = counts.agg(F.struct(
+        *[F.min(F.when(F.col("__i") == i, F.col("__v"))).alias(f"lo{i}") for i in range(len(cols))],
+        *[F.max(F.when(F.col("__i") == i, F.col("__v"))).alias(f"hi{i}") for i in range(len(cols))],
+        F.sum("__n").alias("n")).alias("b")).scalar()
 
     def per_column(make) -> Column:
         out = make(len(cols) - 1)

@@ -209,6 +209,16 @@ def test_corridors_need_both_directions(spark):
     assert [(r.station_a, r.station_b, r.a_to_b, r.b_to_a, r.total, r.imbalance_pct) for r in got] == [("a", "b", 3, 1, 4, 50.0)]
 
 
+def test_route_sets_in_both_forms(spark):
+    a, b = [("x", "y"), ("y", "z")], [("y", "z"), ("q", "r")]
+    cols = "start_station_id string, end_station_id string"
+    want = {("x", "y", "am_only"), ("y", "z", "both"), ("q", "r", "pm_only")}
+    got = flows.compare_sets(spark.createDataFrame(a, cols), spark.createDataFrame(b, cols), flows.ROUTE, "am", "pm")
+    assert set(map(tuple, got.collect())) == want
+    stacked = spark.createDataFrame([(*r, "am") for r in a] + [(*r, "pm") for r in b], cols + ", side string")
+    assert set(map(tuple, flows.compare_sides(stacked, flows.ROUTE, "side", "am", "pm").collect())) == want
+
+
 def test_accounting_adds_up(spark):
     t = datetime(2024, 1, 5)
     rows = [(t, t, "1", "2", d) for d in (89, 90, 14400, 14401, -5, None)] + [(None, t, "1", "2", 100), (t, t, "", "2", 100),
