@@ -296,3 +296,19 @@ def mapping_totals(spark, sf):
     return identity.report_totals(_report(spark, sf))
 
 
+@query("A16", sql=f"""WITH {_REPORT}, vals AS (SELECT 'drift' AS measure, round(d, 1) AS x FROM m2 WHERE round(d, 1) > 0 UNION ALL SELECT 'similarity', sim FROM m2 WHERE sim > 0),
+ b AS (SELECT *, CASE WHEN measure = 'drift' THEN CASE WHEN x < 10 THEN '<10m' WHEN x < 50 THEN '10-50m' WHEN x < 100 THEN '50-100m' ELSE '>100m' END
+   ELSE CASE WHEN x < 50 THEN '<50%' WHEN x < 80 THEN '50-80%' ELSE '>80%' END END AS bucket FROM vals),
+ t AS (SELECT measure, count(*) AS observations, round(avg(x), 6) AS mean, round(median(x), 6) AS median, round(max(x), 6) AS max FROM vals GROUP BY 1)
+SELECT b.measure, bucket, round(count(*) * 100.0::DOUBLE / observations, 6) AS pct, observations, mean, median, max FROM b JOIN t ON b.measure = t.measure GROUP BY b.measure, bucket, observations, mean, median, max""")
+def mapping_distribution(spark, sf):
+    """Drift and similarity of matched observations by bucket."""
+    out = identity.report_distribution(_report(spark, sf))
+    return out.withColumns({c: r(c) for c in ("pct", "mean", "median", "max")})
+
+
+@query("A16", "T-4", sql=f"""WITH {_REPORT}, lead AS (SELECT CASE WHEN status = 'ghost' THEN 'ghost' WHEN match_class = 'coordinate' THEN 'renamed' END AS kind, * FROM rep)
+SELECT kind, raw AS station_id, name, trip_count FROM lead WHERE kind IS NOT NULL QUALIFY row_number() OVER (PARTITION BY kind ORDER BY trip_count DESC, raw, name, lat) <= 10""")
+def mapping_leaders(spark, sf):
+    """Ghost and renamed stations with the most trips."""
+    return identity.report_leaders(_report(spark, sf)).select("kind", "station_id", "name", "trip_count")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
+from ..functions.dates import half_open_band
 from ..functions.numeric import count_if
 from ..session import durable, lookup_join
 from .quantiles import exact_quantiles
@@ -249,6 +250,40 @@ def report_totals(report: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("observations"), F.sum("trip_count").alias("trips"))
 
 
+# Bucket bounds of the report, drift in metres and similarity in percent.
+DRIFT_BUCKETS = [(0, 10, "<10m"), (10, 50, "10-50m"), (50, 100, "50-100m"), (100, float("inf"), ">100m")]
+SIMILARITY_BUCKETS = [(0, 50, "<50%"), (50, 80, "50-80%"), (80, float("inf"), ">80%")]
+
+
+def report_distribution(report: DataFrame) -> DataFrame:
+    """Mean, median, maximum and bucket shares of drift and name similarity of matched
+    observations. Zero values do not enter, as in the published report."""
+    measures = F.explode(F.array(
+        F.struct(F.lit("drift").alias("measure"), F.col("coord_distance_m").alias("x")),
+        F.struct(F.lit("similarity").alias("measure"), F.col("name_similarity_pct").alias("x")))).alias("m")
+    values = report.filter(F.col("status") == "matched").select(measures).select("m.*").filter(F.col("x") > 0)
+    drift, alike = (half_open_band(F.col("x"), b) for b in (DRIFT_BUCKETS, SIMILARITY_BUCKETS))
+    # Written once: names were compared in Python, and five aggregates follow.
+    counts = durable(values.groupBy("measure", "x").agg(F.count(F.lit(1)).alias("n")))
+    totals = counts.groupBy("measure").agg(
+        F.sum("n").alias("observations"), (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mean"), F.max("x").alias("max"))
+    middle = exact_quantiles(counts, ["measure"], {"median": ("x", 0.5)}, weight="n")
+    buckets = counts.groupBy("measure", F.when(F.col("measure") == "drift", drift).otherwise(alike).alias("bucket")).agg(
+        F.sum("n").alias("n"))
+    return (buckets.join(totals, "measure").join(middle, "measure")
+            .select("measure", "bucket", (F.col("n") * 100.0 / F.col("observations")).alias("pct"),
+                    "observations", "mean", "median", "max"))
+
+
+def report_leaders(report: DataFrame, n: int = 10) -> DataFrame:
+    """Ghosts and renamed stations (matched by place only) with the most trips."""
+    from .series import top_per_group
+
+    kind = F.when(F.col("status") == "ghost", "ghost").when(F.col("match_type") == "coordinate", "renamed")
+    rows = report.withColumn("kind", kind).filter(F.col("kind").isNotNull())
+    return top_per_group(rows, ["kind"], [F.desc("trip_count"), "station_id", "name", "lat", "lon"], n)
+
+
 def station_profiles(obs: DataFrame, crosswalk: DataFrame | None = None) -> DataFrame:
     """Names, positions, spread and years per station id.
 
