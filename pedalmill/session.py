@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 from functools import reduce
 
@@ -46,6 +48,17 @@ def build_session(app: str = "pedalmill", master: str | None = None,
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, wherever they run."""
+    context = spark.sparkContext
+    if not getattr(context, "_pedalmill_shipped", False):
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="pedalmill-"), "pedalmill"), "zip",
+                                      root, "pedalmill")
+        context.addPyFile(archive)
+        context._pedalmill_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
