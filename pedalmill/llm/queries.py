@@ -5,20 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, quality
-from .common import table
+from . import chat, exact_dedup, licenses, quality, token_files, word_pieces
+from .common import scratch_path, table
 from .registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query()
 def op1_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     ranking = quality.fit(docs, table(spark, sf_dir, "labels"))
-    rows = quality.scored(docs.select("doc_id", "text"), ranking)
-    return rows.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"),
-                       (F.col("__score") >= quality.CUT_SCORE).cast("int").alias("predicted"))
+    rows = quality.features(docs, ["doc_id"]).select("doc_id", ranking.score().alias("score"))
+    return rows.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+                       (F.col("score") >= quality.CUT_SCORE).cast("int").alias("predicted"))
 
 
 @query(sql="""
@@ -31,3 +38,29 @@ FROM documents d JOIN groups g ON coalesce(d.text, '') = g.content
 """)
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_pieces.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query()
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
+    paths = chat.branches(chat.as_chain(rows.unionByName(extra)))
+    return chat.read_back(chat.format_branches(paths)).withColumnRenamed("tree", "conv_id")
+
+
+@query()
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
+    return token_files.document_index(spark, path)
