@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, licenses, quality, token_files, word_pieces
+from . import chat, exact_dedup, licenses, mixing, quality, sentence_pieces, token_files, word_pieces
 from .common import scratch_path, table
 from .registry import ORACLES, QUERIES, query
 
@@ -45,6 +45,18 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_pieces.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@query()
+def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = vocabulary("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents")
+    ids = sentence_pieces.encode(docs.select("doc_id", "text"), model, ["doc_id", "text"])
+    back = sentence_pieces.decode(ids.withColumn("source_sha256", F.sha2(F.coalesce("text", F.lit("")), 256)), model,
+                                  ["doc_id", "source_sha256", "ids"], out="decoded")
+    plain = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.crc32(plain.cast("binary")).alias("ids_crc32"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"), (F.sha2("decoded", 256) == F.col("source_sha256")).alias("exact"))
+
+
 @query()
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
@@ -64,3 +76,14 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
     return token_files.document_index(spark, path)
+
+
+@query(sql=mixing.comparison_sql() + """
+SELECT doc_id, nullif(s, chr(1)) AS source, nullif(l, chr(1)) AS lang, t AS topic, n_words AS n_tokens, chance, drawn FROM rated_docs
+""")
+def op10_target_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(mixing.WORD)).cast("long")
+    rows = mixing.chances(docs, mixing.fit(docs))
+    return rows.select("doc_id", "source", "lang", F.col("__topic").alias("topic"), words.alias("n_tokens"),
+                       F.col("__chance").alias("chance"), F.col("__drawn").alias("drawn"))
