@@ -13,6 +13,8 @@ from pedalmill.session import shared_dir, ship_package
 
 #: A key with at least this share of all rows is hot, so there are never more than 1/share hot keys.
 HOT_SHARE = 0.001
+#: Texts of an Arrow batch that are held as Python objects at a time.
+SLICE_ROWS = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,7 +49,7 @@ def map_bytes(df: DataFrame, keys: list[str], text: str, fn: Callable[[], Callab
               schema: str) -> DataFrame:
     """Run a function over the UTF-8 bytes of ``text`` and append its columns to ``keys``.
 
-    ``fn`` is called once per task and returns the function for one Arrow batch, so that
+    ``fn`` is called once per task and returns the function for a slice of an Arrow batch, so that
     caches and automata live as long as the task. ``schema`` names the appended columns.
     """
     before = df.select(*[F.col(f"`{k}`") for k in keys], utf8(text).alias("__bytes"))
@@ -57,9 +59,11 @@ def map_bytes(df: DataFrame, keys: list[str], text: str, fn: Callable[[], Callab
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = fn()
-        for batch in batches:
-            columns = work(batch.column(batch.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names)
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(start, SLICE_ROWS)
+                columns = work(batch.column(batch.num_columns - 1).to_pylist())
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names)
 
     return before.mapInArrow(run, out)
 

@@ -6,7 +6,7 @@ carry column and offset indexes, so one document's tokens or the metadata alone
 rest. Documents are ordered by range before encoding; nothing but the texts is shuffled, once.
 
 Encoding uses the tokenizers library. A text is cut at single spaces between two non-space characters,
-where the byte-level pre-tokenizer always cuts; the library encodes each distinct piece once per task and
+where the byte-level pre-tokenizer always cuts; the library encodes distinct pieces once per worker and
 the ids are put together from these. Texts with other white space around a cut, or with pieces beyond
 ``CACHE_CHARS``, go to the library whole.
 
@@ -18,8 +18,9 @@ other columns are not read.
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,11 @@ from pyspark.sql import functions as F
 from . import common
 
 END_ID = 2
-#: Pieces kept per task, and the longest text of such a piece.
-CACHE_PIECES, CACHE_CHARS = 400_000, 64
+#: Pieces kept per worker, and the longest text of such a piece.
+CACHE_PIECES, CACHE_CHARS = 600_000, 64
+#: Marks that may follow a word, and two white spaces in a row of which one stands between pieces.
+MARKS = ".,;:!?"
+_JOINT = re.compile(r" \s|\s ")
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 16 << 20, 256 << 10, 2_000
 
 
@@ -42,34 +46,72 @@ class PieceEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cache: dict[str, tuple[int, ...]] = {}
-
-    def _whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def encode(self, text: str) -> np.ndarray:
-        first, *rest = text.split(" ")
+        space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
+        words = self.tokenizer.get_vocab()
+        self.starts = np.zeros(max(words.values()) + 1, bool)  # ids of tokens that begin with a space
+        self.starts[[i for w, i in words.items() if w.startswith(space)]] = True
+        self.cache: dict[str, bytes] = {}  # piece -> its ids after a space, as int32
+        self.marks: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+
+    def _learn(self, pieces: list[str]) -> None:
+        """One library call for all new pieces; only a piece's first token begins with a space.
+
+        A mark after a letter is a token run of its own, so words are learned without the marks behind them.
+        """
+        cores = {p: p.rstrip(MARKS) for p in pieces}
+        cores = {p: c for p, c in cores.items() if len(c) < len(p) and c and c[-1].isalpha()}
+        plain = list({cores.get(p, p) for p in pieces}.difference(self.cache))
+        if plain:
+            ids = self._whole(" " + " ".join(plain))
+            cuts = np.flatnonzero(self.starts[ids])
+            if len(cuts) != len(plain):
+                raise ValueError("the pre-tokenizer does not cut at spaces")
+            data, bounds = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
+            self.cache.update(zip(plain, map(data.__getitem__, map(slice, bounds, bounds[1:]))))
+        for piece, core in cores.items():
+            marks = piece[len(core):]
+            if marks not in self.marks:
+                self.marks[marks] = self._whole(marks).tobytes()
+            self.cache[piece] = self.cache[core] + self.marks[marks]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        split = [t.split(" ") for t in texts]
         if len(self.cache) > CACHE_PIECES:
             self.cache.clear()
-        new = list(set(rest).difference(self.cache))
+            self.marks.clear()
         # A cut is safe between two non-space characters; kept pieces have been found safe before.
-        if (rest and (not first or first[-1].isspace())) or not all(
-                p and len(p) <= CACHE_CHARS and not p[0].isspace() and not p[-1].isspace() for p in new):
-            return np.array(self._whole(text), np.int32)
+        whole = [len(p) > 1 and (not p[0] or p[0][-1].isspace()) for p in split]
+        new = list(set().union(*(p[1:] for p, w in zip(split, whole) if not w)).difference(self.cache))
+        if not _safe(new):
+            whole = [w or not _safe(set(p[1:]).difference(self.cache)) for p, w in zip(split, whole)]
+            new = list(set().union(*(p[1:] for p, w in zip(split, whole) if not w)).difference(self.cache))
         if new:
-            found = self.tokenizer.encode_batch_fast([" " + p for p in new], add_special_tokens=False)
-            self.cache.update((p, tuple(e.ids)) for p, e in zip(new, found))
-        ids = chain(self._whole(first) if first else (), chain.from_iterable(map(self.cache.__getitem__, rest)))
-        return np.fromiter(ids, np.int32)
+            self._learn(new)
+        get = self.cache.__getitem__
+        return [self._whole(t) if w else np.concatenate([self._whole(p[0]), np.frombuffer(b"".join(map(get, p[1:])), np.int32)])
+                for t, p, w in zip(texts, split, whole)]
+
+
+def _safe(pieces) -> bool:
+    return not pieces or not _JOINT.search(f" {' '.join(pieces)} ") and max(map(len, pieces)) <= CACHE_CHARS
+
+
+@lru_cache(maxsize=2)
+def piece_encoder(path: str) -> PieceEncoder:
+    """One encoder per Python worker, so pieces learned by one task serve the next."""
+    return PieceEncoder(path)
 
 
 def _encoder(path: str, end_id: int):
     def start():
-        encoder = PieceEncoder(path)
+        encoder = piece_encoder(path)
         end = np.array([end_id], np.int32)
 
         def work(texts: list[bytes]) -> list[pa.Array]:
-            rows = [np.append(encoder.encode(t.decode("utf-8", "replace")), end) for t in texts]
+            rows = [np.append(r, end) for r in encoder.encode([t.decode("utf-8", "replace") for t in texts])]
             sizes = np.array([len(r) for r in rows], np.int64)
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             values = np.concatenate(rows) if rows else np.array([], np.int32)
