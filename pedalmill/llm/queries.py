@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, licenses, mixing, near_dedup, quality, sentence_pieces, token_files, word_pieces
+from . import chat, exact_dedup, licenses, mixing, near_dedup, neighbours, quality, sentence_pieces, token_files, word_pieces
 from .common import scratch_path, table
 from .registry import ORACLES, QUERIES, query
 
@@ -40,6 +40,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query(sql="""
 WITH RECURSIVE worded AS MATERIALIZED (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
