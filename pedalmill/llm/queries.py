@@ -86,9 +86,9 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = vocabulary("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents")
-    ids = sentence_pieces.encode(docs.select("doc_id", "text"), model, ["doc_id", "text"])
-    back = sentence_pieces.decode(ids.withColumn("source_sha256", F.sha2(F.coalesce("text", F.lit("")), 256)), model,
-                                  ["doc_id", "source_sha256", "ids"], out="decoded")
+    hashed = docs.select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("source_sha256"))
+    ids = sentence_pieces.encode(hashed, model, ["doc_id", "source_sha256"])
+    back = sentence_pieces.decode(ids, model, ["doc_id", "source_sha256", "ids"], out="decoded")
     plain = F.array_join(F.col("ids").cast("array<string>"), " ")
     return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.crc32(plain.cast("binary")).alias("ids_crc32"),
                        F.sha2("decoded", 256).alias("decoded_sha256"), (F.sha2("decoded", 256) == F.col("source_sha256")).alias("exact"))

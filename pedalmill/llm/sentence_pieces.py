@@ -22,7 +22,6 @@ from __future__ import annotations
 import math
 import re
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +31,7 @@ from . import common
 
 MARKER = "▁"
 UNKNOWN_COST = 10.0
-CACHE_PARTS, CACHE_BYTES = 400_000, 64
+CACHE_PARTS, CACHE_BYTES = 300_000, 64
 _PARTS = re.compile(rb" *[^ ]+| +")
 
 
@@ -144,7 +143,8 @@ class Unigram:
             at = start
         return ids[::-1]
 
-    def encode(self, text: bytes, cache: dict[bytes, tuple[int, ...]]) -> np.ndarray:
+    def encode(self, text: bytes, cache: dict[bytes, bytes]) -> np.ndarray:
+        """Ids of a text; ``cache`` keeps the ids of parts as int32 bytes."""
         if not text:
             return np.array([], np.int32)
         parts = self.parts.findall(b" " + text)
@@ -152,9 +152,9 @@ class Unigram:
             cache.clear()
         long = {}
         for part in set(parts).difference(cache):
-            (cache if len(part) <= CACHE_BYTES else long)[part] = tuple(self.best_cut(part))
+            (cache if len(part) <= CACHE_BYTES else long)[part] = np.array(self.best_cut(part), np.int32).tobytes()
         get = (lambda p: cache.get(p) or long[p]) if long else cache.__getitem__
-        return np.fromiter(chain.from_iterable(map(get, parts)), np.int32)
+        return np.frombuffer(b"".join(map(get, parts)), np.int32)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))[1:]
@@ -207,8 +207,12 @@ def decode(rows: DataFrame, model_path: str, keys: list[str], ids: str = "ids",
 
     def run(batches):
         unigram = model(model_path)
-        for batch in batches:
-            texts = [unigram.decode(x or []).decode("utf-8", "replace") for x in batch.column(batch.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], [f.name for f in schema.fields])
+        for whole in batches:
+            for start in range(0, whole.num_rows, common.SLICE_ROWS):
+                batch = whole.slice(start, common.SLICE_ROWS)
+                texts = [b"" if x is None else unigram.decode(x.to_numpy(zero_copy_only=False).tolist())
+                         for x in (v.values for v in batch.column(batch.num_columns - 1))]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())],
+                                                 [f.name for f in schema.fields])
 
     return before.mapInArrow(run, schema)
