@@ -7,7 +7,7 @@ character without a piece of its own costs ``UNKNOWN_COST`` below the smallest s
 byte pieces of its UTF-8 form. Of cuts with equal sums the one whose last differing piece is longer wins.
 
 No piece has a marker after another character, so a best cut never crosses the place before a run of
-markers. The text is cut there, and each distinct part is solved once per task.
+markers. The text is cut there, and distinct parts are solved once per worker, many at a time.
 
 Decoding joins the pieces, turns byte pieces back into bytes and markers into spaces and drops the first
 marker: every text comes back exactly. A marker character that stands in the text itself is written as
@@ -32,6 +32,7 @@ from . import common
 MARKER = "▁"
 UNKNOWN_COST = 10.0
 CACHE_PARTS, CACHE_BYTES = 300_000, 64
+BATCH_PARTS = 10_000
 _PARTS = re.compile(rb" *[^ ]+| +")
 
 
@@ -84,6 +85,7 @@ class DoubleArray:
             for child in kids.values():
                 check[place[child]] = place[node]
         self.base, self.check, self.values = base, check, values
+        self.arrays = np.array(base), np.array(check + [-1] * 256), np.array(values + [-1] * 256)
 
     def prefixes(self, text: bytes, start: int) -> list[tuple[int, int]]:
         """(end, key number) of every key that begins at ``start``."""
@@ -106,6 +108,7 @@ class Unigram:
         self.trie = DoubleArray([p.replace(MARKER, " ").encode() for _, p, _ in pieces])
         self.ids = [i for i, _, _ in pieces]
         self.scores = [s for _, _, s in pieces]
+        self.id_array, self.score_array = np.array(self.ids, np.int32), np.array(self.scores, float)
         self.unknown = min(self.scores, default=0.0) - UNKNOWN_COST
         self.byte_ids = byte_ids
         self.bytes_of = {i: p.replace(MARKER, " ").encode() for i, p, _ in pieces}
@@ -143,18 +146,64 @@ class Unigram:
             at = start
         return ids[::-1]
 
-    def encode(self, text: bytes, cache: dict[bytes, bytes]) -> np.ndarray:
-        """Ids of a text; ``cache`` keeps the ids of parts as int32 bytes."""
-        if not text:
-            return np.array([], np.int32)
-        parts = self.parts.findall(b" " + text)
+    def best_cuts(self, parts: list[bytes]) -> list[bytes]:
+        """``best_cut`` of many short parts at once, as int32 bytes: all parts take each step together."""
+        base, check, values = self.trie.arrays
+        sizes = np.array([len(p) for p in parts])
+        width = int(sizes.max())
+        text = np.frombuffer(b"".join(p.ljust(width + 1, b"\0") for p in parts), np.uint8).reshape(len(parts), width + 1)
+        best = np.full((len(parts), width + 4), -np.inf)
+        came = np.zeros((len(parts), width + 4), np.int32)
+        piece = np.full((len(parts), width + 4), -1, np.int32)
+        best[:, 0] = 0.0
+
+        def offer(rows, end, score, start, ids):
+            better = score > best[rows, end]
+            rows, end = rows[better], end[better] if np.ndim(end) else end
+            best[rows, end], came[rows, end], piece[rows, end] = score[better], start, ids[better] if np.ndim(ids) else ids
+
+        for at in range(width):
+            reached = np.flatnonzero((sizes > at) & (best[:, at] > -np.inf))
+            first = text[reached, at]
+            step = at + 1 + (first >= 0xC0) + (first >= 0xE0) + (first >= 0xF0)
+            single = np.zeros(len(reached), bool)
+            live, node, end = np.arange(len(reached)), np.zeros(len(reached), int), at
+            while len(live):
+                rows = reached[live]
+                child = base[node] + text[rows, end]
+                on = (check[child] == node) & (sizes[rows] > end)
+                live, node, rows, end = live[on], child[on], rows[on], end + 1
+                hit = values[node] >= 0
+                keys, rows = values[node[hit]], rows[hit]
+                offer(rows, end, best[rows, at] + self.score_array[keys], at, self.id_array[keys])
+                single[live[hit]] |= step[live[hit]] == end
+            alone = reached[~single]
+            offer(alone, step[~single], best[alone, at] + self.unknown, at, -1)
+        rows, at, backwards = np.arange(len(parts)), sizes.copy(), []
+        while (at > 0).any():
+            backwards.append(np.where(at > 0, piece[rows, at], -2))
+            at = np.where(at > 0, came[rows, at], 0)
+        ordered = np.stack(backwards[::-1], axis=1)
+        used = ordered != -2
+        data, ends = ordered[used].tobytes(), 4 * np.cumsum(used.sum(axis=1))
+        cut = [data[x:y] for x, y in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        for n in np.flatnonzero((ordered == -1).any(axis=1)):  # characters without a piece
+            cut[n] = np.array(self.best_cut(parts[n]), np.int32).tobytes()
+        return cut
+
+    def encode(self, texts: list[bytes], cache: dict[bytes, bytes]) -> list[np.ndarray]:
+        """Ids of whole texts; ``cache`` keeps the ids of short parts as int32 bytes."""
         if len(cache) > CACHE_PARTS:
             cache.clear()
-        long = {}
-        for part in set(parts).difference(cache):
-            (cache if len(part) <= CACHE_BYTES else long)[part] = np.array(self.best_cut(part), np.int32).tobytes()
+        split = [self.parts.findall(b" " + t) if t else [] for t in texts]
+        new = set().union(*split).difference(cache)
+        long = {p: np.array(self.best_cut(p), np.int32).tobytes() for p in new if len(p) > CACHE_BYTES}
+        short = sorted(new.difference(long), key=len)
+        for start in range(0, len(short), BATCH_PARTS):
+            some = short[start:start + BATCH_PARTS]
+            cache.update(zip(some, self.best_cuts(some)))
         get = (lambda p: cache.get(p) or long[p]) if long else cache.__getitem__
-        return np.frombuffer(b"".join(map(get, parts)), np.int32)
+        return [np.frombuffer(b"".join(map(get, parts)), np.int32) for parts in split]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))[1:]
@@ -180,6 +229,12 @@ def model(path: str) -> Unigram:
     return Unigram(plain, [by_byte[b] for b in range(256)])
 
 
+@lru_cache(maxsize=4)
+def part_cache(path: str) -> dict[bytes, bytes]:
+    """One cache per Python worker, so parts solved by one task serve the next."""
+    return {}
+
+
 def _as_lists(rows: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows) if rows else np.array([], np.int32)))
@@ -187,10 +242,10 @@ def _as_lists(rows: list[np.ndarray]) -> pa.Array:
 
 def _encoder(path: str):
     def start():
-        unigram, cache = model(path), {}
+        unigram, cache = model(path), part_cache(path)
 
         def work(texts: list[bytes]) -> list[pa.Array]:
-            return [_as_lists([unigram.encode(t, cache) for t in texts])]
+            return [_as_lists(unigram.encode(texts, cache))]
         return work
     return start
 

@@ -34,8 +34,10 @@ def best_score(text, pieces, unknown):
 def test_cut_has_the_best_sum(pieces, text):
     items = sorted(pieces.items())
     model = sp.Unigram([(1000 + n, p, s) for n, (p, s) in enumerate(items)], list(range(256)))
-    ids = model.encode(text.encode(), {}).tolist()
+    ids = model.encode([text.encode()], {})[0].tolist()
     assert model.decode(ids) == text.encode()
+    parts = model.parts.findall(b" " + text.encode())
+    assert ids == [i for p in parts for i in model.best_cut(p)]
     shown = "▁" + text.replace(" ", "▁")
     score, pending = 0.0, 0
     for i in ids:
@@ -59,14 +61,14 @@ def test_double_array_finds_all_prefixes(keys, text):
 @given(st.text(max_size=40))
 def test_round_trip(text):
     model = sp.model(PATH)
-    assert model.decode(model.encode(text.encode("utf-8", "replace"), {}).tolist()) == text.encode("utf-8", "replace")
+    assert model.decode(model.encode([text.encode("utf-8", "replace")], {})[0].tolist()) == text.encode("utf-8", "replace")
 
 
 def test_library_decodes_the_same(spark):
     library = sentencepiece.SentencePieceProcessor(model_file=PATH)
     model = sp.model(PATH)
     for row in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect():
-        assert library.decode(model.encode(row["text"].encode(), {}).tolist()) == row["text"]
+        assert library.decode(model.encode([row["text"].encode()], {})[0].tolist()) == row["text"]
 
 
 def test_tables(spark):
