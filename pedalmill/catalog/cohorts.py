@@ -37,11 +37,11 @@ def summer_fall_did(spark, sf):
 
 
 @query("A37", sql=f"""WITH {_SEG}, c AS (SELECT y, count(*) FILTER (WHERE location = 'Banks' AND m NOT IN (6, 7, 8)) / 9.0::DOUBLE AS tb, count(*) FILTER (WHERE location = 'Banks' AND m IN (6, 7, 8)) / 3.0::DOUBLE AS ta,
-  count(*) FILTER (WHERE location = 'Universities' AND m NOT IN (6, 7, 8)) / 9.0::DOUBLE AS cb, count(*) FILTER (WHERE location = 'Universities' AND m IN (6, 7, 8)) / 3.0::DOUBLE AS ca FROM co WHERE y BETWEEN 1996 AND 2000 GROUP BY 1)
+  count(*) FILTER (WHERE location = 'Universities' AND m NOT IN (6, 7, 8)) / 9.0::DOUBLE AS cb, count(*) FILTER (WHERE location = 'Universities' AND m IN (6, 7, 8)) / 3.0::DOUBLE AS ca FROM co GROUP BY 1)
 SELECT y AS year, round(tb, 6) AS treated_before, round(ta, 6) AS treated_after, round((ta - tb) * 100 / NULLIF(tb, 0) - (ca - cb) * 100 / NULLIF(cb, 0), 6) AS did_pp FROM c""")
 def yearly_did_per_month(spark, sf):
     """The same by year, counts normalised by the months of each season."""
-    t = _cohort(spark, sf).filter(dates.in_years(F.col("started_at"), 1996, 2000)).withColumn("year", F.year("started_at"))
+    t = _cohort(spark, sf).withColumn("year", F.year("started_at"))
     summer = F.month("started_at").isin(6, 7, 8)
     out = cohorts.did(t, F.col("location") == "Banks", F.col("location") == "Universities", ~summer, summer, by=["year"],
                       months_before=9, months_after=3)

@@ -11,6 +11,11 @@ from . import views as v
 from .registry import query, r
 
 
+def _years(daily):
+    """The years that occur, one short row each."""
+    return [row.year for row in daily.select("year").distinct().orderBy("year").collect()]
+
+
 def _daily(spark, sf):
     """The daily table, written once: models read it several times, the orders only once."""
     return durable(v.daily_orders(spark, sf)).withColumns({"dow": dates.dow(F.col("date")), "year": F.year("date"), "month": F.month("date")})
@@ -50,19 +55,22 @@ def full_regression(spark, sf):
     dummies (collinear on purpose), with p-values."""
     d = _daily(spark, sf).withColumns({"x": F.col("max_cents") / 1e7, "is_weekend": dates.is_weekend(F.col("date")).cast("int")})
     d = d.withColumn("x_sq", F.col("x") * F.col("x"))
+    years = _years(d)
     cols = {**bins.one_hot(F.col("dow"), range(7), "dow", drop=1), **bins.one_hot(F.col("month"), range(1, 13), "month", drop=7),
-            **bins.one_hot(F.col("year"), range(1995, 2002), "year", drop=1995)}
+            **bins.one_hot(F.col("year"), years, "year", drop=years[0])}
     fit = regression.ols(d.withColumns(cols), ["x", "x_sq", "is_weekend", *cols], "member_trips")
     return fit.table(spark).select("term", r("coef").alias("coef"), r("std_err").alias("std_err"), r("p_value").alias("p_value"))
 
 
 @query("A32", sql=f"""WITH {_DAILY}, y AS (SELECT year, avg(trips) AS m, avg(active_stations) AS a FROM dd GROUP BY 1), w AS (SELECT sum((active_stations - a) * (trips - m)) / sum((active_stations - a) * (active_stations - a)) AS beta FROM dd JOIN y USING (year)),
- b AS (SELECT m AS m0, a AS a0 FROM y WHERE year = 1995)
-SELECT year, round(m - m0, 5) AS effect_a, round(m - m0 - beta * (a - a0), 5) AS effect_b, round(beta * (a - a0), 5) AS explained FROM y, w, b WHERE year <> 1995""")
+ b AS (SELECT m AS m0, a AS a0 FROM y WHERE year = (SELECT min(year) FROM y))
+SELECT year, round(m - m0, 5) AS effect_a, round(m - m0 - beta * (a - a0), 5) AS effect_b, round(beta * (a - a0), 5) AS explained FROM y, w, b WHERE year <> (SELECT min(year) FROM y)""")
 def nested_year_effects(spark, sf):
     """Year effects without and with the size of the system, from one pass over the data."""
-    dummies = bins.one_hot(F.col("year"), range(1995, 2002), "year", drop=1995)
-    fits = regression.nested(_daily(spark, sf).withColumns(dummies), {"A": list(dummies), "B": [*dummies, "active_stations"]}, "trips")
+    d = _daily(spark, sf)
+    years = _years(d)
+    dummies = bins.one_hot(F.col("year"), years, "year", drop=years[0])
+    fits = regression.nested(d.withColumns(dummies), {"A": list(dummies), "B": [*dummies, "active_stations"]}, "trips")
     a, b = fits["A"].params(), fits["B"].params()
     rows = [(int(t[5:]), float(a[t]), float(b[t])) for t in dummies]
     out = spark.createDataFrame(rows, "year long, effect_a double, effect_b double")

@@ -40,7 +40,7 @@ def neighbours_within_radius(spark, sf):
 
 @query("J7", sql=f"""WITH {_CUS}, pl AS (SELECT n_name AS place, {v.sql_lat('n_nationkey::BIGINT * 17 + 5')} AS lat, {v.sql_lon('n_nationkey::BIGINT * 17 + 5')} AS lon, n_regionkey FROM nation),
  p AS (SELECT DISTINCT n_regionkey, place, c.lat, c.lon FROM pl JOIN cus c ON abs(pl.lat - c.lat) < 0.03 AND abs(pl.lon - c.lon) < 0.03),
- ctl AS (SELECT * FROM p WHERE n_regionkey = 2 AND NOT EXISTS (SELECT 1 FROM p q WHERE q.n_regionkey < 2 AND q.lat = p.lat AND q.lon = p.lon))
+ ctl AS (SELECT * FROM p WHERE n_regionkey >= 2 AND NOT EXISTS (SELECT 1 FROM p q WHERE q.n_regionkey < 2 AND q.lat = p.lat AND q.lon = p.lon))
 SELECT place, count(*) AS positions, round(sum(lat), 4) AS lat_sum FROM (SELECT * FROM p WHERE n_regionkey < 2 UNION ALL SELECT * FROM ctl) GROUP BY 1""")
 def stations_near_places(spark, sf):
     """Positions near named places on both axes; the control list loses what other lists have."""
@@ -49,7 +49,7 @@ def stations_near_places(spark, sf):
     pts = spatial.distinct_points(_customers(spark, sf)).select("lat", "lon")
     near = spatial.rows_in_box(pl, pts, 0.03).select("place", "b_lat", "b_lon").join(pl.select("place", "n_regionkey"), "place")
     listed = near.filter(F.col("n_regionkey") < 2)
-    control = near.filter(F.col("n_regionkey") == 2).join(listed, ["b_lat", "b_lon"], "left_anti").select(*listed.columns)
+    control = near.filter(F.col("n_regionkey") >= 2).join(listed, ["b_lat", "b_lon"], "left_anti").select(*listed.columns)
     return listed.unionByName(control).groupBy("place").agg(F.count(F.lit(1)).alias("positions"), r(F.sum("b_lat"), 4).alias("lat_sum"))
 
 
@@ -238,18 +238,22 @@ def crosswalk_summary(spark, sf):
     return identity.crosswalk_summary(x).withColumn("match_rate", r("match_rate"))
 
 
-_OBS = f"""{v.STATION_ENDS}, obs AS (SELECT regexp_replace(station_id, '\\.0$', '') AS station_id, name, round(lat, 6) AS lat, round(lon, 6) AS lon, count(*) AS trip_count, min(source_file) AS sample_file, min(file_year) AS source_year
- FROM ends WHERE lower(name) NOT LIKE '%temp%' AND lower(name) NOT LIKE '%lab%' AND lower(name) NOT LIKE '%demo%' AND file_year IN (2020, 2021, 2023) GROUP BY ALL)"""
+def _obs_sql(condition: str) -> str:
+    return f"""{v.STATION_ENDS}, obs AS (SELECT regexp_replace(station_id, '\\.0$', '') AS station_id, name, round(lat, 6) AS lat, round(lon, 6) AS lon, count(*) AS trip_count, min(source_file) AS sample_file, min(file_year) AS source_year
+ FROM ends WHERE lower(name) NOT LIKE '%temp%' AND lower(name) NOT LIKE '%lab%' AND lower(name) NOT LIKE '%demo%' AND {condition} GROUP BY ALL)"""
+
+
+_OBS = _obs_sql("TRUE")
 
 
 def _obs(spark, sf):
-    return identity.observations(v.station_ends(spark, sf), [2020, 2021, 2023], "nyc")
+    return identity.observations(v.station_ends(spark, sf), box="nyc")
 
 
-@query("A14", sql=f"""WITH {_OBS} SELECT station_id, name, lat, lon, trip_count, sample_file, source_year::BIGINT AS source_year FROM obs WHERE lat BETWEEN 40.4 AND 41.0 AND lon BETWEEN -74.3 AND -73.7""")
+@query("A14", sql=f"""WITH {_obs_sql('file_year IN (2020, 2021, 2023)')} SELECT station_id, name, lat, lon, trip_count, sample_file, source_year::BIGINT AS source_year FROM obs WHERE lat BETWEEN 40.4 AND 41.0 AND lon BETWEEN -74.3 AND -73.7""")
 def station_observations(spark, sf):
     """Distinct (id, name, position) with counts; years are filtered before grouping."""
-    return _obs(spark, sf)
+    return identity.observations(v.station_ends(spark, sf), [2020, 2021, 2023], "nyc")
 
 
 @query("A15", sql=f"""WITH {_OBS}, n AS (SELECT station_id, name, sum(trip_count) AS c FROM obs WHERE lat BETWEEN 40.4 AND 41.0 AND lon BETWEEN -74.3 AND -73.7 GROUP BY ALL),

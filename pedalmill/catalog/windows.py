@@ -166,8 +166,8 @@ def midweek_gap(spark, sf):
 
 
 @query("A43", sql=f"""WITH {_MONTHLY}, b AS (SELECT *, max(CASE WHEN year = 1997 THEN trips END) OVER (PARTITION BY month, kind) AS base FROM monthly)
-SELECT year, month, kind, trips, COALESCE(round(100.0::DOUBLE * trips / base, 6), -1) AS pct_of_base FROM b WHERE year >= 1997""")
+SELECT year, month, kind, trips, COALESCE(round(100.0::DOUBLE * trips / base, 6), -1) AS pct_of_base FROM b""")
 def recovery_vs_base_year(spark, sf):
-    m = _monthly(spark, sf, first_year=1997)
+    m = _monthly(spark, sf)
     out = series.versus_base_year(m, "trips", "year", 1997, ["month", "kind"])
     return out.withColumn("pct_of_base", F.coalesce(r("pct_of_base"), F.lit(-1.0)))

@@ -7,6 +7,7 @@ at 1, so everything goes through :func:`dow`.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,10 +98,14 @@ def hours_between(ts: Column, start: int, end: int) -> Column:
     return h.between(start, end) if start <= end else (h >= start) | (h <= end)
 
 
-def in_years(ts: Column, first: int, last: int) -> Column:
-    """Years ``first`` to ``last`` as a plain range, which reaches Parquet statistics."""
-    return ((ts >= F.lit(f"{first}-01-01").cast("timestamp"))
-            & (ts < F.lit(f"{last + 1}-01-01").cast("timestamp")))
+def in_years(ts: Column, first: int | None, last: int | None) -> Column:
+    """Years ``first`` to ``last`` as a plain range, which reaches Parquet statistics. None leaves a side open."""
+    parts = []
+    if first is not None:
+        parts.append(ts >= F.lit(f"{first}-01-01").cast("timestamp"))
+    if last is not None:
+        parts.append(ts < F.lit(f"{last + 1}-01-01").cast("timestamp"))
+    return reduce(lambda a, b: a & b, parts) if parts else ts.isNotNull()
 
 
 def period_by_date(ts: Column, bounds: Sequence[tuple[str | None, str | None, str]]) -> Column:

@@ -19,8 +19,8 @@ def parse_timestamp(text: Column) -> Column:
 
 
 def duration_seconds(start: Column, end: Column) -> Column:
-    """Whole seconds between two timestamps, rounded half to even."""
-    return F.rint(end.cast("double") - start.cast("double")).cast("int")
+    """Whole seconds between two timestamps, rounded half to even; NULL beyond the range of INT."""
+    return F.rint(end.cast("double") - start.cast("double")).try_cast("int")
 
 
 def try_double(text: Column) -> Column:
@@ -115,8 +115,11 @@ def day_type(monday: Column, saturday: Column, sunday: Column) -> Column:
 NAMED_STAMP = r"(\d{4})(\d{2})-[a-z]"
 
 
-def expected_year_month(file_name: Column, first: int = 2013, last: int = 2030) -> Column:
-    """Struct (year, month) the file name promises, NULL fields when it names none."""
+def expected_year_month(file_name: Column, first: int = 2013, last: int = 9999) -> Column:
+    """Struct (year, month) the file name promises, NULL fields when it names none.
+
+    A bare six-digit stamp counts from the first year of the system on.
+    """
     named_y = F.regexp_extract(file_name, NAMED_STAMP, 1)
     named_m = F.regexp_extract(file_name, NAMED_STAMP, 2)
     any_y = F.regexp_extract(file_name, r"(\d{4})(\d{2})", 1)

@@ -109,12 +109,12 @@ def clean_count(text: Column) -> Column:
     """Counts from cells: blank 0, ``1,234`` 1234, ``12.7`` 12, anything else 0."""
     number = F.regexp_replace(F.trim(text.cast("string")), ",", "").try_cast("double")
     whole = F.when(F.isnan(number), F.lit(0.0)).otherwise(number)
-    return F.coalesce(whole.try_cast("int"), F.lit(0))
+    return F.coalesce(whole.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def coerce_int(text: Column, default: int) -> Column:
     """Integer through double, with a default for blanks and bad text."""
-    return F.coalesce(text.cast("string").try_cast("double").try_cast("int"), F.lit(default))
+    return F.coalesce(text.cast("string").try_cast("double").try_cast("bigint"), F.lit(default).cast("bigint"))
 
 
 def borough_of(stop_name: Column) -> Column:

@@ -20,7 +20,7 @@ class Scenario:
 
     hours: tuple[int, int] = (0, 23)
     days: str | None = None            # 'weekday', 'weekend' or None
-    years: tuple[int, int] = (2013, 2025)
+    years: tuple[int | None, int | None] = (None, None)
     season: str | None = None
     min_minutes: int | None = None
     max_minutes: int | None = None
@@ -35,7 +35,7 @@ SCENARIOS = {
     "evening_rush": Scenario(hours=(17, 19), days="weekday", rider="member", max_minutes=60),
     "weekend_leisure": Scenario(days="weekend"),
     "long_rides": Scenario(min_minutes=20),
-    "ebikes_only": Scenario(bike="electric_bike", years=(2020, 2025)),
+    "ebikes_only": Scenario(bike="electric_bike", years=(2020, None)),
     "tourist": Scenario(rider="casual"),
     "everything": Scenario(),
 }

@@ -149,16 +149,25 @@ def solve(g: Gram) -> Fit:
     p = len(g.names) - 1
     xtx, xty, yty = g.matrix[:p, :p], g.matrix[:p, p], float(g.matrix[p, p])
     n = g.n
-    # Scale columns to unit length so the rank test does not depend on units.
+    # Scale columns to unit length so the rank test does not depend on units. The inverse in
+    # scaled units is then projected onto the row space in raw units, which makes it the
+    # pseudo-inverse of the raw design: the shortest coefficients among all best ones.
     scale = np.sqrt(np.maximum(np.diag(xtx), 0.0))
     scale[scale == 0.0] = 1.0
-    scaled = xtx / np.outer(scale, scale)
-    inv = np.linalg.pinv(scaled, rcond=1e-10, hermitian=True) / np.outer(scale, scale)
-    rank = int(np.linalg.matrix_rank(scaled, tol=1e-10, hermitian=True))
+    values, vectors = np.linalg.eigh(xtx / np.outer(scale, scale))
+    used = values > 1e-10 * max(values[-1], 0.0)
+    rank = int(used.sum())
+    inv = (vectors[:, used] / values[used]) @ vectors[:, used].T / np.outer(scale, scale)
+    if rank < p:
+        free = np.linalg.qr(vectors[:, ~used] / scale[:, None])[0]
+        onto = np.eye(p) - free @ free.T
+        inv = onto @ inv @ onto
     coef = inv @ xty
-    sse = max(yty - float(coef @ xty), 0.0)
-    mean = xty[0] / n
+    # Sums of squares around the means, which large means do not cancel.
+    centre, mean = xtx[0] / n, xty[0] / n
     sst = yty - n * mean * mean
+    xy, xx = xty - n * centre * mean, xtx - n * np.outer(centre, centre)
+    sse = max(sst - 2 * float(coef @ xy) + float(coef @ xx @ coef), 0.0)
     r2 = 1.0 - sse / sst if sst > 0 else float("nan")
     dof = n - rank
     adj = 1.0 - (1.0 - r2) * (n - 1) / dof if dof > 0 else float("nan")

@@ -12,10 +12,14 @@ from ..session import lookup_join
 
 
 def unpivot_months(wide: DataFrame, ids: Sequence[str], value: str = "value",
-                   first_year: int = 2010, last_year: int = 2025) -> DataFrame:
-    """Columns named like ``2015-01-31`` become rows (ids, month, year, value); blanks go."""
-    months = [c for c in wide.columns if "-" in c and c[:1].isdigit()
-              and c.split("-")[0].isdigit() and first_year <= int(c.split("-")[0]) <= last_year]
+                   first_year: int | None = None, last_year: int | None = None) -> DataFrame:
+    """Columns named like ``2015-01-31`` become rows (ids, month, year, value); blanks go.
+
+    All such columns are taken unless the caller names the first or last year.
+    """
+    years = {c: int(c.split("-")[0]) for c in wide.columns if "-" in c and c.split("-")[0].isdigit()}
+    months = [c for c, year in years.items() if (first_year is None or year >= first_year)
+              and (last_year is None or year <= last_year)]
     return (wide.select(*ids, *[F.col(f"`{m}`").cast("double").alias(m) for m in months])
             .unpivot(list(ids), [F.col(f"`{m}`") for m in months], "month", value)
             .filter(F.col(value).isNotNull())
@@ -45,30 +49,43 @@ def _parsed_date(value: Column) -> Column:
                       F.try_to_timestamp(value, F.lit("M/d/yyyy"))).cast("date")
 
 
-def sheet_records(cells: DataFrame, scan_rows: int = 12, sheet_keys: Sequence[str] = ("file", "sheet")) -> DataFrame:
+def _filled(cells: DataFrame) -> DataFrame:
+    return (cells.withColumn("value", F.trim("value"))
+            .filter(F.col("value").isNotNull() & (F.col("value") != "")))
+
+
+def _is_mark() -> Column:
+    low = F.lower(F.col("value"))
+    return ((F.col("col") == 0) & (low == "day")) | ((F.col("col") == 1) & (low == "date"))
+
+
+def sheets_without_header(cells: DataFrame, sheet_keys: Sequence[str] = ("file", "sheet")) -> DataFrame:
+    """Sheets that no row marks as ``Day`` or ``Date``: ``sheet_records`` finds nothing in them."""
+    marked = _filled(cells).groupBy(*sheet_keys).agg(F.max(_is_mark()).alias("marked"), F.count(F.lit(1)).alias("cells"))
+    return marked.filter("NOT marked").drop("marked")
+
+
+def sheet_records(cells: DataFrame, sheet_keys: Sequence[str] = ("file", "sheet")) -> DataFrame:
     """Ridership records from sheets with a route header row above a stop header row.
 
     ``cells``: file, sheet, row, col, value (text), rows and columns from 0. In
-    each sheet the row whose first cell is ``Day`` or second is ``Date`` names
-    the stops; the nearest row above with any heading names the destinations,
+    each sheet the first row whose first cell is ``Day`` or second is ``Date`` names
+    the stops, wherever it stands (see ``sheets_without_header`` for the others); the nearest row above with any heading names the destinations,
     filled to the right over merged cells. Data starts at the first dated row.
-    Only header cells (``scan_rows`` times the width of a sheet) go through
-    windows. Data cells are grouped per row, and each row then meets the list of
+    Only the cells of two header rows go through a window. Data cells are grouped per row, and each row then meets the list of
     headed columns of its sheet, so a blank cell counts as zero rides.
     """
     keys = list(sheet_keys)
     low = F.lower(F.col("value"))
-    cells = (cells.withColumn("value", F.trim("value"))
-             .filter(F.col("value").isNotNull() & (F.col("value") != "")))
-
-    sheet = Window.partitionBy(*keys)
-    is_mark = ((F.col("col") == 0) & (low == "day")) | ((F.col("col") == 1) & (low == "date"))
-    heading = F.col("col").between(2, 14) & ~low.isin("none", "weekday", "weekdays")
-    top = (cells.filter(F.col("row") < scan_rows)
-           .withColumn("stop_row", F.coalesce(F.min(F.when(is_mark, F.col("row"))).over(sheet), F.lit(0)))
-           .withColumn("route_row", F.coalesce(
-               F.max(F.when(heading & (F.col("row") < F.col("stop_row")), F.col("row"))).over(sheet),
-               F.greatest(F.col("stop_row") - 1, F.lit(0)))))
+    cells = _filled(cells)
+
+    heading = (F.col("col") >= 2) & ~low.isin("none", "weekday", "weekdays")
+    stops = cells.filter(_is_mark()).groupBy(*keys).agg(F.min("row").alias("stop_row"))
+    above = lookup_join(cells.filter(heading), stops, keys, "inner").filter(F.col("row") < F.col("stop_row"))
+    routes = above.groupBy(*keys).agg(F.max("row").alias("route_row"))
+    marks = stops.join(routes, keys, "left").withColumn("route_row", F.coalesce(
+        "route_row", F.greatest(F.col("stop_row") - 1, F.lit(0))))
+    top = lookup_join(cells, marks, keys, "inner").filter(F.col("row").isin(F.col("stop_row"), F.col("route_row")))
     is_stop = ((F.col("row") == F.col("stop_row")) & (F.col("col") >= 2) & ~low.isin(*NOT_A_STOP)
                & ~low.contains("total"))
     is_route = (F.col("row") == F.col("route_row")) & ~low.isin(*NOT_A_ROUTE)

@@ -8,6 +8,7 @@ Windows without partition keys run in one task, so they belong after the
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -142,12 +143,14 @@ def weekday_gap(daily: DataFrame, value: str, week: str, dow: str, by: Sequence[
 
 def full_grid(df: DataFrame, axes: dict[str, Sequence], values: Sequence[str],
               within: Sequence[str] = ()) -> DataFrame:
-    """Every combination of the axes per group, missing cells filled with 0."""
+    """Every combination of the axes per group, missing cells filled with 0. A NULL group is a group."""
     spine = df.select(*within).distinct() if within else df.sparkSession.range(1).drop("id")
     for name, levels in axes.items():
         spine = spine.withColumn(name, F.explode(F.array(*[F.lit(v) for v in levels])))
     keys = [*within, *axes]
-    return spine.join(df, keys, "left").fillna(0, subset=list(values))
+    cells = df.select(*[F.col(c).alias(f"__{c}") if c in keys else F.col(c) for c in df.columns])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return spine.join(cells, same, "left").select(*keys, *[c for c in df.columns if c not in keys]).fillna(0, subset=list(values))
 
 
 def missing_dates(df: DataFrame, date: str) -> DataFrame:

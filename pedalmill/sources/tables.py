@@ -34,7 +34,7 @@ def read_lines(spark: SparkSession, path: str, skip: int = 3) -> DataFrame:
 def _units(parts: Column, position: int) -> Column:
     """Blank means 0; text that is no whole number gives NULL."""
     cell = F.trim(F.get(parts, position))
-    return F.when(cell == "", F.lit(0)).when(cell.rlike(r"^[+-]?\d+$"), cell.try_cast("int"))
+    return F.when(cell == "", F.lit(0).cast("bigint")).when(cell.rlike(r"^[+-]?\d+$"), cell.try_cast("bigint"))
 
 
 def permits(lines: DataFrame, fields: dict[str, int], units: dict[str, int], min_fields: int,

@@ -366,7 +366,7 @@ def test_loose_names(spark):
 
 def test_wide_months(spark):
     df = spark.createDataFrame([(1, "A", 1.0, None, 3.0, 9.0)], "`RegionID` int, `RegionName` string, `2015-01-31` double, `2015-02-28` double, `2016-01-31` double, `2009-12-31` double")
-    got = sorted((r.month, r.year, r.value) for r in reshape.unpivot_months(df, ["RegionID"]).collect())
+    got = sorted((r.month, r.year, r.value) for r in reshape.unpivot_months(df, ["RegionID"], first_year=2010, last_year=2025).collect())
     assert got == [("2015-01-31", 2015, 1.0), ("2016-01-31", 2016, 3.0)]
 
 
