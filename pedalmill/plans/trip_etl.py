@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parse
 from ..operators import identity, quality
+from ..session import durable
 from ..sources import manifest, sinks, trips as trip_source
 
 CANONICAL = [
@@ -75,26 +76,45 @@ def harmonise(projected: DataFrame, crosswalk: DataFrame, current: DataFrame,
 def run(spark: SparkSession, raw: str, out: str, crosswalk: DataFrame, current: DataFrame,
         overrides: DataFrame | None = None, years: list[int] | None = None, system: str = "nyc",
         force: bool = False, log: str | None = None, run_id: str = "run") -> Result:
-    """Read a folder of raw files and write it once: kept and dropped rows in separate partitions.
+    """Read the new files of a folder and write them once, kept and dropped rows together.
 
-    Raw text is parsed in a single pass. Counters come from the written Parquet,
-    of which they read three columns.
+    Finished files are listed below ``out`` and skipped; ``force`` takes them again. A file
+    replaces its own earlier rows and no others, so a run that is repeated, forced or tried again
+    after a failure leaves one copy. File names identify files. Raw text is parsed in a single
+    pass. Counters come from the written Parquet, of which they read three columns.
     """
     files = manifest.without_superseded(manifest.trip_files(spark, raw))
     if years is not None:
         files = manifest.of_years(files, years)
-    result = harmonise(trip_source.read_files(spark, files), crosswalk, current, overrides)
-    # Months follow the file name where it names one, so a forced run of a file
-    # replaces that file's month only, whatever dates its bad rows carry.
-    sinks.write_trips(result.judged.withColumns({
-        "system": F.lit(system),
-        "status": F.when(F.col("drop_reason").isNull(), "kept").otherwise("dropped"),
-        "year": F.coalesce(F.col("expected.year"), F.year("started_at")),
-        "month": F.coalesce(F.col("expected.month"), F.month("started_at"))}).drop("expected"), out, force=force)
+    files = files.filter(F.col("family") != "unknown")
+    new = durable(manifest.pending(files, finished(spark, out, system), force))
+    judged = harmonise(trip_source.read_files(spark, new if not new.isEmpty() else files), crosswalk, current, overrides)
+    if not new.isEmpty():
+        sinks.write_files(judged.judged.withColumns({
+            "system": F.lit(system),
+            "status": F.when(F.col("drop_reason").isNull(), "kept").otherwise("dropped"),
+            "year": F.coalesce(F.col("expected.year"), F.year("started_at")),
+            "month": F.coalesce(F.col("expected.month"), F.month("started_at"))}).drop("expected"), out)
+        done = new.select(F.lit(system).alias("system"), "file_name", "length", "modified").distinct()
+        done.write.mode("append").parquet(_list_of(out))
     written = spark.read.parquet(out).filter(F.col("system") == system)
     if years is not None:
         written = written.filter(F.col("year").isin(*years))
-    stored = Result(written, result.reason_names)
+    stored = Result(written, judged.reason_names)
     if log is not None:
         sinks.write_log(stored.accounting(), log, run_id)
     return stored
+
+
+def _list_of(out: str) -> str:
+    """Finished files; readers of ``out`` pass over names that begin with an underscore."""
+    return f"{out}/_finished"
+
+
+def finished(spark: SparkSession, out: str, system: str) -> DataFrame:
+    """Names of the files that ``out`` holds."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_list_of(out))
+    there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    schema = "system string, file_name string, length long, modified timestamp"
+    rows = spark.read.schema(schema).parquet(_list_of(out)) if there else spark.createDataFrame([], schema)
+    return rows.filter(F.col("system") == system).select("file_name")

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from ..functions import parse
 from ..session import lookup_join
 
+#: A header is at most so long; no more of a file is read to find it.
+MAX_HEADER_BYTES = 64 * 1024
+
 FAMILIES = ("modern", "legacy", "legacy_titlecase")
 
 
@@ -32,14 +35,11 @@ def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 system, path = fs.LocalFileSystem(), "/" + uri[len("file:/"):].lstrip("/")
             else:
                 system, path = fs.FileSystem.from_uri(uri)
-            line = b""
             with system.open_input_stream(path) as stream:
-                while b"\n" not in line:
-                    block = stream.read(65536)
-                    if not block:
-                        break
-                    line += block
-            heads.append(line.split(b"\n", 1)[0].decode("utf-8-sig", "replace").rstrip("\r"))
+                line, _, _ = stream.read(MAX_HEADER_BYTES).partition(b"\n")
+            # A first line beyond the bound is no header, and its file of no known family.
+            line = line if len(line) < MAX_HEADER_BYTES else b""
+            heads.append(line.decode("utf-8-sig", "replace").rstrip("\r"))
         yield pdf.assign(header=heads)
 
 
@@ -56,7 +56,12 @@ def trip_files(spark: SparkSession, path: str) -> DataFrame:
 
     Headers are read in tasks, a few kilobytes per file.
     """
-    files = list_files(spark, path)
+    return with_headers(list_files(spark, path))
+
+
+def with_headers(files: DataFrame) -> DataFrame:
+    """``files`` (path, file_name, ...) with header, schema family and promised month."""
+    spark = files.sparkSession
     heads = files.select("path").repartition(
         max(1, min(256, spark.sparkContext.defaultParallelism))).mapInPandas(
         _first_lines, "path string, header string")

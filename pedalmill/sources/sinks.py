@@ -26,6 +26,19 @@ def write_trips(trips: DataFrame, root: str, mode: str = "append", force: bool =
     writer.parquet(root)
 
 
+def write_files(trips: DataFrame, root: str) -> None:
+    """Trips as ZSTD Parquet by system and source file; what is written replaces the file's earlier rows.
+
+    Kept and dropped rows of a file stand together, so a forced run leaves neither stale
+    ones nor those of another part of the month untouched. Rows are in order of status, year
+    and month, which lets filters on them skip row groups.
+    """
+    keys = ["system", "source_file"]
+    (trips.hint("rebalance", *keys).sortWithinPartitions(*keys, "status", "year", "month").write
+     .option("compression", "zstd").option("partitionOverwriteMode", "dynamic").mode("overwrite")
+     .partitionBy(*keys).parquet(root))
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     writer = df.write.mode(mode).option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)

@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-import csv
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import parse, text
-from ..session import same_rows_union
+from ..session import lookup_join
 
 CORRUPT = "_corrupt"
-#: More distinct headers than this means the folder holds something else.
-MAX_HEADERS = 200
 
 # Raw column names per family, in the order of the columns below.
 MODERN = {
@@ -42,76 +37,97 @@ TITLECASE = {
 COLUMN_NAMES = {"modern": MODERN, "legacy": LEGACY, "legacy_titlecase": TITLECASE}
 
 
-def project(raw: DataFrame, family: str) -> DataFrame:
-    """Raw text columns of one family to typed common columns.
+def _typed(raw: DataFrame, cols: dict[str, Column], modern: Column) -> DataFrame:
+    """Raw text cells by column key to typed common columns; ``modern`` tells the family of a row.
 
     Every value is text on input, so ids keep their zeros (``5636.10``) and a bad
     cell becomes NULL instead of failing the file.
     """
-    names = COLUMN_NAMES[family]
-
     def col(key: str) -> Column:
-        return F.col(f"`{names[key]}`").cast("string")
-
-    modern = family == "modern"
-    start, end = parse.parse_timestamp(col("start")), parse.parse_timestamp(col("end"))
-    keep = [c for c in ("source_file", "expected", CORRUPT) if c in raw.columns]
+        return cols.get(key, parse.null_of("string"))
 
     def station_id(key: str) -> Column:
-        return col(key) if modern else text.strip_float_suffix(col(key))
+        return F.when(modern, col(key)).otherwise(text.strip_float_suffix(col(key)))
 
+    start, end = parse.parse_timestamp(col("start")), parse.parse_timestamp(col("end"))
+    keep = [c for c in ("source_file", "expected", CORRUPT) if c in raw.columns]
     return raw.select(
-        (col("ride_id") if modern else parse.synthetic_key(col("start"), col("start_id"), col("bike")))
+        F.when(modern, col("ride_id")).otherwise(parse.synthetic_key(col("start"), col("start_id"), col("bike")))
         .alias("ride_id"),
-        (col("rideable_type") if modern else parse.null_of("string")).alias("rideable_type"),
+        F.when(modern, col("rideable_type")).alias("rideable_type"),
         start.alias("started_at"), end.alias("ended_at"),
-        (parse.duration_seconds(start, end) if modern else parse.try_int(col("seconds"))).alias("duration_sec"),
+        F.when(modern, parse.duration_seconds(start, end)).otherwise(parse.try_int(col("seconds"))).alias("duration_sec"),
         station_id("start_id").alias("start_station_id_raw"), col("start_name").alias("start_station_name_raw"),
         parse.try_double(col("start_lat")).alias("start_lat_raw"),
         parse.try_double(col("start_lon")).alias("start_lon_raw"),
         station_id("end_id").alias("end_station_id_raw"), col("end_name").alias("end_station_name_raw"),
         parse.try_double(col("end_lat")).alias("end_lat_raw"),
         parse.try_double(col("end_lon")).alias("end_lon_raw"),
-        (col("rider") if modern else parse.rider_type(col("rider"))).alias("member_casual"),
-        (parse.null_of("string") if modern else col("bike")).alias("bike_id"),
-        (parse.null_of("int") if modern else parse.try_int(col("birth"))).alias("birth_year"),
-        (parse.null_of("int") if modern else parse.try_int(col("gender"))).alias("gender"),
+        F.when(modern, col("rider")).otherwise(parse.rider_type(col("rider"))).alias("member_casual"),
+        F.when(~modern, col("bike")).alias("bike_id"),
+        F.when(~modern, parse.try_int(col("birth"))).alias("birth_year"),
+        F.when(~modern, parse.try_int(col("gender"))).alias("gender"),
         *keep)
 
 
+def project(raw: DataFrame, family: str) -> DataFrame:
+    """Raw text columns of one family to typed common columns."""
+    cols = {key: F.col(f"`{name}`").cast("string") for key, name in COLUMN_NAMES[family].items()}
+    return _typed(raw, cols, F.lit(family == "modern"))
+
+
+def _cells(line: Column, width: int) -> Column:
+    """The first ``width`` cells of a CSV line; empty and missing ones are NULL."""
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    parsed = F.from_csv(line, schema, {"mode": "PERMISSIVE"})
+    return F.array(*[parsed[f"c{i}"] for i in range(width)])
+
+
+def _cell_count(line: Column) -> Column:
+    """Number of cells of a CSV line, commas between quotes not counting."""
+    quoted = r'(?<=^|,)"(?:\\.|[^"\\]|"(?!,|$))*"(?=,|$)'
+    return F.size(F.split(F.regexp_replace(line, quoted, ""), ",", -1))
+
+
 def read_files(spark: SparkSession, files: DataFrame) -> DataFrame:
     """All files of a manifest (see ``manifest.trip_files``) as one projected frame.
 
-    Files are grouped by their exact header, so column order never matters. The
-    driver handles one short row per file, as Spark's own file listing does.
+    One scan for all families and headers: each line meets the header of its file and
+    cells are found by name, so column order never matters and headers may differ from
+    file to file. The driver handles one path per file, as Spark's own file listing does.
     Unknown families are skipped; rows with too many or too few cells are kept and
     marked in ``_corrupt``, to be counted rather than lost.
     """
-    known = files.filter(F.col("family") != "unknown")
-    groups = known.groupBy("family", "header").agg(F.collect_list("path").alias("paths")) \
-        .limit(MAX_HEADERS + 1).collect()
-    if not groups:
+    known = files.filter(F.col("family") != "unknown").select("path", "family", "header")
+    paths = [row.path for row in known.select("path").toLocalIterator()]
+    if not paths:
         raise ValueError("no file with a known header")
-    if len(groups) > MAX_HEADERS:
-        raise ValueError(f"more than {MAX_HEADERS} different headers; is this the right folder?")
-    parts = []
-    for g in groups:
-        columns = next(csv.reader([g.header]))
-        schema = T.StructType([T.StructField(c.strip(), T.StringType()) for c in columns]
-                              + [T.StructField(CORRUPT, T.StringType())])
-        # Pruned columns would hide rows with too many cells from a narrow query.
-        raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-               .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
-               .csv(list(g.paths))
-               .withColumn("source_file", F.col("_metadata.file_name")))
-        raw = raw.withColumn("expected", parse.expected_year_month(F.col("source_file")))
-        parts.append(project(raw, g.family))
-    return same_rows_union(parts)
+    width = known.agg(F.max(F.size(F.split("header", ",")))).first()[0]
+    heads = known.select(F.col("path").alias("__path"), "family", "header",
+                         F.transform(_cells(F.col("header"), width), F.trim).alias("__head"), _cell_count(F.col("header")).alias("__width"))
+    lines = spark.read.text(paths).select(
+        F.regexp_replace("value", "^\ufeff", "").alias("__line"), F.col("_metadata.file_path").alias("__path"),
+        F.col("_metadata.file_name").alias("source_file"))
+    lines = lines.filter(F.trim("__line") != "")
+    rows = lookup_join(lines, heads, "__path", "inner").filter(F.col("__line") != F.col("header"))
+    rows = rows.withColumn("__cells", _cells(F.col("__line"), width))
+    rows = rows.withColumns({CORRUPT: F.when(_cell_count(F.col("__line")) != F.col("__width"), F.col("__line")),
+                             "expected": parse.expected_year_month(F.col("source_file"))})
+
+    def cell(key: str) -> Column:
+        name = F.lit(None).cast("string")
+        for family, names in COLUMN_NAMES.items():
+            if key in names:
+                name = F.when(F.col("family") == family, F.lit(names[key])).otherwise(name)
+        found = F.get("__cells", (F.array_position("__head", name) - 1).cast("int"))
+        return found
+
+    return _typed(rows, {key: cell(key) for key in {**MODERN, **LEGACY}}, F.col("family") == "modern")
 
 
 def read_processed(spark: SparkSession, root: str, system: str | None = None,
                    years: list[int] | None = None) -> DataFrame:
-    """Canonical trips; system and years prune partitions instead of globbing names."""
+    """Canonical trips; system prunes partitions, years prune partitions or row groups."""
     df = spark.read.parquet(root)
     if "status" in df.columns:
         df = df.filter(F.col("status") == "kept").drop("status", "drop_reason", "reasons")

@@ -15,7 +15,7 @@ from pedalmill.operators.spatial import polygon_area
 from pedalmill.plans import crosswalk as crosswalk_plan
 from pedalmill.plans import trip_etl
 from pedalmill.sources import feeds, manifest, sinks, tables, trips
-from pedalmill.streaming.ingest import ingest_new, raw_stream
+from pedalmill.streaming.ingest import ingest_folder, ingest_new, raw_stream
 
 MODERN = "ride_id,rideable_type,started_at,ended_at,start_station_name,start_station_id,end_station_name,end_station_id,start_lat,start_lng,end_lat,end_lng,member_casual"
 LEGACY = ('tripduration,starttime,stoptime,start station id,start station name,start station latitude,start station longitude,'
@@ -227,3 +227,64 @@ def test_written_trips_are_partitioned(spark, tmp_path):
     assert os.path.isdir(tmp_path / "t" / "system=nyc" / "year=1970" / "month=1")
     sinks.write_parquet(df, str(tmp_path / "p"))
     assert spark.read.parquet(str(tmp_path / "p")).count() == 10
+
+
+def part(i, seconds=600, start="2024-01-01 10:00:00.000"):
+    end = f"2024-01-01 10:{seconds // 60:02d}:{seconds % 60:02d}.000"
+    return f"{i},classic_bike,{start},{end},3 St,m-1,Carroll,4225.14,40.67,-73.98,40.68,-73.99,member"
+
+
+def test_etl_runs_again_without_doubling(spark, reference, tmp_path):
+    cw, cur = reference
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    write(raw / "202401-bikeshare-tripdata_1.csv", MODERN, part("A"), part("B", 30))
+    write(raw / "202401-bikeshare-tripdata_2.csv", MODERN, part("C"))
+
+    def run(**options):
+        acc = trip_etl.run(spark, str(raw), out, cw, cur, **options).accounting().collect()
+        return ({r.source_file[-5]: (r.rows_in, r.rows_out) for r in acc}, sorted(r.ride_id for r in trips.read_processed(spark, out).collect()))
+
+    first = ({"1": (2, 1), "2": (1, 1)}, ["A", "C"])
+    assert run() == first and run() == first  # finished files are skipped
+    write(raw / "202402-bikeshare-tripdata.csv", MODERN, part("D", start="2024-02-01 10:00:00.000").replace("2024-01-01", "2024-02-01"))
+    assert run() == ({"1": (2, 1), "2": (1, 1), "a": (1, 1)}, ["A", "C", "D"])
+    # a forced run replaces the file's kept and dropped rows and leaves other parts of the month alone
+    (raw / "202402-bikeshare-tripdata.csv").unlink()
+    (raw / "202401-bikeshare-tripdata_2.csv").rename(tmp_path / "aside.csv")
+    write(raw / "202401-bikeshare-tripdata_1.csv", MODERN, part("E"))
+    assert run(force=True) == ({"1": (1, 1), "2": (1, 1), "a": (1, 1)}, ["C", "D", "E"])
+
+
+def test_many_headers_and_column_orders(spark, tmp_path):
+    names = MODERN.split(",")
+    cells = dict(zip(names, part("X").split(",")))
+    for i in range(230):
+        order = names[i % 13:] + names[:i % 13]
+        line = ",".join(f'"r{i}, x"' if n == "ride_id" else cells[n] for n in order)
+        write(tmp_path / f"202401-{i}.csv", ",".join([*order, f"extra{i}"]), line + ",", line)
+    got = trips.read_files(spark, manifest.trip_files(spark, str(tmp_path))).collect()
+    assert len(got) == 460 and {r.ride_id for r in got} == {f"r{i}, x" for i in range(230)}
+    assert {(r.rideable_type, r.duration_sec, r.start_station_id_raw, r.end_lon_raw) for r in got} == {("classic_bike", 600, "m-1", -73.99)}
+    assert sum(r[trips.CORRUPT] is not None for r in got) == 230
+
+
+def test_stream_reads_by_header(spark, raw, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    names = MODERN.split(",")
+    swapped = [names[1], names[0], *names[2:]]
+    write(src / "202401-a.csv", ",".join(swapped), "classic_bike,R1," + part("x").split(",", 2)[2])
+    shutil.copy(raw / "201409-bikeshare-tripdata.csv", src / "201409-bikeshare-tripdata.csv")
+    shutil.copy(raw / "notes.csv", src / "notes.csv")
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        ingest_folder(spark, str(src), lambda b: b.select("ride_id", "rideable_type", "duration_sec"), out, str(tmp_path / "check")).awaitTermination()
+    got = spark.read.parquet(out).collect()
+    assert len(got) == 4 and {(r.ride_id, r.rideable_type) for r in got if r.rideable_type} == {("R1", "classic_bike")}
+    # the reader for one fixed order refuses another one
+    only = tmp_path / "only"
+    only.mkdir()
+    shutil.copy(src / "202401-a.csv", only / "a.csv")
+    with pytest.raises(Exception):
+        ingest_new(raw_stream(spark, str(only), "modern"), lambda b: b, str(tmp_path / "o2"), str(tmp_path / "c2")).awaitTermination()
