@@ -51,6 +51,7 @@ class PieceEncoder:
         self.starts = np.zeros(max(words.values()) + 1, bool)  # ids of tokens that begin with a space
         self.starts[[i for w, i in words.items() if w.startswith(space)]] = True
         self.cache: dict[str, bytes] = {}  # piece -> its ids after a space, as int32
+        self.again: set[str] = set()  # pieces met again after they were learned
         self.marks: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> np.ndarray:
@@ -80,18 +81,23 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.split(" ") for t in texts]
         if len(self.cache) > CACHE_PIECES:
-            self.cache.clear()
+            self.cache = {p: self.cache[p] for p in self.again} if len(self.again) < CACHE_PIECES // 2 else {}
+            self.again = set()
             self.marks.clear()
         # A cut is safe between two non-space characters; kept pieces have been found safe before.
         whole = [len(p) > 1 and (not p[0] or p[0][-1].isspace()) for p in split]
-        new = list(set().union(*(p[1:] for p, w in zip(split, whole) if not w)).difference(self.cache))
+        met = set().union(*(p[1:] for p, w in zip(split, whole) if not w))
+        new = list(met.difference(self.cache))
+        self.again |= met.difference(new)
         if not _safe(new):
             whole = [w or not _safe(set(p[1:]).difference(self.cache)) for p, w in zip(split, whole)]
             new = list(set().union(*(p[1:] for p, w in zip(split, whole) if not w)).difference(self.cache))
         if new:
             self._learn(new)
         get = self.cache.__getitem__
-        return [self._whole(t) if w else np.concatenate([self._whole(p[0]), np.frombuffer(b"".join(map(get, p[1:])), np.int32)])
+        heads = self.tokenizer.encode_batch_fast([p[0] for p, w in zip(split, whole) if not w], add_special_tokens=False)
+        first = iter([np.array(h.ids, np.int32).tobytes() for h in heads])
+        return [self._whole(t) if w else np.frombuffer(next(first) + b"".join(map(get, p[1:])), np.int32)
                 for t, p, w in zip(texts, split, whole)]
 
 
@@ -128,7 +134,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     ordered = (docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
                .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
     rows = common.map_bytes(ordered, ["doc_id"], "text", _encoder(tokenizer, end_id), "n_tokens long, ids array<int>")
-    options = {"compression": "zstd", "parquet.block.size": ROW_GROUP_BYTES, "parquet.page.size": PAGE_BYTES,
+    options = {"compression": "snappy", "parquet.block.size": ROW_GROUP_BYTES, "parquet.page.size": PAGE_BYTES,
                "parquet.page.row.count.limit": PAGE_ROWS, "parquet.writer.version": "PARQUET_2_0",
                "parquet.enable.dictionary": str(encoding == "dictionary").lower(), "parquet.dictionary.page.size": 1 << 20}
     rows.write.options(**{k: str(v) for k, v in options.items()}).parquet(path)
