@@ -10,11 +10,12 @@ keys. A link of similarity 0.75 misses all ``BANDS`` buckets with a chance of (1
 1. Texts with equal sets form a class (found by a 128-bit digest of the set); only classes go on.
 2. In every bucket all classes are compared with one hub, so a bucket of n classes gives n pairs. Pairs
    whose sizes or 128 signature bytes cannot belong to a link are dropped (a link fails this with a chance
-   below 1e-9); the others are verified on their full sets.
-3. Components of the links are found. A bucket whose classes are in one component is finished. In the
-   others, ``HUBS`` further classes at a time, those outside the first hub's component first, are compared
-   with all classes of other components, until each bucket is finished: no link found by a bucket is lost,
-   no bucket is cut short, and one round makes at most ``HUBS`` pairs per bucket row.
+   of 1e-6); the others are verified on their full sets.
+3. Components of the links are found. A bucket whose classes are in one component is finished. The classes
+   of the others are grouped again, by the shingles of their prefixes, which with bounds on what two sets
+   can share leaves out only what cannot be linked. In each group, ``HUBS`` classes at a time are compared with all classes of other components
+   until all are done: no link found by a bucket is lost, no group is cut short, and one round makes at most
+   ``HUBS`` pairs per group row.
 
 Defined results: NULL, empty and blank texts have an empty set, are linked with nothing and are kept;
 repeated rows share their group; ``component_id`` is the smallest id that is not NULL in the group, and a row is
@@ -43,8 +44,8 @@ INTERSECTION, UNION = 100, 75
 BANDS, ROWS = 32, 4
 COORDINATES = BANDS * ROWS
 #: Signature bytes that must agree before sets are compared; a link has 96 of 128 on average.
-LEAST_EQUAL = 60
-HUBS = 32
+LEAST_EQUAL = 72
+HUBS = 512
 CACHE_WORDS = 500_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -152,8 +153,12 @@ class _Verifier:
         self.sets: DataFrame | None = None
         self.failed: DataFrame | None = None
 
-    def _fetch(self, pairs: DataFrame) -> None:
-        needed = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    def sets_of(self, wanted: DataFrame) -> DataFrame:
+        """``class`` and ``numbers`` of the wanted classes, read from the texts where not at hand."""
+        self._fetch(wanted)
+        return self.sets.join(wanted, "class", "left_semi").dropDuplicates(["class"])
+
+    def _fetch(self, needed: DataFrame) -> None:
         if self.sets is not None:
             needed = needed.join(self.sets.select("class"), "class", "left_anti")
         needed = common.stored(needed.join(self.classes.select("class", "row_key"), "class").select("row_key").distinct(), "near-needed")
@@ -174,7 +179,7 @@ class _Verifier:
         if self.failed is not None:
             close = close.join(self.failed, ["a", "b"], "left_anti")
         close = common.stored(close, "near-close")
-        self._fetch(close)
+        self._fetch(close.select(F.explode(F.array("a", "b")).alias("class")).distinct())
         if self.sets is None:
             return close
         one, two = (self.sets.select(F.col("class").alias(c), F.col("numbers").alias(f"numbers_{c}")) for c in "ab")
@@ -191,6 +196,69 @@ def _ordered(one: str, two: str) -> list:
     return [F.least(one, two).alias("a"), F.greatest(one, two).alias("b")]
 
 
+def _labelled(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    return rows.join(groups, "class", "left").withColumn("label", F.coalesce("label", "class"))
+
+
+def _open_buckets(rows: DataFrame) -> DataFrame:
+    """Buckets with classes of several components."""
+    return rows.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least != most").select("bucket")
+
+
+def _prefix_groups(left: DataFrame, sets: DataFrame) -> DataFrame:
+    """Groups (``bucket``, ``class``, ``label``) in which any two of ``left`` that are linked meet.
+
+    With shingles ordered from rare to frequent, two sets of n and m shingles that are linked share one
+    among the first n - ceil(0.75 n) + 1 of the one and the like of the other. Shingles of a single class
+    need not be compared with anything: they only use up places. So a class whose own shingles fill its
+    prefix, as edited copies of one original do, cannot be linked to any of the others.
+    """
+    tokens = sets.join(left, "class").select("class", "label", F.size("numbers").alias("n"), F.explode("numbers").alias("bucket"))
+    counts = tokens.groupBy("bucket").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    common_ones = common.stored(tokens.join(counts, "bucket"), "near-tokens")
+    found = common_ones.groupBy("class").agg(F.count(F.lit(1)).alias("found"))
+    rank = F.row_number().over(Window.partitionBy("class").orderBy("df", "bucket"))
+    place = F.col("n") - F.col("found") + F.col("rank")
+    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(UNION) / F.lit(INTERSECTION)) + 1
+    return common_ones.withColumn("rank", rank).join(found, "class").filter(place <= prefix).select(
+        "bucket", "class", "label", "n", (F.col("n") - place + 1).alias("most"))
+
+
+def _reachable(rows: DataFrame) -> DataFrame:
+    """Rows that some size in their group allows a link.
+
+    ``most`` bounds how much two sets share whose first common shingle is the group's; a link of n and m
+    shingles needs 75 (n + m) / 175 of it. A class whose bound is too low for the smallest set of its
+    group has no link whose first common shingle is this one.
+    """
+    for _ in range(2):  # dropping some may raise the smallest size
+        least = rows.groupBy("bucket").agg(F.min("n").alias("smallest"))
+        rows = rows.join(least, "bucket").filter(f"{UNION} * (n + smallest) <= {INTERSECTION + UNION} * most").drop("smallest")
+    return rows
+
+
+
+
+def _compare_left(left: DataFrame, verifier: _Verifier, links: DataFrame, groups: DataFrame) -> DataFrame:
+    """Components when all pairs that meet in a group and may be links have been compared."""
+    while True:
+        left = _reachable(left)
+        left = common.stored(left.join(_open_buckets(left), "bucket", "left_semi"), "near-left")
+        if left.isEmpty():
+            return groups
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("class"))
+        hubs = common.stored(left.withColumn("rank", rank).filter(F.col("rank") <= HUBS)
+                             .select("bucket", *[F.col(c).alias(f"next_{c}") for c in ("class", "label", "n", "most")]), "near-hubs")
+        pairs = left.join(hubs, "bucket").filter(
+            f"label != next_label AND {UNION} * (n + next_n) <= {INTERSECTION + UNION} * least(most, next_most)")
+        new = common.stored(verifier.links(pairs.select(*_ordered("next_class", "class")).distinct()), "near-links")
+        left = left.join(hubs.select("bucket", F.col("next_class").alias("class")), ["bucket", "class"], "left_anti")
+        if not new.isEmpty():
+            links = links.unionByName(new)
+            groups = connected_components(links)
+            left = _labelled(left.drop("label"), groups)
+
+
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row of ``docs``: id, ``n_shingles``, ``component_id``, ``kept``."""
     plain = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"),
@@ -202,29 +270,21 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "
         F.first("n").alias("n"), F.min("row_key").alias("row_key"), F.min("id").alias("first_id"), F.count(F.lit(1)).alias("rows"),
         F.first("sign").alias("sign"), F.first("buckets").alias("buckets")), "near-classes")
     spread = classes.select("class", F.explode("buckets").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.min("class").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = common.stored(spread.join(shared.select("bucket", "hub"), "bucket"), "near-members")
+    shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = common.stored(spread.join(shared, "bucket"), "near-members")
+    # The original of a group of copies stands in most of the group's large buckets: it makes the best hub.
+    central = members.groupBy("class").agg(F.sum("size").alias("weight"))
+    hubs = members.join(central, "class").groupBy("bucket").agg(F.max_by("class", F.struct("weight", "class")).alias("hub"))
+    members = common.stored(members.select("bucket", "class").join(hubs, "bucket"), "near-members")
     verifier = _Verifier(plain, "text", classes)
     links = verifier.links(members.filter("class != hub").select(*_ordered("hub", "class")).distinct())
     groups = connected_components(links)
-    left = members
-    while True:
-        # Classes not yet compared with all of their bucket, in buckets with several components.
-        left = left.drop("label").filter("class != hub").join(groups, "class", "left").withColumn("label", F.coalesce("label", "class"))
-        hubs_label = groups.select(F.col("class").alias("hub"), F.col("label").alias("hub_label"))
-        open_buckets = left.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least != most")
-        left = left.join(open_buckets.select("bucket"), "bucket", "left_semi")
-        left = common.stored(left.join(hubs_label, "hub", "left").withColumn("inner", F.coalesce(F.col("label") == F.col("hub_label"), F.lit(False)))
-                             .drop("hub_label"), "near-left")
-        if left.isEmpty():
-            break
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("inner", "class"))
-        hubs = common.stored(left.withColumn("rank", rank).filter(F.col("rank") <= HUBS)
-                             .select("bucket", F.col("class").alias("next"), F.col("label").alias("next_label")), "near-hubs")
-        pairs = left.select("bucket", "class", "label").join(hubs, "bucket").filter("label != next_label")
-        links = common.stored(links.unionByName(verifier.links(pairs.select(*_ordered("next", "class")).distinct())), "near-links")
-        groups = connected_components(links)
-        left = left.join(hubs.select("bucket", F.col("next").alias("class")), ["bucket", "class"], "left_anti").drop("inner")
+    # Classes of buckets that still hold several components.
+    left = _labelled(members.select("bucket", "class"), groups)
+    left = left.join(_open_buckets(left), "bucket", "left_semi").select("class", "label").distinct()
+    left = common.stored(left, "near-left")
+    if not left.isEmpty():
+        groups = _compare_left(_prefix_groups(left, verifier.sets_of(left.select("class"))), verifier, links, groups)
     labels = classes.select("class", "first_id", "rows").join(groups, "class", "left").withColumn("label", F.coalesce("label", "class"))
     labels = common.stored(labels.filter("rows > 1").unionByName(labels.filter("rows = 1").join(groups.select("class"), "class", "left_semi")), "near-labels")
     smallest = common.stored(labels.groupBy("label").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("size")), "near-groups")

@@ -55,7 +55,7 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("hubs", [near_dedup.HUBS, 3])
+@pytest.mark.parametrize("hubs", [near_dedup.HUBS, 7])
 def test_groups_equal_brute_force(spark, monkeypatch, hubs):
     monkeypatch.setattr(near_dedup, "HUBS", hubs)
     rows = corpus()
