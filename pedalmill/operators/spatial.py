@@ -4,7 +4,8 @@ Spark has no spatial index, so nearness becomes equality of cell keys: one side
 is repeated for every cell its search area touches, the other side carries the
 one cell it lies in. Equal coordinates are collapsed before any pairing and
 spread out again afterwards, so a spot that holds a third of all rows takes part
-once. Longitudes are not wrapped at the antimeridian.
+once. Distances in metres reach across the antimeridian: a search area that crosses it
+is looked up on both sides. Longitudes are expected within -180 and 180.
 """
 
 from __future__ import annotations
@@ -27,19 +28,42 @@ def distinct_points(df: DataFrame, lat: str = "lat", lon: str = "lon",
             .agg(F.count(F.lit(1)).alias("n"), *aggs))
 
 
+def _seen_from(a: DataFrame, lon_reach: Column, wrap: bool) -> DataFrame:
+    """``a`` with the longitude ``__lon`` to search around and the half width ``__reach_lon``.
+
+    A row whose range passes the antimeridian is repeated one turn away. Half widths end at
+    half a turn, so the ranges of a row do not overlap.
+    """
+    if not wrap:
+        return a.withColumn("__reach_lon", lon_reach).withColumn("__lon", F.col("a_lon"))
+    out = a.withColumn("__reach_lon", F.least(lon_reach, F.lit(180.0)))
+    lo, hi = F.col("a_lon") - F.col("__reach_lon"), F.col("a_lon") + F.col("__reach_lon")
+    turns = F.array_compact(F.array(F.lit(0.0), F.when(lo < -180, F.lit(360.0)), F.when(hi > 180, F.lit(-360.0))))
+    return out.withColumn("__turn", F.explode(turns)).withColumn("__lon", F.col("a_lon") + F.col("__turn")).drop("__turn")
+
+
+def _in_lon_range(wrap: bool) -> Column:
+    """Whether b lies in the searched range, which of several copies of ``a`` is true for one."""
+    if not wrap:
+        return F.lit(True)
+    off = F.col("b_lon") - F.col("__lon")
+    return (off > -F.col("__reach_lon")) & (off <= F.col("__reach_lon"))
+
+
 def _pairs_in_reach(a: DataFrame, b: DataFrame, lat_reach: Column, lon_reach: Column,
-                    size: float) -> DataFrame:
+                    size: float, wrap: bool) -> DataFrame:
     """All (a, b) whose cells can be within reach. ``a`` is repeated per touched cell.
 
     ``a`` has a_lat/a_lon, ``b`` has b_lat/b_lon; reaches are columns of ``a`` in degrees.
     """
-    left = (a.withColumn("__cy", F.explode(geo.cells_covering(
+    left = (_seen_from(a, lon_reach, wrap)
+            .withColumn("__cy", F.explode(geo.cells_covering(
                 F.col("a_lat") - lat_reach, F.col("a_lat") + lat_reach, size)))
             .withColumn("__cx", F.explode(geo.cells_covering(
-                F.col("a_lon") - lon_reach, F.col("a_lon") + lon_reach, size))))
+                F.col("__lon") - F.col("__reach_lon"), F.col("__lon") + F.col("__reach_lon"), size))))
     right = (b.withColumn("__cy", geo.cell(F.col("b_lat"), size))
              .withColumn("__cx", geo.cell(F.col("b_lon"), size)))
-    return left.join(right, ["__cx", "__cy"]).drop("__cx", "__cy")
+    return left.join(right, ["__cx", "__cy"]).filter(_in_lon_range(wrap)).drop("__cx", "__cy", "__lon", "__reach_lon")
 
 
 def position_pairs_within(a: DataFrame, b: DataFrame, radius_m: float) -> DataFrame:
@@ -52,7 +76,7 @@ def position_pairs_within(a: DataFrame, b: DataFrame, radius_m: float) -> DataFr
     pa = distinct_points(a).toDF("a_lat", "a_lon", "a_n")
     pb = distinct_points(b).toDF("b_lat", "b_lon", "b_n")
     reach = math.degrees(radius_m / geo.EARTH_RADIUS_M) * (1 + 1e-9)
-    near = _pairs_in_reach(pa, pb, F.lit(reach), geo.lon_reach_deg(F.col("a_lat"), F.lit(reach)), reach)
+    near = _pairs_in_reach(pa, pb, F.lit(reach), geo.lon_reach_deg(F.col("a_lat"), F.lit(reach)), reach, wrap=True)
     d = geo.haversine_m(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon"))
     return near.withColumn("distance_m", d).filter(F.col("distance_m") <= radius_m)
 
@@ -80,7 +104,7 @@ def rows_in_box(a: DataFrame, b: DataFrame, half_deg: float) -> DataFrame:
     """
     pa = a.select("place", F.col("lat").alias("a_lat"), F.col("lon").alias("a_lon"))
     pb = b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns])
-    near = _pairs_in_reach(pa, pb, F.lit(half_deg), F.lit(half_deg), half_deg)
+    near = _pairs_in_reach(pa, pb, F.lit(half_deg), F.lit(half_deg), half_deg, wrap=False)
     return near.filter((F.abs(F.col("a_lat") - F.col("b_lat")) < half_deg)
                        & (F.abs(F.col("a_lon") - F.col("b_lon")) < half_deg))
 
@@ -141,15 +165,16 @@ def nearest_k(a: DataFrame, b: DataFrame, k: int, b_id: str, max_deg: float | No
                  else F.when(F.col("__reach") >= 90, F.lit(360.0)).otherwise(
                      geo.lon_reach_deg(F.col("a_lat"), F.col("__reach"))))
     step = F.lit(sizes[0]) / F.pow(F.lit(2.0), F.col("__lv"))
-    left = (located
+    wrap = metric == "haversine"
+    left = (_seen_from(located, lon_reach, wrap)
             .withColumn("__cy", F.explode(geo.cells_covering(
                 F.col("a_lat") - F.col("__reach"), F.col("a_lat") + F.col("__reach"), step)))
             .withColumn("__cx", F.explode(geo.cells_covering(
-                F.col("a_lon") - lon_reach, F.col("a_lon") + lon_reach, step))))
+                F.col("__lon") - F.col("__reach_lon"), F.col("__lon") + F.col("__reach_lon"), step))))
     right = (pb.withColumn("g", at_levels("b_lat", "b_lon"))
              .withColumn("__lv", F.col("g.level")).withColumn("__cy", F.col("g.cy"))
              .withColumn("__cx", F.col("g.cx")).drop("g"))
-    pairs = left.join(right, ["__lv", "__cx", "__cy"])
+    pairs = left.join(right, ["__lv", "__cx", "__cy"]).filter(_in_lon_range(wrap))
     dlat, dlon = F.col("b_lat") - F.col("a_lat"), F.col("b_lon") - F.col("a_lon")
     if metric == "degrees":
         dist = F.sqrt(dlat * dlat + dlon * dlon)

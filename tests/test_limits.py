@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pedalmill.functions import parse, text
-from pedalmill.operators import flows, regression, reshape, series
+from pedalmill.functions import geo, parse, text
+from pedalmill.operators import flows, regression, reshape, series, spatial
 
 
 def test_scenarios_are_open_in_time(spark):
@@ -74,3 +74,25 @@ def test_collinear_coefficients_and_errors_equal_the_pseudo_inverse(spark, offse
     assert fit.rank == np.linalg.matrix_rank(x) == len(cols)
     assert fit.coef == pytest.approx(coef, rel=1e-5, abs=1e-6 * (1 + offset * 1e-3))
     assert fit.stderr == pytest.approx(errors, rel=2e-3 if offset else 1e-6)
+
+
+def test_neighbours_across_the_antimeridian(spark):
+    rng = np.random.default_rng(7)
+    pts = [(float(la), float(lo)) for la, lo in zip(rng.uniform(-89.9, 89.9, 60), rng.choice([-1, 1], 60) * (180 - rng.exponential(0.5, 60)))]
+    pts += [(10.0, 179.9999), (10.0, -179.9999), (0.0, 180.0), (0.0, -180.0), (0.0, 0.0)]
+    a = spark.createDataFrame([(i, *p) for i, p in enumerate(pts)], "id int, lat double, lon double")
+    b = spark.createDataFrame([(i, la + 0.0001, lo) for i, (la, lo) in enumerate(pts)], "id int, lat double, lon double")
+
+    def far(p, q):
+        (la, lo), (lb, lp) = p, q
+        h = np.sin(np.radians(lb - la) / 2) ** 2 + np.cos(np.radians(la)) * np.cos(np.radians(lb)) * np.sin(np.radians(lp - lo) / 2) ** 2
+        return 2 * geo.EARTH_RADIUS_M * np.arcsin(np.sqrt(h))
+
+    others = [(la + 0.0001, lo) for la, lo in pts]
+    got = {(r.lat, r.lon): r.nearby for r in spatial.neighbours(a, b, 200_000.0).collect()}
+    assert got == {p: n for p in pts if (n := sum(far(p, q) <= 200_000 for q in others))}
+    near = {}
+    for r in spatial.nearest_k(a, b, 3, "id").collect():
+        near.setdefault((r.lat, r.lon), []).append((r["rank"], r.distance))
+    for p in pts:
+        assert [d for _, d in sorted(near[p])] == pytest.approx(sorted(far(p, q) for q in others)[:3], rel=1e-6, abs=1e-3)
