@@ -50,13 +50,15 @@ def crosswalk_overrides(spark, sf):
     return out.select(F.coalesce("legacy_id", F.lit("null")).alias("legacy_id"), "legacy_name", "modern_id")
 
 
-@query("J3", "A17", sql=f"""WITH {v.RESOLVED}, w AS (SELECT t.*, c.legacy_id, c.legacy_name, c.legacy_lat, c.legacy_lon,
-    sqrt(pow((t.start_lat - c.legacy_lat) * 111139, 2) + pow((t.start_lon - c.legacy_lon) * 111139 * cos(radians(40.7::DOUBLE)), 2)) AS d
-  FROM resolved t JOIN crosswalk c ON t.start_station_id = c.modern_id OR (t.start_match_type = 'ghost' AND t.start_station_id = c.legacy_id)
-  WHERE t.start_match_type IN ('crosswalk', 'ghost')), s AS (SELECT legacy_id, start_station_id AS canonical_id, start_match_type AS match_type, start_lat, start_lon, start_station_name, legacy_name,
-    count(*) AS trip_count, median(d) AS m, avg(d) AS a, max(d) AS x, quantile_cont(d, 0.95) AS p, count(*) FILTER (WHERE d > 20) * 100.0::DOUBLE / count(*) AS o FROM w GROUP BY ALL)
-SELECT legacy_id, canonical_id, match_type, trip_count, round(m, 4) AS median_m, round(a, 4) AS avg_m, round(x, 4) AS max_m, round(p, 4) AS p95_m, round(o, 4) AS pct_over,
-  CASE WHEN m > 20 THEN 'suspicious' WHEN o > 5 THEN 'bad_data' ELSE 'good' END AS verdict FROM s""")
+@query("J3", "A17", sql=f"""WITH {v.RESOLVED}, linked AS (
+    SELECT r.*, m.legacy_id, m.legacy_lat, m.legacy_lon FROM resolved r JOIN crosswalk m ON m.modern_id = r.start_station_id WHERE r.start_match_type = 'crosswalk'
+    UNION ALL SELECT r.*, m.legacy_id, m.legacy_lat, m.legacy_lon FROM resolved r JOIN crosswalk m ON m.legacy_id = r.start_station_id WHERE r.start_match_type = 'ghost'),
+  apart AS (SELECT legacy_id, start_station_id AS canonical_id, start_match_type AS match_type,
+    list(111139 * sqrt(power(legacy_lat - start_lat, 2) + power((legacy_lon - start_lon) * cos(radians(40.7::DOUBLE)), 2))) AS metres FROM linked GROUP BY ALL),
+  summary AS (SELECT legacy_id, canonical_id, match_type, len(metres) AS trip_count, list_aggregate(metres, 'median') AS mid, list_aggregate(metres, 'avg') AS mean,
+    list_aggregate(metres, 'max') AS top, list_aggregate(metres, 'quantile_cont', 0.95) AS high, 100.0::DOUBLE * len(list_filter(metres, lambda x: x > 20)) / len(metres) AS share FROM apart)
+SELECT legacy_id, canonical_id, match_type, trip_count, round(mid, 4) AS median_m, round(mean, 4) AS avg_m, round(top, 4) AS max_m, round(high, 4) AS p95_m, round(share, 4) AS pct_over,
+  CASE WHEN mid > 20 THEN 'suspicious' WHEN share > 5 THEN 'bad_data' ELSE 'good' END AS verdict FROM summary""")
 def mapping_validation(spark, sf):
     """Distances between used and legacy positions; the OR join is a union of two equi joins."""
     out = identity.validate_mapping(_resolved(spark, sf), v.crosswalk(spark, sf), threshold_m=20)

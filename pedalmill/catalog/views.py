@@ -231,24 +231,25 @@ raw_trips AS (SELECT ride_id, started_at, duration_sec, member_casual,
 
 
 def resolved_sql(side: str, source: str) -> str:
-    """SQL for one resolved end with the six-lookup form."""
-    raw = f"{side}_station_id_raw"
-    modern = f"(t.{raw} LIKE '%-%' OR t.{raw} LIKE 'JC%' OR t.{raw} LIKE 'HB%')"
-    mapped = "(cw.modern_id IS NOT NULL AND cw.modern_id <> '')"
-
-    def pick(a: str, b: str, c: str, d: str, own: str) -> str:
-        return (f"CASE WHEN {modern} THEN COALESCE({a}, t.{own}) WHEN {mapped} THEN COALESCE({b}, {c}) "
-                f"ELSE COALESCE({d}, t.{own}) END")
-
-    return f"""SELECT t.*,
-      CASE WHEN {modern} THEN t.{raw} WHEN {mapped} THEN cw.modern_id ELSE t.{raw} END AS {side}_station_id,
-      {pick('cs.name', 'c2.name', 'cw.modern_name', 'cw.legacy_name', side + '_station_name_raw')} AS {side}_station_name,
-      {pick('cs.lat', 'c2.lat', 'cw.legacy_lat', 'cw.legacy_lat', side + '_lat_raw')} AS {side}_lat,
-      {pick('cs.lon', 'c2.lon', 'cw.legacy_lon', 'cw.legacy_lon', side + '_lon_raw')} AS {side}_lon,
-      CASE WHEN {modern} AND cs.station_id IS NOT NULL THEN 'direct' WHEN {mapped} THEN 'crosswalk'
-           WHEN cw.legacy_id IS NOT NULL THEN 'ghost' ELSE 'unmatched' END AS {side}_match_type
-    FROM {source} t LEFT JOIN crosswalk cw ON t.{raw} = cw.legacy_id
-      LEFT JOIN cur cs ON t.{raw} = cs.station_id LEFT JOIN cur c2 ON cw.modern_id = c2.station_id"""
+    """SQL for one resolved end: every raw id falls into one of three sets, each with its own place.
+
+    Ids of the current system stand for themselves. Ids that the crosswalk maps stand for their
+    current station, which has the crosswalk's name and position where it is no longer listed. All
+    others keep their id, with the crosswalk's legacy name and position if it knows them.
+    """
+    raw, own = f"{side}_station_id_raw", f"{side}_station_name_raw"
+    return f"""WITH used AS (SELECT DISTINCT {raw} AS id, regexp_matches({raw}, '-|^JC|^HB') AS is_new FROM {source}),
+      fresh AS (SELECT id, id AS place_id, name, lat, lon, if(cur.station_id IS NULL, 'unmatched', 'direct') AS kind
+        FROM used LEFT JOIN cur ON cur.station_id = id WHERE is_new),
+      mapped AS (SELECT id, m.modern_id AS place_id, ifnull(cur.name, m.modern_name) AS name, ifnull(cur.lat, m.legacy_lat) AS lat,
+          ifnull(cur.lon, m.legacy_lon) AS lon, 'crosswalk' AS kind
+        FROM used JOIN crosswalk m ON m.legacy_id = id LEFT JOIN cur ON cur.station_id = m.modern_id WHERE NOT is_new AND m.modern_id > ''),
+      kept AS (SELECT id, id AS place_id, legacy_name AS name, legacy_lat AS lat, legacy_lon AS lon, if(legacy_id IS NULL, 'unmatched', 'ghost') AS kind
+        FROM used LEFT JOIN crosswalk ON legacy_id = id WHERE NOT is_new AND id NOT IN (SELECT id FROM mapped)),
+      places AS (FROM fresh UNION ALL FROM mapped UNION ALL FROM kept)
+    SELECT s.*, place_id AS {side}_station_id, ifnull(name, {own}) AS {side}_station_name, ifnull(lat, {side}_lat_raw) AS {side}_lat,
+      ifnull(lon, {side}_lon_raw) AS {side}_lon, kind AS {side}_match_type
+    FROM {source} s JOIN places ON places.id = {raw}"""
 
 
 RESOLVED = (RAW_RESOLVABLE + ",\n" + CROSSWALK + ",\n" + CURRENT + ",\nws AS (" + resolved_sql("start", "raw_trips")
