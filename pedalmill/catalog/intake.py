@@ -201,3 +201,73 @@ def raw_files_accounting(spark, sf):
     judged = projected.withColumn("family", F.when(F.col("bike_id").isNull(), "modern").otherwise("legacy"))
     sinks.write_log(quality.filter_accounting(judged, quality.quality_reasons(), ["family"]), f"{base}/log", "check")
     return spark.read.json(f"{base}/log").select("family", "rows_in", "rows_out", "missing_station", "first_duration_too_short", "first_duration_too_long")
+
+
+_ETL_RAW = f"""{v.TRIPS}, raw_trips AS (SELECT CAST(ride_id AS VARCHAR) AS ride, ['modern', 'legacy', 'titlecase'][ride_id % 3 + 1] AS family, duration_sec, member_casual,
+    date_trunc('second', started_at) + CASE WHEN ride_id % 41 = 0 THEN INTERVAL 40 DAY ELSE INTERVAL 0 DAY END AS started_at,
+    CASE WHEN ride_id % 31 <> 0 THEN CASE WHEN ride_id % 3 = 0 THEN 'M-' ELSE '' END || CAST(start_station_id AS VARCHAR) END AS start_station_id_raw,
+    CASE WHEN ride_id % 3 = 0 THEN 'M-' ELSE '' END || CAST(end_station_id AS VARCHAR) AS end_station_id_raw,
+    CASE WHEN ride_id % 7 = 0 THEN 'Demo, yard' ELSE 'raw ' || CAST(start_station_id AS VARCHAR) END AS start_station_name_raw, 'raw ' || CAST(end_station_id AS VARCHAR) AS end_station_name_raw,
+    start_lat AS start_lat_raw, start_lon AS start_lon_raw, end_lat AS end_lat_raw, end_lon AS end_lon_raw FROM trips),
+  {v.CROSSWALK}, {v.CURRENT}, ws AS ({v.resolved_sql('start', 'raw_trips')}), resolved AS ({v.resolved_sql('end', 'ws')}),
+  judged AS (SELECT *, CASE WHEN start_station_id_raw IS NULL THEN 'missing_station' WHEN duration_sec < 90 THEN 'duration_too_short' WHEN duration_sec > 14400 THEN 'duration_too_long'
+    WHEN month(started_at) <> 1 THEN 'wrong_month' WHEN start_station_name ILIKE '%demo%' THEN 'test_station' END AS reason FROM resolved)"""
+
+
+def _named_files(spark, folder: str, name: str) -> None:
+    """Give the part files of a folder names like those of raw files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for i, status in enumerate(fs.listStatus(path)):
+        if status.getPath().getName().endswith(".csv"):
+            fs.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(path, f"202401-{name}-{i}-tripdata.csv"))
+
+
+def _etl_result(spark, sf):
+    """Files of three families from the trips; the ETL runs twice, and once more by force for one family."""
+    from ..plans import trip_etl
+    from ..sources import sinks, trips as trip_source
+    base = f"{shared_dir(spark)}/etl-{uuid.uuid4().hex}"
+    t = v.trips(spark, sf)
+    k = F.col("ride_id")
+    start = F.date_trunc("second", "started_at") + F.when(k % 41 == 0, F.make_dt_interval(days=F.lit(40))).otherwise(F.make_dt_interval(days=F.lit(0)))
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    sid, eid = F.col("start_station_id").cast("string"), F.col("end_station_id").cast("string")
+    text = {"ride_id": k.cast("string"), "bike": k.cast("string"), "rideable_type": F.col("rideable_type"), "seconds": F.col("duration_sec").cast("string"),
+            "start": stamp(start), "end": stamp(start + F.make_dt_interval(secs=F.col("duration_sec"))), "birth": F.lit("1980.0"), "gender": F.lit("1"),
+            "start_name": F.when(k % 7 == 0, "Demo, yard").otherwise(F.concat(F.lit("raw "), sid)), "end_name": F.concat(F.lit("raw "), eid),
+            **{c: F.col(c).cast("string") for c in ("start_lat", "start_lon", "end_lat", "end_lon")}}
+    forms = {"modern": (lambda c: F.concat(F.lit("M-"), c), F.col("member_casual")), "legacy": (lambda c: c, F.when(F.col("member_casual") == "member", "Subscriber").otherwise("Customer"))}
+    forms["titlecase"] = (lambda c: F.concat(c, F.lit(".0")), forms["legacy"][1])
+    for n, (name, (form, rider)) in enumerate(forms.items()):
+        cells = {**text, "start_id": F.when(k % 31 != 0, form(sid)), "end_id": form(eid), "rider": rider}
+        names = trip_source.COLUMN_NAMES["legacy_titlecase" if name == "titlecase" else name]
+        sinks.write_csv(t.filter(k % 3 == n).select(*[cells[c].alias(x) for c, x in names.items()]), f"{base}/files/{name}")
+        _named_files(spark, f"{base}/files/{name}", name)
+    args = (f"{base}/trips", v.crosswalk(spark, sf), v.current_stations(spark, sf))
+    for _ in range(2):
+        trip_etl.run(spark, f"{base}/files", *args)
+    return trip_etl.run(spark, f"{base}/files/legacy", *args, force=True)
+
+
+_FAMILY = F.split("source_file", "-")[1].alias("family")
+
+
+@query("S1", "S2", "S3", "S8", "S21", "J1", "F2", "F3", sql=f"""WITH {_ETL_RAW} SELECT family, ride, strftime(started_at, '%Y-%m-%d %H:%M:%S') AS started_at, CAST(duration_sec AS BIGINT) AS duration_sec, member_casual, start_station_id, start_station_name,
+ round(start_lat, 6) AS start_lat, start_match_type, end_station_id, end_station_name, end_match_type FROM judged WHERE reason IS NULL""")
+def trip_etl_end_to_end(spark, sf):
+    """Raw files of three families to canonical trips, with files skipped, forced and replaced on the way."""
+    t = _etl_result(spark, sf).trips
+    return t.select(_FAMILY, F.coalesce("bike_id", "ride_id").alias("ride"), F.date_format("started_at", "yyyy-MM-dd HH:mm:ss").alias("started_at"), "duration_sec", "member_casual",
+                    "start_station_id", "start_station_name", r("start_lat").alias("start_lat"), "start_match_type", "end_station_id", "end_station_name", "end_match_type")
+
+
+_ETL_REASONS = ("missing_station", "duration_too_short", "duration_too_long", "wrong_month", "test_station")
+
+
+@query("A10", "S21", "F1", sql=f"""WITH {_ETL_RAW} SELECT family, count(*) AS rows_in, count(*) FILTER (WHERE reason IS NULL) AS rows_out, """
+       + ", ".join(f"count(*) FILTER (WHERE reason = '{n}') AS first_{n}" for n in _ETL_REASONS) + " FROM judged GROUP BY 1")
+def trip_etl_accounting(spark, sf):
+    """What the ETL kept and dropped, per family, from the written rows."""
+    acc = _etl_result(spark, sf).accounting()
+    return acc.groupBy(_FAMILY).agg(*[F.sum(c).alias(c) for c in ("rows_in", "rows_out", *(f"first_{n}" for n in _ETL_REASONS))])

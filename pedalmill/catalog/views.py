@@ -249,7 +249,7 @@ def resolved_sql(side: str, source: str) -> str:
       places AS (FROM fresh UNION ALL FROM mapped UNION ALL FROM kept)
     SELECT s.*, place_id AS {side}_station_id, ifnull(name, {own}) AS {side}_station_name, ifnull(lat, {side}_lat_raw) AS {side}_lat,
       ifnull(lon, {side}_lon_raw) AS {side}_lon, kind AS {side}_match_type
-    FROM {source} s JOIN places ON places.id = {raw}"""
+    FROM {source} s LEFT JOIN places ON places.id = {raw}"""
 
 
 RESOLVED = (RAW_RESOLVABLE + ",\n" + CROSSWALK + ",\n" + CURRENT + ",\nws AS (" + resolved_sql("start", "raw_trips")
