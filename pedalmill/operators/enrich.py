@@ -78,7 +78,8 @@ def daily_weather(enriched: DataFrame) -> DataFrame:
 def active_stations(trips: DataFrame, ts: str = "started_at", start: str = "start_station_id",
                     end: str = "end_station_id") -> DataFrame:
     """Distinct start and end stations per day, and their mean."""
-    return (trips.groupBy(F.to_date(ts).alias("date"))
+    routes = trips.select(F.to_date(ts).alias("date"), start, end).distinct()  # trips do not fan out per count
+    return (routes.groupBy("date")
             .agg(F.countDistinct(start).alias("active_start_stations"),
                  F.countDistinct(end).alias("active_end_stations"))
             .withColumn("active_stations",

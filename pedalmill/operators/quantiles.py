@@ -7,10 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Buckets per histogram level. Two levels split the overall value range 4096 x 4096 times.
+#: Buckets per histogram level. Two levels split the overall range 4096 x 4096 times.
 FANOUT = 4096
 
 
+def even_scale(value: Column) -> Column:
+    """A number that grows with ``value`` by 1 per doubling, linearly in between; odd in its sign.
+
+    Buckets of equal width on it follow the size of the values, so a far outlier
+    does not push all the others into one bucket.
+    """
+    size = F.abs(value)
+    octave = F.floor(F.log2(size))
+    grown = octave.cast("double") + 1100.0 + (size / F.pow(F.lit(2.0), octave.cast("double")) - 1.0)
+    return F.when(value == 0, F.lit(0.0)).otherwise(F.signum(value) * grown)
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], wanted: dict[str, tuple[str, float]],
                     fanout: int = FANOUT, weight: str | None = None) -> DataFrame:
     """Interpolated quantiles per key: ``{output: (column, probability)}``.
@@ -22,8 +34,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], wanted: dict[str, tuple[
     wanted rank, a second histogram splits those buckets again, and only values
     that share a key and a finest bucket are put in order. Windows therefore run
     over at most ``fanout`` buckets, or over values closer together than
-    ``1/fanout^2`` of the column's range, however many rows a key has. Bucket
-    bounds are exact minima and maxima, so a retried task sees the same buckets.
+    ``1/fanout^2`` of the column's range in doublings, however many rows a key has
+    and however far an outlier lies. Bucket bounds are exact minima and maxima, so a retried task sees the same buckets.
     """
     keys = list(keys)
     cols = list(dict.fromkeys(c for c, _ in wanted.values()))
@@ -32,11 +44,11 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], wanted: dict[str, tuple[
         F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("__s"))
     counts = (stacked.filter(F.col("__s.v").isNotNull())
               .groupBy(*keys, F.col("__s.i").alias("__i"), F.col("__s.v").alias("__v"))
-              .agg(F.sum("__w").alias("__n")))
+              .agg(F.sum("__w").alias("__n")).withColumn("__e", even_scale(F.col("__v"))))
     # The sum keeps this aggregate equal to the one below, so Spark reuses its shuffle.
     bounds = counts.agg(F.struct(
-        *[F.min(F.when(F.col("__i") == i, F.col("__v"))).alias(f"lo{i}") for i in range(len(cols))],
-        *[F.max(F.when(F.col("__i") == i, F.col("__v"))).alias(f"hi{i}") for i in range(len(cols))],
+        *[F.min(F.when(F.col("__i") == i, F.col("__e"))).alias(f"lo{i}") for i in range(len(cols))],
+        *[F.max(F.when(F.col("__i") == i, F.col("__e"))).alias(f"hi{i}") for i in range(len(cols))],
         F.sum("__n").alias("n")).alias("b")).scalar()
 
     def per_column(make) -> Column:
@@ -46,11 +58,11 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], wanted: dict[str, tuple[
         return out
 
     lo, hi = per_column(lambda i: F.col(f"__b.lo{i}")), per_column(lambda i: F.col(f"__b.hi{i}"))
-    at = F.when(hi > lo, (F.col("__v") - lo) / (hi - lo)).otherwise(F.lit(0.0))
+    at = F.when(hi > lo, (F.col("__e") - lo) / (hi - lo)).otherwise(F.lit(0.0))
     counts = (counts.withColumn("__b", bounds).withColumn("__x", at)
               .withColumn("__b1", F.floor(F.col("__x") * fanout))
               .withColumn("__b2", F.floor(F.col("__x") * (fanout * fanout)))
-              .drop("__b", "__x"))
+              .drop("__b", "__x", "__e"))
 
     def position(p: float) -> Column:
         return (F.col("__total") - 1) * F.lit(float(p))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pedalmill.functions import geo, parse, text
-from pedalmill.operators import flows, regression, reshape, series, spatial
+from pedalmill.operators import flows, quantiles, regression, reshape, series, spatial
 
 
 def test_scenarios_are_open_in_time(spark):
@@ -96,3 +96,18 @@ def test_neighbours_across_the_antimeridian(spark):
         near.setdefault((r.lat, r.lon), []).append((r["rank"], r.distance))
     for p in pts:
         assert [d for _, d in sorted(near[p])] == pytest.approx(sorted(far(p, q) for q in others)[:3], rel=1e-6, abs=1e-3)
+
+
+def test_quantiles_with_a_far_outlier(spark):
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.normal(5, 2, 4000), [1e12, -1e9, 0.0, 1e-300], rng.normal(2.0 ** 20, 1, 500)])
+    df = spark.createDataFrame([("a", float(x)) for x in values] + [("b", 7.0)], "k string, x double")
+    got = {r.k: r for r in quantiles.exact_quantiles(df, ["k"], {f"q{p}": ("x", p / 100) for p in (0, 3, 50, 90, 99, 100)}).collect()}
+    for p in (0, 3, 50, 90, 99, 100):
+        assert got["a"][f"q{p}"] == pytest.approx(np.quantile(values, p / 100), rel=1e-12) and got["b"][f"q{p}"] == 7.0
+    scaled = sorted((r.x, r.e) for r in df.filter("k = 'a'").withColumn("e", quantiles.even_scale(F.col("x"))).collect())
+    assert [e for _, e in scaled] == sorted(e for _, e in scaled)
+    # the narrow values spread over many buckets of the first level, whatever the outlier
+    low, high = scaled[0][1], scaled[-1][1]
+    buckets = {int((e - low) / (high - low) * quantiles.FANOUT) for x, e in scaled if 1 < x < 9}
+    assert len(buckets) > 3
