@@ -96,17 +96,14 @@ def usual_quantity(spark, sf):
     return quantiles.modes(table(spark, sf, "lineitem"), ["l_suppkey"], "l_quantity")
 
 
-@query("A24", "A25", sql=f"""WITH {v.TRIPS}, c AS (SELECT CASE WHEN dayofweek(started_at) IN (0, 6) THEN 'Weekend' ELSE 'Weekday' END AS day_type, member_casual,
-   rideable_type, hour(started_at) AS hour, dayofweek(started_at) AS dow, count(*) AS n FROM trips GROUP BY ALL),
- g AS (SELECT day_type, member_casual, rideable_type FROM c GROUP BY ALL), s AS (SELECT g.*, h.h AS hour, d.d AS dow FROM g, range(24) h(h), range(7) d(d))
-SELECT s.*, COALESCE(n, 0) AS trips FROM s LEFT JOIN c USING (day_type, member_casual, rideable_type, hour, dow)""")
+@query("A24", "A25", sql=f"""WITH {v.TRIPS}, c AS (SELECT if(isodow(started_at) > 5, 'Weekend', 'Weekday') AS day_type, year(started_at) AS year, member_casual,
+   ifnull(if(ride_id % 13 = 0, NULL, rideable_type), 'classic_bike') AS rideable_type, hour(started_at) AS hour, dayofweek(started_at) AS dow, count(*) AS n FROM trips GROUP BY ALL),
+ g AS (SELECT DISTINCT day_type, year, member_casual, rideable_type FROM c), s AS (SELECT g.*, h.h AS hour, d.d AS dow FROM g, range(24) h(h), range(7) d(d))
+SELECT s.*, COALESCE(n, 0) AS trips FROM s LEFT JOIN c USING (day_type, year, member_casual, rideable_type, hour, dow)""")
 def heatmap_cells(spark, sf):
-    """Counts by day type, rider, bike, hour and weekday, with every hour and weekday present."""
+    """The six-key cube, with every hour and weekday present; every 13th trip names no bike."""
     t = v.trips(spark, sf)
-    c = t.groupBy(F.when(dates.is_weekend(F.col("started_at")), "Weekend").otherwise("Weekday").alias("day_type"),
-                  "member_casual", "rideable_type", F.hour("started_at").alias("hour"),
-                  dates.dow(F.col("started_at")).alias("dow")).agg(F.count(F.lit(1)).alias("trips"))
-    return series.full_grid(c, {"hour": range(24), "dow": range(7)}, ["trips"], ["day_type", "member_casual", "rideable_type"])
+    return series.heatmap_cells(t.withColumn("rideable_type", F.when(F.col("ride_id") % 13 != 0, F.col("rideable_type"))))
 
 
 @query("A25", sql=f"""WITH {v.TRIPS}

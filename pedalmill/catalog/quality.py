@@ -61,20 +61,26 @@ def first_drop_reason(spark, sf):
         F.count(F.lit(1)).alias("n"), F.min("ride_id").alias("first_ride"))
 
 
-@query("A11", sql=f"""WITH {v.TRIPS}, x AS (SELECT *, CASE WHEN ride_id % 29 = 0 THEN NULL ELSE end_lat END AS elat FROM trips)
-SELECT day(started_at) % 5 AS grp, count(*) AS total_rows, count(*) FILTER (WHERE duration_sec BETWEEN 0 AND 89) AS duration_under_90s,
-  count(*) FILTER (WHERE duration_sec > 14400) AS duration_over_4h, count(*) FILTER (WHERE elat IS NULL) AS missing_end_coords,
-  count(*) FILTER (WHERE NOT (start_lat BETWEEN 40.4 AND 40.9 AND start_lon BETWEEN -74.05 AND -73.75)) AS invalid_start_coords,
+@query("A11", sql=f"""WITH {v.TRIPS}, x AS (SELECT day(started_at) % 5 AS grp, if(ride_id % 31 = 0, NULL, started_at) AS until, if(ride_id % 23 = 0, NULL, start_station_id) AS sid,
+  if(ride_id % 19 = 0, NULL, end_station_id) AS eid, if(ride_id % 37 = 0, -5, duration_sec) AS d, if(ride_id % 43 = 0, NULL, start_lat) AS slat, start_lon, if(ride_id % 29 = 0, NULL, end_lat) AS elat, end_lon FROM trips)
+SELECT grp, count(*) AS total_rows, count(*) - count(until) AS invalid_timestamp, count(*) - count(sid) AS missing_start_station, count(*) - count(eid) AS missing_end_station,
+  count(*) FILTER (WHERE d < 0) AS negative_duration, count(*) FILTER (WHERE d BETWEEN 0 AND 89) AS duration_under_90s, count(*) FILTER (WHERE d > 14400) AS duration_over_4h,
+  count(*) - count(slat) AS missing_start_coords, count(*) - count(elat) AS missing_end_coords,
+  count(*) FILTER (WHERE NOT (slat BETWEEN 40.4 AND 40.9 AND start_lon BETWEEN -74.05 AND -73.75)) AS invalid_start_coords,
   count(*) FILTER (WHERE NOT (elat BETWEEN 40.4 AND 40.9 AND end_lon BETWEEN -74.05 AND -73.75)) AS invalid_end_coords
 FROM x GROUP BY 1""")
 def reason_audit(spark, sf):
-    t = v.trips(spark, sf).withColumn("end_lat", F.when(F.col("ride_id") % 29 == 0, F.lit(None)).otherwise(F.col("end_lat")))
-    t = t.withColumns({"grp": F.dayofmonth("started_at") % 5, "ended_at": F.col("started_at"),
-                       "start_station_id": F.col("start_station_id").cast("string"),
-                       "end_station_id": F.col("end_station_id").cast("string")})
-    out = quality.reason_audit(t, ["grp"], (40.4, 40.9, -74.05, -73.75))
-    return out.select("grp", "total_rows", "duration_under_90s", "duration_over_4h", "missing_end_coords",
-                      "invalid_start_coords", "invalid_end_coords")
+    """All ten counters, over trips with a fault of every kind."""
+    k = F.col("ride_id")
+
+    def spoiled(every: int, column: str, bad=None):
+        return F.when(k % every == 0, F.lit(bad)).otherwise(F.col(column))
+
+    t = v.trips(spark, sf).withColumns({
+        "grp": F.dayofmonth("started_at") % 5, "ended_at": spoiled(31, "started_at"), "start_station_id": spoiled(23, "start_station_id").cast("string"),
+        "end_station_id": F.when(k % 19 == 0, "").otherwise(F.col("end_station_id").cast("string")), "duration_sec": spoiled(37, "duration_sec", -5),
+        "start_lat": spoiled(43, "start_lat"), "end_lat": spoiled(29, "end_lat")})
+    return quality.reason_audit(t, ["grp"], (40.4, 40.9, -74.05, -73.75))
 
 
 @query("F3", sql=f"""WITH {v.STATION_ENDS}

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import dates
 from ..functions.numeric import pct, pct_change, ratio
 
 
@@ -153,6 +154,19 @@ def full_grid(df: DataFrame, axes: dict[str, Sequence], values: Sequence[str],
     return spine.join(cells, same, "left").select(*keys, *[c for c in df.columns if c not in keys]).fillna(0, subset=list(values))
 
 
+def heatmap_cells(trips: DataFrame, ts: str = "started_at", default_bike: str = "classic_bike") -> DataFrame:
+    """Trips by day type, year, rider, bike, hour and weekday, with every hour and weekday present.
+
+    Trips of the eras that name no bike count for the default one.
+    """
+    when = F.col(ts)
+    keys = {"day_type": F.when(dates.is_weekend(when), "Weekend").otherwise("Weekday"), "year": F.year(when),
+            "member_casual": F.col("member_casual"), "rideable_type": F.coalesce("rideable_type", F.lit(default_bike))}
+    cells = trips.groupBy(*[c.alias(n) for n, c in keys.items()], F.hour(when).alias("hour"), dates.dow(when).alias("dow")).agg(
+        F.count(F.lit(1)).alias("trips"))
+    return full_grid(cells, {"hour": range(24), "dow": range(7)}, ["trips"], list(keys))
+
+
 def missing_dates(df: DataFrame, date: str) -> DataFrame:
     """Calendar days between the first and last date that have no row."""
     days = df.select(F.col(date).cast("date").alias(date)).distinct()
