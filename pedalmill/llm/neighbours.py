@@ -10,7 +10,7 @@ about ``CHUNK``, none is left out.
 
 Search. Each query starts at its own node and opens all unopened nodes of its beam, the ``BEAM`` best nodes
 seen, at every hop, until all of the beam are open. The adjacency is stored as a bucketed table, so a hop moves
-only the beam. The best ``RERANK`` nodes are scored again in double precision on the original vectors.
+only the beam. The whole beam is scored again in double precision on the original vectors.
 
 Equal vectors form one node; their ids come back in order of the id.
 
@@ -36,7 +36,6 @@ TABLES, BLOCK, MAX_PIVOTS = 4, 800, 4096
 ROUNDS = 3
 CHUNK = 2 * DEGREE
 BEAM = 200
-RERANK = 40
 
 
 def _matrix(column: pa.Array, kind: type) -> np.ndarray:
@@ -191,8 +190,11 @@ def build(nodes: DataFrame, rounds: int = ROUNDS, degree: int = DEGREE) -> DataF
     return graph
 
 
-def adjacency(graph: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Neighbours in both directions with their vectors, in rows of about CHUNK, bucketed by ``node``."""
+def adjacency(graph: DataFrame, nodes: DataFrame) -> str:
+    """Name of a table of neighbours in both directions with their vectors, bucketed by ``node``.
+
+    A node has one row per about 2 * CHUNK neighbours. The files lie in the shared folder.
+    """
     spark = graph.sparkSession
     links = graph.select(F.col("u").alias("node"), "v").unionByName(graph.select(F.col("v").alias("node"), F.col("u").alias("v"))).distinct()
     sizes = links.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / F.lit(2 * CHUNK)).alias("chunks"))
@@ -202,7 +204,7 @@ def adjacency(graph: DataFrame, nodes: DataFrame) -> DataFrame:
     name = f"adjacency_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows.write.bucketBy(buckets, "node").sortBy("node").option("path", common.scratch_path(spark, name)).saveAsTable(name)
-    return spark.table(name)
+    return name
 
 
 def _open_nodes(batches):
@@ -262,11 +264,12 @@ def nearest(rows: DataFrame, is_query, top: int = TOP, id_col: str = "vec_id", v
     """
     nodes, ids = make_nodes(usable(rows, id_col, vector))
     links = adjacency(build(nodes, rounds, degree), nodes)
+    spark = rows.sparkSession
     asked = common.stored(ids.filter(is_query).select("node", F.col("vec_id").alias("query_id")), "ann-asked")
-    found = greedy_search(asked, links, nodes, beam)
-    close = _best(found, "query", max(RERANK, 2 * top)).select("query", "v")
+    found = greedy_search(asked, spark.table(links), nodes, beam)
+    spark.sql(f"DROP TABLE {links}")  # the beams are written, so nothing reads it again
     vectors = nodes.select("node", "vector")
-    pairs = (close.join(vectors.select(F.col("node").alias("v"), "vector"), "v")
+    pairs = (found.select("query", "v").join(vectors.select(F.col("node").alias("v"), "vector"), "v")
              .join(vectors.select(F.col("node").alias("query"), F.col("vector").alias("query_vector")), "query"))
     scored = pairs.select("query", "v", "query_vector", "vector").mapInArrow(_cosines, "query long, v long, score double")
     by_node = Window.partitionBy("node").orderBy("vec_id")
