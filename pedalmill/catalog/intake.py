@@ -250,7 +250,8 @@ def _etl_result(spark, sf):
     return trip_etl.run(spark, f"{base}/files/legacy", *args, force=True)
 
 
-_FAMILY = F.split("source_file", "-")[1].alias("family")
+def _family():
+    return F.split("source_file", "-")[1].alias("family")
 
 
 @query("S1", "S2", "S3", "S8", "S21", "J1", "F2", "F3", sql=f"""WITH {_ETL_RAW} SELECT family, ride, strftime(started_at, '%Y-%m-%d %H:%M:%S') AS started_at, CAST(duration_sec AS BIGINT) AS duration_sec, member_casual, start_station_id, start_station_name,
@@ -258,7 +259,7 @@ _FAMILY = F.split("source_file", "-")[1].alias("family")
 def trip_etl_end_to_end(spark, sf):
     """Raw files of three families to canonical trips, with files skipped, forced and replaced on the way."""
     t = _etl_result(spark, sf).trips
-    return t.select(_FAMILY, F.coalesce("bike_id", "ride_id").alias("ride"), F.date_format("started_at", "yyyy-MM-dd HH:mm:ss").alias("started_at"), "duration_sec", "member_casual",
+    return t.select(_family(), F.coalesce("bike_id", "ride_id").alias("ride"), F.date_format("started_at", "yyyy-MM-dd HH:mm:ss").alias("started_at"), "duration_sec", "member_casual",
                     "start_station_id", "start_station_name", r("start_lat").alias("start_lat"), "start_match_type", "end_station_id", "end_station_name", "end_match_type")
 
 
@@ -270,4 +271,4 @@ _ETL_REASONS = ("missing_station", "duration_too_short", "duration_too_long", "w
 def trip_etl_accounting(spark, sf):
     """What the ETL kept and dropped, per family, from the written rows."""
     acc = _etl_result(spark, sf).accounting()
-    return acc.groupBy(_FAMILY).agg(*[F.sum(c).alias(c) for c in ("rows_in", "rows_out", *(f"first_{n}" for n in _ETL_REASONS))])
+    return acc.groupBy(_family()).agg(*[F.sum(c).alias(c) for c in ("rows_in", "rows_out", *(f"first_{n}" for n in _ETL_REASONS))])
