@@ -46,7 +46,7 @@ COORDINATES = BANDS * ROWS
 #: Signature bytes that must agree before sets are compared; a link has 96 of 128 on average.
 LEAST_EQUAL = 72
 HUBS = 512
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)

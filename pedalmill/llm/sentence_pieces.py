@@ -31,7 +31,7 @@ from . import common
 
 MARKER = "▁"
 UNKNOWN_COST = 10.0
-CACHE_PARTS, CACHE_BYTES = 300_000, 64
+CACHE_PARTS, CACHE_BYTES = 150_000, 64
 BATCH_PARTS = 10_000
 _PARTS = re.compile(rb" *[^ ]+| +")
 
