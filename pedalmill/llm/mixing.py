@@ -26,7 +26,7 @@ from pedalmill.session import lookup_join
 from . import common
 
 DIMENSIONS = ("source", "lang", "topic")
-TEMPERATURE = 0.7
+TEMPERATURE = 0.9
 ROUNDS = 10
 STORE_EVERY = 5
 
