@@ -15,6 +15,9 @@ from pedalmill.llm import common, exact_dedup, mixing, near_dedup, quality, sent
 from pedalmill.llm.queries import vocabulary
 from pedalmill.session import fits_broadcast, ship_package
 
+#: Share of the tokens that mixing draws at least, however rare the rarest cell is.
+LEAST_TOKENS = 0.5
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality ranking does not reject."""
@@ -38,8 +41,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn with the calibrated chances of their source, language and topic."""
-    return mixing.sample(docs, mixing.fit(docs))
+    """Documents drawn with the calibrated chances of their source, language and topic, ``LEAST_TOKENS`` of them at least."""
+    return mixing.sample(docs, mixing.fit(docs, least=LEAST_TOKENS))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

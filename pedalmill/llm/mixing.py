@@ -4,7 +4,12 @@ Tokens (white-space separated words) are summed per cell of source, language and
 cells so that their sums follow the target shares of each of the three, in turn, ``ROUNDS`` times. The
 ratio of a cell's fitted to its present tokens, divided by the largest ratio, is the chance of its
 documents; a document is drawn if a number derived from its id falls below it. The expected tokens of the
-drawn documents then have the fitted shares.
+drawn documents then have the fitted shares, but the rarest cell decides how many tokens are drawn.
+
+With a token ``budget``, or a ``least`` share of tokens that is drawn at any rate, a cell is kept whole (chance 1)
+where the scaled ratio would pass 1, and the other cells are raked again to what is left of the targets, until no
+cell passes 1 and the largest gap of a marginal is below ``TOLERANCE`` or stays. A tiny cell then takes nothing
+from the others. Values that run out of tokens miss their target; ``report`` lists what is reached.
 
 Targets are the present shares to the power ``TEMPERATURE``, so small values gain weight, unless given.
 Only DataFrame functions are used. Documents are never collected in one place; what is fitted is the table
@@ -29,6 +34,9 @@ DIMENSIONS = ("source", "lang", "topic")
 TEMPERATURE = 0.9
 ROUNDS = 10
 STORE_EVERY = 5
+TOLERANCE = 1e-4
+#: Raking to a budget stops when the largest gap shrinks by less than this share in ``STORE_EVERY`` rounds.
+STALLED = 0.01
 
 # Marks of a topic, as patterns over the text; a document has the topic with the most marks.
 TOPICS = {
@@ -82,6 +90,67 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     return fitted.select(*cells.columns, "fitted")
 
 
+def rake_within(cells: DataFrame, targets: dict[str, DataFrame], budget: float, tolerance: float = TOLERANCE) -> DataFrame:
+    """Like ``rake`` to ``budget`` tokens, with no cell above its weight.
+
+    What whole cells leave of each target goes to the other cells. Values without such cells have run out; the
+    others of their dimension share what they leave, as far as they have tokens.
+    """
+    dims = list(targets)
+    state = cells.withColumn("fitted", F.col("weight"))
+    for d, goal in targets.items():
+        state = state.join(goal.select(d, F.col("share").alias(f"share{d}")), d, "left")
+    wanted = F.lit(True)
+    for d in dims:
+        wanted = wanted & (F.coalesce(f"share{d}", F.lit(0.0)) > 0)
+    state = common.stored(state.withColumn("whole", F.lit(False)).withColumn("free", wanted & (F.col("weight") > 0)), "mixing-cells")
+    keep = state.columns
+    while True:
+        taken = F.sum(F.when(F.col("whole"), F.col("weight")).otherwise(0.0))
+        rest = budget - (state.agg(taken.alias("n")).first()["n"] or 0.0)
+        for d in dims:
+            left = state.groupBy(d).agg(F.greatest(F.first(f"share{d}") * F.lit(budget) - taken, F.lit(0.0)).alias("left"),
+                                        F.max("free").alias("open")).filter("open AND left > 0")
+            left = left.withColumn(f"goal{d}", F.col("left") * F.lit(rest) / left.agg(F.sum("left")).scalar()).select(d, f"goal{d}")
+            state = state.join(left, d, "left")
+        before, over = None, False
+        while not over:
+            raked = state.withColumn("fitted", F.when(F.col("free"), F.col("fitted")).otherwise(0.0))
+            margins = {d: F.sum("fitted").over(Window.partitionBy(d)) for d in dims}
+            for _ in range(STORE_EVERY):
+                for d, margin in margins.items():
+                    raked = raked.withColumn("fitted", F.col("fitted") * F.coalesce(F.when(margin > 0, F.col(f"goal{d}") / margin), F.lit(0.0)))
+            gaps = [F.when(F.col("free") & (F.col(f"goal{d}") > 0), F.abs(m / F.col(f"goal{d}") - 1)) for d, m in margins.items()]
+            raked = raked.withColumn("gap", F.greatest(*gaps)).withColumn("over", F.col("free") & (F.col("fitted") > F.col("weight")))
+            raked = common.stored(raked, "mixing-cells")
+            found = raked.agg(F.max("gap").alias("gap"), F.max("over").alias("over")).first()
+            gap, over = found["gap"] or 0.0, bool(found["over"])
+            state = raked.drop("gap", "over")
+            if not over and (gap <= tolerance or (before is not None and gap > (1 - STALLED) * before)):
+                return state.select(*cells.columns, F.when(F.col("whole"), F.col("weight")).otherwise(F.col("fitted")).alias("fitted"))
+            before = gap
+        state = raked.withColumn("whole", F.col("whole") | F.col("over")).withColumn("free", F.col("free") & ~F.col("over")).select(*keep)
+
+
+def report(cells: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+    """``dimension``, ``value``, ``weight``, ``drawn`` (expected tokens), ``target``, ``reached`` (shares) and ``gap``.
+
+    ``gap`` is the relative difference between the reached and the target share; ``targets`` as for ``fit``.
+    """
+    parts = []
+    total = cells.agg(F.sum(F.col("weight") * F.col("chance"))).scalar()
+    for d in DIMENSIONS:
+        goal = (targets or {}).get(d)
+        goal = smoothed_targets(cells, f"__{d}") if goal is None else goal.withColumnRenamed(d, f"__{d}")
+        sums = cells.groupBy(f"__{d}").agg(F.sum("weight").alias("weight"), F.sum(F.col("weight") * F.col("chance")).alias("drawn"))
+        goal = goal.select(f"__{d}", F.col("share").alias("target"))
+        parts.append(sums.join(goal, f"__{d}", "full").select(
+            F.lit(d).alias("dimension"), F.col(f"__{d}").alias("value"), F.coalesce("weight", F.lit(0.0)).alias("weight"),
+            F.coalesce("drawn", F.lit(0.0)).alias("drawn"), F.coalesce("target", F.lit(0.0)).alias("target")))
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("reached", F.coalesce(F.try_divide("drawn", total), F.lit(0.0)))
+    return rows.withColumn("gap", F.try_divide(F.abs(F.col("reached") - F.col("target")), F.col("target")))
+
+
 def smoothed_targets(cells: DataFrame, dimension: str, temperature: float = TEMPERATURE) -> DataFrame:
     """Present shares to the power ``temperature``, scaled to 1; values without weight have no target."""
     sums = cells.groupBy(dimension).agg(F.sum("weight").alias("__sum")).filter("__sum > 0")
@@ -90,19 +159,35 @@ def smoothed_targets(cells: DataFrame, dimension: str, temperature: float = TEMP
 
 
 def fit(docs: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, text: str = "text", source: str = "source",
-        lang: str = "lang") -> DataFrame:
-    """One row per cell: ``__source``, ``__lang``, ``__topic``, ``weight`` (tokens), ``fitted``, ``chance``."""
+        lang: str = "lang", budget: float | None = None, least: float | None = None) -> DataFrame:
+    """One row per cell: ``__source``, ``__lang``, ``__topic``, ``weight`` (tokens), ``fitted``, ``chance``.
+
+    ``budget`` tokens are drawn, or at least the share ``least`` of all tokens. Without either, or where ``least`` is
+    met without it, the rarest cell limits the draw.
+    """
     words = F.regexp_count(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), F.lit(WORD))
     rows = docs.select(*_with_cells(docs, text, source, lang), words.alias("__tokens"))
     dims = [f"__{d}" for d in DIMENSIONS]
     cells = common.stored(rows.groupBy(*dims).agg(F.sum("__tokens").cast("double").alias("weight")), "mixing-cells")
     goals = {f"__{d}": (targets or {}).get(d) for d in DIMENSIONS}
     goals = {d: common.stored(smoothed_targets(cells, d), "mixing-targets") if g is None else g.withColumnRenamed(d[2:], d) for d, g in goals.items()}
-    fitted = rake(cells, goals, rounds)
-    ratio = F.when(F.col("weight") > 0, F.col("fitted") / F.col("weight")).otherwise(F.lit(0.0))
-    rated = fitted.withColumn("__ratio", ratio)
+    rated = _rated(rake(cells, goals, rounds))
     largest = rated.agg(F.max("__ratio")).scalar()
-    return rated.withColumn("chance", F.coalesce(F.round(F.try_divide("__ratio", largest), 9), F.lit(0.0))).drop("__ratio")
+    rated = rated.withColumn("chance", F.coalesce(F.round(F.try_divide("__ratio", largest), 9), F.lit(0.0))).drop("__ratio")
+    if budget is None and least is None:
+        return rated
+    rated = common.stored(rated, "mixing-cells")
+    sums = rated.agg(F.sum("weight").alias("present"), F.sum(F.col("weight") * F.col("chance")).alias("drawn")).first()
+    present, drawn = sums["present"] or 0.0, sums["drawn"] or 0.0
+    wanted = min(present, max(float(budget or 0.0), (least or 0.0) * present))
+    if budget is None and drawn >= wanted:
+        return rated
+    chance = F.round(F.least("__ratio", F.lit(1.0)), 9)
+    return _rated(rake_within(cells, goals, wanted)).withColumn("chance", chance).drop("__ratio")
+
+
+def _rated(fitted: DataFrame) -> DataFrame:
+    return fitted.withColumn("__ratio", F.when(F.col("weight") > 0, F.col("fitted") / F.col("weight")).otherwise(F.lit(0.0)))
 
 
 def chances(docs: DataFrame, cells: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",

@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from pedalmill.llm import mixing
 
@@ -85,3 +86,38 @@ def test_plan_has_no_python(spark):
     df = edge.docs(spark)
     plan = mixing.chances(df, mixing.fit(df))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def rare_cell(spark):
+    """Two sources that differ in language, and one document of a source and language of its own."""
+    rows = [(n, "a b c d", ["en", "de"][n % 3 == 0], f"s{n % 2}") for n in range(3000)] + [(9000, "a b", "xx", "rare")]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+
+
+def test_rare_cell_does_not_throttle_the_others(spark):
+    df = rare_cell(spark)
+    total = 3000 * 4 + 2
+    cells = mixing.common.stored(mixing.fit(df, least=0.6), "cells")
+    rows = {(c["__source"], c["__lang"]): c for c in cells.collect()}
+    assert sum(c["weight"] * c["chance"] for c in rows.values()) == pytest.approx(0.6 * total, rel=1e-4)
+    assert rows["rare", "xx"]["chance"] == 1.0 and all(0 < c["chance"] <= 1 for c in rows.values())
+    report = {(r["dimension"], r["value"]): r for r in mixing.report(cells).collect()}
+    assert report["source", "rare"]["gap"] > 0.1 and report["source", "s0"]["gap"] < 0.01 and report["lang", "de"]["gap"] < 0.01
+
+
+def test_budget_beyond_all_tokens(spark):
+    assert {c["chance"] for c in mixing.fit(rare_cell(spark), budget=1e9).collect()} == {1.0}
+    assert mixing.fit(edge.empty(spark), budget=10).count() == 0
+
+
+def test_linked_targets_are_raked_until_they_fit_or_the_gap_is_told(spark):
+    rows = [(n, "a b c", ["en", "de"][n % 50 == 0], f"s{n % 2 if n % 50 else 0}") for n in range(5000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    langs = spark.createDataFrame([("en", 0.98), ("de", 0.02)], "lang string, share double")
+    sources = spark.createDataFrame([("s0", 0.1), ("s1", 0.9)], "source string, share double")
+    goals = {"lang": langs, "source": sources}
+    told = mixing.report(mixing.fit(df, goals, budget=3000.0), goals)
+    assert told.filter("dimension != 'topic'").agg(F.max("gap")).first()[0] < 0.001
+    apart = {"lang": langs, "source": spark.createDataFrame([("s0", 0.01), ("s1", 0.99)], "source string, share double")}
+    told = mixing.report(mixing.fit(df, apart, budget=3000.0), apart)
+    assert told.agg(F.max("gap")).first()[0] > 0.1
