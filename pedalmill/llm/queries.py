@@ -79,7 +79,7 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_pieces.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return word_pieces.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), lone_space=True)
 
 
 @query()

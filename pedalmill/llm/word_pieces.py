@@ -3,7 +3,9 @@
 Greedy word pieces: a word begins with the longest piece of the initial vocabulary and goes on with the
 longest piece of the continuation vocabulary; a word that cannot be cut this way is one unknown token. A
 trie over both vocabularies gets failure links and, per state, the number of tokens that following the link
-pops. Counting then takes one pass over the bytes of a word and builds no piece.
+pops. Counting then takes one pass over the bytes of a word and builds no piece. With ``lone_space``, as the
+query has it, a word that no initial piece fits begins with the piece of a single space, one token, and goes on with
+the continuation vocabulary; without it such a word is unknown.
 
 Words are runs without the six ASCII white-space characters; a distinct word is counted once per task.
 
@@ -29,7 +31,7 @@ CACHE_WORDS, CACHE_BYTES = 500_000, 64
 class LengthAutomaton:
     """Trie with failure links; states are numbers, 0 starts a word and 1 continues it."""
 
-    def __init__(self, initial: Iterable[bytes], continuation: Iterable[bytes]):
+    def __init__(self, initial: Iterable[bytes], continuation: Iterable[bytes], lone_space: bool = False):
         self.go: list[dict[int, int]] = [{}, {}]
         final = [False, False]
         for root, pieces in ((0, initial), (1, continuation)):
@@ -45,7 +47,9 @@ class LengthAutomaton:
                 final[state] = final[state] or bool(piece)
         self.fail: list[int] = [-1] * len(self.go)
         self.popped = [0] * len(self.go)
-        todo = deque([0, 1])
+        if lone_space:  # the space is a token of its own before the continuation
+            self.fail[0], self.popped[0] = 1, 1
+        todo = deque([1, 0])
         while todo:
             state = todo.popleft()
             for byte, child in self.go[state].items():
@@ -64,6 +68,8 @@ class LengthAutomaton:
         """Tokens of a word, and whether it is unknown."""
         go, fail, popped = self.go, self.fail, self.popped
         state = tokens = 0
+        if not word:
+            return 0, False
         for byte in word:
             nxt = go[state].get(byte)
             while nxt is None:
@@ -75,7 +81,7 @@ class LengthAutomaton:
             state = nxt
         while state != 1:
             if fail[state] < 0:
-                return (0, False) if not word else (1, True)
+                return 1, True
             tokens += popped[state]
             state = fail[state]
         return tokens, False
@@ -89,19 +95,22 @@ def byte_level_alphabet() -> dict[str, int]:
 
 
 @lru_cache(maxsize=4)
-def automaton(path: str) -> LengthAutomaton:
-    """From a byte-level vocabulary: pieces that begin with a space start a word, the others continue it."""
+def automaton(path: str, lone_space: bool = False) -> LengthAutomaton:
+    """From a byte-level vocabulary: pieces that begin with a space start a word, the others continue it.
+
+    ``lone_space`` needs the piece of a single space in the vocabulary.
+    """
     with open(path, encoding="utf-8") as f:
         vocabulary = json.load(f)["model"]["vocab"]
     alphabet = byte_level_alphabet()
     pieces = [bytes(alphabet[c] for c in piece) for piece in vocabulary if all(c in alphabet for c in piece)]
     return LengthAutomaton([p[1:] for p in pieces if len(p) > 1 and p[0] == 32 and b" " not in p[1:]],
-                           [p for p in pieces if b" " not in p])
+                           [p for p in pieces if b" " not in p], lone_space and b" " in pieces)
 
 
-def _counter(path: str):
+def _counter(path: str, lone_space: bool = False):
     def start():
-        machine = automaton(path)
+        machine = automaton(path, lone_space)
         cache: dict[bytes, tuple[int, bool]] = {}
 
         def work(texts: list[bytes]) -> list[pa.Array]:
@@ -120,6 +129,6 @@ def _counter(path: str):
     return start
 
 
-def count_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def count_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text", lone_space: bool = False) -> DataFrame:
     """``n_words``, ``n_tokens`` and ``n_unknown`` of every document, in one narrow pass."""
-    return common.map_bytes(docs, [id_col], text, _counter(vocabulary), "n_words long, n_tokens long, n_unknown long")
+    return common.map_bytes(docs, [id_col], text, _counter(vocabulary, lone_space), "n_words long, n_tokens long, n_unknown long")

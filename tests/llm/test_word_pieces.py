@@ -79,3 +79,31 @@ def test_random_words_have_random_lengths():
 
 def test_empty_table(spark):
     assert word_pieces.count_tokens(edge.empty(spark), PATH).count() == 0
+
+
+@settings(max_examples=400, deadline=None)
+@given(pieces, pieces, st.text("abcd", max_size=14).map(str.encode))
+def test_lone_space_automaton_equals_greedy(initial, continuation, word):
+    got = word_pieces.LengthAutomaton(initial, continuation, lone_space=True).count(word)
+    if word and not any(word.startswith(p) for p in initial):
+        n, unknown = greedy(word, continuation, continuation)
+        assert got == ((1, True) if unknown else (n + 1, False))
+    else:
+        assert got == greedy(word, initial, continuation)
+
+
+def test_words_without_an_initial_piece(spark):
+    words = ["рука", "тест", "สวัสดีชาวโลก", "中国人民", "\x00x", "hello"]
+    df = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in word_pieces.count_tokens(df, PATH, lone_space=True).collect()}
+    plain = word_pieces.automaton(PATH)
+    rest = word_pieces.LengthAutomaton(continued := [p for p in pieces_of(PATH) if b" " not in p], continued)
+    for n, word in enumerate(words):
+        tokens, unknown = plain.count(word.encode())
+        assert unknown == (word != "hello")
+        assert got[n]["n_unknown"] == 0 and got[n]["n_tokens"] == (1 + rest.count(word.encode())[0] if unknown else tokens)
+
+
+def pieces_of(path):
+    alphabet = word_pieces.byte_level_alphabet()
+    return [bytes(alphabet[c] for c in p) for p in json.load(open(path))["model"]["vocab"] if all(c in alphabet for c in p)]
