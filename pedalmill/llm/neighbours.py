@@ -10,7 +10,8 @@ about ``CHUNK``, none is left out.
 
 Search. Each query starts at its own node and opens all unopened nodes of its beam, the ``BEAM`` best nodes
 seen, at every hop, until all of the beam are open. The adjacency is stored as a bucketed table, so a hop moves
-only the beam. The whole beam is scored again in double precision on the original vectors.
+only the beam. Vectors keep all their digits and are compared in double precision throughout, so near copies are
+told apart, however many there are. The beam is scored again on the original vectors.
 
 Equal vectors form one node; their ids come back in order of the id.
 
@@ -35,13 +36,21 @@ DEGREE = 24
 TABLES, BLOCK, MAX_PIVOTS = 4, 800, 4096
 ROUNDS = 3
 CHUNK = 2 * DEGREE
+FLOATS, DOUBLES = b"f", b"d"
 BEAM = 200
 
 
-def _matrix(column: pa.Array, kind: type) -> np.ndarray:
-    """Rows of equally long binaries as a float matrix."""
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Unit vectors of codes, in double precision."""
     parts = column.to_pylist()
-    return np.frombuffer(b"".join(parts), kind).reshape(len(parts), -1).astype(np.float32)
+    if not parts:
+        return np.empty((0, 0))
+    floats = np.array([p[:1] == FLOATS for p in parts])
+    rows = np.empty((len(parts), (len(parts[0]) - 1) // (4 if floats[0] else 8)))
+    for kind, mask in ((np.float32, floats), (np.float64, ~floats)):
+        if mask.any():
+            rows[mask] = np.frombuffer(b"".join(p[1:] for p, m in zip(parts, mask) if m), kind).reshape(-1, rows.shape[1])
+    return _unit(rows)
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -49,17 +58,17 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 
 def _with_codes(batches):
-    """Half floats of the unit vectors, and one byte per component for building."""
+    """All digits of the vectors, scaled by a power of two: as floats where these hold them, else as doubles."""
     for batch in batches:
         lists = batch.column("vector")
         if not batch.num_rows:
             continue
         rows = lists.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).astype(np.float64)
-        rows /= np.abs(rows).max(axis=1, keepdims=True)  # no overflow in the norm
-        code = np.rint(rows * 127).astype(np.int8)
-        half = (rows / np.linalg.norm(rows, axis=1, keepdims=True)).astype(np.float16)
-        yield pa.RecordBatch.from_arrays([batch.column("node"), lists, pa.array([r.tobytes() for r in half], pa.binary()),
-                                          pa.array([r.tobytes() for r in code], pa.binary())], ["node", "vector", "half", "code"])
+        rows = np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1))[1][:, None])
+        short = rows.astype(np.float32)
+        whole = (short == rows).all(axis=1)
+        codes = [FLOATS + f.tobytes() if w else DOUBLES + d.tobytes() for f, d, w in zip(short, rows, whole)]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), lists, pa.array(codes, pa.binary())], ["node", "vector", "code"])
 
 
 def usable(rows: DataFrame, id_col: str, vector: str) -> DataFrame:
@@ -74,10 +83,10 @@ def usable(rows: DataFrame, id_col: str, vector: str) -> DataFrame:
 
 
 def make_nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(nodes: ``node``, ``vector``, ``half``, ``code``; ids: ``node``, ``vec_id``). Equal vectors share a node."""
+    """(nodes: ``node``, ``vector``, ``code``; ids: ``node``, ``vec_id``). Equal vectors share a node."""
     vectors = common.stored(vectors, "ann-vectors")
     groups = common.stored(vectors.groupBy("vector").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("size")), "ann-groups")
-    nodes = common.stored(groups.select("node", "vector").mapInArrow(_with_codes, "node long, vector array<double>, half binary, code binary"), "ann-nodes")
+    nodes = common.stored(groups.select("node", "vector").mapInArrow(_with_codes, "node long, vector array<double>, code binary"), "ann-nodes")
     twins = vectors.join(groups.filter("size > 1"), "vector").select("node", "vec_id")
     ids = groups.filter("size = 1").select("node", F.col("node").alias("vec_id")).unionByName(twins)
     return nodes, common.stored(ids, "ann-ids")
@@ -88,7 +97,7 @@ def _nearest_pivots(pivots: np.ndarray, owner: np.ndarray):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            near = _unit(_matrix(batch.column("code"), np.int8)) @ pivots.T
+            near = _matrix(batch.column("code")) @ pivots.T
             for t in range(TABLES):
                 block = np.where(owner == t, near, -9).argmax(axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(block.astype(np.int32)), batch.column("node"), batch.column("code")],
@@ -104,7 +113,7 @@ def _block_neighbours(degree: int):
                 ids = node.to_numpy(zero_copy_only=False)
                 if len(ids) < 2:
                     continue
-                rows, k = _unit(_matrix(code, np.int8)), min(degree, len(ids) - 1)
+                rows, k = _matrix(code), min(degree, len(ids) - 1)
                 for start in range(0, len(ids), 1024):
                     near = rows[start:start + 1024] @ rows.T
                     at = np.arange(len(near))
@@ -112,7 +121,7 @@ def _block_neighbours(degree: int):
                     best = np.argpartition(-near, k - 1, axis=1)[:, :k]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.repeat(ids[start:start + 1024], k)), pa.array(ids[best].ravel()),
-                         pa.array(np.take_along_axis(near, best, 1).ravel().astype(np.float32))], ["u", "v", "sim"])
+                         pa.array(np.take_along_axis(near, best, 1).ravel())], ["u", "v", "sim"])
     return run
 
 
@@ -128,7 +137,7 @@ def _local_join(batches):
                 continue
             new = np.zeros(len(ids), bool)
             np.logical_or.at(new, np.searchsorted(ids, x.to_numpy(zero_copy_only=False)), fresh_all)
-            rows = _unit(_matrix(code, np.int8)[first])
+            rows = _matrix(code)[first]
             near = rows @ rows.T
             np.fill_diagonal(near, -9)
             a, b = np.nonzero((near > worst.to_numpy(zero_copy_only=False)[first][:, None]) & (new[:, None] | new[None, :]))
@@ -137,7 +146,7 @@ def _local_join(batches):
             sims.append(near[a, b])
         if us:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs)),
-                                              pa.array(np.concatenate(sims).astype(np.float32))], ["u", "v", "sim"])
+                                              pa.array(np.concatenate(sims))], ["u", "v", "sim"])
 
 
 def _best(edges: DataFrame, keys: str, degree: int) -> DataFrame:
@@ -151,8 +160,8 @@ def start_graph(nodes: DataFrame, degree: int = DEGREE) -> DataFrame:
     wanted = max(1, min(MAX_PIVOTS, -(-total // BLOCK)))
     sampled = nodes.select("node", "code").orderBy(F.xxhash64("node"), "node").limit(wanted * TABLES).collect()
     if not sampled:
-        return nodes.sparkSession.createDataFrame([], "u long, v long, sim float, fresh boolean")
-    pivots = _unit(np.array([np.frombuffer(r["code"], np.int8) for r in sampled], np.float32))
+        return nodes.sparkSession.createDataFrame([], "u long, v long, sim double, fresh boolean")
+    pivots = _matrix(pa.array([bytes(r["code"]) for r in sampled], pa.binary()))
     owner = np.arange(len(sampled)) % TABLES if len(sampled) >= TABLES else np.zeros(len(sampled))
     dealt = nodes.select("node", "code").mapInArrow(_nearest_pivots(pivots, owner), "block int, node long, code binary")
     dealt = common.stored(dealt, "ann-blocks")
@@ -160,7 +169,7 @@ def start_graph(nodes: DataFrame, degree: int = DEGREE) -> DataFrame:
     parts = F.ceil(F.col("n") / F.lit(2 * BLOCK))
     spread = dealt.join(F.broadcast(sizes), "block").withColumn("part", F.pmod(F.xxhash64("node"), parts))
     lists = spread.groupBy("block", "part").agg(F.collect_list(F.struct("node", "code")).alias("members"))
-    found = lists.select("members").mapInArrow(_block_neighbours(degree), "u long, v long, sim float")
+    found = lists.select("members").mapInArrow(_block_neighbours(degree), "u long, v long, sim double")
     found = found.repartition("u").groupBy("u", "v").agg(F.max("sim").alias("sim"))
     return common.stored(_best(found, "u", degree).withColumn("fresh", F.lit(True)), "ann-graph")
 
@@ -168,8 +177,8 @@ def start_graph(nodes: DataFrame, degree: int = DEGREE) -> DataFrame:
 def descend(graph: DataFrame, nodes: DataFrame, degree: int = DEGREE) -> DataFrame:
     """One round: neighbours of neighbours are compared, every node keeps its best."""
     worst = graph.groupBy("u").agg(F.min("sim").alias("low"), F.count(F.lit(1)).alias("n"))
-    worst = worst.select(F.col("u").alias("x"), F.when(F.col("n") < degree, F.lit(-2.0)).otherwise(F.col("low")).cast("float").alias("worst"))
-    known = nodes.select(F.col("node").alias("x"), "code").join(worst, "x", "left").withColumn("worst", F.coalesce("worst", F.lit(-2.0).cast("float")))
+    worst = worst.select(F.col("u").alias("x"), F.when(F.col("n") < degree, F.lit(-2.0)).otherwise(F.col("low")).alias("worst"))
+    known = nodes.select(F.col("node").alias("x"), "code").join(worst, "x", "left").withColumn("worst", F.coalesce("worst", F.lit(-2.0)))
     chunks = graph.groupBy(F.col("v").alias("g")).agg(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK)).alias("chunks"))
     ahead = graph.select(F.col("u").alias("g"), F.col("v").alias("x"), "fresh").join(chunks, "g", "left").select(
         "g", "x", "fresh", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("chunks", F.lit(1)) - 1)).alias("part"))
@@ -177,7 +186,7 @@ def descend(graph: DataFrame, nodes: DataFrame, degree: int = DEGREE) -> DataFra
         "g", "x", "fresh", F.pmod(F.xxhash64("x"), F.col("chunks")).alias("part"))
     members = ahead.unionByName(back).join(known, "x")
     lists = members.groupBy("g", "part").agg(F.collect_list(F.struct("x", "worst", "fresh", "code")).alias("members"))
-    found = lists.select("members").mapInArrow(_local_join, "u long, v long, sim float").withColumn("fresh", F.lit(True))
+    found = lists.select("members").mapInArrow(_local_join, "u long, v long, sim double").withColumn("fresh", F.lit(True))
     both = graph.withColumn("fresh", F.lit(False)).unionByName(found).repartition("u")
     merged = both.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
     return common.stored(_best(merged, "u", degree), "ann-graph")
@@ -199,8 +208,8 @@ def adjacency(graph: DataFrame, nodes: DataFrame) -> str:
     links = graph.select(F.col("u").alias("node"), "v").unionByName(graph.select(F.col("v").alias("node"), F.col("u").alias("v"))).distinct()
     sizes = links.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / F.lit(2 * CHUNK)).alias("chunks"))
     parts = links.join(sizes, "node").withColumn("part", F.pmod(F.xxhash64("v"), F.col("chunks")))
-    filled = parts.join(nodes.select(F.col("node").alias("v"), "half"), "v")
-    rows = filled.groupBy("node", "part").agg(F.collect_list(F.struct("v", "half")).alias("links")).drop("part")
+    filled = parts.join(nodes.select(F.col("node").alias("v"), "code"), "v")
+    rows = filled.groupBy("node", "part").agg(F.collect_list(F.struct("v", "code")).alias("links")).drop("part")
     name = f"adjacency_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows.write.bucketBy(buckets, "node").sortBy("node").option("path", common.scratch_path(spark, name)).saveAsTable(name)
@@ -213,13 +222,13 @@ def _open_nodes(batches):
         for start in range(0, whole.num_rows, 2000):
             batch = whole.slice(start, 2000)
             lists = batch.column("links")
-            v, half = lists.flatten().flatten()
+            v, code = lists.flatten().flatten()
             sizes = lists.value_lengths().to_numpy()
             if not len(v):
                 continue
             at = np.repeat(np.arange(len(sizes)), sizes)
-            queries, rows = _matrix(batch.column("query_half"), np.float16), _matrix(half, np.float16)
-            sims = np.einsum("ij,ij->i", rows, queries[at]).astype(np.float32)
+            queries, rows = _matrix(batch.column("query_code")), _matrix(code)
+            sims = np.einsum("ij,ij->i", rows, queries[at])
             ids = batch.column("query").to_numpy()[at]
             good = sims > batch.column("worst").to_numpy()[at]
             yield pa.RecordBatch.from_arrays([pa.array(ids[good]), pa.array(v.to_numpy()[good]), pa.array(sims[good])], ["query", "v", "sim"])
@@ -227,20 +236,20 @@ def _open_nodes(batches):
 
 def greedy_search(queries: DataFrame, links: DataFrame, nodes: DataFrame, beam: int = BEAM) -> DataFrame:
     """(``query``, ``v``, ``sim``): the beam of every query node when nothing in it is left to open."""
-    halves = queries.select(F.col("node").alias("query")).distinct().join(
-        nodes.select(F.col("node").alias("query"), F.col("half").alias("query_half")), "query")
-    halves = common.stored(halves, "ann-queries")
-    pool = halves.select("query", F.col("query").alias("v"), F.lit(1.0).cast("float").alias("sim"), F.lit(False).alias("opened"))
+    codes = queries.select(F.col("node").alias("query")).distinct().join(
+        nodes.select(F.col("node").alias("query"), F.col("code").alias("query_code")), "query")
+    codes = common.stored(codes, "ann-queries")
+    pool = codes.select("query", F.col("query").alias("v"), F.lit(1.0).alias("sim"), F.lit(False).alias("opened"))
     pool = common.stored(pool, "ann-beam")
     while True:
         closed = pool.filter("NOT opened")
         if closed.isEmpty():
             return pool.drop("opened")
         worst = pool.groupBy("query").agg(F.min("sim").alias("low"), F.count(F.lit(1)).alias("n")).select(
-            "query", F.when(F.col("n") < beam, F.lit(-2.0)).otherwise(F.col("low")).cast("float").alias("worst"))
-        asked = closed.select("query", F.col("v").alias("node")).join(halves, "query").join(worst, "query")
-        opened = asked.join(links, "node").select("query", "query_half", "worst", "links")
-        seen = opened.mapInArrow(_open_nodes, "query long, v long, sim float").withColumn("opened", F.lit(False))
+            "query", F.when(F.col("n") < beam, F.lit(-2.0)).otherwise(F.col("low")).alias("worst"))
+        asked = closed.select("query", F.col("v").alias("node")).join(codes, "query").join(worst, "query")
+        opened = asked.join(links, "node").select("query", "query_code", "worst", "links")
+        seen = opened.mapInArrow(_open_nodes, "query long, v long, sim double").withColumn("opened", F.lit(False))
         both = pool.withColumn("opened", F.lit(True)).unionByName(seen).groupBy("query", "v").agg(F.max("sim").alias("sim"), F.max("opened").alias("opened"))
         pool = common.stored(_best(both, "query", beam), "ann-beam")
 

@@ -78,5 +78,17 @@ def test_recall_and_growth_of_the_graph(spark, monkeypatch):
     assert graph.groupBy("u").count().agg(F.max("count")).first()[0] == 12
 
 
+def test_more_near_copies_than_the_beam_holds(spark, monkeypatch):
+    """Vectors closer than half precision, dealt in small blocks and chunks, and many more than a beam."""
+    for name, value in {"BLOCK": 60, "CHUNK": 24}.items():
+        monkeypatch.setattr(neighbours, name, value)
+    rng = np.random.default_rng(3)
+    hot = rng.normal(size=8)
+    rows = [(i, [float(x) for x in hot + 3e-4 * rng.normal(size=8)]) for i in range(700)]
+    got, want = found(neighbours.nearest(frame(spark, rows), QUERY, degree=16, beam=60)), brute(rows)
+    recall = np.mean([len({v for _, v in got[q]} & {v for _, v in want[q]}) / 5 for q in want])
+    assert recall >= 0.95
+
+
 def test_empty_table(spark):
     assert neighbours.nearest(spark.createDataFrame([], SCHEMA), QUERY).count() == 0
