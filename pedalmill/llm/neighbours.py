@@ -2,11 +2,12 @@
 
 Building. Vectors are dealt to the nearest of at most ``MAX_PIVOTS`` sampled pivots, ``TABLES`` times with
 other pivots; neighbours within a block start the graph (only the start depends on the sample; every
-vector is in the graph). Then ``ROUNDS`` rounds of NN-descent: every node brings its neighbours and the nodes
+vector is in the graph). Then rounds of NN-descent, at least ``ROUNDS`` and until less than ``LEAST_FRESH`` of the
+edges came in the last one: every node brings its neighbours and the nodes
 it is a neighbour of together, those are compared with each other, and each keeps its ``DEGREE`` best. Only
 pairs with a neighbour that came in the last round are compared, and only those that beat the worst
 neighbour are sent on. Nodes that are neighbours of very many are split: their followers meet in chunks of
-about ``CHUNK``, none is left out.
+about ``CHUNK``, others in every round; none is left out.
 
 Search. Each query starts at its own node and opens all unopened nodes of its beam, the ``BEAM`` best nodes
 seen, at every hop, until all of the beam are open. The adjacency is stored as a bucketed table, so a hop moves
@@ -35,6 +36,7 @@ TOP = 5
 DEGREE = 24
 TABLES, BLOCK, MAX_PIVOTS = 4, 800, 4096
 ROUNDS = 3
+LEAST_FRESH = 0.01
 CHUNK = 2 * DEGREE
 FLOATS, DOUBLES = b"f", b"d"
 BEAM = 200
@@ -174,8 +176,8 @@ def start_graph(nodes: DataFrame, degree: int = DEGREE) -> DataFrame:
     return common.stored(_best(found, "u", degree).withColumn("fresh", F.lit(True)), "ann-graph")
 
 
-def descend(graph: DataFrame, nodes: DataFrame, degree: int = DEGREE) -> DataFrame:
-    """One round: neighbours of neighbours are compared, every node keeps its best."""
+def descend(graph: DataFrame, nodes: DataFrame, degree: int = DEGREE, salt: int = 0) -> DataFrame:
+    """One round: neighbours of neighbours are compared, every node keeps its best. ``salt`` deals the chunks."""
     worst = graph.groupBy("u").agg(F.min("sim").alias("low"), F.count(F.lit(1)).alias("n"))
     worst = worst.select(F.col("u").alias("x"), F.when(F.col("n") < degree, F.lit(-2.0)).otherwise(F.col("low")).alias("worst"))
     known = nodes.select(F.col("node").alias("x"), "code").join(worst, "x", "left").withColumn("worst", F.coalesce("worst", F.lit(-2.0)))
@@ -183,7 +185,7 @@ def descend(graph: DataFrame, nodes: DataFrame, degree: int = DEGREE) -> DataFra
     ahead = graph.select(F.col("u").alias("g"), F.col("v").alias("x"), "fresh").join(chunks, "g", "left").select(
         "g", "x", "fresh", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("chunks", F.lit(1)) - 1)).alias("part"))
     back = graph.select(F.col("v").alias("g"), F.col("u").alias("x"), "fresh").join(chunks, "g").select(
-        "g", "x", "fresh", F.pmod(F.xxhash64("x"), F.col("chunks")).alias("part"))
+        "g", "x", "fresh", F.pmod(F.xxhash64("x", F.lit(salt)), F.col("chunks")).alias("part"))
     members = ahead.unionByName(back).join(known, "x")
     lists = members.groupBy("g", "part").agg(F.collect_list(F.struct("x", "worst", "fresh", "code")).alias("members"))
     found = lists.select("members").mapInArrow(_local_join, "u long, v long, sim double").withColumn("fresh", F.lit(True))
@@ -193,9 +195,9 @@ def descend(graph: DataFrame, nodes: DataFrame, degree: int = DEGREE) -> DataFra
 
 
 def build(nodes: DataFrame, rounds: int = ROUNDS, degree: int = DEGREE) -> DataFrame:
-    graph = start_graph(nodes, degree)
-    for _ in range(rounds):
-        graph = descend(graph, nodes, degree)
+    graph, done = start_graph(nodes, degree), 0
+    while done < rounds or (graph.agg(F.avg(F.col("fresh").cast("int"))).first()[0] or 0.0) >= LEAST_FRESH:
+        graph, done = descend(graph, nodes, degree, done), done + 1
     return graph
 
 

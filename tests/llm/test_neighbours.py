@@ -90,5 +90,14 @@ def test_more_near_copies_than_the_beam_holds(spark, monkeypatch):
     assert recall >= 0.95
 
 
+def test_rounds_go_on_until_few_edges_are_fresh(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 40)
+    rng = np.random.default_rng(4)
+    df = frame(spark, [(i, [float(x) for x in rng.normal(size=12)]) for i in range(600)])
+    nodes, _ = neighbours.make_nodes(neighbours.usable(df, "vec_id", "embedding"))
+    graph = neighbours.build(nodes, rounds=0, degree=8)
+    assert graph.agg(F.avg(F.col("fresh").cast("int"))).first()[0] < neighbours.LEAST_FRESH
+
+
 def test_empty_table(spark):
     assert neighbours.nearest(spark.createDataFrame([], SCHEMA), QUERY).count() == 0
