@@ -2,8 +2,8 @@
 
 ``STAGES`` holds (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next one's ``docs``. All but the last return the columns of
-``docs`` unchanged, extra ones included. Rows without ``doc_id`` are never taken for near duplicates of each
-other, as nothing tells them apart afterwards.
+``docs`` unchanged, extra ones included. Near duplicates are told apart by id and text, so rows
+with repeated or without ``doc_id`` take part.
 """
 
 from __future__ import annotations
@@ -32,12 +32,30 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every near-duplicate group."""
+    """One row of every near-duplicate group: the smallest id, then the smallest text digest, NULL ids last."""
     ship_package(spark)
-    groups = near_dedup.near_duplicate_groups(docs)
-    dropped = common.stored(groups.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "pipeline-dropped")
-    return docs.join(F.broadcast(dropped) if fits_broadcast(dropped) else dropped, "doc_id", "left_anti").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    groups = near_dedup.near_duplicate_groups(docs, row_keys=True).select("doc_id", "text_digest", "rows", "chosen")
+    groups = common.stored(groups.filter("rows IS NOT NULL"), "pipeline-groups")
+    keys = ["doc_id", "text_digest"]
+    dropped = common.stored(groups.filter("NOT chosen").select(*keys).distinct(), "pipeline-dropped")
+    rows = _without(docs, dropped).select(*columns)
+    # what is chosen may stand there several times, id and text alike
+    repeated = common.stored(groups.filter("chosen").groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*keys), "pipeline-repeated")
+    if repeated.isEmpty():
+        return rows
+    whole = F.struct(*columns)
+    same = rows.withColumn("__digest", near_dedup.text_digest()).join(
+        repeated, F.col("__digest").eqNullSafe(repeated["text_digest"]) & rows["doc_id"].eqNullSafe(repeated["doc_id"]), "left_semi")
+    one = same.groupBy(F.col("doc_id").alias("__id"), "__digest").agg(F.min_by(whole, F.to_json(whole)).alias("__row"))
+    return _without(rows, repeated).select(*columns).unionByName(one.select("__row.*"))
+
+
+def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose id and text digest are not among ``keys``; NULL ids are a value."""
+    keys = F.broadcast(keys) if fits_broadcast(keys) else keys
+    digested = docs.withColumn("__digest", near_dedup.text_digest())
+    return digested.join(keys, digested["doc_id"].eqNullSafe(keys["doc_id"]) & (F.col("__digest") == keys["text_digest"]), "left_anti")
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -259,16 +259,28 @@ def _compare_left(left: DataFrame, verifier: _Verifier, links: DataFrame, groups
             left = _labelled(left.drop("label"), groups)
 
 
-def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every row of ``docs``: id, ``n_shingles``, ``component_id``, ``kept``."""
+def text_digest(text: str = "text"):
+    """Digest of a text, which with the id tells rows apart; NULL counts as empty."""
+    return F.unhex(F.md5(common.utf8(text)))
+
+
+def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", row_keys: bool = False) -> DataFrame:
+    """Every row of ``docs``: id, ``n_shingles``, ``component_id``, ``kept``.
+
+    With ``row_keys`` also ``text_digest``, ``rows`` (of equal sets, NULL for empty ones) and ``chosen``: whether the id
+    and digest are those of the group's one row to keep, the smallest with NULL ids last.
+    """
+    extra = ["digest"] if row_keys else []
     plain = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"),
-                        F.coalesce(F.col(f"`{id_col}`"), F.lit(-2 ** 63)).alias("row_key"))
-    signed = common.stored(common.map_bytes(plain, ["id", "row_key"], "text", _signer,
+                        F.coalesce(F.col(f"`{id_col}`"), F.lit(-2 ** 63)).alias("row_key"), *[text_digest(text).alias(c) for c in extra])
+    signed = common.stored(common.map_bytes(plain, ["id", "row_key", *extra], "text", _signer,
                                             "n long, class binary, buckets array<long>, sign binary"), "near-signed")
     filled = signed.filter("class IS NOT NULL")
+    best = [F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "digest")).alias("best")] if row_keys else []
+    names = ["best"] if row_keys else []
     classes = common.stored(filled.groupBy("class").agg(
         F.first("n").alias("n"), F.min("row_key").alias("row_key"), F.min("id").alias("first_id"), F.count(F.lit(1)).alias("rows"),
-        F.first("sign").alias("sign"), F.first("buckets").alias("buckets")), "near-classes")
+        F.first("sign").alias("sign"), F.first("buckets").alias("buckets"), *best), "near-classes")
     spread = classes.select("class", F.explode("buckets").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = common.stored(spread.join(shared, "bucket"), "near-members")
@@ -285,12 +297,15 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "
     left = common.stored(left, "near-left")
     if not left.isEmpty():
         groups = _compare_left(_prefix_groups(left, verifier.sets_of(left.select("class"))), verifier, links, groups)
-    labels = classes.select("class", "first_id", "rows").join(groups, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    labels = classes.select("class", "first_id", "rows", *names).join(groups, "class", "left").withColumn("label", F.coalesce("label", "class"))
     labels = common.stored(labels.filter("rows > 1").unionByName(labels.filter("rows = 1").join(groups.select("class"), "class", "left_semi")), "near-labels")
-    smallest = common.stored(labels.groupBy("label").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("size")), "near-groups")
-    found = common.join_by_hot_key(labels.select("class", "label", "rows"), smallest, "label", "size").select("class", "rows", "component_id")
-    facts = signed.select("id", "n", F.coalesce("class", F.lit(b"")).alias("class"))
+    smallest = common.stored(labels.groupBy("label").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("size"),
+                                                         *[F.min(c).alias(c) for c in names]), "near-groups")
+    found = common.join_by_hot_key(labels.select("class", "label", "rows"), smallest, "label", "size").select("class", "rows", "component_id", *names)
+    facts = signed.select("id", "n", *extra, F.coalesce("class", F.lit(b"")).alias("class"))
     out = common.join_by_hot_key(facts, common.stored(found, "near-found"), "class", "rows")
     component = F.when(F.col("rows").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    chosen = F.col("rows").isNull() | (F.col("best.id").eqNullSafe(F.col("id")) & (F.col("best.digest") == F.col("digest"))) if row_keys else None
+    keys = [F.col("digest").alias("text_digest"), "rows", chosen.alias("chosen")] if row_keys else []
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      component.eqNullSafe(F.col("id")).alias("kept"))
+                      component.eqNullSafe(F.col("id")).alias("kept"), *keys)

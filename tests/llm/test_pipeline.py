@@ -46,3 +46,16 @@ def test_awkward_and_empty_tables(spark, stage):
     assert out.columns == docs.columns or stage is corpus_pipeline.STAGES[-1]
     assert out.count() <= len(edge.TEXTS)
     assert stage[1](spark, edge.empty(spark), SF).count() == 0
+
+
+def test_near_copies_leave_one_row_of_each_group(spark):
+    words = lambda k: [f"{k}{i}" for i in range(60)]
+    near = lambda k, n: " ".join([*words(k)[:-1], f"end{n}"])
+    rows = [(1, near("a", 0)), (2, near("a", 1)), (2, "something else entirely"),  # a repeated id with different texts
+            (5, near("b", 0)), (5, near("b", 1)), (5, near("b", 2)),  # copies that share the smallest id
+            (None, near("c", 0)), (None, near("c", 1)), (None, "no id and alone"),  # no ids
+            (7, near("d", 0)), (7, near("d", 0)), (8, near("d", 1))]  # a repeated row
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string").repartition(3)
+    out = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()]
+    assert sorted((str(i), t.split()[0]) for i, t, _, _ in out) == sorted(
+        [("1", "a0"), ("2", "something"), ("5", "b0"), ("None", "c0"), ("None", "no"), ("7", "d0")])
