@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, licenses, mixing, near_dedup, neighbours, quality, sentence_pieces, token_files, word_pieces
+from . import chat, exact_dedup, licenses, mixing, near_dedup, neighbours, quality, sentence_pieces, token_files, vector_codes, word_pieces
 from .common import scratch_path, table
 from .registry import ORACLES, QUERIES, query
+from .vector_codes_sql import comparison_sql as vector_codes_sql
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -124,3 +125,8 @@ def op10_target_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.chances(docs, mixing.fit(docs))
     return rows.select("doc_id", "source", "lang", F.col("__topic").alias("topic"), words.alias("n_tokens"),
                        F.col("__chance").alias("chance"), F.col("__drawn").alias("drawn"))
+
+
+@query(sql=vector_codes_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
