@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, licenses, mixing, near_dedup, neighbours, quality, sentence_pieces, token_files, vector_codes, word_pieces
+from . import chat, exact_dedup, licenses, mixing, near_dedup, neighbours, quality, sentence_pieces, token_files, token_links, vector_codes, word_pieces
 from .common import scratch_path, table
 from .registry import ORACLES, QUERIES, query
 from .vector_codes_sql import comparison_sql as vector_codes_sql
@@ -127,6 +127,11 @@ def op10_target_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("__chance").alias("chance"), F.col("__drawn").alias("drawn"))
 
 
+@query()
+def op11_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_links.align(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 @query(sql=vector_codes_sql())
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
