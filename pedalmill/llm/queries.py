@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, licenses, mixing, near_dedup, neighbours, quality, sentence_pieces, token_files, token_links, vector_codes, word_pieces
+from . import chat, exact_dedup, licenses, mixing, near_dedup, neighbours, ngram_join, quality, sentence_pieces, token_files, token_links, vector_codes, word_pieces
 from .common import scratch_path, table
 from .registry import ORACLES, QUERIES, query
 from .vector_codes_sql import comparison_sql as vector_codes_sql
@@ -132,6 +132,37 @@ def op11_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_links.align(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
 
 
+@query(sql="""
+WITH RECURSIVE worded AS MATERIALIZED (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\\x20\\x09-\\x0D]+') AS words
+    FROM documents
+), sets AS MATERIALIZED (
+    SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles
+    FROM worded
+), classes AS MATERIALIZED (
+    SELECT min(doc_id) AS class, any_value(shingles) AS shingles, len(any_value(shingles)) AS n, list(doc_id) AS docs
+    FROM sets WHERE len(shingles) > 0 GROUP BY list_sort(shingles)
+), lines AS MATERIALIZED (
+    SELECT class, n, unnest(shingles) AS shingle FROM classes
+), links AS MATERIALIZED (
+    SELECT a.class AS a, b.class AS b FROM lines a JOIN lines b ON a.shingle = b.shingle AND a.class <> b.class
+    GROUP BY a.class, b.class, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach(class, seen) AS (
+    SELECT class, class FROM classes UNION SELECT r.class, l.b FROM reach r JOIN links l ON r.seen = l.a
+), grouped AS (
+    SELECT class, min(seen) AS component_id FROM reach GROUP BY class
+), members AS (
+    SELECT unnest(docs) AS doc_id, class FROM classes
+)
+SELECT s.doc_id, len(s.shingles) AS n_shingles, coalesce(g.component_id, s.doc_id) AS component_id
+FROM sets s LEFT JOIN members m USING (doc_id) LEFT JOIN grouped g USING (class)
+""")
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 @query(sql=vector_codes_sql())
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
