@@ -223,12 +223,8 @@ def _named_files(spark, folder: str, name: str) -> None:
             fs.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(path, f"202401-{name}-{i}-tripdata.csv"))
 
 
-def _etl_result(spark, sf):
-    """Files of three families from the trips; the ETL runs twice, and once more by force for one family."""
-    from ..plans import trip_etl
-    from ..sources import sinks, trips as trip_source
-    base = f"{shared_dir(spark)}/etl-{uuid.uuid4().hex}"
-    t = v.trips(spark, sf)
+def _raw_cells():
+    """Text of the raw cells of a trip, and per family the forms of station ids and riders."""
     k = F.col("ride_id")
     start = F.date_trunc("second", "started_at") + F.when(k % 41 == 0, F.make_dt_interval(days=F.lit(40))).otherwise(F.make_dt_interval(days=F.lit(0)))
     stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
@@ -239,6 +235,16 @@ def _etl_result(spark, sf):
             **{c: F.col(c).cast("string") for c in ("start_lat", "start_lon", "end_lat", "end_lon")}}
     forms = {"modern": (lambda c: F.concat(F.lit("M-"), c), F.col("member_casual")), "legacy": (lambda c: c, F.when(F.col("member_casual") == "member", "Subscriber").otherwise("Customer"))}
     forms["titlecase"] = (lambda c: F.concat(c, F.lit(".0")), forms["legacy"][1])
+    return text, forms
+
+
+def _etl_result(spark, sf):
+    """Files of three families from the trips; the ETL runs twice, and once more by force for one family."""
+    from ..plans import trip_etl
+    from ..sources import sinks, trips as trip_source
+    base = f"{shared_dir(spark)}/etl-{uuid.uuid4().hex}"
+    t, k, (text, forms) = v.trips(spark, sf), F.col("ride_id"), _raw_cells()
+    sid, eid = F.col("start_station_id").cast("string"), F.col("end_station_id").cast("string")
     for n, (name, (form, rider)) in enumerate(forms.items()):
         cells = {**text, "start_id": F.when(k % 31 != 0, form(sid)), "end_id": form(eid), "rider": rider}
         names = trip_source.COLUMN_NAMES["legacy_titlecase" if name == "titlecase" else name]
@@ -272,3 +278,65 @@ def trip_etl_accounting(spark, sf):
     """What the ETL kept and dropped, per family, from the written rows."""
     acc = _etl_result(spark, sf).accounting()
     return acc.groupBy(_family()).agg(*[F.sum(c).alias(c) for c in ("rows_in", "rows_out", *(f"first_{n}" for n in _ETL_REASONS))])
+
+
+def _grown_file_result(spark, sf):
+    """Two folders with files of the same names, one of an unknown header; the files of the first folder grow between two runs."""
+    from ..plans import trip_etl
+    from ..sources import sinks, trips as trip_source
+    base = f"{shared_dir(spark)}/versions-{uuid.uuid4().hex}"
+    t, k, (text, forms) = v.trips(spark, sf), F.col("ride_id"), _raw_cells()
+    form, rider = forms["modern"]
+    cells = {**text, "start_id": F.when(k % 31 != 0, form(F.col("start_station_id").cast("string"))), "end_id": form(F.col("end_station_id").cast("string")), "rider": rider,
+             "start_name": F.when(k % 13 == 0, F.concat(F.lit('Pier "7",\n'), text["start_name"])).otherwise(text["start_name"])}
+    rows = t.select(k.alias("__k"), *[cells[c].alias(x) for c, x in trip_source.MODERN.items()])
+
+    def put(folder: str, part, columns=()) -> None:
+        chosen = rows.filter(part).drop("__k")
+        sinks.write_csv(chosen.select(*columns) if columns else chosen, f"{base}/{folder}")
+        _named_files(spark, f"{base}/{folder}", "modern")
+
+    def run():
+        return trip_etl.run(spark, f"{base}/files", f"{base}/trips", v.crosswalk(spark, sf), v.current_stations(spark, sf))
+
+    put("files/near", F.col("__k") % 4 == 0)
+    put("files/far", F.col("__k") % 4 == 1)
+    put("files/odd", F.col("__k") % 4 == 3, ["started_at", "ended_at"])
+    run()
+    put("files/near", F.col("__k") % 4 != 1)  # replaces the folder's files
+    return run()
+
+
+@query("S1", "S3", "S5", "S9", "S21", "A10", sql=f"""WITH {v.TRIPS}
+SELECT 'near' AS folder, 'processed' AS status, count(*)::BIGINT AS rows_in, count(*) FILTER (WHERE ride_id % 31 = 0)::BIGINT AS missing_station, count(*) FILTER (WHERE duration_sec < 90)::BIGINT AS duration_too_short FROM trips WHERE ride_id % 4 <> 1
+UNION ALL SELECT 'far', 'processed', count(*), count(*) FILTER (WHERE ride_id % 31 = 0), count(*) FILTER (WHERE duration_sec < 90) FROM trips WHERE ride_id % 4 = 1
+UNION ALL SELECT 'odd', 'unknown_header', 0, 0, 0""")
+def trip_etl_versions(spark, sf):
+    """Grown files replace their rows, equal names in two folders stay apart, files of an unknown header are accounted for."""
+    acc = _grown_file_result(spark, sf).accounting()
+    folder = F.element_at(F.split("source_path", "/"), -2).alias("folder")
+    return acc.groupBy(folder, "status").agg(*[F.sum(c).cast("long").alias(c) for c in ("rows_in", "missing_station", "duration_too_short")])
+
+
+@query("S1", "S3", sql="""WITH x AS (SELECT o_orderkey, o_orderkey % 7 AS bucket, CASE o_orderkey % 5 WHEN 0 THEN 'plain' WHEN 1 THEN 'one, two' WHEN 2 THEN 'said "' || o_orderkey || '",' || chr(10) || 'then left'
+    WHEN 3 THEN chr(10) || chr(10) || '"' ELSE '"",' || chr(10) || '"' || o_custkey || '"' || chr(10) END AS note FROM orders)
+SELECT bucket, count(*) AS records, sum(length(note))::BIGINT AS characters, sum(o_orderkey)::BIGINT AS keys, max(note) AS last_note FROM x GROUP BY 1""")
+def quoted_records(spark, sf):
+    """CSV records with commas, doubled quotes and line breaks inside cells, from files cut into many splits."""
+    from ..sources import records, sinks
+    folder = f"{shared_dir(spark)}/quoted-{uuid.uuid4().hex}"
+    o, key = table(spark, sf, "orders"), F.col("o_orderkey")
+    note = (F.when(key % 5 == 0, "plain").when(key % 5 == 1, "one, two").when(key % 5 == 2, F.concat(F.lit('said "'), key.cast("string"), F.lit('",\nthen left')))
+            .when(key % 5 == 3, '\n\n"').otherwise(F.concat(F.lit('"",\n"'), F.col("o_custkey").cast("string"), F.lit('"\n'))))
+    sinks.write_csv(o.select(key.cast("string").alias("key"), note.alias("note"), (key % 7).cast("string").alias("bucket")), folder)
+    paths = [r.path for r in manifest.list_files(spark, folder).select("path").toLocalIterator()]
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        found = records.read_records(spark, paths)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    cells = F.from_csv("record", "key string, note string, bucket string", {"escape": '"'})
+    rows = found.select(cells.alias("c")).select("c.*").filter("key != 'key'")
+    return rows.groupBy(F.col("bucket").cast("long").alias("bucket")).agg(
+        F.count(F.lit(1)).alias("records"), F.sum(F.length("note")).alias("characters"), F.sum(F.col("key").cast("long")).alias("keys"), F.max("note").alias("last_note"))

@@ -25,17 +25,22 @@ def schema_family(header: Column) -> Column:
             .when(low.contains("tripduration"), "legacy").otherwise("unknown"))
 
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def open_stream(uri: str):
+    """A file of any file system that the workers reach, as a stream of bytes."""
     from pyarrow import fs
 
+    if uri.startswith("file:/"):
+        system, path = fs.LocalFileSystem(), "/" + uri[len("file:/"):].lstrip("/")
+    else:
+        system, path = fs.FileSystem.from_uri(uri)
+    return system.open_input_stream(path)
+
+
+def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         heads = []
         for uri in pdf["path"]:
-            if uri.startswith("file:/"):
-                system, path = fs.LocalFileSystem(), "/" + uri[len("file:/"):].lstrip("/")
-            else:
-                system, path = fs.FileSystem.from_uri(uri)
-            with system.open_input_stream(path) as stream:
+            with open_stream(uri) as stream:
                 line, _, _ = stream.read(MAX_HEADER_BYTES).partition(b"\n")
             # A first line beyond the bound is no header, and its file of no known family.
             line = line if len(line) < MAX_HEADER_BYTES else b""
@@ -78,15 +83,22 @@ def first_files(files: DataFrame, n: int) -> DataFrame:
     return files.orderBy("file_name").limit(n)
 
 
-def without_superseded(files: DataFrame) -> DataFrame:
-    """Drop the numbered parts of a month that also has an unsplit file."""
+def with_status(files: DataFrame) -> DataFrame:
+    """``files`` with ``status``: ``superseded`` for the numbered parts of a month that also has an unsplit file,
+    ``unknown_header`` for files of no known family, else ``processed``."""
     split = F.col("file_name").rlike(r"_\d\.csv$")
     whole = (files.filter(~split & F.col("expected.month").isNotNull())
              .select(F.col("expected.year").alias("__y"), F.col("expected.month").alias("__m"),
                      F.lit(True).alias("__whole")).distinct())
-    return (files.join(whole, (F.col("expected.year") == F.col("__y"))
-                       & (F.col("expected.month") == F.col("__m")), "left")
-            .filter(~(split & F.coalesce("__whole", F.lit(False)))).drop("__y", "__m", "__whole"))
+    joined = files.join(whole, (F.col("expected.year") == F.col("__y")) & (F.col("expected.month") == F.col("__m")), "left")
+    status = (F.when(split & F.coalesce("__whole", F.lit(False)), "superseded")
+              .when(F.col("family") == "unknown", "unknown_header").otherwise("processed"))
+    return joined.withColumn("status", status).drop("__y", "__m", "__whole")
+
+
+def without_superseded(files: DataFrame) -> DataFrame:
+    """Drop the numbered parts of a month that also has an unsplit file."""
+    return with_status(files).filter("status != 'superseded'").drop("status")
 
 
 def content_hashes(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:

@@ -26,17 +26,15 @@ def write_trips(trips: DataFrame, root: str, mode: str = "append", force: bool =
     writer.parquet(root)
 
 
-def write_files(trips: DataFrame, root: str) -> None:
-    """Trips as ZSTD Parquet by system and source file; what is written replaces the file's earlier rows.
+def write_parts(trips: DataFrame, root: str) -> None:
+    """Trips as ZSTD Parquet by system, year, month and ``part``, added to what is there.
 
-    Kept and dropped rows of a file stand together, so a forced run leaves neither stale
-    ones nor those of another part of the month untouched. Rows are in order of status, year
-    and month, which lets filters on them skip row groups.
+    A part holds one version of one source file, kept and dropped rows together. Rows are in order of status, which
+    lets filters on it skip row groups.
     """
-    keys = ["system", "source_file"]
-    (trips.hint("rebalance", *keys).sortWithinPartitions(*keys, "status", "year", "month").write
-     .option("compression", "zstd").option("partitionOverwriteMode", "dynamic").mode("overwrite")
-     .partitionBy(*keys).parquet(root))
+    keys = ["system", "year", "month", "part"]
+    (trips.hint("rebalance", *keys).sortWithinPartitions(*keys, "status").write
+     .option("compression", "zstd").mode("append").partitionBy(*keys).parquet(root))
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
@@ -45,8 +43,9 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Report tables with a header row."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """Report tables with a header row; quotes inside cells are doubled, white space is kept."""
+    (df.write.mode(mode).option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_log(metrics: DataFrame, path: str, run: str) -> None:

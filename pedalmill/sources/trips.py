@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parse, text
 from ..session import lookup_join
+from . import ledger, records
 
 CORRUPT = "_corrupt"
 
@@ -50,7 +51,7 @@ def _typed(raw: DataFrame, cols: dict[str, Column], modern: Column) -> DataFrame
         return F.when(modern, col(key)).otherwise(text.strip_float_suffix(col(key)))
 
     start, end = parse.parse_timestamp(col("start")), parse.parse_timestamp(col("end"))
-    keep = [c for c in ("source_file", "expected", CORRUPT) if c in raw.columns]
+    keep = [c for c in ("source_file", "source_path", "expected", CORRUPT) if c in raw.columns]
     return raw.select(
         F.when(modern, col("ride_id")).otherwise(parse.synthetic_key(col("start"), col("start_id"), col("bike")))
         .alias("ride_id"),
@@ -76,25 +77,41 @@ def project(raw: DataFrame, family: str) -> DataFrame:
     return _typed(raw, cols, F.lit(family == "modern"))
 
 
-def _cells(line: Column, width: int) -> Column:
-    """The first ``width`` cells of a CSV line; empty and missing ones are NULL."""
+def _cells(record: Column, width: int) -> Column:
+    """The first ``width`` cells of a CSV record; empty and missing ones are NULL."""
     schema = ", ".join(f"c{i} string" for i in range(width))
-    parsed = F.from_csv(line, schema, {"mode": "PERMISSIVE"})
+    parsed = F.from_csv(record, schema, {"mode": "PERMISSIVE", "escape": '"'})
     return F.array(*[parsed[f"c{i}"] for i in range(width)])
 
 
-def _cell_count(line: Column) -> Column:
-    """Number of cells of a CSV line, commas between quotes not counting."""
-    quoted = r'(?<=^|,)"(?:\\.|[^"\\]|"(?!,|$))*"(?=,|$)'
-    return F.size(F.split(F.regexp_replace(line, quoted, ""), ",", -1))
+def _cell_count(record: Column) -> Column:
+    """Number of cells of a CSV record, commas between quotes not counting."""
+    quoted = r'(?<=^|,)"(?:""|[^"]|"(?!,|\z))*"(?=,|\z)'
+    bare = F.when(record.contains('"'), F.regexp_replace(record, quoted, "")).otherwise(record)
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
+#: Raw cells in the order in which a header's positions are kept.
+CELLS = list(dict.fromkeys([*MODERN, *LEGACY]))
+
+
+def _positions(head: Column, family: Column) -> Column:
+    """Place of every raw cell in a header of a family, -1 where it has none."""
+    def place(key: str) -> Column:
+        name = F.lit(None).cast("string")
+        for kind, names in COLUMN_NAMES.items():
+            if key in names:
+                name = F.when(family == kind, F.lit(names[key])).otherwise(name)
+        return F.coalesce(F.array_position(head, name) - 1, F.lit(-1)).cast("int")
+    return F.array(*[place(key) for key in CELLS])
 
 
 def read_files(spark: SparkSession, files: DataFrame) -> DataFrame:
     """All files of a manifest (see ``manifest.trip_files``) as one projected frame.
 
-    One scan for all families and headers: each line meets the header of its file and
-    cells are found by name, so column order never matters and headers may differ from
-    file to file. The driver handles one path per file, as Spark's own file listing does.
+    One reader for all families and headers: each record meets the header of its file, in which cells were looked up once
+    per file, so column order never matters and headers may differ from
+    file to file. Cells may hold line breaks (see ``records``). The driver handles one path per file, as Spark's own file listing does.
     Unknown families are skipped; rows with too many or too few cells are kept and
     marked in ``_corrupt``, to be counted rather than lost.
     """
@@ -103,34 +120,24 @@ def read_files(spark: SparkSession, files: DataFrame) -> DataFrame:
     if not paths:
         raise ValueError("no file with a known header")
     width = known.agg(F.max(F.size(F.split("header", ",")))).first()[0]
-    heads = known.select(F.col("path").alias("__path"), "family", "header",
-                         F.transform(_cells(F.col("header"), width), F.trim).alias("__head"), _cell_count(F.col("header")).alias("__width"))
-    lines = spark.read.text(paths).select(
-        F.regexp_replace("value", "^\ufeff", "").alias("__line"), F.col("_metadata.file_path").alias("__path"),
-        F.col("_metadata.file_name").alias("source_file"))
-    lines = lines.filter(F.trim("__line") != "")
-    rows = lookup_join(lines, heads, "__path", "inner").filter(F.col("__line") != F.col("header"))
+    heads = known.select(F.col("path").alias("source_path"), "family", "header", _cell_count(F.col("header")).alias("__width"),
+                         _positions(F.transform(_cells(F.col("header"), width), F.trim), F.col("family")).alias("__at"),
+                         F.element_at(F.split("path", "/"), -1).alias("source_file"))
+    lines = records.read_records(spark, paths).select(F.col("record").alias("__line"), F.col("path").alias("source_path"))
+    rows = lookup_join(lines, heads, "source_path", "inner").filter(F.col("__line") != F.col("header"))
     rows = rows.withColumn("__cells", _cells(F.col("__line"), width))
     rows = rows.withColumns({CORRUPT: F.when(_cell_count(F.col("__line")) != F.col("__width"), F.col("__line")),
                              "expected": parse.expected_year_month(F.col("source_file"))})
-
-    def cell(key: str) -> Column:
-        name = F.lit(None).cast("string")
-        for family, names in COLUMN_NAMES.items():
-            if key in names:
-                name = F.when(F.col("family") == family, F.lit(names[key])).otherwise(name)
-        found = F.get("__cells", (F.array_position("__head", name) - 1).cast("int"))
-        return found
-
-    return _typed(rows, {key: cell(key) for key in {**MODERN, **LEGACY}}, F.col("family") == "modern")
+    cells = {key: F.get("__cells", F.get("__at", F.lit(i))) for i, key in enumerate(CELLS)}
+    return _typed(rows, cells, F.col("family") == "modern")
 
 
 def read_processed(spark: SparkSession, root: str, system: str | None = None,
                    years: list[int] | None = None) -> DataFrame:
-    """Canonical trips; system prunes partitions, years prune partitions or row groups."""
-    df = spark.read.parquet(root)
+    """Canonical trips; system and years prune partitions, superseded versions of files are left out."""
+    df = ledger.live_rows(spark, root, spark.read.parquet(root)).drop("part")
     if "status" in df.columns:
-        df = df.filter(F.col("status") == "kept").drop("status", "drop_reason", "reasons")
+        df = df.filter(F.col("status") == "kept").drop("status", "drop_reason", "reasons", "source_path")
     if system is not None:
         df = df.filter(F.col("system") == system)
     if years is not None:

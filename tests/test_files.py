@@ -14,7 +14,7 @@ from pedalmill.operators.layers import layer_checks
 from pedalmill.operators.spatial import polygon_area
 from pedalmill.plans import crosswalk as crosswalk_plan
 from pedalmill.plans import trip_etl
-from pedalmill.sources import feeds, manifest, sinks, tables, trips
+from pedalmill.sources import feeds, ledger, manifest, sinks, tables, trips
 from pedalmill.streaming.ingest import ingest_folder, ingest_new, raw_stream
 
 MODERN = "ride_id,rideable_type,started_at,ended_at,start_station_name,start_station_id,end_station_name,end_station_id,start_lat,start_lng,end_lat,end_lng,member_casual"
@@ -113,6 +113,7 @@ def test_etl_end_to_end(spark, raw, reference, tmp_path):
     assert (m["rows_in"], m["rows_out"], m["malformed_row"], m["first_duration_too_short"], m["first_wrong_month"], m["first_missing_station"],
             m["first_test_station"], m["first_invalid_timestamp"]) == (7, 1, 1, 1, 1, 1, 1, 1)
     assert "201409-bikeshare-tripdata_1.csv" not in acc
+    assert (acc["notes.csv"]["status"], acc["notes.csv"]["rows_in"]) == ("unknown_header", 0)
     logged = spark.read.json(log)
     assert logged.filter("run = 'r1'").count() == len(acc)
     match = {r.source_file: r for r in result.matches().collect()}
@@ -256,6 +257,87 @@ def test_etl_runs_again_without_doubling(spark, reference, tmp_path):
     assert run(force=True) == ({"1": (1, 1), "2": (1, 1), "a": (1, 1)}, ["C", "D", "E"])
 
 
+def test_etl_by_file_version(spark, reference, tmp_path):
+    cw, cur = reference
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    (raw / "b").mkdir(parents=True)
+    name = "202401-bikeshare-tripdata.csv"
+    write(raw / name, MODERN, part("A"), part("B", 30))
+    write(raw / "b" / name, MODERN, part("C"))
+    write(raw / "202403-odd.csv", "what,ever", "1,2")
+
+    def run(folder=raw, **options):
+        acc = trip_etl.run(spark, str(folder), out, cw, cur, **options).accounting().collect()
+        got = sorted((r.source_path.removeprefix(f"file:{raw}/"), r.status, r.rows_in, r.rows_out) for r in acc)
+        return got, sorted(r.ride_id for r in trips.read_processed(spark, out).collect())
+
+    odd, second = ("202403-odd.csv", "unknown_header", 0, 0), ("b/" + name, "processed", 1, 1)
+    assert run() == ([(name, "processed", 2, 1), odd, second], ["A", "C"])
+    # a grown file replaces its own rows; the other one of its name stays
+    write(raw / name, MODERN, part("A"), part("B", 30), part("D"))
+    assert run() == ([(name, "processed", 3, 2), odd, second], ["A", "C", "D"])
+    # the same bytes at another time are not read again, nor is anything when a part of the folder is given
+    book = ledger.Ledger(spark, out)
+    before = {r.path: r.part for r in book.state().collect()}
+    os.utime(raw / name, (1e9, 1e9))
+    assert run() == run(raw / "b") == ([(name, "processed", 3, 2), odd, second], ["A", "C", "D"])
+    assert {r.path: r.part for r in book.state().collect()} == before
+    # a file whose header becomes known is read
+    write(raw / "202403-odd.csv", MODERN, part("E", start="2024-03-01 10:00:00.000").replace("2024-01-01", "2024-03-01"))
+    assert run()[1] == ["A", "C", "D", "E"]
+    assert not os.path.exists(f"{out}/_finished") and len(os.listdir(f"{out}/system=nyc/year=2024")) == 2
+    assert spark.read.parquet(out).count() == 5
+
+
+def test_unsplit_file_takes_the_place_of_its_parts(spark, reference, tmp_path):
+    cw, cur = reference
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    write(raw / "202401-bikeshare-tripdata_1.csv", MODERN, part("A"))
+    trip_etl.run(spark, str(raw), out, cw, cur)
+    write(raw / "202401-bikeshare-tripdata.csv", MODERN, part("A"), part("B"))
+    trip_etl.run(spark, str(raw), out, cw, cur)
+    assert sorted(r.ride_id for r in trips.read_processed(spark, out).collect()) == ["A", "B"]
+    (raw / "202401-bikeshare-tripdata.csv").rename(tmp_path / "aside.csv")
+    trip_etl.run(spark, str(raw), out, cw, cur)  # the part is back, the file that is gone keeps its rows
+    assert sorted(r.ride_id for r in trips.read_processed(spark, out).collect()) == ["A", "A", "B"]
+
+
+def test_rows_of_a_lost_commit_are_invisible(spark, reference, tmp_path, monkeypatch):
+    cw, cur = reference
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    write(raw / "202401-a.csv", MODERN, part("A"))
+    trip_etl.run(spark, str(raw), out, cw, cur)
+    write(raw / "202401-b.csv", MODERN, part("B"))
+    monkeypatch.setattr(ledger.Ledger, "last", lambda self: 0)  # another writer took number 1
+    with pytest.raises(ledger.CommitConflict):
+        trip_etl.run(spark, str(raw), out, cw, cur)
+    assert [r.ride_id for r in trips.read_processed(spark, out).collect()] == ["A"]
+    monkeypatch.undo()
+    trip_etl.run(spark, str(raw), out, cw, cur)
+    assert sorted(r.ride_id for r in trips.read_processed(spark, out).collect()) == ["A", "B"]
+
+
+def test_ledger_checkpoints(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ledger, "COMPACT_EVERY", 3)
+    book = ledger.Ledger(spark, str(tmp_path))
+    row = "'nyc' system, 'p{0}' path, 'f' file_name, {1}L length, current_timestamp() modified, 'x' md5, 'modern' family, 'processed' status, 'q' part, 'r' run_id"
+    for i in range(1, 6):
+        book.commit(spark.sql("SELECT " + row.format(i % 2, i)), i)
+    assert sorted(n for n in os.listdir(tmp_path / "_ledger") if n.startswith("check")) == ["checkpoint-000000000003"]
+    assert {(r.path, r.length) for r in book.state("nyc").collect()} == {("p0", 4), ("p1", 5)}
+    assert book.entries().count() == 4 and book.last() == 5
+
+
+def test_quoted_line_breaks_in_trip_files(spark, tmp_path):
+    broken = part("X").replace("3 St,", '"3 St, ""near""\nthe park",')
+    write(tmp_path / "202401-q.csv", MODERN, part("A"), broken.replace("\\n", "\n"), part("B"))
+    got = {r.ride_id: r for r in trips.read_files(spark, manifest.trip_files(spark, str(tmp_path))).collect()}
+    assert set(got) == {"A", "X", "B"} and got["X"].start_station_name_raw == '3 St, "near"\nthe park'
+    assert all(r[trips.CORRUPT] is None for r in got.values())
+
+
 def test_many_headers_and_column_orders(spark, tmp_path):
     names = MODERN.split(",")
     cells = dict(zip(names, part("X").split(",")))
