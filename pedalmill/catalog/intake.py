@@ -218,9 +218,10 @@ def _named_files(spark, folder: str, name: str) -> None:
     """Give the part files of a folder names like those of raw files."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    for i, status in enumerate(fs.listStatus(path)):
-        if status.getPath().getName().endswith(".csv"):
-            fs.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(path, f"202401-{name}-{i}-tripdata.csv"))
+    for status in fs.listStatus(path):
+        part = status.getPath().getName()
+        if part.endswith(".csv"):
+            fs.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(path, f"202401-{name}-{part.split('-')[1]}-tripdata.csv"))
 
 
 def _raw_cells():
