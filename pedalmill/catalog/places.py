@@ -109,19 +109,83 @@ def area_density(spark, sf):
     return d.select("code", "station_count", r("area_sq_km", 4).alias("area_sq_km"), r("stations_per_sq_km", 4).alias("stations_per_sq_km"))
 
 
-@query("J9", "P41", sql=f"""WITH {_CUS}, {_INSIDE}, st AS (SELECT c_custkey % 700 AS station_id, lat, lon, CASE c_custkey // 700 % 3 WHEN 0 THEN 'crosswalk' WHEN 1 THEN 'current' ELSE 'other' END AS source FROM customer JOIN cus ON c_custkey = id),
+# Five layers over the same ground, 255 areas: large and small ones, concave ones, gaps and overlaps.
+_STAR = [(round(r * x, 4), round(r * y, 4)) for r, (x, y) in zip([0.036, 0.014] * 5, [
+    (0.0, 1.0), (0.5878, 0.809), (0.9511, 0.309), (0.9511, -0.309), (0.5878, -0.809), (0.0, -1.0), (-0.5878, -0.809), (-0.9511, -0.309),
+    (-0.9511, 0.309), (-0.5878, 0.809)])]
+#: Layer: how many nations, copies of each, the ring around the centre.
+_LAYERS = {"borough": (5, 1, [(round(x * 2.2, 4), round(y * 2.2, 4)) for x, y in _HEX]), "nta2010": (25, 1, _HEX),
+           "nta2020": (25, 4, [(round(x * 0.55, 4), round(y * 0.55, 4)) for x, y in _HEX]), "puma": (25, 1, _STAR),
+           "tract": (25, 4, [(0.0, 0.019), (0.017, 0.001), (0.002, -0.018), (-0.016, -0.003)])}
+
+
+def _layer_edges() -> str:
+    parts = []
+    for layer, (nations, copies, ring) in _LAYERS.items():
+        edges = ", ".join(f"({x1}::DOUBLE, {y1}::DOUBLE, {x2}::DOUBLE, {y2}::DOUBLE)" for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]))
+        parts.append(f"SELECT '{layer}' AS layer, n_name || '-' || i AS code, cx + dx1 AS x1, cy + dy1 AS y1, cx + dx2 AS x2, cy + dy2 AS y2 FROM "
+                     f"(SELECT n_name, i, {_CX} + (i % 2) * 0.04::DOUBLE AS cx, {_CY} + (i // 2) * 0.04::DOUBLE AS cy FROM nation, range({copies}) t(i) WHERE n_nationkey < {nations}), "
+                     f"(VALUES {edges}) e(dx1, dy1, dx2, dy2)")
+    return "edges AS MATERIALIZED (" + " UNION ALL ".join(parts) + ")"
+
+
+def _layers(spark, sf):
+    k, i = F.col("n_nationkey").cast("long"), F.col("i")
+    cx = F.lit(-74.06) + (k % 5) * F.lit(0.08) + (i % 2) * F.lit(0.04)
+    cy = F.lit(40.64) + F.floor(k / 5) * F.lit(0.08) + F.floor(i / 2) * F.lit(0.04)
+    out = {}
+    for layer, (nations, copies, ring) in _LAYERS.items():
+        n = table(spark, sf, "nation").filter(k < nations).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+        points = F.array(*[F.struct((cx + F.lit(x)).alias("lon"), (cy + F.lit(y)).alias("lat")) for x, y in ring])
+        out[layer] = n.select(F.concat("n_name", F.lit("-"), i.cast("string")).alias("code"), F.array(points).alias("rings"))
+    return out
+
+
+def _in_layers(points: str) -> str:
+    return (f"inside AS (SELECT lat, lon, layer, code FROM (SELECT DISTINCT lat, lon FROM {points}) p, edges WHERE y1 <> y2 AND lat >= least(y1, y2) AND lat < greatest(y1, y2) "
+            "AND x1 + (lat - y1) / (y2 - y1) * (x2 - x1) > lon GROUP BY ALL HAVING count(*) % 2 = 1)")
+
+
+@query("J9", "P41", sql=f"""WITH {_CUS}, {_layer_edges()}, st AS (SELECT c_custkey % 700 AS station_id, lat, lon, CASE c_custkey // 700 % 3 WHEN 0 THEN 'crosswalk' WHEN 1 THEN 'current' ELSE 'other' END AS source FROM customer JOIN cus ON c_custkey = id),
  best AS (SELECT * FROM st QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY CASE source WHEN 'current' THEN 1 WHEN 'crosswalk' THEN 2 ELSE 3 END, lat, lon) = 1),
- ins AS (SELECT lat, lon, min(code) AS code FROM inside GROUP BY ALL)
-SELECT station_id, source, CASE WHEN lon < -74.0 THEN 'NJ' ELSE 'NY' END AS state, COALESCE(code, '') AS areas_code FROM best LEFT JOIN ins USING (lat, lon)""")
+ {_in_layers('best')},
+ ins AS (SELECT lat, lon, {', '.join(f"min(code) FILTER (WHERE layer = '{n}') AS {n}" for n in _LAYERS)} FROM inside GROUP BY ALL)
+SELECT station_id, source, CASE WHEN lon < -74.0 THEN 'NJ' ELSE 'NY' END AS state, {', '.join(f"COALESCE({n}, '') AS {n}_code" for n in _LAYERS)} FROM best LEFT JOIN ins USING (lat, lon)""")
 def station_area_lookup(spark, sf):
-    """One row per station id, the preferred source winning, with area code and state."""
+    """One row per station id, the preferred source winning, with the area code of five layers and the state."""
     c = table(spark, sf, "customer")
     k = F.col("c_custkey")
     src = F.element_at(F.array(F.lit("crosswalk"), F.lit("current"), F.lit("other")), (F.floor(k / 700) % 3 + 1).cast("int"))
     st = c.select((k % 700).alias("station_id"), v.lat_of(k * 3 + 1).alias("lat"), v.lon_of(k * 3 + 1).alias("lon"), src.alias("source"))
-    out = spatial.area_lookup(st, {"areas": _areas(spark, sf)}, ["current", "crosswalk"])
+    out = spatial.area_lookup(st, _layers(spark, sf), ["current", "crosswalk"])
     return out.select("station_id", "source", F.when(F.col("lon") < -74.0, "NJ").otherwise("NY").alias("state"),
-                      F.coalesce("areas_code", F.lit("")).alias("areas_code"))
+                      *[F.coalesce(f"{n}_code", F.lit("")).alias(f"{n}_code") for n in _LAYERS])
+
+
+# Positions with real spread: nearly every line has its own.
+_SPOTS = """spots AS (SELECT l_orderkey * 8 + l_linenumber AS id, 40.55::DOUBLE + ((l_orderkey * 7919 + l_linenumber * 104729) % 450029)::DOUBLE * 0.000001::DOUBLE AS lat,
+ -74.15::DOUBLE + ((l_orderkey * 104729 + l_linenumber * 7919) % 450067)::DOUBLE * 0.000001::DOUBLE AS lon FROM lineitem)"""
+
+
+def _spots(spark, sf):
+    k, n = F.col("l_orderkey"), F.col("l_linenumber").cast("long")
+    return table(spark, sf, "lineitem").select(
+        (k * 8 + n).alias("id"), (F.lit(40.55) + ((k * 7919 + n * 104729) % 450029).cast("double") * F.lit(0.000001)).alias("lat"),
+        (F.lit(-74.15) + ((k * 104729 + n * 7919) % 450067).cast("double") * F.lit(0.000001)).alias("lon"))
+
+
+@query("J8", "J10", "A49", sql=f"""WITH {_SPOTS}, {_layer_edges()}, {_in_layers('spots')} SELECT layer, code, count(*) AS spots, sum(id)::BIGINT AS ids FROM spots JOIN inside USING (lat, lon) GROUP BY ALL""")
+def spots_in_layers(spark, sf):
+    """Nearly as many positions as rows in 255 areas of five layers, by one cover and one join."""
+    spots = _spots(spark, sf)
+    layers = _layers(spark, sf)
+    polygons = None
+    for name, rows in layers.items():
+        rows = rows.withColumn("layer", F.lit(name))
+        polygons = rows if polygons is None else polygons.unionByName(rows)
+    pts = spatial.distinct_points(spots).select("lat", "lon")
+    inside = spatial.positions_in_cover(pts, spatial.polygon_cover(polygons, ["layer", "code"]), ["layer", "code"])
+    return spots.join(inside, ["lat", "lon"]).groupBy("layer", "code").agg(F.count(F.lit(1)).alias("spots"), F.sum("id").alias("ids"))
 
 
 @query("S25", "A51", sql=f"""WITH {_sql_edges()}, b AS (SELECT min(least(x1, x2)) AS min_lon, max(greatest(x1, x2)) AS max_lon, min(least(y1, y2)) AS min_lat, max(greatest(y1, y2)) AS max_lat FROM edges)
@@ -152,7 +216,17 @@ def area_weighted_transfer(spark, sf):
     return spatial.transfer(val, _area_crosswalk(spark, sf), "old", "new", "q", "pct").withColumn("q", r("q", 4))
 
 
-@query("W12", "J19", "F18", sql=f"""WITH {_XW} SELECT old::BIGINT AS old, new, round(pct, 6) AS pct, (pct > 10) AS stable FROM xw QUALIFY row_number() OVER (PARTITION BY old ORDER BY pct DESC, new) = 1""")
+@query("F18", sql="""WITH x AS (SELECT p_size::VARCHAR AS old, CASE WHEN p_partkey % 3 = 0 THEN p_size::VARCHAR ELSE p_brand END AS new, p_retailprice AS w FROM part)
+SELECT old, count(*) AS rows, round(sum(w), 2) AS weight FROM x WHERE old = new GROUP BY 1""")
+def unchanged_areas(spark, sf):
+    """Areas that keep their code from one vintage to the next."""
+    p = table(spark, sf, "part")
+    size = F.col("p_size").cast("string")
+    xw = p.select(size.alias("old"), F.when(F.col("p_partkey") % 3 == 0, size).otherwise(F.col("p_brand")).alias("new"), F.col("p_retailprice").alias("w"))
+    return spatial.unchanged_areas(xw, "old", "new").groupBy("old").agg(F.count(F.lit(1)).alias("rows"), r(F.sum("w"), 2).alias("weight"))
+
+
+@query("W12", "J19", sql=f"""WITH {_XW} SELECT old::BIGINT AS old, new, round(pct, 6) AS pct, (pct > 10) AS stable FROM xw QUALIFY row_number() OVER (PARTITION BY old ORDER BY pct DESC, new) = 1""")
 def dominant_areas(spark, sf):
     xw = _area_crosswalk(spark, sf)
     best = spatial.dominant_area(xw, "old", "new", "pct")

@@ -12,12 +12,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..session import lookup_join
+from .cover import polygon_cover, positions_in_cover
 
 
 def distinct_points(df: DataFrame, lat: str = "lat", lon: str = "lon",
@@ -193,66 +194,14 @@ def nearest_k(a: DataFrame, b: DataFrame, k: int, b_id: str, max_deg: float | No
 
 # --- polygons -----------------------------------------------------------------
 
-def polygon_edges(polygons: DataFrame, code: str = "code", rings: str = "rings") -> DataFrame:
-    """Edges of all rings, holes included: code, x1, y1, x2, y2 and the polygon's west bound.
-
-    ``rings`` is array<array<struct<lon, lat>>>: the outer ring, then holes. A code
-    may have several rows, one per part. An open ring is closed. Rings are
-    exploded, so one large polygon does not travel as one value.
-    """
-    ring = polygons.select(F.col(code).alias("code"), F.explode(rings).alias("ring"))
-    points = F.when(F.element_at("ring", 1) == F.element_at("ring", -1), F.col("ring")).otherwise(
-        F.concat("ring", F.slice("ring", 1, 1)))
-    pairs = F.arrays_zip(F.slice(F.col("p"), F.lit(1), F.size("p") - 1).alias("f"),
-                         F.slice(F.col("p"), F.lit(2), F.size("p") - 1).alias("t"))
-    edges = (ring.filter(F.size("ring") > 2).select("code", points.alias("p"))
-             .select("code", F.explode(pairs).alias("e"))
-             .select("code", F.col("e.f.lon").alias("x1"), F.col("e.f.lat").alias("y1"),
-                     F.col("e.t.lon").alias("x2"), F.col("e.t.lat").alias("y2")))
-    west = edges.groupBy("code").agg(F.min(F.least("x1", "x2")).alias("west"))
-    return edges.join(west, "code")
-
-
-def positions_in_edges(points: DataFrame, edges: DataFrame, size: float = 0.005) -> DataFrame:
-    """(lat, lon, code) for positions strictly inside a polygon, by crossing parity.
-
-    A position matters only to edges at its latitude that reach east of it, so
-    each edge is stored in the cells between its polygon's west bound and its own
-    east end, and the test is one equi join plus a count. Positions on an edge
-    are not inside.
-    """
-    top, bottom = F.greatest("y1", "y2"), F.least("y1", "y2")
-    placed = (edges
-              .withColumn("__cy", F.explode(geo.cells_covering(bottom, top, size)))
-              .withColumn("__cx", F.explode(geo.cells_covering(F.col("west"), F.greatest("x1", "x2"), size))))
-    at = (points.withColumn("__cy", geo.cell(F.col("lat"), size))
-          .withColumn("__cx", geo.cell(F.col("lon"), size)))
-    hit = at.join(placed, ["__cx", "__cy"])
-    straddles = (F.col("lat") >= bottom) & (F.col("lat") < top)
-    t = (F.col("lat") - F.col("y1")) / (F.col("y2") - F.col("y1"))
-    crosses = F.when(F.col("y1") != F.col("y2"),
-                     straddles & (F.col("x1") + t * (F.col("x2") - F.col("x1")) > F.col("lon")))
-    cross = ((F.col("x2") - F.col("x1")) * (F.col("lat") - F.col("y1"))
-             - (F.col("y2") - F.col("y1")) * (F.col("lon") - F.col("x1")))
-    on_edge = ((cross == 0) & F.col("lat").between(bottom, top)
-               & F.col("lon").between(F.least("x1", "x2"), F.greatest("x1", "x2")))
-    return (hit.filter(F.coalesce(crosses, F.lit(False)) | on_edge)
-            .groupBy("lat", "lon", "code")
-            .agg(F.count(F.when(crosses, 1)).alias("__c"), F.max(on_edge).alias("__on"))
-            .filter((F.col("__c") % 2 == 1) & ~F.col("__on"))
-            .select("lat", "lon", "code"))
-
-
 def points_in_polygons(df: DataFrame, polygons: DataFrame, how: str = "left",
-                       lat: str = "lat", lon: str = "lon", size: float = 0.005,
-                       code: str = "code") -> DataFrame:
+                       lat: str = "lat", lon: str = "lon", code: str = "code") -> DataFrame:
     """Rows with the code of the polygon around them (``left`` keeps unmatched rows).
 
     The test runs on distinct positions; rows get the answer by equi join.
     """
     pts = distinct_points(df, lat, lon).select("lat", "lon")
-    inside = (positions_in_edges(pts, polygon_edges(polygons, code), size)
-              .withColumnsRenamed({"lat": lat, "lon": lon, "code": code}))
+    inside = positions_in_cover(pts, polygon_cover(polygons, [code]), [code]).withColumnsRenamed({"lat": lat, "lon": lon})
     # About as many positions as rows in general, so no broadcast; both sides are
     # shuffled by position and a hot position is split by adaptive execution.
     return df.join(inside, [lat, lon], how)
@@ -277,12 +226,11 @@ def polygon_area(polygons: DataFrame, code: str = "code", rings: str = "rings")
 
 
 def station_density(stations: DataFrame, polygons: DataFrame, sq_km_per_deg2: float = 12_100.0,
-                    size: float = 0.005, code: str = "code") -> DataFrame:
+                    code: str = "code") -> DataFrame:
     """Stations per area and per square kilometre; areas without stations have 0."""
     pts = distinct_points(stations)
-    inside = positions_in_edges(pts, polygon_edges(polygons, code), size)
-    count = (inside.join(pts, ["lat", "lon"]).groupBy("code")
-             .agg(F.sum("n").alias("station_count")).withColumnRenamed("code", code))
+    inside = positions_in_cover(pts, polygon_cover(polygons, [code]), [code])
+    count = inside.join(pts, ["lat", "lon"]).groupBy(code).agg(F.sum("n").alias("station_count"))
     return (polygon_area(polygons, code).join(count, code, "left")
             .withColumn("station_count", F.coalesce("station_count", F.lit(0)).cast("long"))
             .withColumn("area_sq_km", F.col("area_deg2") * sq_km_per_deg2)
@@ -290,12 +238,11 @@ def station_density(stations: DataFrame, polygons: DataFrame, sq_km_per_deg2: fl
             .drop("area_deg2"))
 
 
-def area_lookup(stations: DataFrame, layers: dict[str, DataFrame], source_order: Sequence[str],
-                size: float = 0.005) -> DataFrame:
-    """One row per station id with the area code of every layer.
+def area_lookup(stations: DataFrame, layers: dict[str, DataFrame], source_order: Sequence[str]) -> DataFrame:
+    """One row per station id with the area code of every layer, all layers in one join.
 
     ``stations``: station_id, lat, lon, source. When an id occurs in several
-    sources the first of ``source_order`` wins.
+    sources the first of ``source_order`` wins. Of several areas of a layer the smallest code counts.
     """
     priority = F.coalesce(F.array_position(F.array(*[F.lit(s) for s in source_order]),
                                            F.col("source")), F.lit(0))
@@ -305,18 +252,10 @@ def area_lookup(stations: DataFrame, layers: dict[str, DataFrame], source_order:
             .agg(F.min_by(F.struct(*names), F.struct(rank, F.col("lat"), F.col("lon"))).alias("s"))
             .select("station_id", "s.*"))
     pts = distinct_points(best).select("lat", "lon")
-    out = best
-    for layer, polygons in layers.items():
-        inside = (positions_in_edges(pts, polygon_edges(polygons), size)
-                  .groupBy("lat", "lon").agg(F.min("code").alias(f"{layer}_code")))
-        out = out.join(inside, ["lat", "lon"], "left")
-    return out
-
-
-def with_areas(trips: DataFrame, lookup: DataFrame, station: str = "start_station_id") -> DataFrame:
-    """Trips with the area columns of their station; no geometry at query time."""
-    side = lookup.withColumnRenamed("station_id", station)
-    return lookup_join(trips, side, station, "left")
+    polygons = reduce(DataFrame.unionByName, [p.select(F.lit(n).alias("__layer"), "code", "rings") for n, p in layers.items()])
+    inside = positions_in_cover(pts, polygon_cover(polygons, ["__layer", "code"]), ["__layer", "code"])
+    codes = inside.groupBy("lat", "lon").agg(*[F.min(F.when(F.col("__layer") == n, F.col("code"))).alias(f"{n}_code") for n in layers])
+    return best.join(codes, ["lat", "lon"], "left")
 
 
 # --- area vintages ------------------------------------------------------------
