@@ -24,6 +24,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +36,9 @@ from . import common
 
 END_ID = 2
 #: Pieces kept per worker, and the longest text of such a piece.
-CACHE_PIECES, CACHE_CHARS = 600_000, 64
+CACHE_PIECES, CACHE_CHARS = 250_000, 64
 #: Texts of a slice: rows and bytes.
-SLICE_ROWS, SLICE_BYTES = 2_000, 4 << 20
+SLICE_ROWS, SLICE_BYTES = 2_000, 2 << 20
 #: Marks that may follow a word, and two white spaces in a row of which one stands between pieces.
 MARKS = ".,;:!?"
 _JOINT = re.compile(r" \s|\s ")
@@ -149,7 +150,8 @@ class PieceEncoder:
             whole |= pc.match_substring(texts, mark).to_numpy(zero_copy_only=False)
         met = np.zeros(len(names), bool)
         met[word[inner & ~whole[doc]]] = True
-        new = [i for i in np.flatnonzero(met).tolist() if names[i] not in self.places]
+        place = np.fromiter(map(self.places.get, names, repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(met & (place < 0)).tolist()
         if not _safe([names[i] for i in new]):
             unsafe = np.zeros(len(names), bool)
             unsafe[[i for i in new if not _safe([names[i]])]] = True
@@ -158,11 +160,10 @@ class PieceEncoder:
             met[word[inner & ~whole[doc]]] = True
             new = [i for i in new if met[i]]
         if new:
-            self._learn([names[i] for i in new])
-        used = np.flatnonzero(met)
-        place = np.zeros(len(names), np.int64)
-        place[used] = np.fromiter(map(self.places.__getitem__, map(names.__getitem__, used.tolist())), np.int64, len(used))
-        self.uses[place[used]] += 1
+            fresh = [names[i] for i in new]
+            self._learn(fresh)
+            place[new] = np.fromiter(map(self.places.__getitem__, fresh), np.int64, len(fresh))
+        self.uses[place[met]] += 1
         starts, sizes = (run[place[word]] for run in self.run)
         sizes[~inner | whole[doc]] = 0
         # first pieces and whole texts stand behind the stored ids, for this slice only
