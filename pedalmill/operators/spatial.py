@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..session import durable
+from . import pyramid
 from .cover import polygon_cover, positions_in_cover
 
 
@@ -92,10 +94,25 @@ def pairs_within(a: DataFrame, b: DataFrame, radius_m: float) -> DataFrame:
 
 
 def neighbours(a: DataFrame, b: DataFrame, radius_m: float) -> DataFrame:
-    """Per position of ``a`` (lat, lon): rows of ``b`` within the radius, and the nearest distance."""
-    near = position_pairs_within(a, b, radius_m)
-    return (near.groupBy(F.col("a_lat").alias("lat"), F.col("a_lon").alias("lon"))
-            .agg(F.sum("b_n").alias("nearby"), F.min("distance_m").alias("closest_m")))
+    """Per position of ``a`` (lat, lon): rows of ``b`` within the radius, and the nearest distance.
+
+    Rows are counted by cells of a pyramid (see ``pyramid``), so the work grows with the rim of dense spots. Discs around a
+    pole, which span all longitudes, are compared pair by pair; few positions have one.
+    """
+    pa = distinct_points(a).select(F.col("lat").alias("a_lat"), F.col("lon").alias("a_lon"))
+    pb = distinct_points(b)
+    reach = math.degrees(radius_m / geo.EARTH_RADIUS_M) * (1 + pyramid.SLACK)
+    seen = durable(_seen_from(pa, geo.lon_reach_deg(F.col("a_lat"), F.lit(reach)), wrap=True))
+    narrow = F.col("__reach_lon") < 90
+    counted = pyramid.counts_within(seen.filter(narrow), pb, radius_m)
+    polar = seen.filter(~narrow).select(F.col("a_lat").alias("lat"), F.col("a_lon").alias("lon")).distinct()
+    if not polar.isEmpty():
+        around = position_pairs_within(polar, b, radius_m).groupBy("a_lat", "a_lon").agg(F.sum("b_n").alias("nearby"))
+        counted = counted.unionByName(around)
+    counted = durable(counted).withColumnsRenamed({"a_lat": "lat", "a_lon": "lon"})
+    spots = pb.select("lat", "lon", F.monotonically_increasing_id().alias("spot"))
+    closest = nearest_k(counted, spots, 1, "spot").select("lat", "lon", F.col("distance").alias("closest_m"))
+    return counted.join(closest, ["lat", "lon"])
 
 
 def rows_in_box(a: DataFrame, b: DataFrame, half_deg: float) -> DataFrame:

@@ -128,10 +128,9 @@ def test_points_in_polygons(spark):
     pts = {(0.1, 0.1): "a", (0.5, 0.5): None, (0.3, 0.5): "a", (0.5, 1.5): "b", (0.0, 0.5): None, (0.5, 1.0): None, (1.0, 0.5): None,
            (5.5, 6.0): "tri", (6.9, 6.5): None, (5.0, 6.0): None, (3.0, 3.0): None}
     df = spark.createDataFrame([*pts] + [(0.1, 0.1)], "lat double, lon double")
-    for size in (0.02, 0.7, 3.0):
-        got = spatial.points_in_polygons(df, poly, size=size).collect()
-        assert len(got) == len(pts) + 1
-        assert {(r.lat, r.lon): r.code for r in got} == pts
+    got = spatial.points_in_polygons(df, poly).collect()
+    assert len(got) == len(pts) + 1
+    assert {(r.lat, r.lon): r.code for r in got} == pts
 
 
 def test_area_density_and_layer_checks(spark):
