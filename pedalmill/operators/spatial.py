@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..session import durable
-from . import pyramid
+from . import pyramid, zorder
 from .cover import polygon_cover, positions_in_cover
 
 
@@ -143,7 +143,7 @@ def nearest_k(a: DataFrame, b: DataFrame, k: int, b_id: str, max_deg: float | No
     and the columns of ``b``, prefixed ``b_``.
 
     How the search stays small where points are dense: for each ``a`` position
-    the finest grid level is found whose own cell already holds ``k`` points.
+    a fine grid level is found whose own cell already holds ``k`` points (see ``zorder``).
     Those ``k`` are at most one cell diagonal away, so nothing beyond the
     diagonal can belong to the answer, and only cells within it are searched.
     """
@@ -158,18 +158,7 @@ def nearest_k(a: DataFrame, b: DataFrame, k: int, b_id: str, max_deg: float | No
     pb = kept.select(*[F.col(c).alias(f"b_{c}") for c in kept.columns])
     bid = f"b_{b_id}"
 
-    def at_levels(lat: str, lon: str) -> Column:
-        return F.explode(F.array(*[
-            F.struct(F.lit(i).alias("level"), geo.cell(F.col(lat), s).alias("cy"),
-                     geo.cell(F.col(lon), s).alias("cx"))
-            for i, s in enumerate(sizes)])).alias("g")
-
-    full = (pb.select(at_levels("b_lat", "b_lon")).groupBy("g.level", "g.cy", "g.cx")
-            .agg(F.count(F.lit(1)).alias("cnt")).filter(F.col("cnt") >= k).drop("cnt"))
-    finest = (pa.select("a_lat", "a_lon", at_levels("a_lat", "a_lon"))
-              .select("a_lat", "a_lon", "g.*").join(full, ["level", "cy", "cx"])
-              .groupBy("a_lat", "a_lon").agg(F.max("level").alias("level")))
-    located = pa.join(finest, ["a_lat", "a_lon"], "left")
+    located = zorder.with_levels(pa, pb.select("b_lat", "b_lon"), k, sizes[-1], len(sizes) - 1)
 
     # Cell diagonal at the chosen level; without a full cell the whole search range.
     # Sizes halve exactly, so top / 2^level is the same double as the list entry.
@@ -178,7 +167,7 @@ def nearest_k(a: DataFrame, b: DataFrame, k: int, b_id: str, max_deg: float | No
     reach = F.when(F.col("level").isNull(), widest).otherwise(F.least(diag, widest))
     # Search cells one step larger than the cell counted, so few cells are touched.
     search = F.greatest(F.coalesce(F.col("level"), F.lit(0)) - 1, F.lit(0))
-    located = located.withColumn("__reach", reach).withColumn("__lv", search)
+    located = durable(located.withColumn("__reach", reach).withColumn("__lv", search))
     lon_reach = (F.col("__reach") if metric == "degrees"
                  else F.when(F.col("__reach") >= 90, F.lit(360.0)).otherwise(
                      geo.lon_reach_deg(F.col("a_lat"), F.col("__reach"))))
@@ -189,9 +178,11 @@ def nearest_k(a: DataFrame, b: DataFrame, k: int, b_id: str, max_deg: float | No
                 F.col("a_lat") - F.col("__reach"), F.col("a_lat") + F.col("__reach"), step)))
             .withColumn("__cx", F.explode(geo.cells_covering(
                 F.col("__lon") - F.col("__reach_lon"), F.col("__lon") + F.col("__reach_lon"), step))))
-    right = (pb.withColumn("g", at_levels("b_lat", "b_lon"))
-             .withColumn("__lv", F.col("g.level")).withColumn("__cy", F.col("g.cy"))
-             .withColumn("__cx", F.col("g.cx")).drop("g"))
+    # Points stand in the cells of the levels that some position searches, and of no others.
+    used = sorted(r["__lv"] for r in located.select("__lv").distinct().toLocalIterator())
+    at = F.explode(F.array(*[F.struct(F.lit(lv).alias("__lv"), geo.cell(F.col("b_lat"), sizes[lv]).alias("__cy"),
+                                      geo.cell(F.col("b_lon"), sizes[lv]).alias("__cx")) for lv in used or [0]]))
+    right = pb.withColumn("g", at).select("*", "g.*").drop("g")
     pairs = left.join(right, ["__lv", "__cx", "__cy"]).filter(_in_lon_range(wrap))
     dlat, dlon = F.col("b_lat") - F.col("a_lat"), F.col("b_lon") - F.col("a_lon")
     if metric == "degrees":

@@ -98,38 +98,50 @@ def input_bytes(df: DataFrame) -> int:
 
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_LIMIT_BYTES,
                    max_rows: int = BROADCAST_LIMIT_ROWS) -> bool:
-    """True when ``df`` is proven small: by the estimate, else by a bounded count.
+    """True when ``df`` is proven small: by the estimate, else by a bounded count of its rows and bytes.
 
     The count runs only where reading the inputs is cheap.
     """
     if estimated_bytes(df) <= max_bytes:
         return True
-    return input_bytes(df) <= COUNT_LIMIT_BYTES and df.limit(max_rows + 1).count() <= max_rows
+    if input_bytes(df) > COUNT_LIMIT_BYTES:
+        return False
+    # text of a row as JSON is about as long as the row, or longer; fields take 16 bytes beside their contents
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))) + 16 * len(df.columns)
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
-def heavy_keys(facts: DataFrame, keys: list[str], share: float = HEAVY_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows: never more than ``1/share`` keys."""
-    counts = facts.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n")).scalar()
-    return counts.filter(F.col("__n") > total * F.lit(share)).select(*keys)
+def heavy_hashes(facts: DataFrame, keys: list[str], share: float = HEAVY_SHARE) -> list[int]:
+    """Hashes of the keys that hold more than ``share`` of the rows, from one scan of the key columns.
+
+    A frequent-items sketch of bounded size finds them; a few slightly lighter keys may be among them. Never more
+    than about ``1/share``.
+    """
+    kept = int(2 / share)
+    number = F.xxhash64(*[F.col(f"`{k}`") for k in keys]).alias("number")
+    found = facts.dropna(subset=keys).select(number).agg(
+        F.expr(f"approx_top_k(number, {kept}, {4 * kept})").alias("top"), F.count(F.lit(1)).alias("rows")).first()
+    return [t["item"] for t in found["top"] or [] if t["count"] > share * found["rows"]]
 
 
 def split_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str,
                share: float = HEAVY_SHARE) -> DataFrame:
-    """Join where heavy keys stay in place and the rest is shuffled by key.
+    """Join in one scan of the facts, with heavy keys spread over all tasks.
 
-    Rows of heavy keys meet the few lookup rows of those keys by broadcast (their
-    number is bounded by ``1/share``). Rows with a NULL key match nothing and are
-    not shuffled either. All rows are kept as ``how`` demands.
+    Facts of a heavy key get a salt, and the few lookup rows of these keys (at most about ``1/share``) a copy per salt. Facts
+    with a NULL key match nothing and are spread too. All rows are kept as ``how`` demands.
     """
-    heavy = F.broadcast(heavy_keys(facts, keys, share))
-    known = facts.dropna(subset=keys)
-    hot = known.join(heavy, keys, "left_semi").join(F.broadcast(dim.join(heavy, keys, "left_semi")), keys, how)
-    parts = [hot, known.join(heavy, keys, "left_anti").join(dim, keys, how)]
-    if how in ("left", "left_anti"):
-        unknown = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        parts.append(facts.filter(unknown))
-    return same_rows_union(parts).select(*hot.columns)
+    spark = facts.sparkSession
+    heavy = heavy_hashes(facts, keys, share)
+    salts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    known = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
+    number = F.xxhash64(*[F.col(f"`{k}`").cast(facts.schema[k].dataType) for k in keys])
+    hot = number.isin(heavy) if heavy else F.lit(False)
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    salted = facts.withColumn("__salt", F.when(known & ~hot, F.lit(0)).otherwise(spread))
+    copies = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return salted.join(dim.withColumn("__salt", F.explode(copies)), [*keys, "__salt"], how).drop("__salt")
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "left",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pedalmill.operators import (cohorts, enrich, flows, identity, layers, quality, quantiles, reconcile, regression,
                                  reshape, series, spatial, transit)
-from pedalmill.session import heavy_keys, lookup_join, split_join
+from pedalmill.session import fits_broadcast, heavy_hashes, lookup_join, split_join
 
 
 def hav(a, b, c, d):
@@ -27,7 +27,7 @@ def hav(a, b, c, d):
 def test_lookup_join_gives_the_same_rows_on_both_paths(spark):
     facts = spark.createDataFrame([(i, None if i % 10 == 9 else 1 if i % 3 else i, f"x{i}") for i in range(300)], "id long, k long, v string")
     dim = spark.createDataFrame([(k, f"d{k}") for k in range(0, 200)], "k long, name string")
-    assert [r.k for r in heavy_keys(facts, ["k"], 0.1).collect()] == [1]
+    assert heavy_hashes(facts, ["k"], 0.1) == [spark.range(1).select(F.xxhash64(F.lit(1).cast("long"))).first()[0]]
     for how in ("left", "inner", "left_semi", "left_anti"):
         small = lookup_join(facts, dim, "k", how)
         split = split_join(facts, dim, ["k"], how, share=0.1)
@@ -36,6 +36,30 @@ def test_lookup_join_gives_the_same_rows_on_both_paths(spark):
         assert split.count() == lookup_join(facts, dim, "k", how, max_bytes=0, max_rows=3).count()
 
 
+def test_split_join_scans_facts_once_and_spreads_a_hot_key(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("int").alias("k"), (F.col("id") % 5).alias("v")).write.parquet(path)
+    facts, dim = spark.read.parquet(path), spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {c: spark.conf.get(c) for c in off}
+    for c, value in off.items():
+        spark.conf.set(c, value)
+    try:
+        joined = split_join(facts, dim, ["k"], "left")
+        assert joined._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+        rows = joined.withColumn("p", F.spark_partition_id()).filter("k = 7").groupBy("p").count().collect()
+        assert joined.filter("k = 7 AND w = 14").count() == joined.filter("k = 7").count() == 10_001 and joined.count() == 30_000
+        assert len(rows) > 1
+    finally:
+        for c, value in old.items():
+            spark.conf.set(c, value)
+
+
+def test_broadcast_needs_few_rows_and_few_bytes(spark):
+    wide = spark.range(50).select("id", F.repeat(F.lit("x"), 100_000).alias("t")).join(spark.range(50), "id")
+    assert fits_broadcast(wide, max_bytes=10_000_000) and not fits_broadcast(wide, max_bytes=100_000) and not fits_broadcast(wide, 100, 49)
+
+
 @pytest.mark.parametrize("fanout", [3, 4096])
 def test_exact_quantiles_match_numpy(spark, fanout):
     rng = random.Random(1)

@@ -36,3 +36,30 @@ def test_cells_of_coarser_levels_are_sums(spark):
     coarse, *_, finest = pyramid.cell_pyramid(pts, 1.0, 3)
     assert coarse.agg(F.sum("n")).first()[0] == finest.agg(F.sum("n")).first()[0] == 2000
     assert coarse.count() == 16 and {(r.cx, r.cy) for r in coarse.collect()} == {(x, y) for x in range(-2, 2) for y in range(-2, 2)}
+
+
+def test_finest_cells_hold_k_points():
+    from pedalmill.operators import zorder
+    rng = np.random.default_rng(5)
+    xy = np.concatenate([rng.integers(0, 1 << 10, (300, 2)), rng.integers(500, 520, (300, 2))])
+
+    def code(p):
+        return sum(((int(p[0]) >> b & 1) << 2 * b) | ((int(p[1]) >> b & 1) << 2 * b + 1) for b in range(10))
+    z = np.array([code(p) for p in xy])
+    points = np.sort(z[::2])
+    got = zorder.finest_levels(z, points, 3, 10)
+    for p, level in zip(z, got):
+        want = max(lv for lv in range(11) if (points >> 2 * (10 - lv) == p >> 2 * (10 - lv)).sum() >= 3)
+        assert level == want
+
+
+def test_z_codes_interleave(spark):
+    from pedalmill.operators import zorder
+    rows = [(-80.3, 179.9), (0.0, 0.0), (40.7, -74.0), (89.9, -180.0)]
+    size = 512.0 / 2 ** 23
+    got = spark.createDataFrame(rows, "lat double, lon double").select(zorder.z_code(F.col("lat"), F.col("lon"), size)).collect()
+
+    def code(lat, lon):
+        y, x = (int(np.floor(v / size)) + zorder.SHIFT for v in (lat, lon))
+        return sum(((y >> b & 1) << 2 * b) | ((x >> b & 1) << 2 * b + 1) for b in range(31))
+    assert [r[0] for r in got] == [code(*p) for p in rows]
