@@ -37,6 +37,8 @@ from . import common
 END_ID = 2
 #: Pieces kept per worker, and the longest text of such a piece.
 CACHE_PIECES, CACHE_CHARS = 250_000, 64
+#: Size of the bitmap of pieces met once, which are not kept yet.
+MET_BITS = 1 << 24
 #: Texts of a slice: rows and bytes.
 SLICE_ROWS, SLICE_BYTES = 2_000, 2 << 20
 #: Marks that may follow a word, and two white spaces in a row of which one stands between pieces.
@@ -70,8 +72,8 @@ class PieceEncoder:
     def _clear(self) -> None:
         self.places: dict[str, int] = {}  # piece -> its run of ids after a space
         self.run = np.zeros((2, CACHE_PIECES * 2), np.int64)  # start and size of runs
-        self.uses = np.zeros(CACHE_PIECES * 2, np.int64)  # slices that held the piece
         self.ids, self.held = np.zeros(1 << 20, np.int32), 0
+        self.met, self.marked = np.zeros(MET_BITS, bool), 0  # hashes of pieces met before
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
@@ -84,57 +86,59 @@ class PieceEncoder:
         self.held += len(ids)
         return self.held - len(ids)
 
-    def _name(self, pieces: list[str], starts: np.ndarray, sizes: np.ndarray) -> None:
-        fresh = len(self.places)
+    def _keep(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        fresh, start = len(self.places), self._put(ids)
         while fresh + len(pieces) > self.run.shape[1]:
             self.run = np.concatenate([self.run, np.zeros_like(self.run)], axis=1)
-            self.uses = np.concatenate([self.uses, np.zeros_like(self.uses)])
         self.places.update(zip(pieces, range(fresh, fresh + len(pieces))))
-        self.run[0, fresh:fresh + len(pieces)], self.run[1, fresh:fresh + len(pieces)] = starts, sizes
+        self.run[:, fresh:fresh + len(pieces)] = start + np.cumsum(sizes) - sizes, sizes
 
-    def _learn(self, pieces: list[str]) -> None:
-        """One library call for all new pieces; only a piece's first token begins with a space.
+    def _learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Runs of ids of new pieces, by one library call; only a piece's first token begins with a space.
 
         A mark after a letter is a token run of its own, so words are learned without the marks behind them.
         """
-        cores = [(p, c) for p in pieces if p[-1] in MARKS and (c := p.rstrip(MARKS)) and c[-1].isalpha()]
-        marked = {p for p, _ in cores}
-        plain = list(dict.fromkeys([p for p in pieces if p not in marked] + [c for _, c in cores if c not in self.places]))
+        cores = {p: c for p in pieces if p[-1] in MARKS and (c := p.rstrip(MARKS)) and c[-1].isalpha()}
+        plain = list(dict.fromkeys([p for p in pieces if p not in cores] + [c for c in cores.values() if c not in self.places]))
+        at = dict(zip(plain, range(len(plain))))
+        runs = np.zeros((2, len(plain)), np.int64)
         if plain:
             ids = self._whole(" " + " ".join(plain))
             cuts = np.flatnonzero(self.starts[ids])
             if len(cuts) != len(plain):
                 raise ValueError("the pre-tokenizer does not cut at spaces")
-            self._name(plain, self._put(ids) + cuts, np.diff(cuts, append=len(ids)))
-        if cores:
-            marks = list({p[len(c):] for p, c in cores})
-            encoded = [self._whole(m) for m in marks]
-            at = dict(zip(marks, np.cumsum([0, *map(len, encoded)])[:-1] + self._put(np.concatenate(encoded))))
-            size = dict(zip(marks, map(len, encoded)))
-            core = self.run[:, [self.places[c] for _, c in cores]]
-            tails = [p[len(c):] for p, c in cores]
-            starts = np.stack([core[0], [at[m] for m in tails]], axis=1)
-            sizes = np.stack([core[1], [size[m] for m in tails]], axis=1)
-            whole = sizes.sum(axis=1)
-            base = self._put(_gathered(self.ids, starts.ravel(), sizes.ravel()))
-            self._name([p for p, _ in cores], base + np.cumsum(whole) - whole, whole)
-
-    def _forget(self) -> None:
-        """Keep pieces that several slices held, if they leave room."""
-        kept = [(p, i) for p, i in self.places.items() if self.uses[i] > 1]
-        if len(kept) > CACHE_PIECES // 2:
-            kept = []
-        starts, sizes = self.run[:, [i for _, i in kept]]
-        ids, uses = _gathered(self.ids, starts, sizes), self.uses[[i for _, i in kept]]
-        self._clear()
-        if kept:
-            self._name([p for p, _ in kept], self._put(ids) + np.cumsum(sizes) - sizes, sizes)
-            self.uses[:len(kept)] = np.minimum(uses, 1)
+            runs[:] = self._put(ids) + cuts, np.diff(cuts, append=len(ids))
+        if not cores:
+            return runs[0], runs[1]
+        marks = list({p[len(c):] for p, c in cores.items()})
+        encoded = [self._whole(m) for m in marks]
+        sizes = np.array([len(e) for e in encoded], np.int64)
+        mark_runs = np.stack([self._put(np.concatenate(encoded)) + np.cumsum(sizes) - sizes, sizes])
+        known = [c for c in dict.fromkeys(cores.values()) if c not in at]
+        at.update(zip(known, range(len(plain), len(plain) + len(known))))
+        runs = np.concatenate([runs, self.run[:, [self.places[c] for c in known]]], axis=1)
+        mark = dict(zip(marks, range(len(marks))))
+        both = np.stack([runs[:, [at[c] for c in cores.values()]], mark_runs[:, [mark[p[len(c):]] for p, c in cores.items()]]], axis=2)
+        whole = both[1].sum(axis=1)
+        joined = self._put(_gathered(self.ids, both[0].ravel(), both[1].ravel())) + np.cumsum(whole) - whole
+        at.update(zip(cores, range(runs.shape[1], runs.shape[1] + len(cores))))
+        runs = np.concatenate([runs, np.stack([joined, whole])], axis=1)[:, [at[p] for p in pieces]]
+        return runs[0], runs[1]
+
+    def _met_before(self, pieces: list[str]) -> np.ndarray:
+        """Which pieces were met in an earlier slice, but for equal hashes."""
+        if self.marked > MET_BITS // 2:
+            self.met[:], self.marked = False, 0
+        at = np.fromiter(map(hash, pieces), np.int64, len(pieces)) & (MET_BITS - 1)
+        before = self.met[at]
+        self.met[at] = True
+        self.marked += len(pieces) - int(before.sum())
+        return before
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and their number for each text."""
         if len(self.places) > CACHE_PIECES:
-            self._forget()
+            self._clear()
         split = pc.split_pattern(texts, " ")
         counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
         first = np.cumsum(counts) - counts
@@ -159,15 +163,14 @@ class PieceEncoder:
             met[:] = False
             met[word[inner & ~whole[doc]]] = True
             new = [i for i in new if met[i]]
+        # new pieces, first pieces and whole texts stand behind the stored ids for this slice only
+        held = self.held
+        start_of, size_of = (run[place] for run in self.run)
         if new:
             fresh = [names[i] for i in new]
-            self._learn(fresh)
-            place[new] = np.fromiter(map(self.places.__getitem__, fresh), np.int64, len(fresh))
-        self.uses[place[met]] += 1
-        starts, sizes = (run[place[word]] for run in self.run)
+            start_of[new], size_of[new] = self._learn(fresh)
+        starts, sizes = start_of[word], size_of[word]
         sizes[~inner | whole[doc]] = 0
-        # first pieces and whole texts stand behind the stored ids, for this slice only
-        held = self.held
         begun = self.tokenizer.encode_batch_fast([h for h, w in zip(heads, whole) if not w], add_special_tokens=False)
         own = [np.array(h.ids, np.int32) for h in begun]
         at = first[~whole]
@@ -177,7 +180,12 @@ class PieceEncoder:
         own_sizes = np.array([len(x) for x in own], np.int64)
         starts[at], sizes[at] = self._put(np.concatenate([np.array([], np.int32), *own])) + np.cumsum(own_sizes) - own_sizes, own_sizes
         ids = _gathered(self.ids, starts, sizes)
+        # pieces that are met again are worth keeping
+        kept = np.array(new, np.int64)[self._met_before(fresh)] if new else []
+        again = _gathered(self.ids, start_of[kept], size_of[kept]) if len(kept) else None
         self.held = held
+        if again is not None:
+            self._keep([names[i] for i in kept.tolist()], again, size_of[kept])
         return ids, np.add.reduceat(sizes, first) if len(first) else sizes
 
 
