@@ -341,3 +341,60 @@ def quoted_records(spark, sf):
     rows = found.select(cells.alias("c")).select("c.*").filter("key != 'key'")
     return rows.groupBy(F.col("bucket").cast("long").alias("bucket")).agg(
         F.count(F.lit(1)).alias("records"), F.sum(F.length("note")).alias("characters"), F.sum(F.col("key").cast("long")).alias("keys"), F.max("note").alias("last_note"))
+
+
+@query("S17", "P44", sql="""WITH x AS (SELECT l_orderkey % 16 AS part, l_linenumber AS n, count(*) AS c, sum(l_orderkey)::BIGINT AS k FROM lineitem GROUP BY ALL)
+SELECT part::BIGINT AS part, sum(c)::BIGINT AS lines, sum(k)::BIGINT AS keys FROM x GROUP BY 1""")
+def lines_after_headings(spark, sf):
+    """Text files whose first three lines are headings, read without them, however the files are split."""
+    folder = f"{shared_dir(spark)}/headed-{uuid.uuid4().hex}"
+    li = table(spark, sf, "lineitem").withColumn("part", F.col("l_orderkey") % 16)
+    line = F.concat_ws(",", F.col("part").cast("string"), F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    heads = spark.range(16).select(F.col("id").alias("part"), F.explode(F.array(*[F.lit(x) for x in ("0,Survey", "0,Date", "")])).alias("value"), F.lit(0).alias("first"))
+    body = li.select("part", line.alias("value"), F.lit(1).alias("first"))
+    rows = heads.unionByName(body).repartition(16, "part").sortWithinPartitions("part", "first")
+    rows.select("part", "value").write.partitionBy("part").text(folder)
+    p = F.split("line", ",")
+    found = tables.read_lines(spark, f"{folder}/*", 3).select(p[0].cast("long").alias("part"), p[1].cast("long").alias("key"))
+    return found.groupBy("part").agg(F.count(F.lit(1)).alias("lines"), F.sum("key").alias("keys"))
+
+
+@query("S19", "A48", sql="""SELECT (n_regionkey + 1)::VARCHAR AS line_name, count(*)::BIGINT AS stops, sum(o)::BIGINT AS calls, min('0' || n_nationkey) AS first_stop FROM nation
+JOIN (SELECT o_custkey % 25 AS n_nationkey, count(*) AS o FROM orders GROUP BY 1) USING (n_nationkey) GROUP BY n_regionkey""")
+def schedule_files(spark, sf):
+    """Schedule CSV files written from the tables and read as text columns: ids keep their zeros, missing columns are NULL."""
+    from ..sources import sinks
+    base = f"{shared_dir(spark)}/schedule-{uuid.uuid4().hex}"
+    n, o = table(spark, sf, "nation"), table(spark, sf, "orders")
+    stop, line = F.concat(F.lit("0"), F.col("n_nationkey").cast("string")), (F.col("n_regionkey") + 1).cast("string")
+    sinks.write_csv(n.select(stop.alias("stop_id"), F.col("n_name").alias("stop_name"), F.lit("40.7").alias("stop_lat")), f"{base}/stops.txt")
+    sinks.write_csv(n.select(line.alias("route_id"), line.alias("route_short_name"), F.lit("1").alias("route_type")).distinct(), f"{base}/routes.txt")
+    key = F.col("o_custkey") % 25
+    trips = o.join(n, key == F.col("n_nationkey")).select(F.col("o_orderkey").cast("string").alias("trip_id"), line.alias("route_id"), stop.alias("stop_id"), F.lit("wk").alias("service_id"))
+    sinks.write_csv(trips.select("trip_id", "route_id", "service_id"), f"{base}/trips.txt")
+    sinks.write_csv(trips.select("trip_id", "stop_id", F.lit("25:01:00").alias("arrival_time")), f"{base}/stop_times.txt")
+    sinks.write_csv(spark.range(1).select(F.lit("wk").alias("service_id"), F.lit("1").alias("monday")), f"{base}/calendar.txt")
+    g = feeds.read_gtfs(spark, base)
+    calls = g["stop_times"].join(g["trips"], "trip_id").join(g["routes"], "route_id").filter(F.col("route_type") == "1")
+    return calls.groupBy(F.col("route_short_name").alias("line_name")).agg(
+        F.countDistinct("stop_id").alias("stops"), F.count(F.lit(1)).alias("calls"), F.min("stop_id").alias("first_stop"))
+
+
+@query("S22", sql=f"""WITH {_NAMES} SELECT DISTINCT file_name FROM nm ORDER BY file_name LIMIT 7""")
+def first_file_names(spark, sf):
+    """The first files by name, as a run with a limit takes them."""
+    return manifest.first_files(_file_names(spark, sf).select("file_name").distinct(), 7)
+
+
+@query("S24", sql="""WITH f AS (SELECT k, CASE WHEN k % 4 = 3 THEN k - 1 ELSE k END AS content FROM (SELECT DISTINCT o_orderkey % 12 AS k FROM orders))
+SELECT count(DISTINCT content)::BIGINT AS files, (SELECT count(*) FROM f)::BIGINT AS found, sum(CASE WHEN k = content THEN 1 ELSE 0 END)::BIGINT AS names FROM f""")
+def hashed_files(spark, sf):
+    """A manifest by content: files of equal bytes count once, whatever their names and folders."""
+    folder = f"{shared_dir(spark)}/hashed-{uuid.uuid4().hex}"
+    k = F.col("o_orderkey") % 12
+    o = table(spark, sf, "orders").select(k.alias("k"), "o_orderkey")
+    copies = o.withColumn("part", F.explode(F.when(F.col("k") % 4 == 2, F.array(F.col("k"), F.col("k") + 1)).when(F.col("k") % 4 == 3, F.array().cast("array<bigint>")).otherwise(F.array("k"))))
+    copies.repartition(12, "part").sortWithinPartitions("part", "o_orderkey").select("part", F.col("o_orderkey").cast("string").alias("value")).write.partitionBy("part").text(folder)
+    files = manifest.content_hashes(spark, folder, "*.txt")
+    kept = manifest.without_duplicates(files)
+    return kept.agg(F.count(F.lit(1)).alias("files"), F.lit(files.count()).cast("long").alias("found"), F.countDistinct("path").alias("names"))

@@ -62,19 +62,26 @@ def full_regression(spark, sf):
     return fit.table(spark).select("term", r("coef").alias("coef"), r("std_err").alias("std_err"), r("p_value").alias("p_value"))
 
 
-@query("A32", sql=f"""WITH {_DAILY}, y AS (SELECT year, avg(trips) AS m, avg(active_stations) AS a FROM dd GROUP BY 1), w AS (SELECT sum((active_stations - a) * (trips - m)) / sum((active_stations - a) * (active_stations - a)) AS beta FROM dd JOIN y USING (year)),
- b AS (SELECT m AS m0, a AS a0 FROM y WHERE year = (SELECT min(year) FROM y))
-SELECT year, round(m - m0, 5) AS effect_a, round(m - m0 - beta * (a - a0), 5) AS effect_b, round(beta * (a - a0), 5) AS explained FROM y, w, b WHERE year <> (SELECT min(year) FROM y)""")
+@query("A32", sql=f"""WITH {_DAILY}, d AS (SELECT year, trips::DOUBLE AS t, active_stations::DOUBLE AS s, 100.0::DOUBLE * member_trips / trips AS p FROM dd),
+ y AS (SELECT year, avg(t) AS mt, avg(s) AS ms, avg(p) AS mp FROM d GROUP BY 1), c AS (SELECT t - mt AS t, s - ms AS s, p - mp AS p FROM d JOIN y USING (year)),
+ q AS (SELECT sum(s * s) AS ss, sum(s * p) AS sp, sum(p * p) AS pp, sum(s * t) AS st, sum(p * t) AS pt FROM c),
+ k AS (SELECT st / ss AS b, (st * pp - pt * sp) / (ss * pp - sp * sp) AS cs, (pt * ss - st * sp) / (ss * pp - sp * sp) AS cp FROM q),
+ o AS (SELECT mt AS t0, ms AS s0, mp AS p0 FROM y WHERE year = (SELECT min(year) FROM y))
+SELECT year, round(mt - t0, 5) AS effect_a, round(mt - t0 - b * (ms - s0), 5) AS effect_b, round(mt - t0 - cs * (ms - s0) - cp * (mp - p0), 5) AS effect_c,
+  round(b * (ms - s0), 5) AS explained, round(cs * (ms - s0) + cp * (mp - p0), 5) AS explained_c, round(cp, 6) AS per_member_pct FROM y, k, o WHERE year <> (SELECT min(year) FROM y)""")
 def nested_year_effects(spark, sf):
-    """Year effects without and with the size of the system, from one pass over the data."""
-    d = _daily(spark, sf)
+    """Year effects alone (A), with the size of the system (B) and with the rider mix too (C), from one pass over the data."""
+    d = _daily(spark, sf).withColumn("member_pct", F.lit(100.0) * F.col("member_trips") / F.col("trips"))
     years = _years(d)
     dummies = bins.one_hot(F.col("year"), years, "year", drop=years[0])
-    fits = regression.nested(d.withColumns(dummies), {"A": list(dummies), "B": [*dummies, "active_stations"]}, "trips")
-    a, b = fits["A"].params(), fits["B"].params()
-    rows = [(int(t[5:]), float(a[t]), float(b[t])) for t in dummies]
-    out = spark.createDataFrame(rows, "year long, effect_a double, effect_b double")
-    return out.select("year", r("effect_a", 5).alias("effect_a"), r("effect_b", 5).alias("effect_b"), r(F.col("effect_a") - F.col("effect_b"), 5).alias("explained"))
+    fits = regression.nested(d.withColumns(dummies), {"A": list(dummies), "B": [*dummies, "active_stations"],
+                                                      "C": [*dummies, "active_stations", "member_pct"]}, "trips")
+    a, b, c = (fits[m].params() for m in "ABC")
+    rows = [(int(t[5:]), float(a[t]), float(b[t]), float(c[t]), float(c["member_pct"])) for t in dummies]
+    out = spark.createDataFrame(rows, "year long, effect_a double, effect_b double, effect_c double, slope double")
+    ea, eb, ec = F.col("effect_a"), F.col("effect_b"), F.col("effect_c")
+    return out.select("year", r("effect_a", 5).alias("effect_a"), r("effect_b", 5).alias("effect_b"), r("effect_c", 5).alias("effect_c"),
+                      r(ea - eb, 5).alias("explained"), r(ea - ec, 5).alias("explained_c"), r("slope", 6).alias("per_member_pct"))
 
 
 @query("A33", sql=f"""WITH {_DAILY}, m AS (SELECT year, avg(CASE WHEN dow = 1 THEN 1.0::DOUBLE ELSE 0 END) AS p FROM dd GROUP BY 1)

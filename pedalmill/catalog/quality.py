@@ -171,18 +171,13 @@ _TIMELINE = f"""{v.ORDER_TRIPS}, e AS (SELECT start_station_id AS station_id, st
    count(DISTINCT date_trunc('month', started_at)) AS months_active, count(*) AS trip_ends FROM e GROUP BY 1)"""
 
 
-def _order_ends(spark, sf):
-    """Both ends of order trips; ends are stacked after counting per (pair, month)."""
-    t = v.order_trips(spark, sf).withColumns({c: F.lit(None).cast("string") for c in (
-        "start_station_name", "end_station_name", "start_lat", "end_lat", "start_lon", "end_lon")})
-    return flows.both_ends(t, "started_at")
-
-
 @query("A13", "U1", sql=f"""WITH {_TIMELINE}
 SELECT tl.station_id, n_name AS station_name, strftime(f, '%Y-%m') AS first_seen, strftime(l, '%Y-%m') AS last_seen, months_active, trip_ends
 FROM tl JOIN nation ON station_id = n_nationkey""")
 def station_timeline(spark, sf):
-    tl = quality.station_timeline(_order_ends(spark, sf)).drop("station_name")
+    """Months at either end as bitmaps, merged by OR."""
+    t = v.order_trips(spark, sf).withColumns({c: F.lit(None).cast("string") for c in ("start_station_name", "end_station_name")})
+    tl = quality.trip_timeline(t).drop("station_name")
     return tl.join(v.station_names(spark, sf), "station_id").select(
         "station_id", F.col("name").alias("station_name"), F.date_format("first_seen", "yyyy-MM").alias("first_seen"),
         F.date_format("last_seen", "yyyy-MM").alias("last_seen"), "months_active", "trip_ends")
@@ -230,3 +225,18 @@ SELECT strftime(date, '%Y-%m-%d') AS date FROM s WHERE date NOT IN (SELECT date
 def missing_days(spark, sf):
     e = table(spark, sf, "events").filter(F.dayofmonth("ts") % 5 != 2)
     return series.missing_dates(e, "ts").withColumnRenamed("ts", "date")
+
+
+@query("S14", sql="SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS ids, round(sum(value), 4) AS value FROM events GROUP BY 1")
+def combined_batches(spark, sf):
+    """Fetched batches, two of which overlap and one of which was fetched twice, combined to one table."""
+    import uuid
+
+    from ..session import shared_dir
+    from ..sources import feeds
+    folder = f"{shared_dir(spark)}/batches-{uuid.uuid4().hex}"
+    e, part = table(spark, sf, "events"), F.col("event_id") % 4
+    for number, chosen in ((0, part == 0), (1, part <= 1), (2, part >= 2), (2, part >= 2)):
+        feeds.write_batch(e.filter(chosen), f"{folder}/fetched", number)
+    rows = feeds.combine_batches(spark, f"{folder}/fetched", f"{folder}/all", ["event_id"])
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), r(F.sum("value"), 4).alias("value"))

@@ -125,6 +125,27 @@ def stations_for_80_pct(spark, sf):
     return series.items_to_reach(c, "total", ["start_station_id"], 80.0)
 
 
+_BUYERS = "c AS (SELECT o_custkey, CAST(sum(CAST(round(o_totalprice) AS BIGINT)) AS BIGINT) AS total FROM orders GROUP BY 1)"
+
+
+def _buyers(spark, sf):
+    return table(spark, sf, "orders").groupBy("o_custkey").agg(F.sum(F.round("o_totalprice").cast("long")).alias("total"))
+
+
+@query("W1", "W10", sql=f"""WITH {_BUYERS} SELECT o_custkey, total, round(100.0::DOUBLE * total / sum(total) OVER (), 8) AS pct,
+  round(100.0::DOUBLE * sum(total) OVER (ORDER BY total DESC, o_custkey ROWS UNBOUNDED PRECEDING) / sum(total) OVER (), 6) AS cumulative_pct FROM c""")
+def buyer_cumulative_share(spark, sf):
+    """Cumulative share over as many keys as there are customers, by prefix sums over all tasks."""
+    c = series.running_share(_buyers(spark, sf), "total", ["o_custkey"])
+    return series.share(c, "total").select("o_custkey", "total", r("pct", 8).alias("pct"), r("cumulative_pct").alias("cumulative_pct"))
+
+
+@query("W10", sql=f"""WITH {_BUYERS}, x AS (SELECT 100.0::DOUBLE * sum(total) OVER (ORDER BY total DESC, o_custkey ROWS UNBOUNDED PRECEDING) / sum(total) OVER () AS cp FROM c)
+SELECT count(*) FILTER (WHERE cp <= 80) + 1 AS items, count(*) AS of_items FROM x""")
+def buyers_for_80_pct(spark, sf):
+    return series.items_to_reach(_buyers(spark, sf), "total", ["o_custkey"], 80.0)
+
+
 @query("W12", sql=f"""WITH {v.TRIPS}, c AS (SELECT start_station_id AS stop, end_station_id AS route, count(*) AS n FROM trips GROUP BY ALL)
 SELECT stop, route, n FROM c QUALIFY row_number() OVER (PARTITION BY stop ORDER BY n DESC, route) = 1""")
 def primary_route(spark, sf):

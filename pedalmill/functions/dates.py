@@ -154,6 +154,5 @@ def with_date_parts(df: DataFrame, ts: str = "started_at") -> DataFrame:
 
 
 def days_since_first(df: DataFrame, date: str = "date", out: str = "days_since_start") -> DataFrame:
-    """Days since the earliest date. For series with one row per day."""
-    first = F.min(date).over(Window.partitionBy())
-    return df.withColumn(out, F.datediff(F.col(date), first))
+    """Days since the earliest date, which is a scalar subquery."""
+    return df.withColumn(out, F.datediff(F.col(date), df.agg(F.min(date)).scalar()))

@@ -142,6 +142,27 @@ def station_timeline(ends: DataFrame, station: str = "station_id", ts: str = "st
         F.max(name).alias("station_name"))
 
 
+def _month_bits(df: DataFrame, station: str, ts: str, name: str) -> DataFrame:
+    """Per station a bitmap of its months, with the first and last one, rows and the largest name."""
+    month = F.year(ts).cast("long") * 12 + F.month(ts)
+    return df.filter(F.col(station).isNotNull()).groupBy(F.col(station).alias("station_id")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(month)).alias("months"), F.min(ts).alias("first"), F.max(ts).alias("last"),
+        F.count(F.lit(1)).alias("n"), F.max(name).alias("name"))
+
+
+def trip_timeline(trips: DataFrame, ts: str = "started_at", start: str = "start_station_id", end: str = "end_station_id",
+                  start_name: str = "start_station_name", end_name: str = "end_station_name") -> DataFrame:
+    """First and last month, months active and trip ends per station seen at either end.
+
+    Each end is counted on its own into bitmaps of months, which are merged by OR; no trip is repeated for its two ends. A bitmap has
+    room for the months of 32,768 (the years to 2730).
+    """
+    both = _month_bits(trips, start, ts, start_name).unionByName(_month_bits(trips, end, ts, end_name))
+    return both.groupBy("station_id").agg(
+        F.date_trunc("month", F.min("first")).alias("first_seen"), F.date_trunc("month", F.max("last")).alias("last_seen"),
+        F.bitmap_count(F.bitmap_or_agg("months")).alias("months_active"), F.sum("n").alias("trip_ends"), F.max("name").alias("station_name"))
+
+
 def stations_added(timeline: DataFrame) -> DataFrame:
     """Stations by the year they were first seen."""
     return (timeline.groupBy(F.year("first_seen").alias("year"))

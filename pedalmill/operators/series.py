@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..functions.numeric import pct, pct_change, ratio
+from .prefix import running_sum
 
 
 def _over(keys: Sequence[str] | None):
@@ -23,8 +24,9 @@ def _over(keys: Sequence[str] | None):
 
 def share(df: DataFrame, value: str, within: Sequence[str] | None = None,
           out: str = "pct") -> DataFrame:
-    """Percent of the total, or of the group total."""
-    return df.withColumn(out, pct(F.col(value), F.sum(value).over(_over(within))))
+    """Percent of the total, or of the group total. The total is a scalar subquery, not a window over all rows."""
+    total = F.sum(value).over(_over(within)) if within else df.agg(F.sum(value)).scalar()
+    return df.withColumn(out, pct(F.col(value), total))
 
 
 def pct_of_mean(df: DataFrame, value: str, within: Sequence[str],
@@ -82,10 +84,9 @@ def trailing_mean(df: DataFrame, value: str, order: Sequence[str], rows: int = 1
 
 def running_share(df: DataFrame, value: str, tie: Sequence[str],
                   out: str = "cumulative_pct") -> DataFrame:
-    """Cumulative percent of the total, largest first. For short lists of classes."""
-    w = (Window.orderBy(F.desc(value), *tie)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn(out, pct(F.sum(value).over(w), F.sum(value).over(_over(None))))
+    """Cumulative percent of the total, largest first, for tables of any length (see ``prefix``)."""
+    summed = running_sum(df, value, [F.desc(value), *tie], "__running")
+    return summed.withColumn(out, pct(F.col("__running"), summed.agg(F.sum(value)).scalar())).drop("__running")
 
 
 def items_to_reach(df: DataFrame, value: str, tie: Sequence[str], threshold: float = 80.0) -> DataFrame:

@@ -114,6 +114,20 @@ def ridership(df: DataFrame, start: str | None = None, end: str | None = None,
     return df if limit is None else df.orderBy(ts).limit(limit)
 
 
+def write_batch(rows: DataFrame, folder: str, number: int) -> None:
+    """Store one fetched batch; the same batch fetched again replaces itself."""
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/batch={number}")
+
+
+def combine_batches(spark: SparkSession, folder: str, out: str, key: Sequence[str] | None = None) -> DataFrame:
+    """All stored batches as one ZSTD table below ``out``; with ``key``, rows that overlapping batches share once."""
+    rows = spark.read.parquet(folder).drop("batch")
+    if key:
+        rows = combine_chunks([rows], key, sort=False)
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(out)
+    return spark.read.schema(rows.schema).parquet(out)
+
+
 def clean_ferry(raw: DataFrame) -> DataFrame:
     """Hourly ferry rows with typed date, hour (-1 if unknown) and boardings (0 if unknown)."""
     return raw.select(F.to_date("date").alias("date"), "route", "direction", "stop",

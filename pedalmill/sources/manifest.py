@@ -83,22 +83,27 @@ def first_files(files: DataFrame, n: int) -> DataFrame:
     return files.orderBy("file_name").limit(n)
 
 
-def with_status(files: DataFrame) -> DataFrame:
-    """``files`` with ``status``: ``superseded`` for the numbered parts of a month that also has an unsplit file,
-    ``unknown_header`` for files of no known family, else ``processed``."""
+def _marked(files: DataFrame) -> DataFrame:
+    """``files`` with ``__superseded``: whether a numbered part of a month has an unsplit file beside it."""
     split = F.col("file_name").rlike(r"_\d\.csv$")
     whole = (files.filter(~split & F.col("expected.month").isNotNull())
              .select(F.col("expected.year").alias("__y"), F.col("expected.month").alias("__m"),
                      F.lit(True).alias("__whole")).distinct())
-    joined = files.join(whole, (F.col("expected.year") == F.col("__y")) & (F.col("expected.month") == F.col("__m")), "left")
-    status = (F.when(split & F.coalesce("__whole", F.lit(False)), "superseded")
-              .when(F.col("family") == "unknown", "unknown_header").otherwise("processed"))
-    return joined.withColumn("status", status).drop("__y", "__m", "__whole")
+    return (files.join(whole, (F.col("expected.year") == F.col("__y"))
+                       & (F.col("expected.month") == F.col("__m")), "left")
+            .withColumn("__superseded", split & F.coalesce("__whole", F.lit(False))).drop("__y", "__m", "__whole"))
+
+
+def with_status(files: DataFrame) -> DataFrame:
+    """``files`` with ``status``: ``superseded`` for the numbered parts of a month that also has an unsplit file,
+    ``unknown_header`` for files of no known family, else ``processed``."""
+    status = F.when(F.col("__superseded"), "superseded").when(F.col("family") == "unknown", "unknown_header").otherwise("processed")
+    return _marked(files).withColumn("status", status).drop("__superseded")
 
 
 def without_superseded(files: DataFrame) -> DataFrame:
     """Drop the numbered parts of a month that also has an unsplit file."""
-    return with_status(files).filter("status != 'superseded'").drop("status")
+    return _marked(files).filter("NOT __superseded").drop("__superseded")
 
 
 def content_hashes(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
