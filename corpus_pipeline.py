@@ -3,11 +3,14 @@
 ``STAGES`` holds (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next one's ``docs``. All but the last return the columns of
 ``docs`` unchanged, extra ones included. Near duplicates are told apart by id and text, so rows
-with repeated or without ``doc_id`` take part.
+with repeated or without ``doc_id`` take part. Columns that the stages do not read may have any names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +20,25 @@ from pedalmill.session import fits_broadcast, ship_package
 
 #: Share of the tokens that mixing draws at least, however rare the rarest cell is.
 LEAST_TOKENS = 0.5
+#: Columns that keep their names inside a stage.
+DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def any_columns(stage: Stage) -> Stage:
+    """A stage that returns the columns of ``docs``, for ``docs`` with further columns of any names.
+
+    They carry plain names inside the stage, so none can be taken for one of its own.
+    """
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        plain = [c if c in DOCUMENT else f"extra{i}" for i, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*plain), sf_dir).toDF(*docs.columns)
+    return run
 
 
+@any_columns
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality ranking does not reject."""
     ranking = quality.fit(docs, common.table(spark, sf_dir, "labels"))
@@ -26,11 +46,13 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return scored.filter(F.col("__score") >= quality.CUT_SCORE).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+@any_columns
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row with the largest id of every distinct text."""
     return exact_dedup.distinct_rows(docs)
 
 
+@any_columns
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every near-duplicate group: the smallest id, then the smallest text digest, NULL ids last."""
     ship_package(spark)
@@ -58,6 +80,7 @@ def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return digested.join(keys, digested["doc_id"].eqNullSafe(keys["doc_id"]) & (F.col("__digest") == keys["text_digest"]), "left_anti")
 
 
+@any_columns
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn with the calibrated chances of their source, language and topic, ``LEAST_TOKENS`` of them at least."""
     return mixing.sample(docs, mixing.fit(docs, least=LEAST_TOKENS))
