@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pedalmill.llm import sentence_pieces
@@ -48,6 +49,18 @@ def test_awkward_and_empty_tables(spark, stage):
     assert stage[1](spark, edge.empty(spark), SF).count() == 0
 
 
+@pytest.mark.parametrize("stage", corpus_pipeline.STAGES[:-1], ids=lambda s: s[0])
+def test_extra_columns_of_any_name_come_back(spark, stage):
+    names = ["__text", "__score", "__content", "__digest", "__source", "extra0", "TEXT", "rows", "chosen"]
+    base = edge.docs(spark)
+    docs = base.select("*", *[F.concat(F.lit(f"{n}="), F.md5(F.coalesce("text", F.lit("null"))), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(n) for n in names])
+    out = stage[1](spark, docs, SF)
+    assert out.columns == docs.columns
+    plain = out.toDF(*base.columns, *[f"x{i}" for i in range(len(names))])
+    wrong = plain.filter(" OR ".join(f"x{i} IS NULL OR x{i} != concat('{n}=', md5(coalesce(text, 'null')), coalesce(string(doc_id), '-'))" for i, n in enumerate(names)))
+    assert wrong.isEmpty() and plain.count() == stage[1](spark, base, SF).count()
+
+
 def test_near_copies_leave_one_row_of_each_group(spark):
     words = lambda k: [f"{k}{i}" for i in range(60)]
     near = lambda k, n: " ".join([*words(k)[:-1], f"end{n}"])
