@@ -3,14 +3,16 @@
 Each text is lower-cased (A-Z), cut into words and scanned once by one automaton that holds the base
 phrases, further notice phrases and the words of the identifier tag. Where the tag occurs, the rest of
 its line is parsed as an expression of licence names joined by ``WITH``, ``AND``, ``OR`` (binding in this
-order) and parentheses.
+order) and parentheses. ``WITH`` takes one licence and one exception. The longest valid beginning counts: comment ends and prose
+behind it are left out, but an operator, a parenthesis or a further known licence there makes the expression malformed, and
+so does prose behind a name that is no known licence.
 
 Every finding has a value in 0..1 for how freely the text may be used: ``AND`` takes the smaller value,
 ``OR`` the larger one, an exception after ``WITH`` lifts its licence half way to 1. The score of a
 document is the smallest value of its findings, 0 without findings.
 
 Defined results: NULL and empty texts have no words, no labels and NULL positions; a malformed
-expression keeps the names read so far as labels, adds ``invalid-expression`` and has the value 0;
+expression keeps its known licences as labels, adds ``invalid-expression`` and has the value 0;
 repeated rows give repeated results; whole texts of any length are scanned; other columns are not read.
 """
 
@@ -63,72 +65,87 @@ _TAG_LINE = re.compile(rb"spdx-license-identifier[ \t]*:?([^\r\n]*)", re.IGNOREC
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
-class BadExpression(ValueError):
-    pass
+def _plain(name: str) -> str:
+    return re.sub(r"(-only|-or-later|\+)$", "", name)
+
+
+def known(name: str) -> bool:
+    return name in VALUES or _plain(name) in VALUES
 
 
 def licence_value(name: str) -> float:
-    plain = re.sub(r"(-only|-or-later|\+)$", "", name)
-    return VALUES.get(name, VALUES.get(plain, UNKNOWN_VALUE))
+    return VALUES.get(name, VALUES.get(_plain(name), UNKNOWN_VALUE))
+
+
+def longest_valid(terms: list[str]) -> int:
+    """How many terms make up the longest valid expression at the beginning."""
+    depth, operand_next, simple, best = 0, True, False, 0
+    for i, term in enumerate(terms):
+        if term == "(":
+            if not operand_next:
+                break
+            depth += 1
+        elif term == ")":
+            if operand_next or not depth:
+                break
+            depth, simple = depth - 1, False
+        elif term in _BINDING:
+            if operand_next or term == "with" and not simple:
+                break
+            operand_next, simple = True, False
+            if term == "with" and (i + 1 == len(terms) or terms[i + 1] in _BINDING or not terms[i + 1][0].isalnum()):
+                break
+            continue
+        else:
+            if not operand_next or not term[0].isalnum():
+                break
+            operand_next = False
+            simple = i == 0 or terms[i - 1] != "with"
+        if not operand_next and not depth:
+            best = i + 1
+    return best
 
 
 def postfix(terms: list[str]) -> list[str]:
-    """Operands and operators in postfix order (shunting yard)."""
+    """Operands and operators of a valid expression in postfix order (shunting yard)."""
     out: list[str] = []
     waiting: list[str] = []
-    operand_next = True
     for term in terms:
         if term == "(":
-            if not operand_next:
-                raise BadExpression(term)
             waiting.append(term)
         elif term == ")":
-            if operand_next:
-                raise BadExpression(term)
-            while waiting and waiting[-1] != "(":
+            while waiting[-1] != "(":
                 out.append(waiting.pop())
-            if not waiting:
-                raise BadExpression(term)
             waiting.pop()
         elif term in _BINDING:
-            if operand_next:
-                raise BadExpression(term)
             while waiting and waiting[-1] != "(" and _BINDING[waiting[-1]] >= _BINDING[term]:
                 out.append(waiting.pop())
             waiting.append(term)
-            operand_next = True
         else:
-            if not operand_next or not term[0].isalnum():
-                raise BadExpression(term)
             out.append(term)
-            operand_next = False
-    if operand_next or "(" in waiting:
-        raise BadExpression("end")
     return out + waiting[::-1]
 
 
 def evaluate(expression: str) -> tuple[set[str], float]:
     """Licence names of an expression and its value."""
-    terms = _TERMS.findall(expression.lower())
-    names: set[str] = set()
-    stack: list[tuple[str, float]] = []
-    try:
-        for term in postfix(terms):
-            if term not in _BINDING:
-                names.add(term)
-                stack.append((term, licence_value(term)))
-                continue
-            right, left = stack.pop(), stack.pop()
-            if term == "with":
-                names.discard(right[0])
-                names.add(f"{left[0]}-with-{right[0]}")
-                names.discard(left[0])
-                stack.append((left[0], (left[1] + 1) / 2))
-            else:
-                stack.append(("", min(left[1], right[1]) if term == "and" else max(left[1], right[1])))
-        return names, stack[0][1]
-    except BadExpression:
-        return {t for t in terms if t[0].isalnum() and t not in _BINDING} | {"invalid-expression"}, 0.0
+    terms = [t.rstrip(".-") or t for t in _TERMS.findall(expression.lower())]
+    size = longest_valid(terms)
+    rest = terms[size:size + 1]
+    names = {t for t in terms[:size] if t not in _BINDING and t not in "()"}
+    after = bool(rest) and (rest[0] in _BINDING or rest[0] in "()" or known(rest[0]) or rest[0][0].isalnum() and not all(map(known, names)))
+    if not size or after:
+        return {t for t in terms if known(t)} | {"invalid-expression"}, 0.0
+    stack: list[tuple[frozenset[str], float]] = []
+    for term in postfix(terms[:size]):
+        if term not in _BINDING:
+            stack.append((frozenset([term]), licence_value(term)))
+            continue
+        (right, right_value), (left, left_value) = stack.pop(), stack.pop()
+        if term == "with":
+            stack.append((frozenset([f"{min(left)}-with-{min(right)}"]), (left_value + 1) / 2))
+        else:
+            stack.append((left | right, min(left_value, right_value) if term == "and" else max(left_value, right_value)))
+    return set(stack[0][0]), stack[0][1]
 
 
 def automaton() -> ahocorasick.Automaton:
