@@ -114,7 +114,7 @@ def hours_of_chosen_days(spark, sf):
 SELECT strftime(d, '%Y-%m-%d') AS date, trips, round(temp_f + 1e-8::DOUBLE, 6) AS temp_f FROM g""")
 def good_weather_days(spark, sf):
     d = enrich.calendar_features(_daily(spark, sf))
-    return d.filter(F.col("temp_f").between(30, 80) & (F.col("max_precip_mm") < 20) & (F.col("is_holiday") == 0)).select(
+    return enrich.good_weather(d, 30, 80, wet_mm=20).select(
         "date", "trips", off_tie("temp_f").alias("temp_f"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
-from ..operators import flows, quality, series
+from ..operators import quality, series
 from . import views as v
 from .registry import query, r, table
 

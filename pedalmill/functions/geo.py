@@ -98,9 +98,3 @@ def lon_reach_deg(lat: Column, radius_deg: Column) -> Column:
     s = F.sin(F.radians(radius_deg)) / F.cos(F.radians(lat))
     polar = (F.abs(lat) + radius_deg) >= 90
     return F.when(polar | (s >= 1), F.lit(180.0)).otherwise(F.degrees(F.asin(s)))
-
-
-def metres_to_degrees(metres: Column | float) -> Column:
-    """Angle of an arc length, in degrees."""
-    m = metres if isinstance(metres, Column) else F.lit(float(metres))
-    return F.degrees(m / EARTH_RADIUS_M)

@@ -101,9 +101,10 @@ def calendar_features(daily: DataFrame) -> DataFrame:
     return dates.days_since_first(out)
 
 
-def good_weather(daily: DataFrame, low_f: float = 50, high_f: float = 80) -> DataFrame:
-    """Mild, dry days that are no holiday; tests the daily aggregates."""
-    return daily.filter(F.col("temp_f").between(low_f, high_f) & (F.col("max_precip_mm") == 0)
+def good_weather(daily: DataFrame, low_f: float = 50, high_f: float = 80, wet_mm: float | None = None) -> DataFrame:
+    """Mild days without rain (or with less than ``wet_mm`` in any hour) that are no holiday; tests the daily aggregates."""
+    dry = F.col("max_precip_mm") == 0 if wet_mm is None else F.col("max_precip_mm") < wet_mm
+    return daily.filter(F.col("temp_f").between(low_f, high_f) & dry
                         & (F.col("is_holiday") == 0))
 
 

@@ -136,19 +136,6 @@ def bike_types_by_route(trips: DataFrame, keys: Sequence[str] = ROUTE, min_trips
             .filter(F.col("total_trips") >= min_trips))
 
 
-def both_ends(trips: DataFrame, *extra: Column | str) -> DataFrame:
-    """One row per trip end from a single scan: station, name, lat, lon, is_start, extras."""
-    ends = F.explode(F.array(
-        F.struct(F.col("start_station_id").alias("station_id"), F.col("start_station_name").alias("name"),
-                 F.col("start_lat").alias("lat"), F.col("start_lon").alias("lon"),
-                 F.lit(True).alias("is_start")),
-        F.struct(F.col("end_station_id").alias("station_id"), F.col("end_station_name").alias("name"),
-                 F.col("end_lat").alias("lat"), F.col("end_lon").alias("lon"),
-                 F.lit(False).alias("is_start")))).alias("end")
-    return trips.select(*extra, ends).select("end.*", *[
-        e if isinstance(e, str) else e for e in extra if isinstance(e, str)])
-
-
 def net_flow(trips: DataFrame, start: str = "start_station_id", end: str = "end_station_id") -> DataFrame:
     """Departures, arrivals and arrivals - departures for every station seen at either end.
 
@@ -182,11 +169,6 @@ def corridors(trips: DataFrame, start: str = "start_station_id", end: str = "end
             .withColumn("imbalance_pct", pct(F.abs(F.col("a_to_b") - F.col("b_to_a")), F.col("total"))))
 
 
-def top_set(trips: DataFrame, n: int, keys: Sequence[str] = ROUTE) -> DataFrame:
-    return (trips.groupBy(*keys).agg(F.count(F.lit(1)).alias("trips"))
-            .orderBy(F.desc("trips"), *keys).limit(n))
-
-
 def compare_sets(a: DataFrame, b: DataFrame, keys: Sequence[str], name_a: str, name_b: str) -> DataFrame:
     """Each key of either set with ``both``, ``<a>_only`` or ``<b>_only``."""
     left = a.select(*keys).distinct().withColumn("__a", F.lit(True))
@@ -223,5 +205,3 @@ def period_change(counts: DataFrame, key: str, period: str, value: str, first: s
     return (wide.withColumn("change_pct", pct(F.col("second_value") - F.col("first_value"),
                                               F.col("first_value")))
             .filter(F.col("first_value") >= min_first))
-
-

@@ -29,13 +29,6 @@ def _features(polygons: DataFrame) -> DataFrame:
         F.max(F.array_max(lon)).alias("max_lon"), F.max(F.array_max(lat)).alias("max_lat"))
 
 
-def layer_bounds(polygons: DataFrame) -> DataFrame:
-    """Features and total bounds per layer."""
-    return _features(polygons).groupBy("layer").agg(
-        F.count(F.lit(1)).alias("features"), F.min("min_lon").alias("min_lon"), F.min("min_lat").alias("min_lat"),
-        F.max("max_lon").alias("max_lon"), F.max("max_lat").alias("max_lat"))
-
-
 def layer_checks(polygons: DataFrame, box: Sequence[float] = CITY_BOX,
                  expected: dict[str, tuple[int, int]] | None = None,
                  sliver: float = SLIVER_DEG2) -> DataFrame:

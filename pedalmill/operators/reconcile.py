@@ -47,17 +47,3 @@ def per_capita(df: DataFrame, population: DataFrame, key: str, value: str, per:
     """Value per ``per`` inhabitants; ``population`` holds (key, population) in heads."""
     joined = df.join(population.select(key, "population"), key, "left")
     return joined.withColumn(out, ratio(F.col(value) * per, F.col("population")))
-
-
-def operator_summary(df: DataFrame, by: Sequence[str], value: str, date: str,
-                     distinct: Sequence[str] = (), active_from_year: int | None = None) -> DataFrame:
-    """Totals, means, maxima, date range, distinct counts, share and status per group."""
-    out = df.groupBy(*by).agg(
-        F.sum(value).alias("total"), F.avg(value).alias("mean"), F.max(value).alias("maximum"),
-        F.min(date).alias("first_date"), F.max(date).alias("last_date"),
-        *[F.countDistinct(c).alias(f"n_{c}") for c in distinct])
-    out = share(out, "total", None, "share_pct")
-    if active_from_year is not None:
-        out = out.withColumn("status", F.when(F.year("last_date") >= active_from_year, "Active")
-                             .otherwise("Inactive"))
-    return out
