@@ -48,6 +48,11 @@ class Fit:
     n: int
     rank: int
 
+    @property
+    def determined(self) -> bool:
+        """Whether the data determine all coefficients; otherwise they are the shortest of many equally good ones."""
+        return self.rank == len(self.names)
+
     def params(self) -> dict[str, float]:
         return dict(zip(self.names, (float(c) for c in self.coef)))
 

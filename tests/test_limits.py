@@ -111,3 +111,26 @@ def test_quantiles_with_a_far_outlier(spark):
     low, high = scaled[0][1], scaled[-1][1]
     buckets = {int((e - low) / (high - low) * quantiles.FANOUT) for x, e in scaled if 1 < x < 9}
     assert len(buckets) > 3
+
+
+def test_year_effects_are_nan_where_every_day_has_the_same_size(spark, tmp_path):
+    import os
+
+    import duckdb
+
+    from pedalmill.catalog import ORACLES, QUERIES
+    from tests.oracle_compare import TABLES, compare, connect
+    given = "/root/testdata/sf0.001"
+    if not os.path.isdir(given):
+        pytest.skip("no test tables")
+    for t in TABLES:
+        if t != "orders":
+            os.symlink(f"{given}/{t}.parquet", tmp_path / f"{t}.parquet")
+    # three years, every one of the 25 stations in use on every day, one order more on some days
+    duckdb.execute(f"""COPY (SELECT (d * 60 + k)::BIGINT AS o_orderkey, k::BIGINT AS o_custkey, CASE WHEN hash(d * 60 + k) % 3 = 0 THEN 'F' ELSE 'O' END AS o_orderstatus,
+        100.0::DOUBLE AS o_totalprice, TIMESTAMP '1994-01-01' + to_days((d * 20)::INTEGER) AS o_orderdate, 'x' AS o_orderpriority
+        FROM range(54) t(d), range(30) u(k) WHERE k < 25 OR d % 7 > k - 25) TO '{tmp_path}/orders.parquet'""")
+    name = "nested_year_effects"
+    assert compare(spark, connect(str(tmp_path)), name, QUERIES[name], ORACLES[name], str(tmp_path)) == []
+    rows = QUERIES[name](spark, str(tmp_path)).collect()
+    assert rows and all(np.isnan(r.effect_b) and np.isnan(r.effect_c) and not np.isnan(r.effect_a) for r in rows)
