@@ -121,11 +121,12 @@ def polygon_cover(polygons: DataFrame, keys: list[str], rings: str = "rings") ->
     return durable(cover)
 
 
-def positions_in_cover(points: DataFrame, cover: DataFrame, keys: list[str]) -> DataFrame:
-    """``lat``, ``lon`` and the keys of the polygons strictly around them, by one join for all polygons.
+def positions_in_cover(points: DataFrame, cover: DataFrame, keys: list[str], half_open: bool = False) -> DataFrame:
+    """``lat``, ``lon`` and the keys of the polygons around them, by one join for all polygons.
 
     ``points`` are distinct positions. A position lies in one cell of each level in use (a level per factor of two
-    between the sizes of polygons). Positions on an edge are not inside.
+    between the sizes of polygons). Positions on an edge are not inside, unless ``half_open``: then the crossings of the ray to
+    the east decide alone, so of two polygons with a common edge one has the positions on it.
     """
     levels = [r["level"] for r in cover.select("level").distinct().toLocalIterator()]
     if not levels:
@@ -136,7 +137,8 @@ def positions_in_cover(points: DataFrame, cover: DataFrame, keys: list[str]) ->
     hit = placed.join(F.broadcast(cover) if fits_broadcast(cover) else cover, ["level", "cx", "cy"])
     sure = hit.filter(F.col("x1").isNull()).select("lat", "lon", *keys)
     lat, lon = F.col("lat"), F.col("lon")
-    tested = hit.filter(F.col("x1").isNotNull()).withColumns({"__crosses": crosses_east(lat, lon), "__on": on_edge(lat, lon)})
+    on = F.lit(False) if half_open else on_edge(lat, lon)
+    tested = hit.filter(F.col("x1").isNotNull()).withColumns({"__crosses": crosses_east(lat, lon), "__on": on})
     tested = (tested.filter(F.col("__crosses") | F.col("__on")).groupBy("lat", "lon", *keys)
               .agg(F.count(F.when(F.col("__crosses"), 1)).alias("__c"), F.max("__on").alias("__on"))
               .filter((F.col("__c") % 2 == 1) & ~F.col("__on")))

@@ -203,13 +203,13 @@ def nearest_k(a: DataFrame, b: DataFrame, k: int, b_id: str, max_deg: float | No
 # --- polygons -----------------------------------------------------------------
 
 def points_in_polygons(df: DataFrame, polygons: DataFrame, how: str = "left",
-                       lat: str = "lat", lon: str = "lon", code: str = "code") -> DataFrame:
+                       lat: str = "lat", lon: str = "lon", code: str = "code", half_open: bool = False) -> DataFrame:
     """Rows with the code of the polygon around them (``left`` keeps unmatched rows).
 
-    The test runs on distinct positions; rows get the answer by equi join.
+    The test runs on distinct positions; rows get the answer by equi join. ``half_open``: see ``positions_in_cover``.
     """
     pts = distinct_points(df, lat, lon).select("lat", "lon")
-    inside = positions_in_cover(pts, polygon_cover(polygons, [code]), [code]).withColumnsRenamed({"lat": lat, "lon": lon})
+    inside = positions_in_cover(pts, polygon_cover(polygons, [code]), [code], half_open).withColumnsRenamed({"lat": lat, "lon": lon})
     # About as many positions as rows in general, so no broadcast; both sides are
     # shuffled by position and a hot position is split by adaptive execution.
     return df.join(inside, [lat, lon], how)
@@ -234,10 +234,10 @@ def polygon_area(polygons: DataFrame, code: str = "code", rings: str = "rings")
 
 
 def station_density(stations: DataFrame, polygons: DataFrame, sq_km_per_deg2: float = 12_100.0,
-                    code: str = "code") -> DataFrame:
+                    code: str = "code", half_open: bool = False) -> DataFrame:
     """Stations per area and per square kilometre; areas without stations have 0."""
     pts = distinct_points(stations)
-    inside = positions_in_cover(pts, polygon_cover(polygons, [code]), [code])
+    inside = positions_in_cover(pts, polygon_cover(polygons, [code]), [code], half_open)
     count = inside.join(pts, ["lat", "lon"]).groupBy(code).agg(F.sum("n").alias("station_count"))
     return (polygon_area(polygons, code).join(count, code, "left")
             .withColumn("station_count", F.coalesce("station_count", F.lit(0)).cast("long"))
@@ -246,7 +246,7 @@ def station_density(stations: DataFrame, polygons: DataFrame, sq_km_per_deg2: fl
             .drop("area_deg2"))
 
 
-def area_lookup(stations: DataFrame, layers: dict[str, DataFrame], source_order: Sequence[str]) -> DataFrame:
+def area_lookup(stations: DataFrame, layers: dict[str, DataFrame], source_order: Sequence[str], half_open: bool = False) -> DataFrame:
     """One row per station id with the area code of every layer, all layers in one join.
 
     ``stations``: station_id, lat, lon, source. When an id occurs in several
@@ -261,7 +261,7 @@ def area_lookup(stations: DataFrame, layers: dict[str, DataFrame], source_order:
             .select("station_id", "s.*"))
     pts = distinct_points(best).select("lat", "lon")
     polygons = reduce(DataFrame.unionByName, [p.select(F.lit(n).alias("__layer"), "code", "rings") for n, p in layers.items()])
-    inside = positions_in_cover(pts, polygon_cover(polygons, ["__layer", "code"]), ["__layer", "code"])
+    inside = positions_in_cover(pts, polygon_cover(polygons, ["__layer", "code"]), ["__layer", "code"], half_open)
     codes = inside.groupBy("lat", "lon").agg(*[F.min(F.when(F.col("__layer") == n, F.col("code"))).alias(f"{n}_code") for n in layers])
     return best.join(codes, ["lat", "lon"], "left")
 

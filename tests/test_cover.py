@@ -64,3 +64,27 @@ def test_empty_sides(spark):
     square = spark.createDataFrame([("l", "c", [[{"lon": x, "lat": y} for x, y in ((0.0, 0.0), (2.0, 0.0), (2.0, 3.0), (0.0, 3.0))]])], RINGS)
     assert [tuple(r) for r in spatial.points_in_polygons(pts, square.drop("layer")).collect()] == [(2.0, 1.0, "c")]
     assert cover.positions_in_cover(pts.limit(0), cover.polygon_cover(square, ["layer", "code"]), ["layer", "code"]).isEmpty()
+
+
+def test_half_open_gives_positions_of_a_common_edge_to_one_polygon(spark):
+    side = [("l", f"{x}{y}", [[(x, y), (x + 1.0, y), (x + 1.0, y + 1.0), (x, y + 1.0)]]) for x in (0.0, 1.0) for y in (0.0, 1.0)]
+    slanted = [("s", "west", [[(0.0, 0.0), (0.75, 0.0), (1.25, 2.0), (0.0, 2.0)]]), ("s", "east", [[(0.75, 0.0), (2.0, 0.0), (2.0, 2.0), (1.25, 2.0)]])]
+    rows = side + slanted
+    df = spark.createDataFrame([(layer, code, [[{"lon": x, "lat": y} for x, y in r] for r in rs]) for layer, code, rs in rows], RINGS)
+    made = cover.polygon_cover(df, ["layer", "code"])
+    points = [(i / 8, j / 8) for i in range(17) for j in range(17)]
+    pts = spark.createDataFrame(points, "lon double, lat double")
+
+    def parity(x, y):
+        found = []
+        for layer, code, (ring,) in rows:
+            crossed = [1 for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1])
+                       if y1 != y2 and min(y1, y2) <= y < max(y1, y2) and x1 + (y - y1) / (y2 - y1) * (x2 - x1) > x]
+            found += [(layer, code)] * (len(crossed) % 2)
+        return sorted(found)
+
+    got = {}
+    for r in cover.positions_in_cover(pts, made, ["layer", "code"], half_open=True).collect():
+        got.setdefault((r.lon, r.lat), []).append((r.layer, r.code))
+    assert {p: sorted(k) for p, k in got.items()} == {p: f for p in points if (f := parity(*p))}
+    assert all(len(got[p]) == 2 for p in points if p[0] < 2 and p[1] < 2)  # one of each layer, on edges too
