@@ -80,3 +80,24 @@ def test_split_states(spark, tmp_path, small_splits):
     # a split holds the lines that begin in it, but for one that begins at its first byte
     expect = {s: (text[:text.find("\n", s) + 1] if s else "").count('"') % 2 == 1 for s in rows}
     assert rows == expect and any(expect.values())
+
+
+@pytest.mark.parametrize("size", [1 << 20, 64, 20])
+def test_records_and_stray_quotes_beside_each_other(spark, tmp_path, small_splits, size):
+    """Records within a split, over two and over many splits; then a record without an end, whose lines look like more of them."""
+    body = ["h,i"] + [f'{i},"{"x" * (i % 9)}\n,""{i}"""' for i in range(30)] + ['30,"' + "\n".join("yy" * k for k in range(12)) + '"', "31,plain"]
+    loose = ['32,"open'] + [f'{i},z" ""' for i in range(33, 60)]
+    (tmp_path / "m.csv").write_text("\n".join(body + loose) + "\n")
+    (tmp_path / "n.csv").write_text("\n".join(body) + "\n")
+    small_splits(size)
+    want = [("m.csv", r) for r in body + loose] + [("n.csv", r) for r in body]
+    assert read(spark, [tmp_path / "m.csv", tmp_path / "n.csv"]) == sorted(want)
+
+
+def test_small_splits_share_tasks_and_lines_are_not_shuffled(spark, tmp_path, small_splits):
+    (tmp_path / "t.csv").write_text("".join(f'{i},"a\nb"\n' for i in range(2000)))
+    small_splits(16)
+    lines = records._lines(spark, [f"file:{tmp_path}/t.csv"])
+    assert lines.rdd.getNumPartitions() <= 3 * spark.sparkContext.defaultParallelism
+    found = records.read_records(spark, [f"file:{tmp_path}/t.csv"])
+    assert found.count() == 2000 and found.rdd.getNumPartitions() <= 8 * spark.sparkContext.defaultParallelism
