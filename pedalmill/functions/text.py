@@ -61,7 +61,8 @@ BOROUGH_SUFFIXES = ["Manhattan", "Brooklyn", "Queens", "Bronx"]
 
 def strip_float_suffix(station_id: Column) -> Column:
     """``519.0`` -> ``519``; ids with real decimals such as ``5636.10`` stay whole."""
-    return F.regexp_replace(station_id.cast("string"), r"\.0$", "")
+    text = station_id.cast("string")
+    return F.when(text.contains(".0"), F.regexp_replace(text, r"\.0$", "")).otherwise(text)
 
 
 def id_class(station_id: Column) -> Column:
@@ -81,8 +82,14 @@ def is_legacy_short_id(station_id: Column, below: int = 10) -> Column:
 
 
 def contains_any(name: Column, words: Sequence[str]) -> Column:
-    """Case-insensitive substring test as one regular expression (NULL in, NULL out)."""
-    return F.lower(name).rlike("|".join(re.escape(w) for w in words))
+    """Case-insensitive substring test as one regular expression (NULL in, NULL out).
+
+    Words are tried only where one of their first letters stands.
+    """
+    if not all(words):
+        return F.lower(name).rlike("|".join(re.escape(w) for w in words))
+    first = "".join(sorted({re.escape(w[0]) for w in words}))
+    return F.lower(name).rlike(f"(?=[{first}])(?:" + "|".join(re.escape(w) for w in words) + ")")
 
 
 def is_test_station(name: Column, words: Sequence[str] = TEST_STATION_WORDS) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,6 +85,19 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextmanager
+def wide_projections(spark: SparkSession) -> Iterator[None]:
+    """For jobs whose rows have many computed columns: code beyond 8,000 bytes, which the JVM does not optimise, is cut into
+    methods instead of being fused into one."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's own size estimate; runs no job."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -50,7 +50,8 @@ def _typed(raw: DataFrame, cols: dict[str, Column], modern: Column) -> DataFrame
     def station_id(key: str) -> Column:
         return F.when(modern, col(key)).otherwise(text.strip_float_suffix(col(key)))
 
-    start, end = parse.parse_timestamp(col("start")), parse.parse_timestamp(col("end"))
+    raw = raw.withColumns({"__start": parse.parse_timestamp(col("start")), "__end": parse.parse_timestamp(col("end"))})
+    start, end = F.col("__start"), F.col("__end")
     keep = [c for c in ("source_file", "source_path", "expected", CORRUPT) if c in raw.columns]
     return raw.select(
         F.when(modern, col("ride_id")).otherwise(parse.synthetic_key(col("start"), col("start_id"), col("bike")))
@@ -85,10 +86,13 @@ def _cells(record: Column, width: int) -> Column:
 
 
 def _cell_count(record: Column) -> Column:
-    """Number of cells of a CSV record, commas between quotes not counting."""
-    quoted = r'(?<=^|,)"(?:""|[^"]|"(?!,|\z))*"(?=,|\z)'
+    """Number of cells of a CSV record, commas between quotes not counting.
+
+    The pattern goes from quote to quote, so neither its time nor its depth depends on how long the cells are.
+    """
+    quoted = r'"(?<=(?:^|,)")[^"]*+(?:"(?:"|(?!,|\z))[^"]*+)*+"(?=,|\z)'
     bare = F.when(record.contains('"'), F.regexp_replace(record, quoted, "")).otherwise(record)
-    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    return F.octet_length(bare) - F.octet_length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
 #: Raw cells in the order in which a header's positions are kept.
@@ -122,12 +126,12 @@ def read_files(spark: SparkSession, files: DataFrame) -> DataFrame:
     width = known.agg(F.max(F.size(F.split("header", ",")))).first()[0]
     heads = known.select(F.col("path").alias("source_path"), "family", "header", _cell_count(F.col("header")).alias("__width"),
                          _positions(F.transform(_cells(F.col("header"), width), F.trim), F.col("family")).alias("__at"),
-                         F.element_at(F.split("path", "/"), -1).alias("source_file"))
+                         F.element_at(F.split("path", "/"), -1).alias("source_file"),
+                         parse.expected_year_month(F.element_at(F.split("path", "/"), -1)).alias("expected"))
     lines = records.read_records(spark, paths).select(F.col("record").alias("__line"), F.col("path").alias("source_path"))
     rows = lookup_join(lines, heads, "source_path", "inner").filter(F.col("__line") != F.col("header"))
     rows = rows.withColumn("__cells", _cells(F.col("__line"), width))
-    rows = rows.withColumns({CORRUPT: F.when(_cell_count(F.col("__line")) != F.col("__width"), F.col("__line")),
-                             "expected": parse.expected_year_month(F.col("source_file"))})
+    rows = rows.withColumn(CORRUPT, F.when(_cell_count(F.col("__line")) != F.col("__width"), F.col("__line")))
     cells = {key: F.get("__cells", F.get("__at", F.lit(i))) for i, key in enumerate(CELLS)}
     return _typed(rows, cells, F.col("family") == "modern")
 

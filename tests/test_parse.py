@@ -176,3 +176,33 @@ def test_token_sort(spark):
     got = values(spark, [("W 14 St & The High Line", "10 Ave & W 14 St"), ("A b", "B  a"), (None, "x")], "a string, b string",
                  s=text.token_sort_ratio(F.col("a"), F.col("b")))
     assert got[1].s == 100.0 and got[2].s is None and 50 <= got[0].s < 65
+
+
+def test_long_quoted_cells_are_counted(spark):
+    from pedalmill.sources import trips
+    rows = ['a,"' + 'b,""' * 20000 + '",c', 'a,"b"c,d', '"a""b",,"c,d"', "", '"', '"",""']
+    df = spark.createDataFrame([(r,) for r in rows], "r string")
+    assert [r[0] for r in df.select(trips._cell_count(F.col("r"))).collect()] == [3, 3, 3, 1, 1, 2]
+
+
+def test_usual_stamps_are_read_as_the_patterns_read_them(spark):
+    rows = ["2024-02-29 23:59:59", "2023-02-29 00:00:00", "2024-01-01 24:00:00", "2024-01-01 00:00:60", "0000-01-01 00:00:00", "0001-01-01 00:00:00",
+            "2024-01-01 00:00:00.5", "2024-01-01 00:00:00.123456", "2024-01-01 00:00:00.1234567", "2024-01-01 00:00:00.", "2024-01-01T00:00:00", "2024-01-01",
+            "2024-01-01 00:00:00Z", "2024-01-01 00:00:00 ", "2024-01-01 00:00:00\n", "1/2/2024 3:04", "12/31/2024 13:04:05", "13/1/2024 3:04", "", "x", None]
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+    patterns = F.coalesce(*[F.try_to_timestamp("t", F.lit(p)) for p in ("yyyy-MM-dd HH:mm:ss[.SSSSSS]", "M/d/yyyy H:mm[:ss]")])
+    got = df.select("t", parse.parse_timestamp(F.col("t")).cast("double").alias("a"), patterns.cast("double").alias("b")).collect()
+    assert [(r.t, r.a) for r in got] == [(r.t, r.b) for r in got]
+    # the patterns are compiled into the plan only behind the usual form
+    plan = df.select(parse.parse_timestamp(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("RLIKE") < plan.index("gettimestamp")
+
+
+def test_month_of_a_file_is_read_once_per_file(spark, tmp_path):
+    from pedalmill.sources import manifest, trips
+    head = ",".join(trips.MODERN.values())
+    (tmp_path / "202403-x-tripdata.csv").write_text(head + "\n" + ",".join(["r", "b", "2024-03-01 00:00:00", "2024-03-01 00:10:00", *["1"] * 8, "member"]) + "\n")
+    rows = trips.read_files(spark, manifest.trip_files(spark, f"file:{tmp_path}"))
+    assert [(tuple(r.expected), r.duration_sec) for r in rows.collect()] == [((2024, 3), 600)]
+    plan = rows.select("source_path", "started_at", "expected")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "regexp_extract" not in plan.split("Join Inner")[0]
